@@ -26,7 +26,7 @@ def lookup(
     attempts: int = 3,
     base_delay: float = 5.0,
     pause: tuple[float, float] = (0.1, 0.5),
-    concurrency: int | None = None,
+    concurrency: int = 8,
 ) -> DataFrame:
     """Ask ``fetch`` for the records of distinct ``keys`` and return ``key, status, attempts, record`` (JSON text).
 
@@ -36,11 +36,10 @@ def lookup(
     any other error backs off and tries again. Status is ``found``, ``absent`` (no record), ``refused`` (given up at
     once) or ``failed`` (attempts used up). No key is lost: each one comes back with its status.
 
-    ``concurrency`` is the number of partitions, so the most batches under way at a time. ``fetch`` must be
-    idempotent, because Spark may run a task twice. Stage the result before reading it more than once.
+    ``concurrency`` is the number of partitions, so the most batches under way at a time; the service sets its limit.
+    ``fetch`` must be idempotent, because Spark may run a task twice. Stage the result before reading it more than
+    once.
     """
-    if concurrency:
-        keys = keys.repartition(concurrency, key)
     low, high = pause
 
     def run(frames):
@@ -92,7 +91,7 @@ def lookup(
         if waiting:
             yield answer(waiting)
 
-    return keys.select(key).mapInPandas(run, LOOKUP_SCHEMA)
+    return keys.select(key).repartition(concurrency, key).mapInPandas(run, LOOKUP_SCHEMA)
 
 
 def parsed(found: DataFrame, schema: T.StructType) -> DataFrame:

@@ -119,8 +119,9 @@ def staged_gate(
     # With 'error' the rows that a passing gate would drop need not be written at all.
     rows = staging.put(counted.dropna(subset=drop_cols) if dropping else counted, label)
     m = seen.get
-    n_null, n_rows = m.get("n_null", 0), m.get("n_rows", 0)
-    stats = NullStats(n_null / n_rows if n_rows else 0.0, n_null, n_rows)
+    if "n_rows" not in m:
+        m = df.agg(*[c.alias(n) for n, c in null_metrics(count_cols or df.columns).items()]).first().asDict()
+    stats = NullStats(m["n_null"] / m["n_rows"] if m["n_rows"] else 0.0, m["n_null"], m["n_rows"])
     if not policy.drops(stats):
         return GateResult(rows, rows.limit(0), stats)
     if dropping:

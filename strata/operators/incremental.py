@@ -1,8 +1,11 @@
 """Incremental loading: what is new, what is missing, what dangles.
 
 Lookup keys are reduced to distinct values before they are shuffled, so a key that fills a third of the stored
-table costs one row per map task. On the other side a hot key is spread over ``salts`` reducers, and rows without a
-key, which can match nothing, over all of them.
+table costs one row per map task. Rows without a key can match nothing and are spread over all reducers.
+
+A hot key on the other side is left to adaptive execution: the salt column makes both join inputs fresh shuffles, the
+shape whose oversized partitions ``spark.sql.adaptive.skewJoin`` splits, down to a part of one map output. Where that
+is switched off, ``salts`` spreads each key over that many reducers, at the price of as many copies of the lookup keys.
 """
 
 from __future__ import annotations
@@ -34,8 +37,7 @@ def drop_existing(
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing``. Rows with a NULL key stay; copies within ``df`` stay.
 
-    ``salts`` is the number of reducers a hot key of ``df`` may use; ``None`` leaves the join unsalted, for tables
-    bucketed by the key.
+    ``salts=None`` leaves the join unsalted, for tables bucketed by the key.
     """
     return _probe(df, existing, keys, "left_anti", salts)
 

@@ -11,6 +11,8 @@ from pyspark.sql import window as W
 ORDER, POSITION, CHUNK = "__order", "__position", "chunk"
 _BUCKET, _OFFSET, _N = "__bucket", "__offset", "__n"
 BUCKET_ROWS = 1_000_000
+# More shuffle partitions than this cost the driver more than they save the tasks; buckets then share partitions.
+MAX_PARTITIONS = 20_000
 
 
 def shuffle_key(df: DataFrame, seed: int = 0, unique: Sequence[str] | None = None) -> DataFrame:
@@ -39,7 +41,8 @@ def shuffled_positions(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROW
     offsets = sizes.select(_BUCKET, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFFSET))
     within = W.Window.partitionBy(_BUCKET).orderBy(ORDER)
     return (
-        bucketed.withColumn(_N, F.row_number().over(within))
+        bucketed.repartition(min(n_buckets, MAX_PARTITIONS), _BUCKET)
+        .withColumn(_N, F.row_number().over(within))
         .join(offsets, _BUCKET)
         .withColumn(POSITION, F.col(_OFFSET) + F.col(_N) - 1)
         .drop(_BUCKET, _OFFSET, _N)

@@ -55,17 +55,19 @@ def create_views(spark: SparkSession, songs: DataFrame, plays: DataFrame, artist
     artist_view(artists).createOrReplaceTempView("artist_view")
 
 
-def create_catalog_views(spark: SparkSession, song_table: str, play_table: str, artist_table: str) -> None:
+def create_catalog_views(
+    spark: SparkSession, song_table: str, play_table: str, artist_table: str, suffix: str = ""
+) -> None:
     """(Re)create the three views in the catalog, over stored gold tables, for every session to see."""
     spark.sql(f"""
-        CREATE OR REPLACE VIEW user_view AS
+        CREATE OR REPLACE VIEW user_view{suffix} AS
         SELECT album_artist_name, track_name, id AS track_id, album_name, seconds_played,
                to_date(ts) AS activity_date, hour(ts) AS hour_of_day,
                date_format(ts, 'E') AS day_of_week, month(ts) AS month_of_year
         FROM {play_table}""")
     spark.sql(f"""
-        CREATE OR REPLACE VIEW track_view AS
+        CREATE OR REPLACE VIEW track_view{suffix} AS
         SELECT id AS track_id, album_id, year, key, mode, {", ".join(TRACK_MEASURES)},
                get(artist_ids, 0) AS primary_artist_id
         FROM {song_table}""")
-    spark.sql(f"CREATE OR REPLACE VIEW artist_view AS SELECT artist, artist_id FROM {artist_table}")
+    spark.sql(f"CREATE OR REPLACE VIEW artist_view{suffix} AS SELECT artist, artist_id FROM {artist_table}")

@@ -50,7 +50,7 @@ def split_csv(
             chunks = split.split_chunks(ordered, n_rows, min_rows, max_rows, seed, bucket_rows)
             (
                 files.csv_ready(chunks.withColumn(split.CHUNK, F.format_string("split_%03d", F.col(split.CHUNK))))
-                .repartition(split.CHUNK)
+                .repartition(min(-(-n_rows // bucket_rows), split.MAX_PARTITIONS), split.CHUNK)
                 .sortWithinPartitions(split.CHUNK, split.POSITION)
                 .drop(split.ORDER, split.POSITION)
                 .write.mode("overwrite")

@@ -13,13 +13,18 @@ from strata.staging import path_exists
 
 @dataclass(frozen=True)
 class ManagedTable:
-    """A catalog table, created from its definition when it is not there yet."""
+    """A catalog table, created from its definition when it is not there yet, at ``location`` if one is given.
+
+    Text longer than its VARCHAR(n) fails the append.
+    """
 
     name: str
     ddl: str
+    location: str | None = None
 
     def create(self, spark: SparkSession) -> None:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.ddl}) USING parquet")
+        place = f" LOCATION '{self.location}'" if self.location else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.ddl}) USING parquet{place}")
 
     def read(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
         df = spark.read.table(self.name)

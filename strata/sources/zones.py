@@ -66,11 +66,13 @@ class ArchiveIncomplete(RuntimeError):
     """The archive copy holds other rows than the source; the source was left as it is."""
 
 
-def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str) -> int:
+def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str, rename: bool = False) -> int:
     """Move the files of ``latest`` to ``archive/run_id=...`` and return the number of rows moved.
 
     The files are listed once. After the copy is written and its row count, from the Parquet footers, agrees, exactly
     the listed files are deleted, so a file that arrives meanwhile stays. A repeated run replaces its own copy.
+
+    ``rename`` moves the folder as a whole instead, where the file system does that in one step and without copying.
     """
     if not path_exists(spark, latest):
         return 0
@@ -80,6 +82,13 @@ def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str) ->
         return 0
     source = spark.read.option("basePath", latest).parquet(*listed)
     target = f"{archive}/run_id={run_id}"
+    if rename:
+        fs, p = files_system(spark, latest)
+        fs.mkdirs(files_system(spark, archive)[1])
+        if not fs.rename(p, files_system(spark, target)[1]):
+            raise ArchiveIncomplete(f"{latest} could not be renamed to {target}")
+        fs.mkdirs(p)
+        return spark.read.parquet(target).count()
     source.write.mode("overwrite").parquet(target)
     n_source, n_copy = source.count(), spark.read.parquet(target).count()
     if n_source != n_copy:

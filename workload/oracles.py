@@ -406,4 +406,7 @@ def all_oracles() -> dict[str, str]:
         "play_load": f"SELECT {play_columns} FROM loaded_plays",
         "play_gold_layer": f"SELECT {play_columns} FROM plays",
     }
+    bodies["catalog_user_view"] = bodies["user_view"]
+    bodies["catalog_track_view"] = bodies["track_view"].replace("gated_song", "silver")
+    bodies["catalog_artist_view"] = bodies["artist_view"].replace("gated_artist", "artist")
     return {name: _q(body) for name, body in bodies.items()}

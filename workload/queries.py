@@ -174,12 +174,12 @@ def artist_incremental(spark, d):
 
 
 def play_incremental(spark, d):
-    return incremental.drop_existing(plays(spark, d), fx.gold_play_ids(spark, d), salts=16)
+    return incremental.drop_existing(plays(spark, d), fx.gold_play_ids(spark, d))
 
 
 def play_incremental_by_time(spark, d):
     """Only a play already stored, at the same time, is skipped."""
-    stored = incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d), salts=16)
+    stored = incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d))
     return incremental.drop_existing(plays(spark, d), stored, ["ts", "id"])
 
 
@@ -192,7 +192,7 @@ def missing_ids_resolvable(spark, d):
 
 
 def fk_violations(spark, d):
-    return incremental.fk_violations(plays(spark, d).select("id", "ts"), silver(spark, d), salts=16)
+    return incremental.fk_violations(plays(spark, d).select("id", "ts"), silver(spark, d))
 
 
 # --- reports ---
@@ -230,7 +230,7 @@ def dq_flagged_rows(spark, d):
 
 
 def dq_unique_violations(spark, d):
-    return quality.duplicate_rows(plays(spark, d).select("id", "ts", "album_artist_name"), ["id"], salts=16)
+    return quality.duplicate_rows(plays(spark, d).select("id", "ts", "album_artist_name"), ["id"])
 
 
 def dq_within_record(spark, d):
@@ -474,7 +474,7 @@ def _play_load(spark, d):
     root = _folder(spark, "plays")
     files.write_parquet(fx.raw_plays(spark, d).drop("event_id"), f"{root}/raw")
     table = tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
-    table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d), salts=16).dropna())
+    table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna())
     play.load_plays(spark, f"{root}/raw", f"{root}/gold", table)
     return root, table
 
@@ -490,6 +490,34 @@ def play_gold_layer(spark, d):
     return files.read_layer(spark, f"{root}/gold", "gold_play")
 
 
+def _catalog_views(spark, d):
+    """Gold tables in the catalog, filled and reported on."""
+    root, tag = _folder(spark, "catalog"), f"_{uuid.uuid4().hex}"
+    gold = [
+        tables.ManagedTable(f"gold_song{tag}", schemas.GOLD_SONG_DDL, f"{root}/song"),
+        tables.ManagedTable(f"gold_play{tag}", schemas.GOLD_PLAY_DDL, f"{root}/play"),
+        tables.ManagedTable(f"gold_artist{tag}", schemas.GOLD_ARTIST_DDL, f"{root}/artist"),
+    ]
+    rows = [silver(spark, d), plays(spark, d), artist_normalized(spark, d)]
+    for table, df in zip(gold, rows):
+        table.create(spark)
+        table.append(df)
+    views.create_catalog_views(spark, *[t.name for t in gold], suffix=tag)
+    return tag
+
+
+def catalog_user_view(spark, d):
+    return spark.table(f"user_view{_catalog_views(spark, d)}")
+
+
+def catalog_track_view(spark, d):
+    return spark.table(f"track_view{_catalog_views(spark, d)}")
+
+
+def catalog_artist_view(spark, d):
+    return spark.table(f"artist_view{_catalog_views(spark, d)}")
+
+
 def all_queries() -> dict:
     chosen = [
         song_clean_text, song_clean_explicit, song_null_tokens, song_clean_features, song_decode_key_mode,
@@ -503,5 +531,6 @@ def all_queries() -> dict:
         track_flatten, track_popularity, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
         split_chunk_sizes, split_csv_files, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer,
+        catalog_user_view, catalog_track_view, catalog_artist_view,
     ]
     return {f.__name__: f for f in chosen}
