@@ -68,7 +68,9 @@ def read_csv(
             c = text.blank_if_token(c, na_tokens)
         cols.append(c.alias(f.name))
     if source_column:
-        cols.append(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias(source_column))
+        # The name comes percent-encoded, and a plus sign in it is just that.
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        cols.append(F.regexp_replace(name, r"\.csv$", "").alias(source_column))
         schema = T.StructType([*schema, T.StructField(source_column, T.StringType())]) if schema else None
     df = df.select(cols)
     return schemas.enforce(df, schema, missing="null") if schema else df

@@ -1,0 +1,122 @@
+import pytest
+
+from strata.operators import gate
+from strata.staging import Staging, shared_dir
+
+
+def frame(spark, bad, good, kind="double"):
+    rows = [(i, None) for i in range(bad)] + [(i, 1.0) for i in range(good)]
+    return spark.createDataFrame(rows, f"id int, v {kind}")
+
+
+def gated(spark, how, df, **kw):
+    if how == "lazy":
+        result = gate.null_gate(df, **kw)
+        return result.kept.count(), result.rejected.count(), result.stats
+    with Staging(spark) as staging:
+        result = gate.staged_gate(df, staging, "rows", **kw)
+        return result.kept.count(), result.rejected.count(), result.stats
+
+
+both = pytest.mark.parametrize("how", ["lazy", "staged"])
+
+
+@both
+def test_low_rate_drops(spark, how):
+    assert gated(spark, how, frame(spark, 11, 100))[:2] == (100, 11)
+
+
+@both
+def test_exactly_ten_bad_rows_drop_at_any_rate(spark, how):
+    kept, rejected, stats = gated(spark, how, frame(spark, 10, 1))
+    assert (kept, rejected) == (1, 10) and stats.n_null == 10
+
+
+@both
+def test_eleven_bad_rows_fail(spark, how):
+    with pytest.raises(gate.NullRateExceeded, match="11 of 12"):
+        gated(spark, how, frame(spark, 11, 1))
+
+
+@both
+def test_rate_of_exactly_a_tenth_fails(spark, how):
+    with pytest.raises(gate.NullRateExceeded):
+        gated(spark, how, frame(spark, 20, 180))
+    assert gated(spark, how, frame(spark, 20, 181))[0] == 181
+
+
+@both
+def test_empty_input_passes(spark, how):
+    assert gated(spark, how, frame(spark, 0, 0)) == (0, 0, gate.NullStats(0.0, 0, 0))
+
+
+@both
+def test_nan_is_dropped_but_not_counted(spark, how):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 1.0)], "id int, v double")
+    kept, rejected, stats = gated(spark, how, df)
+    assert (kept, rejected, stats.n_null) == (1, 2, 1)
+
+
+@both
+def test_uncounted_column_still_drops(spark, how):
+    df = frame(spark, 50, 50)
+    kept, _, stats = gated(spark, how, df, count_cols=["id"])
+    assert kept == 50 and stats.n_null == 0
+
+
+@both
+def test_keep_and_quarantine(spark, how):
+    df = frame(spark, 50, 50)
+    assert gated(spark, how, df, policy=gate.GatePolicy(on_exceed="keep"))[:2] == (100, 0)
+    assert gated(spark, how, df, policy=gate.GatePolicy(on_exceed="quarantine"))[:2] == (50, 50)
+
+
+def test_policy_is_checked():
+    with pytest.raises(ValueError):
+        gate.GatePolicy(on_exceed="ignore")
+
+
+def test_any_null_takes_one_name_or_a_list(spark):
+    df = frame(spark, 2, 3)
+    assert df.filter(gate.any_null("v")).count() == 2
+    assert df.filter(gate.any_null(["id", "v"])).count() == 2
+
+
+def test_gate_count_is_one_aggregate(spark):
+    plan = gate.null_stats(frame(spark, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    # One partial and one final aggregate around one exchange.
+    assert plan.count("Exchange") == 1
+
+
+def test_staged_rows_are_computed_once_and_removed(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tick(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    df = frame(spark, 3, 97).mapInPandas(tick, "id int, v double")
+    with Staging(spark) as staging:
+        result = gate.staged_gate(df, staging, "rows")
+        assert result.kept.count() == 97 and result.kept.agg({"id": "max"}).first()[0] == 96
+        assert seen.value == 100
+    from strata.staging import path_exists
+
+    assert not path_exists(spark, staging.root)
+
+
+def test_shared_dir_is_the_configured_one(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_profile(spark):
+    rows = [r.asDict() for r in gate.profile(frame(spark, 2, 3), distinct=True).collect()]
+    assert rows[1] == {
+        "position": 1, "column_name": "v", "column_type": "double", "rows": 5, "nulls": 2, "approx_distinct": 1,
+    }
+
+
+def test_duplicates(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id int")
+    assert {(r["id"], r["n"]) for r in gate.duplicates(df, ["id"]).collect()} == {(1, 2), (None, 2)}
