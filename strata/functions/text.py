@@ -19,8 +19,8 @@ def scrubbed(c: Column) -> Column:
 
 
 def to_boolean(c: Column) -> Column:
-    """Booleans written as text; null tokens and anything unreadable give NULL."""
-    return scrubbed(folded(c.cast("string"))).try_cast("boolean")
+    """Booleans written as text; null tokens and anything else unreadable give NULL."""
+    return folded(c.cast("string")).try_cast("boolean")
 
 
 def blank_if_token(c: Column, tokens: list[str]) -> Column:

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.staging import Staging, observed
-
 
 class NullRateExceeded(RuntimeError):
     """Too many rows hold a NULL for them to be dropped silently."""
@@ -52,9 +50,19 @@ class GatePolicy:
 
 @dataclass(frozen=True)
 class GateResult:
+    """The rows to go on with, the counts, and where the rows that were dropped can be read from, if any were."""
+
     kept: DataFrame
-    rejected: DataFrame
     stats: NullStats
+    source: DataFrame
+    dropped: Sequence[str] | None
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The dropped rows, whole."""
+        if self.dropped is None:
+            return self.source.limit(0)
+        return self.source.filter(incomplete(self.source, self.dropped))
 
 
 def any_null(cols: str | Sequence[str]) -> Column:
@@ -71,15 +79,16 @@ def incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def null_metrics(cols: str | Sequence[str]) -> dict[str, Column]:
-    return {"n_null": F.count_if(any_null(cols)), "n_rows": F.count(F.lit(1))}
+def with_rate(counted: DataFrame) -> DataFrame:
+    """``rate, n_null, n_rows`` from counts of rows with a NULL and of all rows; no rows at all give rate 0."""
+    rate = F.when(F.col("n_rows") > 0, F.col("n_null") / F.col("n_rows")).otherwise(F.lit(0.0))
+    return counted.select(rate.alias("rate"), "n_null", "n_rows")
 
 
 def null_stats(df: DataFrame, cols: str | Sequence[str] | None = None) -> DataFrame:
-    """One row ``rate, n_null, n_rows`` from a single aggregate; an empty input has rate 0."""
-    counted = df.agg(*[c.alias(n) for n, c in null_metrics(cols or df.columns).items()])
-    rate = F.when(F.col("n_rows") > 0, F.col("n_null") / F.col("n_rows")).otherwise(F.lit(0.0))
-    return counted.select(rate.alias("rate"), "n_null", "n_rows")
+    """One row ``rate, n_null, n_rows`` from a single aggregate."""
+    bad = any_null(cols or df.columns)
+    return with_rate(df.agg(F.count_if(bad).alias("n_null"), F.count(F.lit(1)).alias("n_rows")))
 
 
 def without(df: DataFrame, *names: str) -> list[str]:
@@ -87,46 +96,28 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c not in names]
 
 
+def stats_of(counted: DataFrame) -> NullStats:
+    """Run a statistics frame; it holds one row."""
+    row = counted.first()
+    return NullStats(row["rate"], row["n_null"], row["n_rows"])
+
+
 def null_gate(
     df: DataFrame,
     count_cols: Sequence[str] | None = None,
     drop_cols: Sequence[str] | None = None,
     policy: GatePolicy = GatePolicy(),
+    stats: DataFrame | None = None,
 ) -> GateResult:
     """Count rows with a NULL in ``count_cols``; when the policy allows, drop rows incomplete in ``drop_cols``.
 
-    Runs one aggregate. The returned rows are lazy and read ``df`` again, which suits a plain scan;
-    after a join use :func:`staged_gate`.
+    Runs one aggregate; the returned rows are lazy. ``stats`` replaces that aggregate where the same counts are to be
+    had for less, such as after an anti-join: see :func:`strata.operators.incremental.new_row_stats`.
     """
-    row = null_stats(df, count_cols).first()
-    stats = NullStats(row["rate"], row["n_null"], row["n_rows"])
-    if not policy.drops(stats):
-        return GateResult(df, df.limit(0), stats)
-    return GateResult(df.dropna(subset=drop_cols), df.filter(incomplete(df, drop_cols)), stats)
-
-
-def staged_gate(
-    df: DataFrame,
-    staging: Staging,
-    label: str,
-    count_cols: Sequence[str] | None = None,
-    drop_cols: Sequence[str] | None = None,
-    policy: GatePolicy = GatePolicy(),
-) -> GateResult:
-    """The same gate for an expensive input: computed once, written to staging and counted while it is written."""
-    counted, seen = observed(df, **null_metrics(count_cols or df.columns))
-    dropping = policy.on_exceed == "error"
-    # With 'error' the rows that a passing gate would drop need not be written at all.
-    rows = staging.put(counted.dropna(subset=drop_cols) if dropping else counted, label)
-    m = seen.get
-    if "n_rows" not in m:
-        m = df.agg(*[c.alias(n) for n, c in null_metrics(count_cols or df.columns).items()]).first().asDict()
-    stats = NullStats(m["n_null"] / m["n_rows"] if m["n_rows"] else 0.0, m["n_null"], m["n_rows"])
-    if not policy.drops(stats):
-        return GateResult(rows, rows.limit(0), stats)
-    if dropping:
-        return GateResult(rows, df.filter(incomplete(df, drop_cols)), stats)
-    return GateResult(rows.dropna(subset=drop_cols), rows.filter(incomplete(rows, drop_cols)), stats)
+    found = stats_of(null_stats(df, count_cols) if stats is None else stats)
+    if not policy.drops(found):
+        return GateResult(df, found, df, None)
+    return GateResult(df.dropna(subset=drop_cols), found, df, drop_cols or df.columns)
 
 
 def duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:

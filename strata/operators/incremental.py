@@ -15,13 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.gate import any_null
+from strata.operators.gate import any_null, with_rate
 
 _SALT = "__salt"
 
 
-def _probe(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int | None) -> DataFrame:
-    known = lookup.select(*keys).filter(~any_null(keys)).distinct()
+def known_keys(existing: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """The distinct keys of a stored table, without NULLs, which match nothing."""
+    return existing.select(*keys).filter(~any_null(keys)).distinct()
+
+
+def _probe(df: DataFrame, known: DataFrame, keys: Sequence[str], how: str, salts: int | None) -> DataFrame:
     if salts is None:
         return df.join(known, list(keys), how).select(df.columns)
     # The map partition number is the same in every attempt of a task, unlike rand(), and it also spreads copies of
@@ -33,20 +37,40 @@ def _probe(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salt
 
 
 def drop_existing(
-    df: DataFrame, existing: DataFrame, keys: Sequence[str] = ("id",), salts: int | None = 1
+    df: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str] = ("id",),
+    salts: int | None = 1,
+    distinct: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing``. Rows with a NULL key stay; copies within ``df`` stay.
 
-    ``salts=None`` leaves the join unsalted, for tables bucketed by the key.
+    ``salts=None`` leaves the join unsalted, for tables bucketed by the key. ``distinct`` says that ``existing`` is a
+    result of :func:`known_keys`, as one that was staged for several uses.
     """
-    return _probe(df, existing, keys, "left_anti", salts)
+    return _probe(df, existing if distinct else known_keys(existing, keys), keys, "left_anti", salts)
 
 
 def keep_existing(
     df: DataFrame, existing: DataFrame, keys: Sequence[str] = ("id",), salts: int | None = 1
 ) -> DataFrame:
     """Rows of ``df`` whose key is in ``existing``."""
-    return _probe(df, existing, keys, "left_semi", salts)
+    return _probe(df, known_keys(existing, keys), keys, "left_semi", salts)
+
+
+def new_row_stats(
+    df: DataFrame, known: DataFrame, keys: Sequence[str] = ("id",), count_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`strata.operators.gate.null_stats` of the rows that :func:`drop_existing` would leave.
+
+    Rows are first counted per key, so two numbers per key are shuffled instead of whole rows, and a hot key is one
+    row per map task. ``known`` is a result of :func:`known_keys`.
+    """
+    bad = any_null(count_cols or df.columns)
+    per_key = df.groupBy(*keys).agg(F.count_if(bad).alias("__null"), F.count(F.lit(1)).alias("__rows"))
+    fresh = per_key.join(known, list(keys), "left_anti")
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("__null", "n_null"), ("__rows", "n_rows"))]
+    return with_rate(fresh.agg(*total))
 
 
 def missing_keys(df: DataFrame, catalogue: DataFrame, key: str = "id", drop_blank: bool = False) -> DataFrame:
@@ -66,4 +90,5 @@ def fk_violations(
 ) -> DataFrame:
     """Rows of ``child`` that refer to no row of ``parent``. A NULL reference is no violation."""
     refs = parent.select(F.col(parent_key).alias(child_key))
-    return _probe(child.filter(F.col(child_key).isNotNull()), refs, [child_key], "left_anti", salts)
+    children = child.filter(F.col(child_key).isNotNull())
+    return drop_existing(children, refs, [child_key], salts)

@@ -10,7 +10,9 @@ from pyspark.sql import window as W
 
 ORDER, POSITION, CHUNK = "__order", "__position", "chunk"
 _BUCKET, _OFFSET, _N = "__bucket", "__offset", "__n"
+# Rows a bucket should hold at most, and the fewest for which another bucket is worth a task.
 BUCKET_ROWS = 1_000_000
+SMALL_BUCKET_ROWS = 10_000
 # More shuffle partitions than this cost the driver more than they save the tasks; buckets then share partitions.
 MAX_PARTITIONS = 20_000
 
@@ -25,14 +27,20 @@ def shuffle_key(df: DataFrame, seed: int = 0, unique: Sequence[str] | None = Non
     return df.withColumn(ORDER, F.xxhash64(F.lit(seed), *ids))
 
 
+def n_tasks(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Tasks of at most ``bucket_rows`` rows, or one for each core where the rows are few."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-n_rows // bucket_rows), min(cores, n_rows // SMALL_BUCKET_ROWS))
+
+
 def shuffled_positions(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Number the rows 0..n-1 in hash order.
 
-    The hash range is cut into equal buckets of about ``bucket_rows`` rows, because hashes are uniform. Bucket counts
-    give each bucket its first position; within a bucket rows are numbered by a window. No task sees more than one
-    bucket, and the running total runs over one row per bucket.
+    The hash range is cut into equal buckets of at most about ``bucket_rows`` rows each, because hashes are uniform.
+    Bucket counts give each bucket its first position; within a bucket rows are numbered by a window. The running
+    total sees one row per bucket.
     """
-    n_buckets = max(1, -(-n_rows // bucket_rows))
+    n_buckets = n_tasks(df, n_rows, bucket_rows)
     # The top 31 bits of the hash, scaled to the number of buckets: consecutive ranges of the order.
     high = F.shiftrightunsigned(F.col(ORDER).bitwiseXOR(F.lit(-(2**63))), 33)
     bucketed = df.withColumn(_BUCKET, F.shiftright(high * F.lit(n_buckets), 31))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from strata.operators.clean import clean_plays
-from strata.operators.gate import GatePolicy, NullStats, staged_gate
-from strata.operators.incremental import drop_existing
+from strata.operators.gate import GatePolicy, NullStats
+from strata.plans.load import gated_new_rows
 from strata.sources.files import read_layer, read_plays, write_parquet
 from strata.staging import Staging, refuse_overlap
 
@@ -33,7 +33,6 @@ def load_plays(
     write_parquet(clean_plays(read_plays(spark, raw, uri_prefix)), gold)
     plays = read_layer(spark, gold, "gold_play")
     with Staging(spark) as staging:
-        new = drop_existing(plays, play_table.read(spark, keys), keys, salts)
-        result = staged_gate(new, staging, "plays", policy=policy)
-        play_table.append(result.kept)
-    return result.stats
+        new = gated_new_rows(plays, play_table, keys, staging, "play_keys", policy, salts=salts)
+        play_table.append(new.kept)
+    return new.stats

@@ -48,9 +48,10 @@ def split_csv(
         n_rows = ordered.count()
         if n_rows:
             chunks = split.split_chunks(ordered, n_rows, min_rows, max_rows, seed, bucket_rows)
+            n_chunks = -(-2 * n_rows // (min_rows + max_rows))
             (
                 files.csv_ready(chunks.withColumn(split.CHUNK, F.format_string("split_%03d", F.col(split.CHUNK))))
-                .repartition(min(-(-n_rows // bucket_rows), split.MAX_PARTITIONS), split.CHUNK)
+                .repartition(min(n_chunks, split.MAX_PARTITIONS), split.CHUNK)
                 .sortWithinPartitions(split.CHUNK, split.POSITION)
                 .drop(split.ORDER, split.POSITION)
                 .write.mode("overwrite")

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from strata.operators.clean import clean_songs
-from strata.operators.gate import GatePolicy, NullStats, null_gate, staged_gate, without
-from strata.operators.incremental import drop_existing
+from strata.operators.gate import GatePolicy, NullStats, null_gate, without
 from strata.operators.nested import normalize_artists
+from strata.plans.load import gated_new_rows
 from strata.sources.files import read_layer, write_parquet
 from strata.staging import Staging, refuse_overlap
 
@@ -52,14 +52,13 @@ def load_songs(
     """
     song_table.create(spark)
     artist_table.create(spark)
-    gold_songs = read_layer(spark, gold, "gold")
+    songs = read_layer(spark, gold, "gold")
+    artists = normalize_artists(songs)
     with Staging(spark) as staging:
-        new_songs = drop_existing(gold_songs, song_table.read(spark, ["id"]), salts=salts)
-        songs = staged_gate(new_songs, staging, "songs", without(new_songs, "release_date"), policy=policy)
-        new_artists = drop_existing(
-            normalize_artists(gold_songs), artist_table.read(spark, artist_keys), artist_keys, salts
+        new_songs = gated_new_rows(
+            songs, song_table, ["id"], staging, "song_keys", policy, without(songs, "release_date"), salts
         )
-        artists = staged_gate(new_artists, staging, "artists", policy=policy)
-        song_table.append(songs.kept)
-        artist_table.append(artists.kept)
-    return SongLoad(songs.stats, artists.stats)
+        new_artists = gated_new_rows(artists, artist_table, artist_keys, staging, "artist_keys", policy, salts=salts)
+        song_table.append(new_songs.kept)
+        artist_table.append(new_artists.kept)
+    return SongLoad(new_songs.stats, new_artists.stats)

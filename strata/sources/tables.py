@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import schemas
-from strata.staging import path_exists
+from strata.staging import make_folder, path_exists
 
 
 @dataclass(frozen=True)
@@ -42,8 +42,7 @@ class ParquetTable:
     ddl: str
 
     def create(self, spark: SparkSession) -> None:
-        if not path_exists(spark, self.path):
-            spark.createDataFrame([], schemas.target_schema(self.ddl)).write.parquet(self.path)
+        make_folder(spark, self.path)
 
     def read(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
         schema = schemas.target_schema(self.ddl)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.sources import files
-from strata.staging import delete_path, path_exists, refuse_overlap
+from strata.staging import delete_path, file_system, make_folder, path_exists, refuse_overlap
 
 log = logging.getLogger(__name__)
 SOURCE_FILE = "source_file"
@@ -17,15 +17,10 @@ SOURCE_FILE = "source_file"
 
 def csv_file_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the CSV files in a folder, from its listing."""
-    fs, p = files_system(spark, folder)
+    fs, p = file_system(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
 
 
-def files_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def ingest_csv(
     spark: SparkSession,
     folder: str,
@@ -83,11 +78,11 @@ def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str, re
     source = spark.read.option("basePath", latest).parquet(*listed)
     target = f"{archive}/run_id={run_id}"
     if rename:
-        fs, p = files_system(spark, latest)
-        fs.mkdirs(files_system(spark, archive)[1])
-        if not fs.rename(p, files_system(spark, target)[1]):
+        fs, p = file_system(spark, latest)
+        make_folder(spark, archive)
+        if not fs.rename(p, file_system(spark, target)[1]):
             raise ArchiveIncomplete(f"{latest} could not be renamed to {target}")
-        fs.mkdirs(p)
+        make_folder(spark, latest)
         return spark.read.parquet(target).count()
     source.write.mode("overwrite").parquet(target)
     n_source, n_copy = source.count(), spark.read.parquet(target).count()
@@ -100,7 +95,7 @@ def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str, re
 
 def data_files(spark: SparkSession, folder: str) -> list[str]:
     """Paths of the Parquet files below a folder."""
-    fs, p = files_system(spark, folder)
+    fs, p = file_system(spark, folder)
     found, it = [], fs.listFiles(p, True)
     while it.hasNext():
         path = it.next().getPath()

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -29,24 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
-def _hadoop(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
+    fs, p = file_system(spark, path)
     return fs.delete(p, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, without a trailing slash, to compare two of them."""
-    fs, p = _hadoop(spark, path)
+    fs, p = file_system(spark, path)
     return fs.makeQualified(p).toString().rstrip("/")
 
 
@@ -57,12 +62,6 @@ def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
         raise ValueError(f"input {source} and output {target} overlap")
 
 
-def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """Attach metrics that the next write fills in, at no extra pass."""
-    seen = Observation(f"strata-{uuid.uuid4().hex}")
-    return df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), seen
-
-
 class Staging:
     """Staged tables of one run, removed at the end of the ``with`` block."""
 

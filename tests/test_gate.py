@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
-from strata.operators import gate
-from strata.staging import Staging, shared_dir
+from strata.operators import gate, incremental
+from strata.staging import Staging, path_exists, shared_dir
 
 
 def frame(spark, bad, good, kind="double"):
@@ -10,15 +11,19 @@ def frame(spark, bad, good, kind="double"):
 
 
 def gated(spark, how, df, **kw):
-    if how == "lazy":
+    if how == "after a join":
+        # Every second row is stored already, twice over, and must not count.
+        old = df.withColumn("id", F.col("id") + 10_000)
+        known = incremental.known_keys(old.select("id").union(old.select("id")))
+        both = df.unionByName(old)
+        stats = incremental.new_row_stats(both, known, count_cols=kw.get("count_cols"))
+        result = gate.null_gate(incremental.drop_existing(both, known, distinct=True), stats=stats, **kw)
+    else:
         result = gate.null_gate(df, **kw)
-        return result.kept.count(), result.rejected.count(), result.stats
-    with Staging(spark) as staging:
-        result = gate.staged_gate(df, staging, "rows", **kw)
-        return result.kept.count(), result.rejected.count(), result.stats
+    return result.kept.count(), result.rejected.count(), result.stats
 
 
-both = pytest.mark.parametrize("how", ["lazy", "staged"])
+both = pytest.mark.parametrize("how", ["plain", "after a join"])
 
 
 @both
@@ -98,14 +103,20 @@ def test_staged_rows_are_computed_once_and_removed(spark):
 
     df = frame(spark, 3, 97).mapInPandas(tick, "id int, v double")
     with Staging(spark) as staging:
-        result = gate.staged_gate(df, staging, "rows")
-        assert result.kept.count() == 97 and result.kept.agg({"id": "max"}).first()[0] == 96
+        rows = staging.put(df, "rows")
+        assert rows.count() == 100 and rows.agg({"id": "max"}).first()[0] == 96
         assert seen.value == 100
-    from strata.staging import path_exists
-
     assert not path_exists(spark, staging.root)
 
 
+def test_new_rows_are_counted_by_key(spark, setting):
+    """Whole rows do not take part in the shuffle that counts them."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("long text").alias("v"))
+    plan = incremental.new_row_stats(df, df.select("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and plan.count("hashpartitioning") == 2
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 

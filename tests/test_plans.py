@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import gate, views
 from strata.operators.clean import clean_plays
-from strata.plans import backfill, play, song
+from strata.plans import backfill, load, play, song
 from strata.sources import files, tables
 from strata.staging import shared_dir
 from workload import fixtures as fx
@@ -15,6 +15,13 @@ from workload.queries import catalogue_fetch
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(params=["few keys", "many keys"])
+def key_paths(request, monkeypatch):
+    """Loads give the same result whether the stored keys are broadcast or shuffled."""
+    if request.param == "many keys":
+        monkeypatch.setattr(load, "BROADCAST_KEYS", -1)
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     files.write_parquet(fx.raw_songs(spark, SF), str(tmp_path / "song/raw"))
@@ -42,7 +49,7 @@ def staged_folders(spark):
     return os.listdir(root) if os.path.isdir(root) else []
 
 
-def test_songs_end_to_end(spark, lake):
+def test_songs_end_to_end(spark, lake, key_paths):
     stats = gold_songs(spark, lake)
     assert (stats.n_null, stats.n_rows) == (10, 200)
     songs, artists = song_tables(lake)
@@ -84,7 +91,7 @@ def test_failing_gate_appends_nothing(spark, lake):
     assert staged_folders(spark) == before
 
 
-def test_plays_end_to_end(spark, lake):
+def test_plays_end_to_end(spark, lake, key_paths):
     table = tables.ParquetTable(str(lake / "gold_play"), schemas.GOLD_PLAY_DDL)
     args = (spark, str(lake / "play/raw"), str(lake / "play/gold"), table)
     stats = play.load_plays(*args, uri_prefix="any_")
@@ -100,7 +107,7 @@ def test_plays_end_to_end(spark, lake):
     assert table.read(spark).count() == 950
 
 
-def test_dedupe_key_decides_about_repeat_plays(spark, lake):
+def test_dedupe_key_decides_about_repeat_plays(spark, lake, key_paths):
     table = tables.ParquetTable(str(lake / "gold_play"), schemas.GOLD_PLAY_DDL)
     raw = spark.read.parquet(str(lake / "play/raw"))
     aside = gate.GatePolicy(on_exceed="quarantine")

@@ -76,14 +76,14 @@ def test_fractional_codes_have_no_name(both_modes):
 
 
 def test_days(both_modes):
-    given = ["1998-05-06", "1998", "1998-05", "1998-5-6", "1998-02-31", "", None, "x"]
-    want = [datetime.date(1998, 5, 6)] + [None] * 7
+    given = ["1998-05-06", "1998", "1998-05", "1998-5-6", "1998-02-31", "", None, "x", " 1998-05-06", "1998-05-06\n", "0000-01-01"]
+    want = [datetime.date(1998, 5, 6)] + [None] * 10
     assert values(both_modes, temporal.to_day, given) == want
 
 
 def test_wall_clock(both_modes):
-    given = ["2024-03-31T02:30:00Z", "2024-03-31 02:30:00", "2024-02-30T00:00:00Z", "2024-03-31T02:30:00", "", None]
-    want = [datetime.datetime(2024, 3, 31, 2, 30)] + [None] * 5
+    given = ["2024-03-31T02:30:00Z", "2024-03-31 02:30:00", "2024-02-30T00:00:00Z", "2024-03-31T02:30:00", "", None, "2024-03-31T02:30:00Z\n"]
+    want = [datetime.datetime(2024, 3, 31, 2, 30)] + [None] * 6
     assert values(both_modes, temporal.to_wall_clock, given) == want
 
 
