@@ -32,7 +32,7 @@ def lookup(
 
     ``fetch`` takes up to ``batch_size`` keys and returns their records, dicts or None, in the same order; a reply of
     another length is matched by the records' ``id``. An error with ``http_status`` 429 waits as its ``Retry-After``
-    header says, or backs off exponentially, and tries again; another ``http_status`` gives up on the batch at once;
+    header says in seconds, or backs off exponentially, and tries again; another ``http_status`` gives up on the batch at once;
     any other error backs off and tries again. Status is ``found``, ``absent`` (no record), ``refused`` (given up at
     once) or ``failed`` (attempts used up). No key is lost: each one comes back with its status.
 
@@ -59,8 +59,9 @@ def lookup(
                     if status is not None and status != 429:
                         return "refused", attempt + 1, []
                     wait = base_delay * 2**attempt
-                    if status == 429:
-                        wait = float((getattr(e, "headers", None) or {}).get("Retry-After", wait))
+                    told = (getattr(e, "headers", None) or {}).get("Retry-After") if status == 429 else None
+                    if str(told).isdigit():
+                        wait = int(told)
                     if attempt + 1 < attempts:
                         time.sleep(wait)
                 else:
@@ -91,7 +92,8 @@ def lookup(
         if waiting:
             yield answer(waiting)
 
-    return keys.select(key).repartition(concurrency, key).mapInPandas(run, LOOKUP_SCHEMA)
+    wanted = keys.select(key).filter(F.col(key).isNotNull())
+    return wanted.repartition(concurrency, key).mapInPandas(run, LOOKUP_SCHEMA)
 
 
 def parsed(found: DataFrame, schema: T.StructType) -> DataFrame:

@@ -27,6 +27,22 @@ DIFFER_IN_RECORD = "expect_select_column_values_to_be_unique_within_record"
 MAX_BETWEEN = "expect_column_max_to_be_between"
 LENGTHS = "expect_column_value_lengths_to_be_between"
 
+# What each rule understands; anything else in a suite would change its meaning and is refused.
+RULE_KWARGS = {
+    ORDERED_COLUMNS: {"column_list"},
+    NOT_NULL: {"column"},
+    OF_TYPE: {"column", "type_"},
+    BETWEEN: {"column", "min_value", "max_value"},
+    IN_SET: {"column", "value_set"},
+    UNIQUE: {"column"},
+    COMPOUND_UNIQUE: {"column_list"},
+    DIFFER_IN_RECORD: {"column_list"},
+    MAX_BETWEEN: {"column", "min_value", "max_value"},
+    LENGTHS: {"column", "min_value", "max_value"},
+}
+# Results are always complete, so the requested result format makes no difference.
+IGNORED_KWARGS = {"result_format"}
+
 TYPE_FAMILIES = {
     "int": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
     "float": (T.FloatType, T.DoubleType),
@@ -48,6 +64,13 @@ class Rule:
     kwargs: dict
     meta: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.type not in RULE_KWARGS:
+            raise ValueError(f"unknown rule {self.type!r}")
+        odd = set(self.kwargs) - RULE_KWARGS[self.type] - IGNORED_KWARGS
+        if odd:
+            raise ValueError(f"{self.type} does not take {sorted(odd)}")
+
     @property
     def columns(self) -> list[str]:
         if "column" in self.kwargs:
@@ -200,8 +223,6 @@ def validate(df: DataFrame, suite: Suite, parameters: dict | None = None) -> Dat
             lines.append(_line(no, rule, F.coalesce(fits & seen.isNotNull(), F.lit(False)), seen=seen))
         else:
             bad = _unexpected(rule, df)
-            if bad is None:
-                raise ValueError(f"unknown rule {rule.type!r}")
             gap = f"missing_{','.join(rule.columns)}"
             aggs[gap] = F.count_if(_missing(rule))
             aggs[f"bad_{no}"] = F.count_if(bad)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -17,14 +15,12 @@ SMALL_BUCKET_ROWS = 10_000
 MAX_PARTITIONS = 20_000
 
 
-def shuffle_key(df: DataFrame, seed: int = 0, unique: Sequence[str] | None = None) -> DataFrame:
-    """Add the hash that orders rows at random.
+def shuffle_key(df: DataFrame, seed: int = 0) -> DataFrame:
+    """Add the hash that orders rows at random. Stage the result before using it twice.
 
-    With ``unique`` columns the order depends on the data alone. Without them rows are numbered as they are read, so
-    that copies of one row spread as well; then stage the result before using it twice.
+    It is a hash of the row's number as it is read, not of its values, so that copies of one row spread as well.
     """
-    ids = [F.col(c) for c in unique] if unique else [F.monotonically_increasing_id()]
-    return df.withColumn(ORDER, F.xxhash64(F.lit(seed), *ids))
+    return df.withColumn(ORDER, F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
 
 
 def n_tasks(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:

@@ -87,6 +87,17 @@ def test_null_records_and_short_replies(spark):
     assert {r["key"]: r["status"] for r in got} == {"k0": "absent", "k1": "absent", "k2": "found", "k3": "absent"}
 
 
+def test_odd_retry_after_falls_back(spark):
+    got = run(spark, 1, failing(429, times=1, retry_after="Wed, 21 Oct 2015 07:28:00 GMT"))
+    assert got[0]["status"] == "found"
+
+
+def test_null_keys_are_not_asked_for(spark):
+    df = spark.createDataFrame([("a",), (None,)], "id string")
+    got = enrich.lookup(df, "id", simple(), pause=(0, 0)).collect()
+    assert [r["key"] for r in got] == ["a"]
+
+
 def test_empty_input(spark):
     assert run(spark, 0, simple()) == []
 

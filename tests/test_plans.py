@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators import gate, views
-from strata.operators.clean import clean_plays
+from strata.operators.clean import clean_plays, clean_songs
 from strata.plans import backfill, load, play, song
 from strata.sources import files, tables
 from strata.staging import shared_dir
@@ -189,3 +189,10 @@ def test_empty_artist_list_has_no_primary_artist(spark):
     row = spark.sql("select 'x' as id, array() as artist_ids")
     full = df.drop("id", "artist_ids").unionByName(row, allowMissingColumns=True)
     assert views.track_view(full).first()["primary_artist_id"] is None
+
+
+@pytest.mark.parametrize("parts", [1, 3, 13])
+def test_cleaning_is_stable_under_repartitioning(spark, lake, parts):
+    raw = spark.read.parquet(str(lake / "song/raw"))
+    moved = clean_songs(raw.repartition(parts, "album_id"))
+    assert sorted(map(str, moved.collect())) == sorted(map(str, clean_songs(raw).collect()))

@@ -101,9 +101,11 @@ def test_empty_input(spark, numbers):
     assert all(r["success"] and r["element_count"] == 0 for r in result(spark, numbers.limit(0), suite))
 
 
-def test_unknown_rule(spark, numbers):
+def test_unknown_rules_and_options_are_refused():
     with pytest.raises(ValueError, match="unknown rule"):
-        q.validate(numbers, q.Suite("s").expect("expect_magic", column="n"))
+        q.Suite("s").expect("expect_magic", column="n")
+    with pytest.raises(ValueError, match="mostly"):
+        q.Suite("s").expect(q.NOT_NULL, column="n", mostly=0.9)
 
 
 def test_flagged_rows_are_whole_and_complete(spark, numbers):

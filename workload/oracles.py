@@ -384,6 +384,7 @@ def all_oracles() -> dict[str, str]:
         "track_flatten": TRACKS,
         "track_popularity": "SELECT concat('trk', p_partkey) AS id, cast(p_size * 2 AS int) AS popularity FROM part "
         "WHERE p_size <> 7",
+        "distinct_keys": "SELECT DISTINCT id FROM plays WHERE id IS NOT NULL",
         "lookup_status": "SELECT id AS key, CASE WHEN n % 11 = 0 THEN 'absent' ELSE 'found' END AS status, "
         "cast(1 AS int) AS attempts FROM wanted",
         "backfill_rows": "SELECT * FROM backfilled",
@@ -406,6 +407,7 @@ def all_oracles() -> dict[str, str]:
         "play_load": f"SELECT {play_columns} FROM loaded_plays",
         "play_gold_layer": f"SELECT {play_columns} FROM plays",
     }
+    bodies["play_stream_load"] = bodies["play_load"]
     bodies["catalog_user_view"] = bodies["user_view"]
     bodies["catalog_track_view"] = bodies["track_view"].replace("gated_song", "silver")
     bodies["catalog_artist_view"] = bodies["artist_view"].replace("gated_artist", "artist")

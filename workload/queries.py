@@ -1,4 +1,7 @@
-"""One registered query per operator. Each takes (spark, sf_dir), reads whole tables and returns a DataFrame."""
+"""One registered query per operator. Each takes (spark, sf_dir), reads whole tables and returns a DataFrame.
+
+Queries on files and jobs write to new folders in the shared scratch space, which stay for the result to be read from.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +16,7 @@ from strata.operators import clean, enrich, gate, incremental, nested, quality,
 from strata.plans import backfill, play, prepare, song
 from strata.sources import files, tables, zones
 from strata.staging import shared_dir
+from strata.streaming.plays import stream_plays
 from workload import fixtures as fx
 
 MAX_YEAR = 2025
@@ -306,6 +310,10 @@ def track_popularity(spark, d):
 # --- batched lookups ---
 
 
+def distinct_keys(spark, d):
+    return enrich.distinct_keys(plays(spark, d), "id")
+
+
 def catalogue_fetch():
     """A lookup function that derives the record from the key; every eleventh key has none."""
 
@@ -365,8 +373,10 @@ def popularity_rows(spark, d):
 def split_chunk_sizes(spark, d):
     """What must hold of a random split: all rows, each once, sizes in range, chunks numbered without gaps."""
     lines = fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    low, high, n = 1_000, 5_000, lines.count()
-    ordered = split.shuffle_key(lines, seed=7, unique=["l_orderkey", "l_linenumber", "l_partkey"])
+    out = _folder(spark, "ordered")
+    files.write_parquet(split.shuffle_key(lines, seed=7), out)
+    ordered = spark.read.parquet(out)
+    low, high, n = 1_000, 5_000, ordered.count()
     chunks = split.split_chunks(ordered, n, low, high, seed=7, bucket_rows=10_000)
     sizes = chunks.groupBy(split.CHUNK).agg(
         F.count(F.lit(1)).alias("size"), F.min(split.POSITION).alias("lo"), F.max(split.POSITION).alias("hi")
@@ -490,6 +500,16 @@ def play_gold_layer(spark, d):
     return files.read_layer(spark, f"{root}/gold", "gold_play")
 
 
+def play_stream_load(spark, d):
+    """The play load as a stream over the raw zone, run until it has seen every file."""
+    root = _folder(spark, "stream")
+    files.write_parquet(fx.raw_plays(spark, d).drop("event_id"), f"{root}/raw")
+    table = tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
+    table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna())
+    stream_plays(spark, f"{root}/raw", f"{root}/gold", table, f"{root}/checkpoint").awaitTermination()
+    return table.read(spark)
+
+
 def _catalog_views(spark, d):
     """Gold tables in the catalog, filled and reported on."""
     root, tag = _folder(spark, "catalog"), f"_{uuid.uuid4().hex}"
@@ -528,9 +548,9 @@ def all_queries() -> dict:
         play_incremental, play_incremental_by_time, missing_ids, missing_ids_resolvable, fk_violations,
         user_view, track_view, artist_view, dq_song_suite, dq_play_suite, dq_flagged_rows, dq_unique_violations,
         dq_within_record, dq_max_between, dq_lengths, dq_primary_key, json_flatten, union_missing_columns,
-        track_flatten, track_popularity, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
+        track_flatten, track_popularity, distinct_keys, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
         split_chunk_sizes, split_csv_files, csv_parquet_roundtrip, ingest_without_personal_data,
-        archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer,
+        archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
     ]
     return {f.__name__: f for f in chosen}
