@@ -18,20 +18,3 @@ def to_day(c: Column) -> Column:
 def to_wall_clock(c: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ssZ`` to a zone-less timestamp with the same digits, whatever the session zone."""
     return F.when(c.rlike(INSTANT_PATTERN), F.substring(c, 1, 19)).try_cast("timestamp_ntz")
-
-
-def day(ts: Column) -> Column:
-    return F.to_date(ts)
-
-
-def hour(ts: Column) -> Column:
-    return F.hour(ts)
-
-
-def month(ts: Column) -> Column:
-    return F.month(ts)
-
-
-def weekday(ts: Column) -> Column:
-    """Abbreviated English weekday, such as Mon."""
-    return F.date_format(ts, "E")

@@ -22,8 +22,9 @@ def load_plays(
     policy: GatePolicy = GatePolicy(),
     uri_prefix: str = "",
     salts: int | None = 1,
+    rejects: str | None = None,
 ) -> NullStats:
-    """Clean raw plays to ``gold`` and append the new ones to the warehouse.
+    """Clean raw plays to ``gold`` and append the new ones to the warehouse; ``rejects`` receives the rows gated out.
 
     ``gold`` receives all cleaned rows; only the append is deduplicated and gated. By default any play of a track
     that is already stored is skipped; ``keys=("ts", "id")`` skips only the same play.
@@ -34,5 +35,7 @@ def load_plays(
     plays = read_layer(spark, gold, "gold_play")
     with Staging(spark) as staging:
         new = gated_new_rows(plays, play_table, keys, staging, "play_keys", policy, salts=salts)
+        if rejects:
+            write_parquet(new.rejected, rejects)
         play_table.append(new.kept)
     return new.stats

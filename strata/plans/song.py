@@ -44,8 +44,9 @@ def load_songs(
     artist_keys: Sequence[str] = ("id",),
     policy: GatePolicy = GatePolicy(),
     salts: int | None = 1,
+    rejects: str | None = None,
 ) -> SongLoad:
-    """Append new gold songs and their artists to the warehouse.
+    """Append new gold songs and their artists to the warehouse; ``rejects`` is a folder for the rows gated out.
 
     Both gates decide before anything is appended; songs are appended first. If a run ends between the two, repeat it
     with ``artist_keys=("id", "artist_id")``, which also fills in songs of which only some artists were stored.
@@ -59,6 +60,9 @@ def load_songs(
             songs, song_table, ["id"], staging, "song_keys", policy, without(songs, "release_date"), salts
         )
         new_artists = gated_new_rows(artists, artist_table, artist_keys, staging, "artist_keys", policy, salts=salts)
+        if rejects:
+            write_parquet(new_songs.rejected, f"{rejects}/songs")
+            write_parquet(new_artists.rejected, f"{rejects}/artists")
         song_table.append(new_songs.kept)
         artist_table.append(new_artists.kept)
     return SongLoad(new_songs.stats, new_artists.stats)

@@ -59,7 +59,8 @@ class ParquetTable:
 @dataclass(frozen=True)
 class JdbcTable:
     """A table in a database. ``parallel`` holds the bounds of a parallel read: ``partitionColumn``, ``lowerBound``,
-    ``upperBound`` and ``numPartitions``; without them one task reads everything.
+    ``upperBound`` and ``numPartitions``; without them one task reads everything. Each task appends in a transaction of
+    its own, so a repeated task can add rows twice unless the table has a key.
     """
 
     url: str

@@ -58,39 +58,54 @@ def read_zone(spark: SparkSession, zone: str) -> DataFrame:
 
 
 class ArchiveIncomplete(RuntimeError):
-    """The archive copy holds other rows than the source; the source was left as it is."""
+    """The archive does not hold what the source does; the source was left as it is."""
 
 
 def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str, rename: bool = False) -> int:
-    """Move the files of ``latest`` to ``archive/run_id=...`` and return the number of rows moved.
+    """Move the files of ``latest`` to ``archive/run_id=...`` and return the number of rows there.
 
-    The files are listed once. After the copy is written and its row count, from the Parquet footers, agrees, exactly
-    the listed files are deleted, so a file that arrives meanwhile stays. A repeated run replaces its own copy.
+    The files are listed once. After the copy is written and its row count, from the Parquet footers, agrees, the list
+    is stored with the copy, and exactly the listed files are deleted: a file that arrives meanwhile stays. A run that
+    broke off is repeated under its own ``run_id``. Without a stored list nothing was deleted yet and the copy is made
+    anew; with one, only the deletions are finished.
 
     ``rename`` moves the folder as a whole instead, where the file system does that in one step and without copying.
     """
     if not path_exists(spark, latest):
         return 0
     refuse_overlap(spark, latest, archive)
-    listed = data_files(spark, latest)
-    if not listed:
-        return 0
-    source = spark.read.option("basePath", latest).parquet(*listed)
     target = f"{archive}/run_id={run_id}"
-    if rename:
-        fs, p = file_system(spark, latest)
-        make_folder(spark, archive)
-        if not fs.rename(p, file_system(spark, target)[1]):
-            raise ArchiveIncomplete(f"{latest} could not be renamed to {target}")
-        make_folder(spark, latest)
-        return spark.read.parquet(target).count()
+    moved = f"{target}/_moved"
+    if not path_exists(spark, moved):
+        listed = data_files(spark, latest)
+        if not listed:
+            return 0
+        if rename:
+            return _rename_zone(spark, latest, archive, target)
+        _copy_files(spark, latest, listed, target)
+        spark.createDataFrame([(f,) for f in listed], "path string").coalesce(1).write.text(moved)
+    for row in spark.read.text(moved).toLocalIterator():
+        delete_path(spark, row["value"])
+    return spark.read.parquet(target).count()
+
+
+def _copy_files(spark: SparkSession, base: str, listed: list[str], target: str) -> None:
+    source = spark.read.option("basePath", base).parquet(*listed)
     source.write.mode("overwrite").parquet(target)
     n_source, n_copy = source.count(), spark.read.parquet(target).count()
     if n_source != n_copy:
-        raise ArchiveIncomplete(f"{n_source} rows in {latest}, {n_copy} in {target}")
-    for path in listed:
-        delete_path(spark, path)
-    return n_copy
+        raise ArchiveIncomplete(f"{n_source} rows in {base}, {n_copy} in {target}")
+
+
+def _rename_zone(spark: SparkSession, latest: str, archive: str, target: str) -> int:
+    if path_exists(spark, target):
+        raise ArchiveIncomplete(f"{target} exists already")
+    make_folder(spark, archive)
+    fs, p = file_system(spark, latest)
+    if not fs.rename(p, file_system(spark, target)[1]):
+        raise ArchiveIncomplete(f"{latest} could not be renamed to {target}")
+    make_folder(spark, latest)
+    return spark.read.parquet(target).count()
 
 
 def data_files(spark: SparkSession, folder: str) -> list[str]:

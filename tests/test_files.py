@@ -132,6 +132,51 @@ def test_archive_leaves_files_that_arrive_meanwhile(spark, tmp_path, monkeypatch
     assert sorted(r["id"] for r in spark.read.parquet(latest).collect()) == list(range(100, 105))
 
 
+def test_archive_that_broke_off_can_be_repeated(spark, tmp_path, monkeypatch):
+    latest, archive = str(tmp_path / "latest"), str(tmp_path / "archive")
+    spark.range(0, 30, 1, 3).write.parquet(latest)
+    really_delete, deleted = zones.delete_path, []
+
+    def delete_one(s, path):
+        if deleted:
+            raise OSError("lost")
+        deleted.append(path)
+        return really_delete(s, path)
+
+    monkeypatch.setattr(zones, "delete_path", delete_one)
+    with pytest.raises(OSError):
+        zones.archive_zone(spark, latest, archive, "r")
+    monkeypatch.setattr(zones, "delete_path", really_delete)
+    assert len(zones.data_files(spark, latest)) == 2
+    spark.range(100, 105).coalesce(1).write.mode("append").parquet(latest)
+    assert zones.archive_zone(spark, latest, archive, "r") == 30
+    assert sorted(r["id"] for r in zones.read_zone(spark, archive).collect()) == list(range(30))
+    assert sorted(r["id"] for r in spark.read.parquet(latest).collect()) == list(range(100, 105))
+    # The next run takes what came later.
+    assert zones.archive_zone(spark, latest, archive, "r2") == 5
+    assert zones.read_zone(spark, archive).count() == 35
+
+
+def test_archive_copy_that_broke_off_is_made_anew(spark, tmp_path, monkeypatch):
+    latest, archive = str(tmp_path / "latest"), str(tmp_path / "archive")
+    spark.range(0, 30, 1, 3).write.parquet(latest)
+    # Half a copy from an earlier attempt.
+    spark.range(0, 10).write.parquet(f"{archive}/run_id=r")
+    assert zones.archive_zone(spark, latest, archive, "r") == 30
+    assert zones.read_zone(spark, archive).count() == 30 and zones.data_files(spark, latest) == []
+
+
+def test_rename_never_lands_in_an_older_run(spark, tmp_path):
+    latest, archive = str(tmp_path / "latest"), str(tmp_path / "archive")
+    for run in range(2):
+        spark.range(5).write.mode("append").parquet(latest)
+        if run == 0:
+            assert zones.archive_zone(spark, latest, archive, "r", rename=True) == 5
+    with pytest.raises(zones.ArchiveIncomplete):
+        zones.archive_zone(spark, latest, archive, "r", rename=True)
+    assert spark.read.parquet(latest).count() == 5
+
+
 def test_archive_of_partitioned_zone_keeps_the_partition_column(spark, tmp_path):
     latest, archive = str(tmp_path / "latest"), str(tmp_path / "archive")
     spark.sql("select 1 as id, 'f' as source_file").write.partitionBy("source_file").parquet(latest)

@@ -54,10 +54,12 @@ def test_songs_end_to_end(spark, lake, key_paths):
     assert (stats.n_null, stats.n_rows) == (10, 200)
     songs, artists = song_tables(lake)
     before = staged_folders(spark)
-    first = song.load_songs(spark, str(lake / "song/gold"), songs, artists)
+    first = song.load_songs(spark, str(lake / "song/gold"), songs, artists, rejects=str(lake / "rejects"))
     n_songs, n_artists = songs.read(spark).count(), artists.read(spark).count()
     assert n_songs == 152 == first.songs.n_rows
     assert n_artists == first.artists.n_rows - first.artists.n_null
+    assert spark.read.parquet(str(lake / "rejects/artists")).count() == first.artists.n_null > 0
+    assert spark.read.parquet(str(lake / "rejects/songs")).count() == 0
     # A second run adds nothing.
     second = song.load_songs(spark, str(lake / "song/gold"), songs, artists)
     assert (second.songs.n_rows, second.artists.n_rows) == (0, 0)
@@ -103,8 +105,10 @@ def test_plays_end_to_end(spark, lake, key_paths):
     with pytest.raises(gate.NullRateExceeded):
         play.load_plays(*args, uri_prefix="any_")
     # ... unless those are set aside. Nothing is added either way.
-    play.load_plays(*args, uri_prefix="any_", policy=gate.GatePolicy(on_exceed="quarantine"))
+    aside = str(lake / "rejects")
+    play.load_plays(*args, uri_prefix="any_", policy=gate.GatePolicy(on_exceed="quarantine"), rejects=aside)
     assert table.read(spark).count() == 950
+    assert spark.read.parquet(aside).filter("id is null").count() == 50
 
 
 def test_dedupe_key_decides_about_repeat_plays(spark, lake, key_paths):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions import numeric, temporal, text
-from strata.operators import clean
+from strata.operators import clean, views
 
 
 def values(spark, rule, given, kind="string"):
@@ -92,13 +92,17 @@ def test_wall_clock_ignores_the_session_zone(spark, setting):
     # This local time does not exist in that zone.
     df = spark.createDataFrame([("2024-03-31T02:30:00Z",)], "x string")
     ts = temporal.to_wall_clock(F.col("x"))
-    row = df.select(ts.cast("string").alias("t"), temporal.hour(ts).alias("h")).first()
+    row = df.select(ts.cast("string").alias("t"), F.hour(ts).alias("h")).first()
     assert (row["t"], row["h"]) == ("2024-03-31 02:30:00", 2)
 
 
-def test_weekday(spark):
-    ts = datetime.datetime(2024, 1, 1, 23, 0)
-    assert values(spark, temporal.weekday, [ts], "timestamp_ntz") == ["Mon"]
+def test_parts_of_a_play_time(spark):
+    play = [("t", datetime.datetime(2024, 1, 1, 23, 59))]
+    df = spark.createDataFrame([], schemas.gold_play_schema()).drop("id", "ts")
+    rows = spark.createDataFrame(play, "id string, ts timestamp_ntz").unionByName(df, allowMissingColumns=True)
+    r = views.user_view(rows).first()
+    parts = (str(r["activity_date"]), r["hour_of_day"], r["day_of_week"], r["month_of_year"])
+    assert parts == ("2024-01-01", 23, "Mon", 1)
 
 
 def test_platform(both_modes):
