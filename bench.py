@@ -153,7 +153,8 @@ class Jobs:
 
     def stepwise_missing_ids(self):
         # All ids through the driver.
-        ids = [r[0] for r in incremental.missing_keys(q.plays(self.spark, self.d), q.silver(self.spark, self.d)).collect()]
+        found = incremental.missing_keys(q.plays(self.spark, self.d), q.silver(self.spark, self.d))
+        ids = [r["id"] for r in found.collect()]
         self.spark.createDataFrame([(i,) for i in ids], "id string").agg(F.count("id")).collect()
 
 

@@ -32,8 +32,8 @@ def lookup(
 
     ``fetch`` takes up to ``batch_size`` keys and returns their records, dicts or None, in the same order; a reply of
     another length is matched by the records' ``id``. An error with ``http_status`` 429 waits as its ``Retry-After``
-    header says in seconds, or backs off exponentially, and tries again; another ``http_status`` gives up on the batch at once;
-    any other error backs off and tries again. Status is ``found``, ``absent`` (no record), ``refused`` (given up at
+    header says in seconds, or backs off exponentially, and tries again; another ``http_status`` gives up on the batch
+    at once; any other error backs off and tries again. Status is ``found``, ``absent`` (no record), ``refused`` (given up at
     once) or ``failed`` (attempts used up). No key is lost: each one comes back with its status.
 
     ``concurrency`` is the number of partitions, so the most batches under way at a time; the service sets its limit.

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.schemas import quoted
+
 
 class NullRateExceeded(RuntimeError):
     """Too many rows hold a NULL for them to be dropped silently."""
@@ -68,15 +69,15 @@ class GateResult:
 def any_null(cols: str | Sequence[str]) -> Column:
     """True when one of the columns is NULL. NaN is a value here."""
     names = [cols] if isinstance(cols, str) else list(cols)
-    return reduce(lambda a, b: a | b, [F.col(f"`{n}`").isNull() for n in names], F.lit(False))
+    return F.expr(" OR ".join(f"{quoted(n)} IS NULL" for n in names))
 
 
 def incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     """True when one of the columns is NULL or NaN: the rows that ``dropna`` removes."""
     floating = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
     names = list(cols or df.columns)
-    tests = [F.col(f"`{n}`").isNull() | (F.isnan(f"`{n}`") if n in floating else F.lit(False)) for n in names]
-    return reduce(lambda a, b: a | b, tests)
+    tests = [f"{quoted(n)} IS NULL" for n in names] + [f"isnan({quoted(n)})" for n in names if n in floating]
+    return F.expr(" OR ".join(tests))
 
 
 def with_rate(counted: DataFrame) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schemas
 from strata.functions.numeric import MODES, PITCHES
 from strata.operators.incremental import keep_existing
+from strata.schemas import quoted
 
 # Rule names of the stored suite format.
 ORDERED_COLUMNS = "expect_table_columns_to_match_ordered_list"
@@ -122,60 +124,65 @@ class Suite:
             return Suite.from_json(f.read())
 
 
-# --- row rules: which rows count as missing, and which as unexpected ---
+# --- rules as SQL conditions, so that a suite of any size becomes one short expression tree ---
 
 
-def _missing(rule: Rule) -> Column | None:
-    if rule.type == DIFFER_IN_RECORD:
-        return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in rule.columns])
-    return F.col(rule.columns[0]).isNull()
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).upper()
+    if isinstance(v, float):
+        return f"double('{v}')"
+    if isinstance(v, datetime.datetime):
+        return f"timestamp_ntz'{v.isoformat(sep=' ')}'"
+    if isinstance(v, datetime.date):
+        return f"date'{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(v)
+
 
+def _missing(rule: Rule) -> str:
+    return " AND ".join(f"{quoted(c)} IS NULL" for c in rule.columns)
 
-def _outside(value: Column, low, high) -> Column:
-    below = value < F.lit(low) if low is not None else F.lit(False)
-    above = value > F.lit(high) if high is not None else F.lit(False)
-    return below | above
 
+def _outside(value: str, rule: Rule) -> str:
+    low, high = rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
+    bounds = [f"{value} < {_literal(low)}"] if low is not None else []
+    bounds += [f"{value} > {_literal(high)}"] if high is not None else []
+    return f"({' OR '.join(bounds) or 'FALSE'})"
 
-def _unexpected(rule: Rule, df: DataFrame) -> Column | None:
+
+def _unexpected(rule: Rule, df: DataFrame) -> str | None:
     """True on unexpected rows, False or NULL on the others; None for a rule that does not look at single rows."""
-    k = rule.kwargs
-    if rule.type == NOT_NULL:
-        return F.col(k["column"]).isNull()
-    if rule.type == BETWEEN:
-        return _outside(F.col(k["column"]), k.get("min_value"), k.get("max_value"))
-    if rule.type == IN_SET:
-        return ~F.col(k["column"]).isin(k["value_set"])
-    if rule.type == LENGTHS:
-        c, low, high = F.col(k["column"]), k.get("min_value"), k.get("max_value")
-        if isinstance(df.schema[k["column"]].dataType, T.ArrayType):
-            return F.exists(c, lambda x: _outside(F.length(x), low, high))
-        return _outside(F.length(c), low, high)
     if rule.type == DIFFER_IN_RECORD:
-        texts = F.array(*[F.col(c).cast("string") for c in rule.columns])
-        return (F.size(F.array_distinct(texts)) < len(rule.columns)) & ~_missing(rule)
+        texts = ", ".join(f"CAST({quoted(c)} AS STRING)" for c in rule.columns)
+        return f"size(array_distinct(array({texts}))) < {len(rule.columns)} AND NOT ({_missing(rule)})"
+    if rule.type in (NOT_NULL, BETWEEN, IN_SET, LENGTHS):
+        column = rule.columns[0]
+        if rule.type == NOT_NULL:
+            return _missing(rule)
+        if rule.type == BETWEEN:
+            return _outside(quoted(column), rule)
+        if rule.type == IN_SET:
+            return f"{quoted(column)} NOT IN ({', '.join(map(_literal, rule.kwargs['value_set']))})"
+        if isinstance(df.schema[column].dataType, T.ArrayType):
+            return f"exists({quoted(column)}, x -> {_outside('length(x)', rule)})"
+        return _outside(f"length({quoted(column)})", rule)
     return None
 
 
-def _percent(unexpected: Column, of: Column) -> Column:
-    return F.when(of > 0, unexpected * 100.0 / of).otherwise(F.lit(0.0))
-
-
-def _line(no: int, rule: Rule, success, elements=None, missing=None, unexpected=None, percent=None, seen=None):
-    def count(c):
-        return (F.lit(None) if c is None else c).cast("bigint")
-
-    return [
-        F.lit(no).alias("rule_no"),
-        F.lit(rule.type).alias("expectation"),
-        F.lit(",".join(rule.columns)).alias("column_name"),
-        success.alias("success"),
-        count(elements).alias("element_count"),
-        count(missing).alias("missing_count"),
-        count(unexpected).alias("unexpected_count"),
-        (F.lit(None) if percent is None else percent).cast("double").alias("unexpected_percent"),
-        (F.lit(None) if seen is None else seen).cast("string").alias("observed"),
-    ]
+def _line(no: int, rule: Rule, success, counts=("NULL", "NULL", "NULL"), base="NULL", seen="NULL") -> str:
+    """One result row as a struct, from SQL over the aggregated counts."""
+    elements, missing, unexpected = counts
+    percent = "NULL" if base == "NULL" else f"CASE WHEN {base} > 0 THEN {unexpected} * 100.0D / ({base}) ELSE 0.0D END"
+    values = [
+        str(no), _literal(rule.type), _literal(",".join(rule.columns)), success, f"CAST({elements} AS BIGINT)",
+        f"CAST({missing} AS BIGINT)", f"CAST({unexpected} AS BIGINT)", f"CAST({percent} AS DOUBLE)",
+        f"CAST({seen} AS STRING)",
+    ]
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(RESULT_COLUMNS, values)) + ")"
 
 
 def _absent(rule: Rule, df: DataFrame) -> list[str]:
@@ -184,15 +191,14 @@ def _absent(rule: Rule, df: DataFrame) -> list[str]:
 
 def _uniqueness(df: DataFrame, no: int, rule: Rule) -> DataFrame:
     """Every member of a duplicate group is unexpected; rows without any of the values are missing."""
-    none = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in rule.columns])
     sizes = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("__n"))
+    none = _missing(rule)
     total = sizes.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(none, F.col("__n"))), F.lit(0)).alias("m"),
-        F.coalesce(F.sum(F.when(~none & (F.col("__n") > 1), F.col("__n"))), F.lit(0)).alias("u"),
+        F.expr("coalesce(sum(__n), 0) AS n"),
+        F.expr(f"coalesce(sum(__n) FILTER (WHERE {none}), 0) AS m"),
+        F.expr(f"coalesce(sum(__n) FILTER (WHERE __n > 1 AND NOT ({none})), 0) AS u"),
     )
-    n, m, u = F.col("n"), F.col("m"), F.col("u")
-    return total.select(_line(no, rule, u == 0, n, m, u, _percent(u, n - m)))
+    return total.selectExpr(f"inline(array({_line(no, rule, 'u = 0', ('n', 'm', 'u'), 'n - m')}))")
 
 
 def validate(df: DataFrame, suite: Suite, parameters: dict | None = None) -> DataFrame:
@@ -202,37 +208,34 @@ def validate(df: DataFrame, suite: Suite, parameters: dict | None = None) -> Dat
     count. The table is never collected.
     """
     suite = suite.bind(parameters or {})
-    aggs: dict[str, Column] = {"n": F.count(F.lit(1))}
+    aggs = {"count(1)": "n"}
     lines, grouped = [], []
     for no, rule in enumerate(suite.rules, start=1):
         if rule.type == ORDERED_COLUMNS:
-            lines.append(_line(no, rule, F.lit(df.columns == rule.columns), seen=F.lit(",".join(df.columns))))
+            seen = _literal(",".join(df.columns))
+            lines.append(_line(no, rule, _literal(df.columns == rule.columns), seen=seen))
         elif _absent(rule, df):
-            lines.append(_line(no, rule, F.lit(False), seen=F.lit(f"no column {','.join(_absent(rule, df))}")))
+            seen = _literal(f"no column {','.join(_absent(rule, df))}")
+            lines.append(_line(no, rule, "FALSE", seen=seen))
         elif rule.type == OF_TYPE:
             kind = df.schema[rule.columns[0]].dataType
             fits = isinstance(kind, TYPE_FAMILIES[rule.kwargs["type_"]])
-            lines.append(_line(no, rule, F.lit(fits), seen=F.lit(kind.simpleString())))
+            lines.append(_line(no, rule, _literal(fits), seen=_literal(kind.simpleString())))
         elif rule.type in (UNIQUE, COMPOUND_UNIQUE):
             grouped.append(_uniqueness(df, no, rule))
         elif rule.type == MAX_BETWEEN:
-            top = f"max_{rule.columns[0]}"
-            aggs[top] = F.max(F.col(rule.columns[0]))
-            seen = F.col(top)
-            fits = ~_outside(seen, rule.kwargs.get("min_value"), rule.kwargs.get("max_value"))
-            lines.append(_line(no, rule, F.coalesce(fits & seen.isNotNull(), F.lit(False)), seen=seen))
+            top = aggs.setdefault(f"max({quoted(rule.columns[0])})", f"x{no}")
+            fits = f"coalesce({top} IS NOT NULL AND NOT {_outside(top, rule)}, FALSE)"
+            lines.append(_line(no, rule, fits, seen=top))
         else:
-            bad = _unexpected(rule, df)
-            gap = f"missing_{','.join(rule.columns)}"
-            aggs[gap] = F.count_if(_missing(rule))
-            aggs[f"bad_{no}"] = F.count_if(bad)
-            n, m, u = F.col("n"), F.col(f"`{gap}`"), F.col(f"bad_{no}")
-            base = n if rule.type == NOT_NULL else n - m
-            lines.append(_line(no, rule, u == 0, n, m, u, _percent(u, base)))
+            m = aggs.setdefault(f"count_if({_missing(rule)})", f"m{no}")
+            u = aggs.setdefault(f"count_if({_unexpected(rule, df)})", f"u{no}")
+            base = "n" if rule.type == NOT_NULL else f"n - {m}"
+            lines.append(_line(no, rule, f"{u} = 0", ("n", m, u), base))
     frames = []
     if lines:
-        counted = df.agg(*[c.alias(name) for name, c in aggs.items()])
-        frames.append(counted.select(F.inline(F.array(*[F.struct(*line) for line in lines]))))
+        counted = df.agg(*[F.expr(f"{how} AS {name}") for how, name in aggs.items()])
+        frames.append(counted.selectExpr(f"inline(array({', '.join(lines)}))"))
     return reduce(DataFrame.unionByName, frames + grouped)
 
 
@@ -243,12 +246,12 @@ def flag_rows(df: DataFrame, suite: Suite, parameters: dict | None = None) -> Da
     """
     hits = []
     for no, rule in enumerate(suite.bind(parameters or {}).rules, start=1):
-        if rule.columns and rule.type != ORDERED_COLUMNS and not _absent(rule, df):
+        if not _absent(rule, df):
             bad = _unexpected(rule, df)
-            if bad is not None:
-                hits.append(F.when(bad, F.lit(no)))
-    broken = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<int>")
-    return df.withColumn("violations", broken).filter(F.size("violations") > 0)
+            if bad:
+                hits.append(f"CASE WHEN {bad} THEN {no} END")
+    broken = f"array_compact(array({', '.join(hits)}))" if hits else "CAST(array() AS ARRAY<INT>)"
+    return df.withColumn("violations", F.expr(broken)).filter("size(violations) > 0")
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str], salts: int | None = 1) -> DataFrame:

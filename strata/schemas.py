@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Column names and order of the song layers.
@@ -102,20 +101,26 @@ def enforce(df: DataFrame, schema: T.StructType, missing: str = "error") -> Data
     if absent and missing != "null":
         raise ValueError(f"columns missing from the input: {absent}")
     have = {f.name: f.dataType for f in df.schema}
-    return df.select([_fit(f, have.get(f.name)).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"{_fit(f, have.get(f.name))} AS {quoted(f.name)}" for f in schema])
 
 
-def _fit(field: T.StructField, have: T.DataType | None) -> Column:
+def quoted(name: str) -> str:
+    """A column name for use in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _fit(field: T.StructField, have: T.DataType | None) -> str:
+    """SQL that brings a column to its declared type."""
+    want, c = field.dataType.simpleString(), quoted(field.name)
     if have is None:
-        return F.lit(None).cast(field.dataType)
-    c = F.col(f"`{field.name}`")
+        return f"CAST(NULL AS {want})"
     if have == field.dataType:
         return c
     if isinstance(field.dataType, T.IntegralType) and isinstance(have, T.StringType):
-        return F.coalesce(c.try_cast(field.dataType), c.try_cast("decimal(38,6)").try_cast(field.dataType))
+        return f"coalesce(try_cast({c} AS {want}), try_cast(try_cast({c} AS DECIMAL(38, 6)) AS {want}))"
     if isinstance(have, (T.ArrayType, T.StructType)) or isinstance(field.dataType, (T.ArrayType, T.StructType)):
-        return c.cast(field.dataType)
-    return c.try_cast(field.dataType)
+        return f"CAST({c} AS {want})"
+    return f"try_cast({c} AS {want})"
 
 
 # Types and lengths of the warehouse tables.

@@ -49,7 +49,8 @@ def read_csv(
 
     Fields are read as text and then fitted to ``schema``, by name. Types are inferred, in a second scan, only with
     ``infer``. Files whose header differs from the first one's are an error instead of shifted columns.
-    ``multi_line`` accepts line breaks inside quotes; such files cannot be split among tasks. ``source_column`` adds the file name without its suffix.
+    ``multi_line`` accepts line breaks inside quotes; such files cannot be split among tasks. ``source_column``
+    adds the file name without its suffix.
     """
     reader = (
         spark.read.option("header", True)

@@ -161,3 +161,22 @@ def test_primary_key_suite(spark):
     got = [r["unexpected_count"] for r in result(spark, df, q.primary_key_suite("pk", ["id", "artist_id"]))]
     assert got == [0, 1, 2]
     assert [r.type for r in q.primary_key_suite("pk", ["id"]).rules] == [q.NOT_NULL, q.UNIQUE]
+
+
+def test_odd_names_and_values(spark):
+    import datetime
+
+    df = spark.createDataFrame(
+        [("it's", datetime.date(2024, 1, 1)), ("back\\slash", datetime.date(2025, 1, 1))], "`a``b c` string, d date"
+    )
+    column = df.columns[0]
+    r = one(spark, df, q.IN_SET, column=column, value_set=["it's", "back\\slash"])
+    assert r["success"] and r["column_name"] == column
+    assert one(spark, df, q.BETWEEN, column="d", max_value=datetime.date(2024, 6, 1))["unexpected_count"] == 1
+    assert not one(spark, df, q.ORDERED_COLUMNS, column_list=["it's"])["success"]
+
+
+def test_infinite_bounds(spark):
+    df = spark.createDataFrame([(1e308,), (float("nan"),)], "x double")
+    # NaN sorts above every number.
+    assert one(spark, df, q.BETWEEN, column="x", max_value=float("inf"))["unexpected_count"] == 1

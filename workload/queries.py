@@ -271,7 +271,8 @@ def json_flatten(spark, d):
 
 def union_missing_columns(spark, d):
     events = fx.table(spark, d, "events")
-    return nested.union_by_name([events.select("event_id", "user_id", "value"), events.select("event_id", "event_type")])
+    halves = [events.select("event_id", "user_id", "value"), events.select("event_id", "event_type")]
+    return nested.union_by_name(halves)
 
 
 def _catalogue(spark, d):
