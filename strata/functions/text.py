@@ -3,6 +3,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What counts as an empty text, what is stripped from the ends of a list element, where the kind and the
+# key stand in a resource identifier, and the platforms told apart (the leftmost one in a text wins).
+EMPTY_PATTERN = r"^\s*(nan|null)?\s*$"
+LIST_END_PATTERN = r"^\['|'\]$|^'|'$|^\[|\]$"
+URI_TYPE_PATTERN = r"\w*:(\w*):"
+URI_ID_PATTERN = r"\w*:\w*:(\w*)"
+PLATFORMS = ["android", "windows", "ios", "web"]
+
 
 def trimmed(c: Column) -> Column:
     return F.trim(c)
@@ -15,7 +23,7 @@ def folded(c: Column) -> Column:
 
 def scrubbed(c: Column) -> Column:
     """Blank text and the null tokens ``nan`` and ``null`` become the empty string."""
-    return F.regexp_replace(c, r"^\s*(nan|null)?\s*$", "")
+    return F.regexp_replace(c, EMPTY_PATTERN, "")
 
 
 def to_boolean(c: Column) -> Column:
@@ -38,8 +46,7 @@ def list_items(c: Column, mode: str = "split") -> Column:
     elements and an empty list becomes one empty string. ``literal`` honours quotes and escapes instead.
     """
     if mode == "split":
-        strip = r"^\['|'\]$|^'|'$|^\[|\]$"
-        return F.transform(F.split(c, ",", -1), lambda x: F.regexp_replace(F.trim(x), strip, ""))
+        return F.transform(F.split(c, ",", -1), lambda x: F.regexp_replace(F.trim(x), LIST_END_PATTERN, ""))
     if mode == "literal":
         quoted = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
         found = F.regexp_extract_all(c, F.lit(quoted), F.lit(0))
@@ -57,21 +64,17 @@ def list_text(c: Column) -> Column:
 
 
 def uri_type(c: Column) -> Column:
-    return F.regexp_extract(c, r"\w*:(\w*):", 1)
+    return F.regexp_extract(c, URI_TYPE_PATTERN, 1)
 
 
 def uri_id(c: Column) -> Column:
-    return F.regexp_extract(c, r"\w*:\w*:(\w*)", 1)
+    return F.regexp_extract(c, URI_ID_PATTERN, 1)
 
 
 def build_uri(c: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), c)
 
 
-# Platforms told apart; the leftmost one in the text wins.
-PLATFORMS = ["android", "windows", "ios", "web"]
-
-
 def platform(c: Column) -> Column:
     """The platform named in free text, or the empty string."""
     return F.regexp_extract(folded(c), "(" + "|".join(PLATFORMS) + ")", 1)

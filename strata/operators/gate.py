@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.schemas import quoted
+from strata.sql import literal, quoted
 
 
 class NullRateExceeded(RuntimeError):
@@ -131,21 +131,13 @@ def profile(df: DataFrame, distinct: bool = False) -> DataFrame:
 
     A single aggregate over the input, whatever the number of columns.
     """
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs, lines = ["count(1) AS rows"], []
     for i, f in enumerate(df.schema):
-        aggs.append(F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"nulls_{i}"))
+        name, kind = literal(f.name), literal(f.dataType.simpleString())
+        aggs.append(f"count_if({quoted(f.name)} IS NULL) AS n{i}")
+        line = f"'position', {i}, 'column_name', {name}, 'column_type', {kind}, 'rows', rows, 'nulls', n{i}"
         if distinct:
-            aggs.append(F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f"distinct_{i}"))
-    lines = []
-    for i, f in enumerate(df.schema):
-        line = [
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("column_type"),
-            F.col("rows"),
-            F.col(f"nulls_{i}").alias("nulls"),
-        ]
-        if distinct:
-            line.append(F.col(f"distinct_{i}").alias("approx_distinct"))
-        lines.append(F.struct(*line))
-    return df.agg(*aggs).select(F.inline(F.array(*lines)))
+            aggs.append(f"approx_count_distinct({quoted(f.name)}) AS d{i}")
+            line += f", 'approx_distinct', d{i}"
+        lines.append(f"named_struct({line})")
+    return df.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(lines)}))")

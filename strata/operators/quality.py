@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -15,7 +14,7 @@ from pyspark.sql import types as T
 from strata import schemas
 from strata.functions.numeric import MODES, PITCHES
 from strata.operators.incremental import keep_existing
-from strata.schemas import quoted
+from strata.sql import literal, quoted
 
 # Rule names of the stored suite format.
 ORDERED_COLUMNS = "expect_table_columns_to_match_ordered_list"
@@ -127,30 +126,14 @@ class Suite:
 # --- rules as SQL conditions, so that a suite of any size becomes one short expression tree ---
 
 
-def _literal(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return str(v).upper()
-    if isinstance(v, float):
-        return f"double('{v}')"
-    if isinstance(v, datetime.datetime):
-        return f"timestamp_ntz'{v.isoformat(sep=' ')}'"
-    if isinstance(v, datetime.date):
-        return f"date'{v.isoformat()}'"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return str(v)
-
-
 def _missing(rule: Rule) -> str:
     return " AND ".join(f"{quoted(c)} IS NULL" for c in rule.columns)
 
 
 def _outside(value: str, rule: Rule) -> str:
     low, high = rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
-    bounds = [f"{value} < {_literal(low)}"] if low is not None else []
-    bounds += [f"{value} > {_literal(high)}"] if high is not None else []
+    bounds = [f"{value} < {literal(low)}"] if low is not None else []
+    bounds += [f"{value} > {literal(high)}"] if high is not None else []
     return f"({' OR '.join(bounds) or 'FALSE'})"
 
 
@@ -166,7 +149,7 @@ def _unexpected(rule: Rule, df: DataFrame) -> str | None:
         if rule.type == BETWEEN:
             return _outside(quoted(column), rule)
         if rule.type == IN_SET:
-            return f"{quoted(column)} NOT IN ({', '.join(map(_literal, rule.kwargs['value_set']))})"
+            return f"{quoted(column)} NOT IN ({', '.join(map(literal, rule.kwargs['value_set']))})"
         if isinstance(df.schema[column].dataType, T.ArrayType):
             return f"exists({quoted(column)}, x -> {_outside('length(x)', rule)})"
         return _outside(f"length({quoted(column)})", rule)
@@ -178,7 +161,7 @@ def _line(no: int, rule: Rule, success, counts=("NULL", "NULL", "NULL"), base="N
     elements, missing, unexpected = counts
     percent = "NULL" if base == "NULL" else f"CASE WHEN {base} > 0 THEN {unexpected} * 100.0D / ({base}) ELSE 0.0D END"
     values = [
-        str(no), _literal(rule.type), _literal(",".join(rule.columns)), success, f"CAST({elements} AS BIGINT)",
+        str(no), literal(rule.type), literal(",".join(rule.columns)), success, f"CAST({elements} AS BIGINT)",
         f"CAST({missing} AS BIGINT)", f"CAST({unexpected} AS BIGINT)", f"CAST({percent} AS DOUBLE)",
         f"CAST({seen} AS STRING)",
     ]
@@ -212,15 +195,15 @@ def validate(df: DataFrame, suite: Suite, parameters: dict | None = None) -> Dat
     lines, grouped = [], []
     for no, rule in enumerate(suite.rules, start=1):
         if rule.type == ORDERED_COLUMNS:
-            seen = _literal(",".join(df.columns))
-            lines.append(_line(no, rule, _literal(df.columns == rule.columns), seen=seen))
+            seen = literal(",".join(df.columns))
+            lines.append(_line(no, rule, literal(df.columns == rule.columns), seen=seen))
         elif _absent(rule, df):
-            seen = _literal(f"no column {','.join(_absent(rule, df))}")
+            seen = literal(f"no column {','.join(_absent(rule, df))}")
             lines.append(_line(no, rule, "FALSE", seen=seen))
         elif rule.type == OF_TYPE:
             kind = df.schema[rule.columns[0]].dataType
             fits = isinstance(kind, TYPE_FAMILIES[rule.kwargs["type_"]])
-            lines.append(_line(no, rule, _literal(fits), seen=_literal(kind.simpleString())))
+            lines.append(_line(no, rule, literal(fits), seen=literal(kind.simpleString())))
         elif rule.type in (UNIQUE, COMPOUND_UNIQUE):
             grouped.append(_uniqueness(df, no, rule))
         elif rule.type == MAX_BETWEEN:

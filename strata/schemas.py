@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.sql import quoted
+
 # Column names and order of the song layers.
 SONG_TEXT = ["id", "name", "album", "album_id"]
 SONG_LISTS = ["artists", "artist_ids"]
@@ -104,11 +106,6 @@ def enforce(df: DataFrame, schema: T.StructType, missing: str = "error") -> Data
     return df.selectExpr(*[f"{_fit(f, have.get(f.name))} AS {quoted(f.name)}" for f in schema])
 
 
-def quoted(name: str) -> str:
-    """A column name for use in SQL."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _fit(field: T.StructField, have: T.DataType | None) -> str:
     """SQL that brings a column to its declared type."""
     want, c = field.dataType.simpleString(), quoted(field.name)

@@ -128,6 +128,11 @@ def test_profile(spark):
     }
 
 
+def test_profile_of_odd_names(spark):
+    df = spark.createDataFrame([(1, None)], "`it's` int, `a``b.c` string")
+    assert [(r["column_name"], r["nulls"]) for r in gate.profile(df).collect()] == [("it's", 0), ("a`b.c", 1)]
+
+
 def test_duplicates(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id int")
     assert {(r["id"], r["n"]) for r in gate.duplicates(df, ["id"]).collect()} == {(1, 2), (None, 2)}
