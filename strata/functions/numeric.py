@@ -10,12 +10,12 @@ MODES = ["Minor", "Major"]
 
 def rounded(c: Column, digits: int) -> Column:
     """Half-up rounding of a measure."""
-    return F.round(c.cast("double"), digits)
+    return F.round(c.try_cast("double"), digits)
 
 
 def whole_seconds(ms: Column) -> Column:
     """Milliseconds to whole seconds, kept as a double."""
-    return F.round(ms.cast("double") / 1000, 0)
+    return F.round(ms.try_cast("double") / 1000, 0)
 
 
 def whole_seconds_int(ms: Column) -> Column:

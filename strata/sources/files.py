@@ -32,8 +32,15 @@ def read_layer(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return schemas.enforce(spark.read.parquet(path), schema)
 
 
+def declared_plays(df: DataFrame, uri_prefix: str = "") -> DataFrame:
+    """Raw plays in their declared types; columns that an export lacks are NULL."""
+    if isinstance(df.schema["ts"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        df = df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return schemas.enforce(df, schemas.raw_play_schema(uri_prefix), missing="null")
+
+
 def read_plays(spark: SparkSession, path: str, uri_prefix: str = "") -> DataFrame:
-    return schemas.enforce(spark.read.parquet(path), schemas.raw_play_schema(uri_prefix), missing="null")
+    return declared_plays(spark.read.parquet(path), uri_prefix)
 
 
 def read_csv(
@@ -77,6 +84,15 @@ def read_csv(
     return schemas.enforce(df, schema, missing="null") if schema else df
 
 
+def inferred_schema(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
+    """Column types found by a scan of the CSV files. Dates and times stay text, for the cleaning rules to judge."""
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    found = read_csv(spark, path, infer=True, multi_line=multi_line).schema
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if isinstance(f.dataType, times) else f.dataType) for f in found]
+    )
+
+
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False, pattern: str = "*.json"
 ) -> DataFrame:

@@ -27,20 +27,20 @@ def ingest_csv(
     zone: str,
     schema: T.StructType | None = None,
     drop: Sequence[str] = (),
-    infer: bool = False,
     multi_line: bool = False,
 ) -> int:
     """Convert every CSV file of ``folder`` to Parquet in ``zone`` and return the number of files.
 
     Each file lands in a partition of its own name: ingesting it again replaces it and leaves the others alone.
-    Columns in ``drop``, such as personal data, never reach the zone; absent ones are ignored.
+    Without a ``schema`` the types are found by a scan of their own. Columns in ``drop``, such as personal data, never reach the zone; absent ones are ignored.
     """
     files.require_folder(spark, folder)
     found = len(csv_file_names(spark, folder))
     if not found:
         log.warning("no CSV files in %s", folder)
         return 0
-    df = files.read_csv(spark, folder, schema, infer=infer, multi_line=multi_line, source_column=SOURCE_FILE)
+    schema = schema or files.inferred_schema(spark, folder, multi_line)
+    df = files.read_csv(spark, folder, schema, multi_line=multi_line, source_column=SOURCE_FILE)
     (
         df.drop(*drop)
         .write.mode("overwrite")

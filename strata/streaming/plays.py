@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strata import schemas
 from strata.operators.clean import clean_plays
 from strata.operators.gate import GatePolicy
 from strata.plans.load import gated_new_rows
-from strata.sources.files import read_layer, write_parquet
+from strata.sources.files import declared_plays, read_layer, write_parquet
 from strata.staging import Staging
 
 
@@ -34,13 +33,12 @@ def stream_plays(
     gate into the table. A batch repeated after a failure finds its own rows in the table and adds none twice.
     """
     play_table.create(spark)
-    declared = schemas.raw_play_schema(uri_prefix)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # The batch's own session, which holds the settings of the stream.
         session = batch.sparkSession
         folder = f"{gold}/batch_id={batch_id}"
-        write_parquet(clean_plays(schemas.enforce(batch, declared, missing="null")), folder)
+        write_parquet(clean_plays(declared_plays(batch, uri_prefix)), folder)
         plays = read_layer(session, folder, "gold_play")
         with Staging(session) as staging:
             new = gated_new_rows(plays, play_table, keys, staging, "play_keys", policy, salts=salts)

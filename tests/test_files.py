@@ -1,7 +1,7 @@
 import pytest
 
 from strata import schemas
-from strata.operators import nested
+from strata.operators import clean, nested
 from strata.plans import prepare
 from strata.sources import files, tables, zones
 from strata.staging import refuse_overlap
@@ -96,6 +96,20 @@ def test_ingest(spark, tmp_path):
     assert zones.read_zone(spark, zone).columns == ["id"]
 
 
+def test_ingest_finds_types_but_leaves_times_to_cleaning(spark, tmp_path):
+    write(tmp_path / "land" / "a.csv", "ts,ms_played,day,track_uri\n2024-03-31T02:30:00Z,1500,2024-03-31,s:track:x\n")
+    zones.ingest_csv(spark, str(tmp_path / "land"), str(tmp_path / "zone"))
+    kinds = {f.name: f.dataType.simpleString() for f in zones.read_zone(spark, str(tmp_path / "zone")).schema}
+    assert kinds == {"ts": "string", "ms_played": "int", "day": "string", "track_uri": "string"}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_play_times_stored_as_timestamps(spark, tmp_path, kind):
+    files.write_parquet(spark.sql(f"select {kind}'2024-03-31 02:30:00' as ts"), str(tmp_path))
+    plays = clean.clean_plays(files.read_plays(spark, str(tmp_path)))
+    assert str(plays.first()["ts"]) == "2024-03-31 02:30:00"
+
+
 def test_ingest_without_files(spark, tmp_path, caplog):
     (tmp_path / "land").mkdir()
     assert zones.ingest_csv(spark, str(tmp_path / "land"), str(tmp_path / "zone")) == 0

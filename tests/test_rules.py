@@ -57,6 +57,11 @@ def test_rounding_is_half_up(both_modes):
     ]
 
 
+def test_measures_as_text(both_modes):
+    assert values(both_modes, lambda c: numeric.rounded(c, 1), ["0.25", "n/a", None]) == [0.3, None, None]
+    assert values(both_modes, numeric.whole_seconds, ["1500", "soon"]) == [2.0, None]
+
+
 def test_seconds(both_modes):
     assert values(both_modes, numeric.whole_seconds, [1499, 1500, 2500, 0, None], "bigint") == [1.0, 2.0, 3.0, 0.0, None]
     assert values(both_modes, numeric.whole_seconds_int, [1499, 1500, None], "int") == [1, 2, None]
