@@ -1,4 +1,9 @@
-"""Random split of a table into chunks of random size."""
+"""Random split of a table into chunks of random size.
+
+Rows are ordered by a random hash and cut into chunks by their position in that order. Positions are worked out on the
+hash column alone; whole rows find their chunk by comparing their hash with the hashes at which chunks begin, and move
+once, to the chunk.
+"""
 
 from __future__ import annotations
 
@@ -6,51 +11,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-ORDER, POSITION, CHUNK = "__order", "__position", "chunk"
-_BUCKET, _OFFSET, _N = "__bucket", "__offset", "__n"
-# Rows a bucket should hold at most, and the fewest for which another bucket is worth a task.
-BUCKET_ROWS = 1_000_000
-SMALL_BUCKET_ROWS = 10_000
-# More shuffle partitions than this cost the driver more than they save the tasks; buckets then share partitions.
-MAX_PARTITIONS = 20_000
+ORDER, CHUNK = "__order", "chunk"
+_BUCKET, _OFFSET, _N, _BASE, _STARTS = "__bucket", "__offset", "__n", "__base", "__starts"
+# Rows a bucket of the hash range holds, about, and the most buckets; with more rows buckets get larger.
+BUCKET_ROWS = 10_000
+MAX_BUCKETS = 1_000_000
+# Rows a task should get, and the most tasks: beyond that they cost the driver more than they save.
+TASK_ROWS = 1_000_000
+MAX_TASKS = 20_000
+# Up to this many chunks the table of chunk starts, with its at most MAX_BUCKETS rows, is broadcast: 8 bytes a start.
+BROADCAST_CHUNKS = 10_000_000
 
 
 def shuffle_key(df: DataFrame, seed: int = 0) -> DataFrame:
     """Add the hash that orders rows at random. Stage the result before using it twice.
 
     It is a hash of the row's number as it is read, not of its values, so that copies of one row spread as well.
+    Different numbers have different hashes.
     """
     return df.withColumn(ORDER, F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
 
 
-def n_tasks(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
-    """Tasks of at most ``bucket_rows`` rows, or one for each core where the rows are few."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, -(-n_rows // bucket_rows), min(cores, n_rows // SMALL_BUCKET_ROWS))
+def n_buckets(n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    return min(max(1, -(-n_rows // bucket_rows)), MAX_BUCKETS)
 
 
-def shuffled_positions(df: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Number the rows 0..n-1 in hash order.
+def bucket_of(order: Column, buckets: int) -> Column:
+    """Which of ``buckets`` equal parts of the hash range a hash falls in; the parts are in hash order."""
+    # The top 31 bits, with the sign turned so that they rise with the hash, scaled to the number of buckets.
+    high = F.shiftrightunsigned(order.bitwiseXOR(F.lit(-(2**63))), 33)
+    return F.shiftright(high * F.lit(buckets), 31)
 
-    The hash range is cut into equal buckets of at most about ``bucket_rows`` rows each, because hashes are uniform.
-    Bucket counts give each bucket its first position; within a bucket rows are numbered by a window. The running
-    total sees one row per bucket.
-    """
-    n_buckets = n_tasks(df, n_rows, bucket_rows)
-    # The top 31 bits of the hash, scaled to the number of buckets: consecutive ranges of the order.
-    high = F.shiftrightunsigned(F.col(ORDER).bitwiseXOR(F.lit(-(2**63))), 33)
-    bucketed = df.withColumn(_BUCKET, F.shiftright(high * F.lit(n_buckets), 31))
-    sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_N))
+
+def bucket_offsets(ordered: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows of each bucket, and the position of its first row. The running total sees one row per bucket."""
+    bucket = bucket_of(F.col(ORDER), n_buckets(n_rows, bucket_rows))
+    sizes = ordered.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias(_N))
     before = W.Window.orderBy(_BUCKET).rowsBetween(W.Window.unboundedPreceding, -1)
-    offsets = sizes.select(_BUCKET, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFFSET))
-    within = W.Window.partitionBy(_BUCKET).orderBy(ORDER)
-    return (
-        bucketed.repartition(min(n_buckets, MAX_PARTITIONS), _BUCKET)
-        .withColumn(_N, F.row_number().over(within))
-        .join(offsets, _BUCKET)
-        .withColumn(POSITION, F.col(_OFFSET) + F.col(_N) - 1)
-        .drop(_BUCKET, _OFFSET, _N)
-    )
+    return sizes.withColumn(_OFFSET, F.coalesce(F.sum(_N).over(before), F.lit(0)))
 
 
 def chunk_of(position: Column, min_rows: int, max_rows: int, seed: int = 0) -> Column:
@@ -58,7 +56,7 @@ def chunk_of(position: Column, min_rows: int, max_rows: int, seed: int = 0) -> C
 
     Sizes are drawn in pairs: the first of a pair is uniform in [min_rows, max_rows], the second is what is left of
     min_rows + max_rows, so uniform as well. Each pair then covers the same number of rows, and a position finds its
-    chunk without a table of bounds.
+    chunk without a running total of sizes.
     """
     pair_rows = min_rows + max_rows
     into_pair = F.pmod(position, F.lit(pair_rows))
@@ -68,16 +66,55 @@ def chunk_of(position: Column, min_rows: int, max_rows: int, seed: int = 0) -> C
     return pair * 2 + second_half + 1
 
 
-def split_chunks(
-    df: DataFrame,
+def chunk_starts(
+    ordered: DataFrame,
     n_rows: int,
     min_rows: int = 10_000,
     max_rows: int = 200_000,
     seed: int = 0,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Rows of an ordered frame (see :func:`shuffle_key`) with their position and chunk; the last chunk is shorter."""
+    """One row per bucket: the chunk that is under way when it begins, and the hashes at which chunks start in it.
+
+    Reads the hash column only, and sorts only the buckets in which a chunk starts.
+    """
     if not 0 < min_rows <= max_rows:
         raise ValueError("expected 0 < min_rows <= max_rows")
-    placed = shuffled_positions(df, n_rows, bucket_rows)
-    return placed.withColumn(CHUNK, chunk_of(F.col(POSITION), min_rows, max_rows, seed))
+
+    def chunk_at(position: Column) -> Column:
+        return F.when(position < 0, 0).otherwise(chunk_of(position, min_rows, max_rows, seed))
+
+    buckets = n_buckets(n_rows, bucket_rows)
+    offsets = bucket_offsets(ordered, n_rows, bucket_rows).withColumn(_BASE, chunk_at(F.col(_OFFSET) - 1))
+    crossed = offsets.filter(chunk_at(F.col(_OFFSET) + F.col(_N) - 1) != F.col(_BASE)).select(_BUCKET, _OFFSET)
+    hashes = ordered.select(ORDER, bucket_of(F.col(ORDER), buckets).alias(_BUCKET))
+    cores = ordered.sparkSession.sparkContext.defaultParallelism
+    tasks = min(buckets, MAX_TASKS, max(cores, -(-n_rows // TASK_ROWS)))
+    within = W.Window.partitionBy(_BUCKET).orderBy(ORDER)
+    # There are at most MAX_BUCKETS rows, of two numbers each, to broadcast.
+    placed = hashes.join(F.broadcast(crossed), _BUCKET).repartition(tasks, _BUCKET)
+    position = F.col(_OFFSET) + F.row_number().over(within) - 1
+    numbered = placed.select(_BUCKET, ORDER, position.alias("__position"))
+    starting = numbered.filter(chunk_at(F.col("__position")) != chunk_at(F.col("__position") - 1))
+    starts = starting.groupBy(_BUCKET).agg(F.sort_array(F.collect_list(ORDER)).alias(_STARTS))
+    return offsets.select(_BUCKET, _BASE).join(starts, _BUCKET, "left")
+
+
+def split_chunks(
+    ordered: DataFrame, starts: DataFrame, n_rows: int, n_chunks: int, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Rows of an ordered frame (see :func:`shuffle_key`) with the number of their chunk; the last one is shorter.
+
+    ``starts`` is a staged result of :func:`chunk_starts` for the same numbers, ``n_chunks`` about how many there are.
+    """
+    if n_chunks <= BROADCAST_CHUNKS:
+        starts = F.broadcast(starts)
+    bucket = bucket_of(F.col(ORDER), n_buckets(n_rows, bucket_rows))
+    found = ordered.withColumn(_BUCKET, bucket).join(starts, _BUCKET)
+    begun = F.when(F.col(_STARTS).isNull(), 0).otherwise(F.size(F.filter(_STARTS, lambda s: s <= F.col(ORDER))))
+    return found.withColumn(CHUNK, F.col(_BASE) + begun).drop(_BUCKET, _BASE, _STARTS)
+
+
+def expected_chunks(n_rows: int, min_rows: int, max_rows: int) -> int:
+    """The number of chunks, up to one: two of them always hold min_rows + max_rows."""
+    return -(-2 * n_rows // (min_rows + max_rows))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import split
@@ -40,20 +39,20 @@ def split_csv(
 ) -> int:
     """Shuffle the rows and write them as CSV chunks of random size; returns the number of rows.
 
-    Every chunk is one file in a folder ``chunk=split_001``, ``chunk=split_002`` and so on; an empty input writes
-    nothing. The rows are staged with their random order, because positions need a count before the second pass.
+    Every chunk is one file in a folder ``chunk=1``, ``chunk=2`` and so on; an empty input writes nothing. The rows are staged with their random order, because chunks need a count before the second pass.
     """
     with Staging(spark) as staging:
         ordered = staging.put(split.shuffle_key(df, seed), "ordered")
         n_rows = ordered.count()
         if n_rows:
-            chunks = split.split_chunks(ordered, n_rows, min_rows, max_rows, seed, bucket_rows)
-            n_chunks = -(-2 * n_rows // (min_rows + max_rows))
+            starts = staging.put(split.chunk_starts(ordered, n_rows, min_rows, max_rows, seed, bucket_rows), "starts")
+            n_chunks = split.expected_chunks(n_rows, min_rows, max_rows)
+            chunks = split.split_chunks(ordered, starts, n_rows, n_chunks, bucket_rows)
             (
-                files.csv_ready(chunks.withColumn(split.CHUNK, F.format_string("split_%03d", F.col(split.CHUNK))))
-                .repartition(min(n_chunks, split.MAX_PARTITIONS), split.CHUNK)
-                .sortWithinPartitions(split.CHUNK, split.POSITION)
-                .drop(split.ORDER, split.POSITION)
+                files.csv_ready(chunks)
+                .repartition(min(n_chunks, split.MAX_TASKS), split.CHUNK)
+                .sortWithinPartitions(split.CHUNK, split.ORDER)
+                .drop(split.ORDER)
                 .write.mode("overwrite")
                 .options(**files.CSV_OUT)
                 .partitionBy(split.CHUNK)

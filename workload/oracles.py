@@ -391,9 +391,9 @@ def all_oracles() -> dict[str, str]:
         "backfilled_silver": f"SELECT {_flat()} FROM ({SILVER.replace('raw_song', 'backfilled ')})",
         "popularity_rows": "SELECT id, cast(n % 101 AS int) AS popularity FROM (SELECT DISTINCT id, "
         "cast(regexp_extract(id, '([0-9]+)', 1) AS bigint) AS n FROM raw_song ) WHERE n % 11 <> 0",
-        "split_chunk_sizes": "SELECT count(*) AS n_rows, count(*) AS n_positions, count(*) - 1 AS last_position, "
-        "cast(0 AS bigint) AS sizes_out_of_range, cast(0 AS bigint) AS chunks_with_gaps, "
-        "cast(0 AS bigint) AS numbers_skipped FROM lineitem",
+        "split_chunk_sizes": "SELECT count(*) AS n_rows, cast(0 AS bigint) AS sizes_out_of_range, "
+        "cast(0 AS bigint) AS overlaps, cast(1 AS bigint) AS last_chunks, cast(1 AS bigint) AS first_chunk "
+        "FROM lineitem",
         "split_csv_files": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
         "csv_parquet_roundtrip": f"SELECT {raw}, nullif(explicit, 'nan') AS explicit FROM raw_song",
         "ingest_without_personal_data": "SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, platform, ms_played, "
