@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash
+from strata.llm import bpe, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +22,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern)
+    digest = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)
+    coded = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"))
+    back = bpe.decode(coded, ranks, pattern, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op8_bpe)}
 
 
 def all_oracles() -> dict[str, str]:
