@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, simhash
+from strata.llm import bpe, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_store.new_folder(spark)
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_store.write(_table(spark, sf_dir, "documents"), folder, vocabulary, end_id=1, by_word=True)
+    found = token_store.read(spark, folder)
+    return found.select(
+        F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern)
@@ -32,7 +42,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op8_bpe)}
+    return {f.__name__: f for f in (op1_simhash, op7_token_store, op8_bpe)}
 
 
 def all_oracles() -> dict[str, str]:
