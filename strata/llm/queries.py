@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, simhash, token_store
+from strata.llm import bpe, simhash, substrings, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +41,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op7_token_store, op8_bpe)}
+    return {f.__name__: f for f in (op1_simhash, op7_token_store, op8_bpe, op9_substrings)}
 
 
 def all_oracles() -> dict[str, str]:
