@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, simhash, substrings, token_store
+from strata.llm import bpe, mixing, oracles, quality, simhash, substrings, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judge(_table(spark, sf_dir, "documents"), report=facts)
+    failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
+    return judged.select(F.col("id").alias("doc_id"), *facts, failed.alias("base_failed"), "kept")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.new_folder(spark)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -46,9 +53,15 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op7_token_store, op8_bpe, op9_substrings)}
+    every = (op1_simhash, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
+    return {f.__name__: f for f in every}
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_quality": oracles.QUALITY, "op10_mixing": oracles.MIXING}
