@@ -32,13 +32,13 @@ FROM cut
 QUALITY = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+    [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM t),
 spots AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
 grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM spots),
 covered AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM grams WHERE c > 1) GROUP BY doc_id),
 facts AS (
-  SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
     len(lines) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper,

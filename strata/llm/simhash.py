@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.llm.common import pieces, staged, texts
 from strata.llm.components import connected_components
@@ -109,6 +110,8 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component): each row's fingerprint and the smallest id reachable over fingerprints within ``distance``.
 
+    Ids may be of any type that has an order, structs too.
+
     Rows with equal fingerprints are one node. Ids may repeat; a NULL id is never the smallest, and a component of NULL
     ids alone is NULL. NULL and empty texts share fingerprint zero. An empty table gives an empty one.
     """
@@ -119,3 +122,18 @@ def near_duplicates(
     named = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
     classes = labelled.join(named, "component").select("fp", F.col("smallest").alias("component"))
     return prints.join(classes, "fp").select("id", "fp", "component")
+
+
+def keep_first(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 6
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with all their columns.
+
+    NULL ids come last. Rows with equal ids are ordered by a hash of their texts; of rows equal in both one stays.
+    """
+    key = {"_d": F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), "_h": F.xxhash64(text_col)}
+    keyed = docs.select(F.struct(*[c.alias(n) for n, c in key.items()]).alias("key"), F.col(text_col).alias("text"))
+    heads = near_duplicates(keyed, "key", "text", width, distance, blocks).select("component.*").distinct()
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in key.items()]).join(heads, ["_d", "_h"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("_d", "_h").orderBy(F.lit(0)))
+    return rows.withColumn("place", place).where("place = 1").select("row.*")

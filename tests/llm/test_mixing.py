@@ -46,6 +46,24 @@ def check(rows, got):
         assert sorted((r.row.doc_id or 0, r.size, r.taken) for r in rs) == sorted(expected)
 
 
+def taken_texts(rows):
+    """(id, source, text) for each time a document of (id, text, source) is taken."""
+    sizes, members, out = defaultdict(int), defaultdict(list), []
+    for i, t, s in rows:
+        sizes[s] += len(t.split())
+        members[s].append((int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16), i, t))
+    for s, target in plain_targets(sizes).items():
+        epochs, left = divmod(round(target), sizes[s])
+        for _, i, t in sorted(members[s]):
+            words = t.split()
+            part = min(len(words), left)
+            left -= part
+            out += [(i, s, t)] * (epochs + (part == len(words)))
+            if 0 < part < len(words):
+                out.append((i, s, " ".join(words[:part])))
+    return out
+
+
 CASES = [
     [(i, "w " * (i % 17), f"s{i % 5}") for i in range(200)],
     [(i, "w " * (1 if i % 50 else 900), "abcdefg"[i % 7] if i % 50 else None) for i in range(300)],
