@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, oracles, quality, simhash, substrings, token_store
+from strata.llm import bpe, embeddings, mixing, oracles, quality, simhash, substrings, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(False))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").cast("long").alias("component_id"), kept.alias("kept")
+    )
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.judge(_table(spark, sf_dir, "documents"), report=facts)
@@ -59,7 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    every = (op1_simhash, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
+    every = (op1_simhash, op3_embeddings, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
     return {f.__name__: f for f in every}
 
 
