@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, embeddings, mixing, oracles, quality, simhash, substrings, token_store
+from strata.llm import bpe, embeddings, langid, mixing, oracles, quality, simhash, substrings, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    train = docs.where(~langid.held_out(F.col("doc_id")))
+    model = langid.fit(train.select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text"))
+    found = langid.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
     kept = F.coalesce(F.col("id") == F.col("component"), F.lit(False))
@@ -67,7 +75,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    every = (op1_simhash, op3_embeddings, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
+    every = (op1_simhash, op2_language, op3_embeddings, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
     return {f.__name__: f for f in every}
 
 
