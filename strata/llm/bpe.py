@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,9 @@ from strata.llm.common import texts
 #: Longest piece, in bytes, that is merged in a matrix.
 SHORT = 64
 #: Entries kept for words and for pieces in a Python worker.
-KEPT = 600_000
+KEPT = 500_000
+#: Marks that end a word as a piece of their own.
+MARKS = ".,;:!?"
 #: Rows of a matrix of trees.
 ROWS = 1 << 14
 
@@ -56,6 +59,7 @@ class Vocabulary:
         self.pair_ranks = np.append(np.array(rank, np.int64)[order], 0)
         self.pairs = dict(zip(keys.tolist(), rank))
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.of_bytes = self._pair_rank(np.repeat(self.single, 256), np.tile(self.single, 256))
         self.of_piece: dict[str, bytes] = {}
         self.of_word: dict[str, bytes] = {}
 
@@ -123,7 +127,7 @@ class Vocabulary:
         before = np.tile(np.arange(-1, size), (n, 1))
         ids = np.hstack([ids, np.full((n, 1), -1)])
         tree = np.full((n, 2 * size), NONE)
-        rank = self._pair_rank(ids[:, : size - 1], ids[:, 1:size])
+        rank = self.of_bytes[flat[:, :-1].astype(np.int64) << 8 | flat[:, 1:]]
         rank = np.where((cells[:-1] + 1 < lengths[:, None]) & (rank >= 0), rank << 32 | cells[:-1], NONE)
         tree[:, size : 2 * size - 1] = rank
         for node in range(size - 1, 0, -1):
@@ -180,13 +184,19 @@ class Vocabulary:
                     self.of_piece[piece] = flat[start:end]
                     start = end
 
-    def _of_strings(self, found: list[str]) -> list[bytes]:
-        """Ids of each string, cut by the pattern."""
-        cut = [self.pattern.findall(s) for s in found]
-        seen = set().union(*cut)
-        self._learn_pieces(_unknown(self.of_piece, seen))
+    def _of_cuts(self, cuts: list) -> list[bytes]:
+        """Ids of each sequence of pieces."""
+        self._learn_pieces(_unknown(self.of_piece, set().union(*cuts)))
         known = self.of_piece.__getitem__
-        return [b"".join(map(known, ps)) for ps in cut]
+        return [b"".join(map(known, cut)) for cut in cuts]
+
+    def _cut_word(self, word: str) -> list[str] | tuple[str, ...]:
+        """Pieces of a word with a space before it; letters, and letters with a mark, without the pattern's help."""
+        if word.isalpha():
+            return (" " + word,)
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return " " + word[:-1], word[-1]
+        return self.pattern.findall(" " + word)
 
     def encode_texts(self, found: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.
@@ -202,9 +212,10 @@ class Vocabulary:
         for i in plain:
             first[i], words[i] = found[i], words[i][:1]
         new = _unknown(self.of_word, seen - odd)
-        self.of_word.update(zip(new, self._of_strings([" " + w for w in new])))
+        self.of_word.update(zip(new, self._of_cuts(list(map(self._cut_word, new)))))
         known = self.of_word.__getitem__
-        return [head + b"".join(map(known, ws[1:])) for head, ws in zip(self._of_strings(first), words)]
+        heads = self._of_cuts(list(map(self.pattern.findall, first)))
+        return [head + b"".join(map(known, ws[1:])) for head, ws in zip(heads, words)]
 
 
 def _unknown(known: dict, seen: set) -> list:
@@ -264,8 +275,10 @@ def decode(coded: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                found = some.column("ids").to_pylist()
-                out = [None if ids is None else b"".join([tokens[i] for i in ids]) for ids in found]
+                ids = some.column("ids")
+                ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())]).tolist()
+                found = list(map(tokens.__getitem__, ids.flatten().to_numpy().tolist()))
+                out = [b"".join(found[a:b]) if known else None for a, b, known in zip(ends, ends[1:], ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*[some.column(n) for n in held], pa.array(out, pa.binary())], [*held, "bytes"])
 
     out = rows.mapInArrow(run, rows.select(*held).schema.add("bytes", "binary"))
