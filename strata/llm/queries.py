@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, embeddings, langid, mixing, oracles, quality, simhash, substrings, token_store
+from strata.llm import bpe, embeddings, langid, mixing, oracles, quality, simhash, substrings, token_store, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), *facts, failed.alias("base_failed"), "kept")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~langid.held_out(F.col("doc_id"))).select("doc_id", "toxic"))
+    found = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.new_folder(spark)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -75,7 +83,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    every = (op1_simhash, op2_language, op3_embeddings, op4_quality, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
+    every = (op1_simhash, op2_language, op3_embeddings, op4_quality, op5_toxicity, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
     return {f.__name__: f for f in every}
 
 
