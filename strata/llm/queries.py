@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, embeddings, langid, mixing, oracles, quality, simhash, substrings, token_store, toxicity
+from strata.llm import bpe, embeddings, html, langid, mixing, oracles, quality, simhash, substrings, token_store, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.new_folder(spark)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -83,7 +88,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    every = (op1_simhash, op2_language, op3_embeddings, op4_quality, op5_toxicity, op7_token_store, op8_bpe, op9_substrings, op10_mixing)
+    every = (
+        op1_simhash, op2_language, op3_embeddings, op4_quality, op5_toxicity,
+        op6_html, op7_token_store, op8_bpe, op9_substrings, op10_mixing,
+    )
     return {f.__name__: f for f in every}
 
 
