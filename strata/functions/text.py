@@ -3,9 +3,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as an empty text, what is stripped from the ends of a list element, where the kind and the
-# key stand in a resource identifier, and the platforms told apart (the leftmost one in a text wins).
+# What counts as an empty text, and an element of a list literal. What is stripped from the ends of a list
+# element, where the kind and the key stand in a resource identifier, and the platforms told apart (the leftmost one in a
+# text wins).
 EMPTY_PATTERN = r"^\s*(nan|null)?\s*$"
+LIST_ELEMENT_PATTERN = r"""(\s*(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,'"]+)\s*)(?:,|$)"""
 LIST_END_PATTERN = r"^\['|'\]$|^'|'$|^\[|\]$"
 URI_TYPE_PATTERN = r"\w*:(\w*):"
 URI_ID_PATTERN = r"\w*:\w*:(\w*)"
@@ -43,21 +45,29 @@ def list_items(c: Column, mode: str = "split") -> Column:
     """Elements of a list written as text.
 
     ``split`` cuts at every comma and strips brackets and single quotes, so a name holding a comma becomes two
-    elements and an empty list becomes one empty string. ``literal`` honours quotes and escapes instead.
+    elements and an empty list becomes one empty string. ``literal`` honours quotes and escapes instead: it is the inverse
+    of :func:`list_text`. There an unquoted None is NULL, any other unquoted element is its trimmed text, and a list
+    without elements is empty.
     """
     if mode == "split":
         return F.transform(F.split(c, ",", -1), lambda x: F.regexp_replace(F.trim(x), LIST_END_PATTERN, ""))
     if mode == "literal":
-        quoted = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
-        found = F.regexp_extract_all(c, F.lit(quoted), F.lit(0))
-        return F.transform(found, lambda x: F.regexp_replace(F.substr(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1"))
+        inner = F.regexp_replace(F.regexp_replace(F.trim(c), r"^\[", ""), r"\]$", "")
+        found = F.regexp_extract_all(inner, F.lit(LIST_ELEMENT_PATTERN), F.lit(1))
+        return F.transform(F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != ""), _element)
     raise ValueError(f"unknown list mode {mode!r}")
 
 
+def _element(x: Column) -> Column:
+    bare = F.regexp_replace(F.substr(x, F.lit(2), F.length(x) - 2), r"(?s)\\(.)", "$1")
+    return F.when(F.substr(x, F.lit(1), F.lit(1)).isin("'", '"'), bare).when(x != "None", x)
+
+
 def list_text(c: Column) -> Column:
-    """The inverse of :func:`list_items`: an array of strings as list text."""
-    inner = F.array_join(c, "', '")
-    return F.when(F.size(c) == 0, F.lit("[]")).when(c.isNotNull(), F.concat(F.lit("['"), inner, F.lit("']")))
+    """An array of strings as list text: elements in single quotes, quotes and backslashes escaped, NULL as None."""
+    escaped = lambda x: F.concat(F.lit("'"), F.regexp_replace(x, r"(['\\\\])", r"\\$1"), F.lit("'"))
+    inner = F.array_join(F.transform(c, lambda x: F.coalesce(escaped(x), F.lit("None"))), ", ")
+    return F.when(c.isNotNull(), F.concat(F.lit("["), inner, F.lit("]")))
 
 
 # --- resource identifiers such as service:kind:key ---

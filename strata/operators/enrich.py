@@ -77,9 +77,9 @@ def lookup(
             elif len(reply) == len(batch):
                 pairs = [(k, "found" if r else "absent", r) for k, r in zip(batch, reply)]
             else:
-                got = [r for r in reply if r]
-                pairs = [(r["id"], "found", r) for r in got]
-                pairs += [(k, "absent", None) for k in batch if k not in {r["id"] for r in got}]
+                # A reply of another length is matched by the records' ids; those that nobody asked for are left out.
+                got = {str(r["id"]): r for r in reply if r and r.get("id") is not None}
+                pairs = [(k, "found" if str(k) in got else "absent", got.get(str(k))) for k in batch]
             rows = [(str(k), s, used, json.dumps(r) if r else None) for k, s, r in pairs]
             return pd.DataFrame(rows, columns=["key", "status", "attempts", "record"])
 

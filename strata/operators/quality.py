@@ -15,6 +15,7 @@ from strata import schemas
 from strata.functions.numeric import MODES, PITCHES
 from strata.operators.incremental import keep_existing
 from strata.sql import literal, quoted
+from strata.staging import open_store
 
 # Rule names of the stored suite format.
 ORDERED_COLUMNS = "expect_table_columns_to_match_ordered_list"
@@ -113,14 +114,16 @@ class Suite:
         return Suite(doc["name"], rules, doc.get("meta") or {})
 
     def save(self, path: str) -> None:
-        """Add the suite file, or replace the one there."""
-        with open(path, "w", encoding="utf-8") as f:
-            f.write(self.to_json())
+        """Add the suite file, or replace the one there; on any file system that :func:`open_store` reaches."""
+        fs, at = open_store(path)
+        with fs.open_output_stream(at) as f:
+            f.write(self.to_json().encode())
 
     @staticmethod
     def load(path: str) -> Suite:
-        with open(path, encoding="utf-8") as f:
-            return Suite.from_json(f.read())
+        fs, at = open_store(path)
+        with fs.open_input_stream(at) as f:
+            return Suite.from_json(f.read().decode())
 
 
 # --- rules as SQL conditions, so that a suite of any size becomes one short expression tree ---
@@ -237,6 +240,17 @@ def flag_rows(df: DataFrame, suite: Suite, parameters: dict | None = None) -> Da
     return df.withColumn("violations", F.expr(broken)).filter("size(violations) > 0")
 
 
+def unique_violations(df: DataFrame, suite: Suite, salts: int | None = 1) -> DataFrame:
+    """Rows that break a uniqueness rule, whole, with the rule's number as ``rule_no``; a row may break several."""
+    found = [
+        duplicate_rows(df.dropna(subset=rule.columns, how="all"), rule.columns, salts).withColumn("rule_no", F.lit(no))
+        for no, rule in enumerate(suite.rules, start=1)
+        if rule.type in (UNIQUE, COMPOUND_UNIQUE) and not _absent(rule, df)
+    ]
+    empty = df.limit(0).withColumn("rule_no", F.lit(0))
+    return reduce(DataFrame.unionByName, found, empty)
+
+
 def duplicate_rows(df: DataFrame, cols: Sequence[str], salts: int | None = 1) -> DataFrame:
     """All members of all duplicate groups, whole. ``salts`` spreads a group that holds much of the table."""
     repeated = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")

@@ -12,15 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 ORDER, CHUNK = "__order", "chunk"
-_BUCKET, _OFFSET, _N, _BASE, _STARTS = "__bucket", "__offset", "__n", "__base", "__starts"
-# Rows a bucket of the hash range holds, about, and the most buckets; with more rows buckets get larger.
+_BUCKET, _OFFSET, _N, _BASE, _STARTS, _GROUP = (
+    "__bucket", "__offset", "__n", "__base", "__starts", "__group"
+)
+# Rows a bucket of the hash range holds, about, and buckets of which one running total is made at a time.
 BUCKET_ROWS = 10_000
-MAX_BUCKETS = 1_000_000
-# Rows a task should get, and the most tasks: beyond that they cost the driver more than they save.
+GROUP = 4096
+# Rows a task should get.
 TASK_ROWS = 1_000_000
-MAX_TASKS = 20_000
-# Up to this many chunks the table of chunk starts, with its at most MAX_BUCKETS rows, is broadcast: 8 bytes a start.
-BROADCAST_CHUNKS = 10_000_000
 
 
 def shuffle_key(df: DataFrame, seed: int = 0) -> DataFrame:
@@ -33,7 +32,12 @@ def shuffle_key(df: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def n_buckets(n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
-    return min(max(1, -(-n_rows // bucket_rows)), MAX_BUCKETS)
+    return max(1, -(-n_rows // bucket_rows))
+
+
+def n_tasks(df: DataFrame, n_rows: int, most: int) -> int:
+    """Tasks for a shuffle of ``n_rows`` that go to at most ``most`` places."""
+    return min(most, max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // TASK_ROWS)))
 
 
 def bucket_of(order: Column, buckets: int) -> Column:
@@ -44,11 +48,19 @@ def bucket_of(order: Column, buckets: int) -> Column:
 
 
 def bucket_offsets(ordered: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows of each bucket, and the position of its first row. The running total sees one row per bucket."""
+    """Rows of each bucket, and the position of its first row.
+
+    Running totals are made in two steps, over groups of buckets and within each group, so that none sees all buckets.
+    """
     bucket = bucket_of(F.col(ORDER), n_buckets(n_rows, bucket_rows))
     sizes = ordered.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias(_N))
-    before = W.Window.orderBy(_BUCKET).rowsBetween(W.Window.unboundedPreceding, -1)
-    return sizes.withColumn(_OFFSET, F.coalesce(F.sum(_N).over(before), F.lit(0)))
+    sizes = sizes.withColumn(_GROUP, F.floor(F.col(_BUCKET) / GROUP))
+    upto = (W.Window.unboundedPreceding, -1)
+    groups = sizes.groupBy(_GROUP).agg(F.sum(_N).alias(_N))
+    before = F.coalesce(F.sum(_N).over(W.Window.orderBy(_GROUP).rowsBetween(*upto)), F.lit(0))
+    within = F.coalesce(F.sum(_N).over(W.Window.partitionBy(_GROUP).orderBy(_BUCKET).rowsBetween(*upto)), F.lit(0))
+    placed = sizes.withColumn(_OFFSET, within).join(groups.select(_GROUP, before.alias(_BASE)), _GROUP)
+    return placed.select(_BUCKET, _N, (F.col(_OFFSET) + F.col(_BASE)).alias(_OFFSET))
 
 
 def chunk_of(position: Column, min_rows: int, max_rows: int, seed: int = 0) -> Column:
@@ -88,11 +100,8 @@ def chunk_starts(
     offsets = bucket_offsets(ordered, n_rows, bucket_rows).withColumn(_BASE, chunk_at(F.col(_OFFSET) - 1))
     crossed = offsets.filter(chunk_at(F.col(_OFFSET) + F.col(_N) - 1) != F.col(_BASE)).select(_BUCKET, _OFFSET)
     hashes = ordered.select(ORDER, bucket_of(F.col(ORDER), buckets).alias(_BUCKET))
-    cores = ordered.sparkSession.sparkContext.defaultParallelism
-    tasks = min(buckets, MAX_TASKS, max(cores, -(-n_rows // TASK_ROWS)))
     within = W.Window.partitionBy(_BUCKET).orderBy(ORDER)
-    # There are at most MAX_BUCKETS rows, of two numbers each, to broadcast.
-    placed = hashes.join(F.broadcast(crossed), _BUCKET).repartition(tasks, _BUCKET)
+    placed = hashes.join(crossed, _BUCKET).repartition(n_tasks(ordered, n_rows, buckets), _BUCKET)
     position = F.col(_OFFSET) + F.row_number().over(within) - 1
     numbered = placed.select(_BUCKET, ORDER, position.alias("__position"))
     starting = numbered.filter(chunk_at(F.col("__position")) != chunk_at(F.col("__position") - 1))
@@ -100,15 +109,11 @@ def chunk_starts(
     return offsets.select(_BUCKET, _BASE).join(starts, _BUCKET, "left")
 
 
-def split_chunks(
-    ordered: DataFrame, starts: DataFrame, n_rows: int, n_chunks: int, bucket_rows: int = BUCKET_ROWS
-) -> DataFrame:
+def split_chunks(ordered: DataFrame, starts: DataFrame, n_rows: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows of an ordered frame (see :func:`shuffle_key`) with the number of their chunk; the last one is shorter.
 
-    ``starts`` is a staged result of :func:`chunk_starts` for the same numbers, ``n_chunks`` about how many there are.
+    ``starts`` is a staged result of :func:`chunk_starts` for the same numbers.
     """
-    if n_chunks <= BROADCAST_CHUNKS:
-        starts = F.broadcast(starts)
     bucket = bucket_of(F.col(ORDER), n_buckets(n_rows, bucket_rows))
     found = ordered.withColumn(_BUCKET, bucket).join(starts, _BUCKET)
     begun = F.when(F.col(_STARTS).isNull(), 0).otherwise(F.size(F.filter(_STARTS, lambda s: s <= F.col(ORDER))))

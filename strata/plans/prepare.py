@@ -41,16 +41,18 @@ def split_csv(
 
     Every chunk is one file in a folder ``chunk=1``, ``chunk=2`` and so on; an empty input writes nothing. The rows are staged with their random order, because chunks need a count before the second pass.
     """
+    # Buckets no larger than chunks, so that few chunks start in each.
+    bucket_rows = min(bucket_rows, max(min_rows, 1))
     with Staging(spark) as staging:
         ordered = staging.put(split.shuffle_key(df, seed), "ordered")
         n_rows = ordered.count()
         if n_rows:
             starts = staging.put(split.chunk_starts(ordered, n_rows, min_rows, max_rows, seed, bucket_rows), "starts")
             n_chunks = split.expected_chunks(n_rows, min_rows, max_rows)
-            chunks = split.split_chunks(ordered, starts, n_rows, n_chunks, bucket_rows)
+            chunks = split.split_chunks(ordered, starts, n_rows, bucket_rows)
             (
                 files.csv_ready(chunks)
-                .repartition(min(n_chunks, split.MAX_TASKS), split.CHUNK)
+                .repartitionByRange(split.n_tasks(df, n_rows, n_chunks), split.CHUNK)
                 .sortWithinPartitions(split.CHUNK, split.ORDER)
                 .drop(split.ORDER)
                 .write.mode("overwrite")

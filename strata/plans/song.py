@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 from strata.operators.clean import clean_songs
 from strata.operators.gate import GatePolicy, NullStats, null_gate, without
 from strata.operators.nested import normalize_artists
-from strata.plans.load import gated_new_rows
+from strata.plans.load import Run, gated_new_rows
 from strata.sources.files import read_layer, write_parquet
-from strata.staging import Staging, refuse_overlap
+from strata.staging import refuse_overlap
 
 
 @dataclass(frozen=True)
@@ -45,24 +45,25 @@ def load_songs(
     policy: GatePolicy = GatePolicy(),
     salts: int | None = 1,
     rejects: str | None = None,
+    run_id: str | None = None,
 ) -> SongLoad:
     """Append new gold songs and their artists to the warehouse; ``rejects`` is a folder for the rows gated out.
 
-    Both gates decide before anything is appended; songs are appended first. If a run ends between the two, repeat it
-    with ``artist_keys=("id", "artist_id")``, which also fills in songs of which only some artists were stored.
+    Both gates decide before anything is appended; songs are appended first. A load that broke off is repeated under its own
+    ``run_id``: what it had decided to append to either table is completed, whatever of it is stored already.
     """
     song_table.create(spark)
     artist_table.create(spark)
     songs = read_layer(spark, gold, "gold")
     artists = normalize_artists(songs)
-    with Staging(spark) as staging:
-        new_songs = gated_new_rows(
-            songs, song_table, ["id"], staging, "song_keys", policy, without(songs, "release_date"), salts
-        )
-        new_artists = gated_new_rows(artists, artist_table, artist_keys, staging, "artist_keys", policy, salts=salts)
-        if rejects:
-            write_parquet(new_songs.rejected, f"{rejects}/songs")
-            write_parquet(new_artists.rejected, f"{rejects}/artists")
-        song_table.append(new_songs.kept)
-        artist_table.append(new_artists.kept)
-    return SongLoad(new_songs.stats, new_artists.stats)
+    counted = without(songs, "release_date")
+    gates = {
+        "songs": lambda staging: gated_new_rows(songs, song_table, ["id"], staging, "song_keys", policy, counted, salts),
+        "artists": lambda staging: gated_new_rows(artists, artist_table, artist_keys, staging, "artist_keys", policy, salts=salts),
+    }
+    run = Run(spark, run_id, rejects)
+    stats = run.decide(gates, {"songs": song_table, "artists": artist_table})
+    run.store("songs", song_table)
+    run.store("artists", artist_table)
+    run.close()
+    return SongLoad(stats["songs"], stats["artists"])

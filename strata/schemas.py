@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.sql import quoted
+from strata.sql import literal, quoted
 
 # Column names and order of the song layers.
 SONG_TEXT = ["id", "name", "album", "album_id"]
@@ -93,17 +93,29 @@ def empty_frame(spark: SparkSession, kind: str) -> DataFrame:
     return spark.createDataFrame([], schema_for(kind))
 
 
-def enforce(df: DataFrame, schema: T.StructType, missing: str = "error") -> DataFrame:
-    """Project ``df`` to ``schema`` by name. A value that does not fit its type becomes NULL.
+def enforce(df: DataFrame, schema: T.StructType, missing: str = "error", misfit: str = "null") -> DataFrame:
+    """Project ``df`` to ``schema`` by name. A value that does not fit its type becomes NULL, or with ``misfit='error'``
+    fails the job.
 
-    Whole numbers written as ``5.0`` (a column that once had gaps) still read as 5.
+    Whole numbers written as ``5.0`` (a column that once had gaps) read as 5; a fraction does not fit a whole number.
     ``missing='null'`` fills absent columns with typed NULLs.
     """
+    if misfit not in ("null", "error"):
+        raise ValueError(f"unknown treatment of values that do not fit: {misfit!r}")
     absent = [f.name for f in schema if f.name not in df.columns]
     if absent and missing != "null":
         raise ValueError(f"columns missing from the input: {absent}")
     have = {f.name: f.dataType for f in df.schema}
-    return df.selectExpr(*[f"{_fit(f, have.get(f.name))} AS {quoted(f.name)}" for f in schema])
+    fitted = [(f, _fit(f, have.get(f.name))) for f in schema]
+    if misfit == "error":
+        fitted = [(f, _or_error(f, e)) if f.name in have and have[f.name] != f.dataType else (f, e) for f, e in fitted]
+    return df.selectExpr(*[f"{e} AS {quoted(f.name)}" for f, e in fitted])
+
+
+def _or_error(field: T.StructField, fitted: str) -> str:
+    c = quoted(field.name)
+    told = f"concat({literal(f'{field.name} does not fit {field.dataType.simpleString()}: ')}, CAST({c} AS STRING))"
+    return f"CASE WHEN {c} IS NOT NULL AND ({fitted}) IS NULL THEN raise_error({told}) ELSE {fitted} END"
 
 
 def _fit(field: T.StructField, have: T.DataType | None) -> str:
@@ -114,12 +126,19 @@ def _fit(field: T.StructField, have: T.DataType | None) -> str:
     if have == field.dataType:
         return c
     if isinstance(field.dataType, T.IntegralType) and isinstance(have, T.StringType):
-        return f"coalesce(try_cast({c} AS {want}), try_cast(try_cast({c} AS DECIMAL(38, 6)) AS {want}))"
+        number = f"try_cast({c} AS DECIMAL(38, 6))"
+        return f"coalesce(try_cast({c} AS {want}), {_whole(number, want)})"
+    if isinstance(field.dataType, T.IntegralType) and isinstance(have, (T.FractionalType, T.DecimalType)):
+        return _whole(c, want)
     if isinstance(have, (T.ArrayType, T.StructType)) or isinstance(field.dataType, (T.ArrayType, T.StructType)):
         return f"CAST({c} AS {want})"
     return f"try_cast({c} AS {want})"
 
 
+def _whole(number: str, want: str) -> str:
+    return f"CASE WHEN {number} % 1 = 0 THEN try_cast({number} AS {want}) END"
+
+
 # Types and lengths of the warehouse tables.
 GOLD_SONG_DDL = (
     "id VARCHAR(255), name STRING, album STRING, album_id VARCHAR(255), "

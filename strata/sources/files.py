@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schemas
 from strata.functions import text
-from strata.staging import path_exists
+from strata.staging import open_store, path_exists
 
 # Whole fields that mean "no value" in a CSV file.
 NA_TOKENS = [
@@ -26,55 +31,154 @@ CSV_OUT = {
 }
 
 
-def read_layer(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A Parquet layer in its declared types, whatever types the files were written with."""
-    schema = schemas.schema_for(kind)
-    return schemas.enforce(spark.read.parquet(path), schema)
+def listed(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """(path, length) of the finished files below a folder, listed by tasks where there are many.
+
+    Files and folders whose name begins with ``_`` or ``.`` are work in progress and not listed.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", pattern) if pattern else reader
+    return reader.load(folder).select("path", "length")
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kinds = []
+        for path in batch.column("path").to_pylist():
+            fs, at = open_store(path)
+            kinds.append(str(pq.read_schema(at, filesystem=fs).remove_metadata()))
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(kinds, pa.string())], ["path", "kind"])
+
+
+def parquet_groups(spark: SparkSession, source: str | list[str]) -> list[DataFrame]:
+    """The Parquet files of a folder, or of a list of files, one frame for each schema that they were written with.
+
+    Footers are read in tasks. Files of one schema are read by their folder; file names reach the driver only where
+    schemas differ. No files give no frame.
+    """
+    if isinstance(source, str):
+        files = listed(spark, source, "*.parquet").select("path")
+    else:
+        files = reduce(DataFrame.union, [listed(spark, p, "*.parquet") for p in source]).select("path")
+    tasks = spark.sparkContext.defaultParallelism
+    kinds = files.repartition(tasks).mapInArrow(_footers, "path string, kind string").persist()
+    try:
+        counts = kinds.groupBy("kind").count().collect()
+        if len(counts) == 1:
+            return [spark.read.parquet(source) if isinstance(source, str) else spark.read.parquet(*source)]
+        paths: dict[str, list[str]] = {r.kind: [] for r in counts}
+        for r in kinds.toLocalIterator() if counts else ():
+            paths[r.kind].append(r.path)
+    finally:
+        kinds.unpersist()
+    reader = spark.read.option("basePath", source) if isinstance(source, str) else spark.read
+    return [reader.parquet(*sorted(found)) for _, found in sorted(paths.items())]
+
+
+def declared(frames: list[DataFrame], schema: T.StructType, spark: SparkSession) -> DataFrame:
+    """The rows of all frames in declared types, by name. A column must be in one of them; NULL where another lacks it."""
+    if not frames:
+        return spark.createDataFrame([], schema)
+    absent = [f.name for f in schema if all(f.name not in df.columns for df in frames)]
+    if absent:
+        raise ValueError(f"columns missing from the input: {absent}")
+    return reduce(DataFrame.unionByName, [schemas.enforce(df, schema, missing="null") for df in frames])
+
+
+def read_layer(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+    """A Parquet layer in its declared types, whatever types each of its files was written with."""
+    return declared(parquet_groups(spark, path), schemas.schema_for(kind), spark)
 
 
 def declared_plays(df: DataFrame, uri_prefix: str = "") -> DataFrame:
-    """Raw plays in their declared types; columns that an export lacks are NULL."""
+    """Raw plays in their declared types; columns that an export lacks are NULL, but not the time and the track's URI.
+
+    The URI's column is the one that ends in ``track_uri``, whatever the exporting service put before it.
+    """
+    wanted = f"{uri_prefix}track_uri"
+    found = [c for c in df.columns if c.endswith("track_uri")]
+    if wanted not in df.columns and len(found) == 1:
+        df = df.withColumnRenamed(found[0], wanted)
+    required = [c for c in ("ts", wanted) if c not in df.columns]
+    if required:
+        raise ValueError(f"columns missing from the input: {required}, columns that end in track_uri: {found}")
     if isinstance(df.schema["ts"].dataType, (T.TimestampType, T.TimestampNTZType)):
         df = df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     return schemas.enforce(df, schemas.raw_play_schema(uri_prefix), missing="null")
 
 
-def read_plays(spark: SparkSession, path: str, uri_prefix: str = "") -> DataFrame:
-    return declared_plays(spark.read.parquet(path), uri_prefix)
+def read_plays(spark: SparkSession, path: str | list[str], uri_prefix: str = "") -> DataFrame:
+    """Raw plays of files of any schemas that hold them."""
+    frames = [declared_plays(df, uri_prefix) for df in parquet_groups(spark, path)]
+    if not frames:
+        return spark.createDataFrame([], schemas.raw_play_schema(uri_prefix))
+    return reduce(DataFrame.unionByName, frames)
+
+
+class MalformedCsv(ValueError):
+    """Rows with more fields than their file's header."""
+
+
+_RAW = "__raw_line"
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("pathGlobFilter", "*.csv")
+    )
+
+
+def _too_long(n: int) -> Column:
+    """Whether the raw text of a row that does not fit has more than ``n`` fields; fewer are filled with NULL."""
+    return _too_long_of(_RAW, n)
+
+
+def _too_long_of(line: str, n: int) -> Column:
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    return F.coalesce(F.regexp_count(bare, F.lit(",")) >= n, F.lit(False))
 
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | None = None,
     infer: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
     na_tokens: list[str] | None = NA_TOKENS,
     source_column: str | None = None,
+    malformed: str = "error",
 ) -> DataFrame:
-    """All ``*.csv`` files of a folder, with a header each and quotes doubled inside quoted fields.
+    """All ``*.csv`` files of a folder, or a list of files, with a header each and quotes doubled inside quoted fields.
 
     Fields are read as text and then fitted to ``schema``, by name. Types are inferred, in a second scan, only with
-    ``infer``. Files whose header differs from the first one's are an error instead of shifted columns.
-    ``multi_line`` accepts line breaks inside quotes; such files cannot be split among tasks. ``source_column``
-    adds the file name without its suffix.
+    ``infer``. Files whose header differs from the first one's are an error instead of shifted columns; see
+    :func:`csv_groups`. Line breaks inside quotes belong to the field; ``multi_line=False`` is for files known to have none,
+    which can then be split among tasks. ``source_column`` adds the file name without its suffix.
+
+    A row with fewer fields than the header ends in NULLs. One with more fails the job, or with ``malformed="aside"`` is left
+    out, to be had from :func:`malformed_csv`.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", infer)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.csv")
-    )
-    df = reader.csv(path)
+    df, names = _with_raw_lines(spark, path, multi_line)
+    n = len(names)
+    if malformed == "error":
+        told = F.concat(F.lit(f"more than {n} fields: "), F.col(_RAW))
+        df = df.filter(F.when(_too_long(n), F.raise_error(told).cast("boolean")).otherwise(True))
+    elif malformed == "aside":
+        df = df.filter(~_too_long(n))
+    else:
+        raise ValueError(f"unknown treatment of malformed rows {malformed!r}")
+    kinds = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema if infer else None
     cols = []
-    for f in df.schema:
-        c = F.col(f"`{f.name}`")
-        if na_tokens and isinstance(f.dataType, T.StringType):
+    for name in names:
+        c = F.col(f"`{name}`")
+        if na_tokens and not (kinds and not isinstance(kinds[name].dataType, T.StringType)):
             c = text.blank_if_token(c, na_tokens)
-        cols.append(c.alias(f.name))
+        cols.append((c.try_cast(kinds[name].dataType) if kinds else c).alias(name))
     if source_column:
         # The name comes percent-encoded, and a plus sign in it is just that.
         name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
@@ -84,10 +188,57 @@ def read_csv(
     return schemas.enforce(df, schema, missing="null") if schema else df
 
 
-def inferred_schema(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
+def _with_raw_lines(spark: SparkSession, path: str | list[str], multi_line: bool) -> tuple[DataFrame, list[str]]:
+    """All columns as text, and the raw text of rows whose number of fields is not the header's."""
+    reader = _csv_reader(spark, multi_line)
+    names = reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    reader = reader.option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
+    return reader.schema(schema).csv(path), names
+
+
+def malformed_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """(file, line): the rows with more fields than the header, as they are in the file."""
+    df, names = _with_raw_lines(spark, path, multi_line)
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.select(name.alias("file"), F.col(_RAW).alias("line"), *names).filter(_too_long_of("line", len(names))).select("file", "line")
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for path in batch.column("path").to_pylist():
+            fs, at = open_store(path)
+            with fs.open_input_stream(at) as f:
+                head = b""
+                while b"\n" not in head and (more := f.read(1 << 16)):
+                    head += more
+            lines.append(head.split(b"\n")[0].decode("utf-8-sig", "replace").strip())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lines, pa.string())], ["path", "header"])
+
+
+def csv_groups(spark: SparkSession, folder: str) -> list[str | list[str]]:
+    """The CSV files of a folder by their header: the folder where all agree, else a list of files for each header.
+
+    Headers are read in tasks.
+    """
+    found = listed(spark, folder, "*.csv").select("path").repartition(spark.sparkContext.defaultParallelism)
+    heads = found.mapInArrow(_headers, "path string, header string").persist()
+    try:
+        if heads.select("header").distinct().count() <= 1:
+            return [folder]
+        groups: dict[str, list[str]] = {}
+        for r in heads.toLocalIterator():
+            groups.setdefault(r.header, []).append(r.path)
+    finally:
+        heads.unpersist()
+    return [sorted(paths) for _, paths in sorted(groups.items())]
+
+
+def inferred_schema(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> T.StructType:
     """Column types found by a scan of the CSV files. Dates and times stay text, for the cleaning rules to judge."""
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    found = read_csv(spark, path, infer=True, multi_line=multi_line).schema
+    found = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema
     return T.StructType(
         [T.StructField(f.name, T.StringType() if isinstance(f.dataType, times) else f.dataType) for f in found]
     )

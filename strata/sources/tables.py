@@ -58,33 +58,66 @@ class ParquetTable:
 
 @dataclass(frozen=True)
 class JdbcTable:
-    """A table in a database. ``parallel`` holds the bounds of a parallel read: ``partitionColumn``, ``lowerBound``,
-    ``upperBound`` and ``numPartitions``; without them one task reads everything. Each task appends in a transaction of
-    its own, so a repeated task can add rows twice unless the table has a key.
+    """A table in a database. Each task appends in a transaction of its own; a load repeated under its run id completes it.
+
+    ``reads`` is the number of tasks that read the table, each the rows whose key hashes to its number: ``hashed`` is SQL for
+    that hash over the first of the columns read, so the key need not be a number or be read itself. ``creates`` makes the
+    table from its definition where it is missing, lists as JSON text; else the database's owner creates it.
     """
 
     url: str
     name: str
     ddl: str
     properties: dict = field(default_factory=dict)
-    parallel: dict = field(default_factory=dict)
+    reads: int = 1
+    creates: bool = False
+    #: PostgreSQL's; others have one as well.
+    hashed: str = "abs(hashtext(CAST({column} AS text)))"
 
     def options(self, columns: Sequence[str] | None = None) -> dict[str, str]:
         what = ", ".join(columns) if columns else "*"
-        # A subquery as dbtable, because the query option cannot be combined with partitionColumn.
         source = {"url": self.url, "dbtable": f"(SELECT {what} FROM {self.name}) t"}
-        return source | {k: str(v) for k, v in (self.properties | self.parallel).items()}
+        return source | {k: str(v) for k, v in self.properties.items()}
+
+    def predicates(self, columns: Sequence[str] | None = None) -> list[str]:
+        """One condition a task. NULL keys go with the first one."""
+        column = (columns or [self.ddl.split()[0]])[0]
+        part = f"{self.hashed.format(column=column)} % {self.reads}"
+        return [f"{part} = {i}" + (f" OR {column} IS NULL" if i == 0 else "") for i in range(self.reads)]
+
+    def create_sql(self) -> str:
+        kinds = {"STRING": "TEXT", "DOUBLE": "DOUBLE PRECISION", "TIMESTAMP_NTZ": "TIMESTAMP", "INT": "INTEGER"}
+        columns = []
+        for part in self.ddl.split(", "):
+            name, kind = part.split(" ", 1)
+            columns.append(f"{name} {'TEXT' if kind.startswith('ARRAY') else kinds.get(kind, kind)}")
+        return f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)})"
 
     def create(self, spark: SparkSession) -> None:
-        """The database owner creates its tables."""
+        """Run the definition through the driver's JDBC connection, if the table is to be created here."""
+        if not self.creates:
+            return
+        jvm = spark.sparkContext._jvm
+        properties = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            properties.setProperty(k, str(v))
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            connection.createStatement().execute(self.create_sql())
+        finally:
+            connection.close()
 
     def read(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(columns)).load()
+        if self.reads == 1:
+            return spark.read.format("jdbc").options(**self.options(columns)).load()
+        source = self.options(columns)["dbtable"]
+        given = {k: str(v) for k, v in self.properties.items()}
+        return spark.read.jdbc(self.url, source, predicates=self.predicates(columns), properties=given)
 
     def append(self, df: DataFrame) -> None:
         aligned(df, self.ddl).write.jdbc(self.url, self.name, mode="append", properties=self.properties)
 
 
 def aligned(df: DataFrame, ddl: str) -> DataFrame:
-    """Columns in the order and types of a table definition."""
-    return schemas.enforce(df, schemas.target_schema(ddl))
+    """Columns in the order and types of a table definition. A value that does not fit fails the append."""
+    return schemas.enforce(df, schemas.target_schema(ddl), misfit="error")

@@ -5,9 +5,12 @@ A staged table cuts the lineage, survives the loss of executors and keeps column
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from urllib.parse import quote
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -16,12 +19,12 @@ _LOCAL_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Only a session that runs in one process, without the setting, gets a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
@@ -34,6 +37,14 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def open_store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path and the path in it, for tasks, which have no access to the JVM's."""
+    scheme, place, rest = re.match(r"(?:([a-zA-Z][\w+.-]*):)?(//[^/]*)?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        return pafs.LocalFileSystem(), rest
+    return pafs.FileSystem.from_uri(f"{scheme}:{place or '//'}{quote(rest)}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import gate, views
 from strata.operators.clean import clean_plays, clean_songs
-from strata.plans import backfill, load, play, song
+from strata.plans import backfill, play, song
 from strata.sources import files, tables
 from strata.staging import shared_dir
 from workload import fixtures as fx
@@ -16,10 +16,10 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(params=["few keys", "many keys"])
-def key_paths(request, monkeypatch):
+def key_paths(request, setting):
     """Loads give the same result whether the stored keys are broadcast or shuffled."""
     if request.param == "many keys":
-        monkeypatch.setattr(load, "BROADCAST_KEYS", -1)
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
 @pytest.fixture

@@ -14,18 +14,18 @@ def chunks(spark, n, low, high, seed, bucket_rows):
     # A range is read in the same order every time, so it needs no staging.
     ordered = split.shuffle_key(spark.range(0, n, 1, 4), seed)
     starts = split.chunk_starts(ordered, n, low, high, seed, bucket_rows)
-    return split.split_chunks(ordered, starts, n, split.expected_chunks(n, low, high), bucket_rows)
+    return split.split_chunks(ordered, starts, n, bucket_rows)
 
 
-@pytest.mark.parametrize("limit", [split.BROADCAST_CHUNKS, -1], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("group", [split.GROUP, 3], ids=["one group", "groups"])
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     n=st.integers(1, 3000), low=st.integers(1, 50), extra=st.integers(0, 200), seed=st.integers(0, 9),
     bucket_rows=st.sampled_from([20, 100, 1000, 10**6]),
 )
-def test_chunks_partition_the_input(spark, limit, n, low, extra, seed, bucket_rows):
+def test_chunks_partition_the_input(spark, group, n, low, extra, seed, bucket_rows):
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(split, "BROADCAST_CHUNKS", limit)
+        patch.setattr(split, "GROUP", group)
         rows = chunks(spark, n, low, low + extra, seed, bucket_rows).collect()
     assert sorted(r["id"] for r in rows) == list(range(n))
     # Brute force: sort by the hash, number the rows, cut by the numbers.
@@ -43,8 +43,8 @@ def test_hashes_differ_and_shuffle(spark):
     assert sum(a["id"] < b["id"] for a, b in zip(rows, rows[1:])) < 30_000
 
 
-def test_more_rows_than_buckets_allow(spark, monkeypatch):
-    monkeypatch.setattr(split, "MAX_BUCKETS", 3)
+def test_joins_without_broadcast(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = chunks(spark, 3000, 10, 50, 2, 20).collect()
     rows.sort(key=lambda r: r[split.ORDER])
     numbers = spark.range(0, 3000, 1, 1).select(split.chunk_of(F.col("id"), 10, 50, 2).alias("c")).collect()
@@ -60,7 +60,7 @@ def test_whole_rows_move_once(spark, tmp_path):
     plan = starts._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<__order:bigint>" in plan and "v#" not in plan
     starts.write.parquet(str(tmp_path / "starts"))
-    rows = split.split_chunks(ordered, spark.read.parquet(str(tmp_path / "starts")), 100, 7)
+    rows = split.split_chunks(ordered, spark.read.parquet(str(tmp_path / "starts")), 100)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata import schemas
@@ -6,8 +7,10 @@ from strata.plans import play
 from strata.sources import files, tables
 from strata.streaming.plays import stream_plays
 from workload import fixtures as fx
+from workload import queries
 
 SF = "/root/testdata/sf0.001"
+HalfTable = queries.HalfTable
 ASIDE = gate.GatePolicy(on_exceed="quarantine")
 
 
@@ -26,16 +29,15 @@ def test_stream_loads_what_the_batch_job_loads(spark, tmp_path):
     play.load_plays(spark, raw, str(tmp_path / "gold_job"), by_job, policy=ASIDE)
 
     def run():
-        query = stream_plays(
+        return stream_plays(
             spark, raw, str(tmp_path / "gold"), by_stream, str(tmp_path / "checkpoint"), policy=ASIDE
         )
-        assert query.awaitTermination(120) and query.exception() is None
 
     run()
     assert rows(by_stream.read(spark)) == rows(by_job.read(spark))
     assert spark.read.parquet(str(tmp_path / "gold")).count() == 1000
     # Nothing new, nothing done.
-    run()
+    assert run() is None
     assert by_stream.read(spark).count() == by_job.read(spark).count()
     # One more file with tracks that were never played.
     later = spark.read.parquet(raw).withColumn("track_uri", F.concat(F.lit("svc:track:later"), F.col("ms_played")))
@@ -49,8 +51,35 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
     files.write_parquet(fx.raw_plays(spark, SF).drop("event_id"), raw)
     table = play_table(tmp_path / "table")
     for checkpoint in ("first", "lost and made anew"):
-        query = stream_plays(
-            spark, raw, str(tmp_path / "gold"), table, str(tmp_path / checkpoint), policy=ASIDE
-        )
-        assert query.awaitTermination(120) and query.exception() is None
+        stream_plays(spark, raw, str(tmp_path / "gold"), table, str(tmp_path / checkpoint), policy=ASIDE)
     assert table.read(spark).count() == 950
+
+
+def test_files_dealt_one_by_one_change_nothing(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    plays = fx.raw_plays(spark, SF).drop("event_id").filter("track_uri IS NOT NULL")
+    for _ in range(5):
+        plays.limit(40).coalesce(1).write.mode("append").parquet(raw)
+    whole, single = play_table(tmp_path / "whole"), play_table(tmp_path / "single")
+    play.load_plays(spark, raw, str(tmp_path / "gold_job"), whole)
+    stats = stream_plays(spark, raw, str(tmp_path / "gold"), single, str(tmp_path / "cp"), max_files=1)
+    assert stats.n_rows == 200 and rows(single.read(spark)) == rows(whole.read(spark))
+    assert len(list((tmp_path / "gold").glob("batch_id=*"))) == 5
+
+
+def test_empty_zone(spark, tmp_path):
+    table = play_table(tmp_path / "t")
+    assert stream_plays(spark, str(tmp_path / "raw"), str(tmp_path / "gold"), table, str(tmp_path / "cp")) is None
+
+
+def test_a_run_that_broke_off_while_loading_is_completed(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    files.write_parquet(fx.raw_plays(spark, SF).drop("event_id"), raw)
+    table, whole = HalfTable(str(tmp_path / "t"), schemas.GOLD_PLAY_DDL), play_table(tmp_path / "whole")
+    play.load_plays(spark, raw, str(tmp_path / "gold_job"), whole, policy=ASIDE)
+    args = (spark, raw, str(tmp_path / "gold"), table, str(tmp_path / "cp"))
+    with pytest.raises(OSError):
+        stream_plays(*args, policy=ASIDE)
+    assert 0 < table.read(spark).count() < whole.read(spark).count()
+    assert stream_plays(*args, policy=ASIDE) is None
+    assert rows(table.read(spark)) == rows(whole.read(spark))

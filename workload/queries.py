@@ -15,7 +15,7 @@ from strata.functions import numeric, temporal, text
 from strata.operators import clean, enrich, gate, incremental, nested, quality, split, views
 from strata.plans import backfill, play, prepare, song
 from strata.sources import files, tables, zones
-from strata.staging import shared_dir
+from strata.staging import make_folder, path_exists, shared_dir
 from strata.streaming.plays import stream_plays
 from workload import fixtures as fx
 
@@ -380,7 +380,7 @@ def split_chunk_sizes(spark, d):
     n = ordered.count()
     files.write_parquet(split.chunk_starts(ordered, n, low, high, seed=7), f"{out}/starts")
     starts = spark.read.parquet(f"{out}/starts")
-    chunks = split.split_chunks(ordered, starts, n, split.expected_chunks(n, low, high))
+    chunks = split.split_chunks(ordered, starts, n)
     sizes = chunks.groupBy(split.CHUNK).agg(
         F.count(F.lit(1)).alias("size"), F.min(split.ORDER).alias("lo"), F.max(split.ORDER).alias("hi")
     )
@@ -482,6 +482,18 @@ def artist_load(spark, d):
     return artists.read(spark)
 
 
+class HalfTable(tables.ParquetTable):
+    """A table whose first append stores half of the rows and then breaks off."""
+
+    def append(self, df):
+        broken = f"{self.path}_broken"
+        if path_exists(df.sparkSession, broken):
+            return super().append(df)
+        make_folder(df.sparkSession, broken)
+        super().append(df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0))
+        raise OSError("broken off")
+
+
 def _play_load(spark, d):
     root = _folder(spark, "plays")
     files.write_parquet(fx.raw_plays(spark, d).drop("event_id"), f"{root}/raw")
@@ -508,7 +520,7 @@ def play_stream_load(spark, d):
     files.write_parquet(fx.raw_plays(spark, d).drop("event_id"), f"{root}/raw")
     table = tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
     table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna())
-    stream_plays(spark, f"{root}/raw", f"{root}/gold", table, f"{root}/checkpoint").awaitTermination()
+    stream_plays(spark, f"{root}/raw", f"{root}/gold", table, f"{root}/checkpoint")
     return table.read(spark)
 
 
