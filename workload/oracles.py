@@ -407,7 +407,38 @@ def all_oracles() -> dict[str, str]:
         "play_load": f"SELECT {play_columns} FROM loaded_plays",
         "play_gold_layer": f"SELECT {play_columns} FROM plays",
     }
-    bodies["play_stream_load"] = bodies["play_load"]
+    for name in ("play_stream_load", "play_stream_many_files", "play_load_resumed", "play_load_prefixed"):
+        bodies[name] = bodies["play_load"]
+    bodies["song_load_resumed"] = bodies["song_load"]
+    bodies["artist_load_resumed"] = bodies["artist_load"]
+    bodies |= {
+        "archive_mixed_schemas": "SELECT event_id, platform, CASE WHEN event_id % 2 = 1 THEN 'noted' END AS note, "
+        "'007,b' AS names, (SELECT count(*) FROM raw_play WHERE event_id % 2 = 0) AS unfinished FROM raw_play",
+        "mixed_footers_song": "SELECT id, CASE WHEN (duration_ms // 137) % 3 <> 0 THEN album END AS album, key, mode, "
+        "year FROM raw_song",
+        "ingest_unequal_headers": "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN cast(o_custkey AS double) "
+        "WHEN 2 THEN o_custkey + 0.5 END AS o_custkey, o_orderstatus FROM orders",
+        "csv_line_breaks": "SELECT o_orderkey, 'two \"' || o_orderstatus || '\"' || chr(10) || ' lines, ' || o_orderkey "
+        "AS note FROM orders",
+        "csv_malformed": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 1 THEN 'x,' || o_orderstatus END AS o_orderstatus, "
+        "CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey || ',' || o_custkey || ',\"a,b\",more' END AS line FROM orders",
+        "backfill_odd_names": "SELECT id, nullif([NULL, 'Earth, Wind & Fire', 'D''Arc', 'The \"X\"', 'back\\slash', "
+        "'None', ''][(n + i) % 7 + 1], '<none>') AS artist, 'a' || n || '-' || i AS artist_id FROM range(3) r(i), wanted",
+        "lookup_errors": "SELECT id AS key, CASE n % 4 WHEN 0 THEN 'refused' WHEN 1 THEN 'failed' "
+        "ELSE CASE WHEN n % 3 = 0 THEN 'absent' ELSE 'found' END END AS status, "
+        "cast(CASE WHEN n % 4 IN (1, 2) THEN 2 ELSE 1 END AS int) AS attempts FROM wanted",
+        "enforce_fractions": "SELECT id, CASE WHEN year % 2 = 0 THEN year END AS year, "
+        "CASE WHEN year % 2 = 0 THEN key END AS key FROM raw_song",
+        "play_incremental_partly_stored": "SELECT * FROM plays p WHERE NOT EXISTS (SELECT 1 FROM plays q WHERE "
+        "q.id = p.id AND q.ts = p.ts AND q.seconds_played % 2 = 0)",
+        "dq_out_of_range": "SELECT id, CASE WHEN energy > 0.9 THEN 'Dorian' ELSE mode END AS mode, "
+        "CASE WHEN energy > 0.9 THEN '1' ELSE '2' END AS violations FROM silver WHERE energy > 0.9 OR energy < 0.1",
+        "dq_unique_rows": "SELECT id, ts, cast(2 AS int) AS rule_no FROM plays WHERE id IN "
+        "(SELECT id FROM plays GROUP BY id HAVING count(*) > 1)",
+    }
+    no_album = "CASE WHEN event_id % 2 = 1 THEN master_metadata_album_album_name END AS master_metadata_album_album_name"
+    mixed = f"SELECT * REPLACE ({no_album}) FROM raw_play"
+    bodies["mixed_columns_play"] = f"SELECT {play_columns} FROM ({PLAYS.replace('FROM raw_play', f'FROM ({mixed} )')})"
     bodies["catalog_user_view"] = bodies["user_view"]
     bodies["catalog_track_view"] = bodies["track_view"].replace("gated_song", "silver")
     bodies["catalog_artist_view"] = bodies["artist_view"].replace("gated_artist", "artist")

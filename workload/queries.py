@@ -552,6 +552,240 @@ def catalog_artist_view(spark, d):
     return spark.table(f"artist_view{_catalog_views(spark, d)}")
 
 
+# --- real inputs: files that differ, values that do not fit, jobs that break off ---
+
+
+def play_stream_many_files(spark, d):
+    """Plays of the same tracks in many files, one file a micro-batch: the batch job's result."""
+    root = _folder(spark, "stream")
+    raw = fx.raw_plays(spark, d).withColumn("file", F.col("event_id") % 6).drop("event_id")
+    raw.repartition("file").write.partitionBy("file").parquet(f"{root}/raw")
+    table = tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
+    table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna())
+    stream_plays(spark, f"{root}/raw", f"{root}/gold", table, f"{root}/checkpoint", max_files=1)
+    return table.read(spark)
+
+
+def _resumed(load):
+    """A load that breaks off at its first append, and its repetition under the same id."""
+    run_id = uuid.uuid4().hex
+    try:
+        load(run_id)
+    except OSError:
+        load(run_id)
+
+
+def play_load_resumed(spark, d):
+    root = _folder(spark, "plays")
+    files.write_parquet(fx.raw_plays(spark, d).drop("event_id"), f"{root}/raw")
+    stored = incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna()
+    tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL).append(stored)
+    table = HalfTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
+    _resumed(lambda run: play.load_plays(spark, f"{root}/raw", f"{root}/gold", table, run_id=run))
+    return table.read(spark)
+
+
+def _song_load_resumed(spark, d):
+    root = _folder(spark, "songs")
+    files.write_parquet(fx.raw_songs(spark, d), f"{root}/raw")
+    song.raw_to_silver(spark, f"{root}/raw", f"{root}/silver")
+    song.silver_to_gold(spark, f"{root}/silver", f"{root}/gold")
+    kinds = {"gold_song": schemas.GOLD_SONG_DDL, "gold_artist": schemas.GOLD_ARTIST_DDL}
+    rows = {"gold_song": _stored_songs(spark, d), "gold_artist": nested.normalize_artists(_stored_songs(spark, d)).dropna()}
+    for name, ddl in kinds.items():
+        tables.ParquetTable(f"{root}/{name}", ddl).append(rows[name])
+    songs, artists = (HalfTable(f"{root}/{name}", ddl) for name, ddl in kinds.items())
+    run_id = uuid.uuid4().hex
+    for _ in range(3):  # broken off in the songs, then in the artists
+        try:
+            song.load_songs(spark, f"{root}/gold", songs, artists, run_id=run_id)
+            break
+        except OSError:
+            pass
+    return songs, artists
+
+
+def song_load_resumed(spark, d):
+    return _lists_as_text(_song_load_resumed(spark, d)[0].read(spark))
+
+
+def artist_load_resumed(spark, d):
+    return _song_load_resumed(spark, d)[1].read(spark)
+
+
+def play_load_prefixed(spark, d):
+    """The exporting service's own name for the URI column, and default arguments."""
+    root = _folder(spark, "plays")
+    raw = fx.raw_plays(spark, d).drop("event_id").withColumnRenamed("track_uri", "svc_track_uri")
+    files.write_parquet(raw, f"{root}/raw")
+    table = tables.ParquetTable(f"{root}/gold_play", schemas.GOLD_PLAY_DDL)
+    table.append(incremental.keep_existing(plays(spark, d), fx.gold_play_ids(spark, d)).dropna())
+    play.load_plays(spark, f"{root}/raw", f"{root}/gold", table)
+    return table.read(spark)
+
+
+def archive_mixed_schemas(spark, d):
+    """Files of different columns, a partition value with zeros, and a file that is still being written."""
+    root = _folder(spark, "latest")
+    rows = fx.raw_plays(spark, d).select("event_id", "platform")
+    even, odd = rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1").withColumn("note", F.lit("noted"))
+    files.write_parquet(even, f"{root}/latest/source_file=007")
+    files.write_parquet(odd, f"{root}/latest/source_file=b")
+    files.write_parquet(even, f"{root}/latest/_temporary/0")
+    zones.archive_zone(spark, f"{root}/latest", f"{root}/archive", run_id="1")
+    files.write_parquet(zones.read_zone(spark, f"{root}/archive"), f"{root}/read")
+    left = spark.read.parquet(f"{root}/latest/_temporary/0").count()
+    names = [f.rpartition("source_file=")[2].split("/")[0] for f in zones.data_files(spark, f"{root}/archive")]
+    told = {"names": F.lit(",".join(sorted(set(names)))), "unfinished": F.lit(left).cast("bigint")}
+    return spark.read.parquet(f"{root}/read").withColumns(told)
+
+
+def mixed_footers_song(spark, d):
+    """One file lacks the album, and one has its whole numbers as doubles."""
+    root = _folder(spark, "songs")
+    raw = fx.raw_songs(spark, d).withColumn("n", F.col("duration_ms") / 137 % 3)
+    files.write_parquet(raw.filter("n = 0").drop("n", "album"), f"{root}/a")
+    doubles = {c: F.col(c).cast("double") for c in ("key", "mode", "year")}
+    files.write_parquet(raw.filter("n = 1").drop("n").withColumns(doubles), f"{root}/b")
+    files.write_parquet(raw.filter("n = 2").drop("n"), f"{root}/c")
+    return files.read_layer(spark, root, "raw").select("id", "album", "key", "mode", "year")
+
+
+def mixed_columns_play(spark, d):
+    """Exports with other names and types of columns, and one without albums."""
+    root = _folder(spark, "plays")
+    raw = fx.raw_plays(spark, d)
+    even = raw.filter("event_id % 2 = 0").drop("event_id", "master_metadata_album_album_name")
+    odd = raw.filter("event_id % 2 = 1").drop("event_id").withColumnRenamed("track_uri", "svc_track_uri")
+    files.write_parquet(even.withColumn("ms_played", F.col("ms_played").cast("double")), f"{root}/a")
+    files.write_parquet(odd, f"{root}/b")
+    return clean.clean_plays(files.read_plays(spark, root))
+
+
+def ingest_unequal_headers(spark, d):
+    """Each file by its own header: other order, a missing column, types of its own."""
+    landing, zone = _folder(spark, "landing"), _folder(spark, "zone")
+    orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for part, df in enumerate((
+        orders.filter("o_orderkey % 3 = 0"),
+        orders.filter("o_orderkey % 3 = 1").select("o_orderstatus", "o_orderkey"),
+        orders.filter("o_orderkey % 3 = 2").withColumn("o_custkey", F.col("o_custkey") + F.lit(0.5)),
+    )):
+        files.write_csv(df, f"{landing}_{part}")
+    files.gather(spark, [f"{landing}_{part}" for part in range(3)], landing)
+    zones.ingest_csv(spark, landing, zone)
+    df = zones.read_zone(spark, zone)
+    return df.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("double"), "o_orderstatus")
+
+
+def csv_line_breaks(spark, d):
+    source = _folder(spark, "csv")
+    text_ = F.concat(F.lit('two "'), F.col("o_orderstatus"), F.lit('"\n lines, '), F.col("o_orderkey").cast("string"))
+    rows = fx.table(spark, d, "orders").select("o_orderkey", text_.alias("note"))
+    files.write_csv(rows, source)
+    return files.read_csv(spark, source).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+def csv_malformed(spark, d):
+    """Rows with too many fields are set aside, whole; rows with too few are filled."""
+    source = _folder(spark, "csv")
+    key, fields = F.col("o_orderkey"), "o_orderkey,o_custkey,o_orderstatus"
+    line = F.when(key % 5 == 0, F.concat_ws(",", key, "o_custkey", F.lit('"a,b"'), F.lit("more")))
+    line = line.when(key % 5 == 1, F.concat_ws(",", key, "o_custkey"))
+    line = line.otherwise(F.concat_ws(",", key, "o_custkey", F.concat(F.lit('"x,'), F.col("o_orderstatus"), F.lit('"'))))
+    rows = fx.table(spark, d, "orders").select(line.alias(fields))
+    rows.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(source)
+    good = files.read_csv(spark, source, malformed="aside").select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", F.lit(None).cast("string").alias("line")
+    )
+    aside = files.malformed_csv(spark, source)
+    number = F.split("line", ",")[0].cast("bigint").alias("o_orderkey")
+    return good.union(aside.select(number, F.lit(None).cast("string").alias("o_orderstatus"), "line"))
+
+
+def backfill_odd_names(spark, d):
+    """Artists whose names are missing or hold commas, quotes and backslashes keep their ids."""
+    out = _folder(spark, "backfill")
+
+    def fetch(keys):
+        import re
+
+        names = [None, "Earth, Wind & Fire", "D'Arc", 'The "X"', "back\\slash", "None", ""]
+        reply = []
+        for key in keys:
+            n = int(re.sub(r"\D", "", key))
+            artists = [{"id": f"a{n}-{i}", "name": names[(n + i) % len(names)]} for i in range(3)]
+            reply.append({"id": key, "name": "x", "album": None, "artists": artists})
+        return reply
+
+    songs = silver(spark, d)
+    backfill.backfill_missing(spark, plays(spark, d), songs, fetch, out, pause=(0, 0), concurrency=8)
+    rows = clean.clean_songs(files.read_layer(spark, out, "raw"), list_mode="literal")
+    return nested.normalize_artists(rows).select("id", "artist", "artist_id")
+
+
+def lookup_errors(spark, d):
+    """A service that refuses some keys, is busy once for others, and fails for the rest."""
+
+    def fetch(keys):
+        import re
+
+        class Answer(Exception):
+            def __init__(self, status):
+                self.http_status = status
+
+        (key,) = keys
+        n = int(re.sub(r"\D", "", key))
+        busy = fetch.__dict__.setdefault("busy", set())
+        if n % 4 == 0:
+            raise Answer(404)
+        if n % 4 == 1:
+            raise OSError("no answer")
+        if n % 4 == 2 and key not in busy:
+            busy.add(key)
+            raise Answer(429)
+        return [{"id": "somebody else's"}, {"id": key}] if n % 3 else [None]
+
+    keys = incremental.missing_keys(plays(spark, d), silver(spark, d), drop_blank=True)
+    found = enrich.lookup(keys, "id", fetch, batch_size=1, attempts=2, base_delay=0, pause=(0, 0))
+    return found.select("key", "status", "attempts")
+
+
+def enforce_fractions(spark, d):
+    """Fractions do not fit whole numbers; whole numbers written as fractions do."""
+    raw = fx.raw_songs(spark, d).select(
+        "id",
+        F.concat(F.col("year").cast("string"), F.when(F.col("year") % 2 == 0, ".0").otherwise(".5")).alias("year"),
+        (F.col("key") + F.when(F.col("year") % 2 == 0, 0.0).otherwise(0.25)).alias("key"),
+    )
+    schema = schemas.target_schema("id STRING, year INT, key INT")
+    return schemas.enforce(raw, schema)
+
+
+def play_incremental_partly_stored(spark, d):
+    """Of a stored track only some plays are stored; the others are new by time and track."""
+    stored = plays(spark, d).filter("seconds_played % 2 = 0").select("ts", "id")
+    return incremental.drop_existing(plays(spark, d), stored, ["ts", "id"])
+
+
+def dq_out_of_range(spark, d):
+    """Values outside of a set and of a range."""
+    df = silver(spark, d).select("id", "mode", "energy").withColumns({
+        "mode": F.when(F.col("energy") > 0.9, "Dorian").otherwise(F.col("mode")),
+        "energy": F.when(F.col("energy") < 0.1, F.col("energy") - 1).otherwise(F.col("energy")),
+    })
+    suite = quality.Suite("odd").expect(quality.IN_SET, column="mode", value_set=["Minor", "Major"])
+    suite = suite.expect(quality.BETWEEN, column="energy", min_value=0.0, max_value=1.0)
+    flagged = quality.flag_rows(df, suite)
+    return flagged.select("id", "mode", F.array_join("violations", ",").alias("violations"))
+
+
+def dq_unique_rows(spark, d):
+    """The whole rows that break the uniqueness rules of a suite."""
+    suite = quality.Suite("u").expect(quality.NOT_NULL, column="ts").expect(quality.UNIQUE, column="id")
+    return quality.unique_violations(plays(spark, d).select("id", "ts"), suite)
+
+
 def all_queries() -> dict:
     chosen = [
         song_clean_text, song_clean_explicit, song_null_tokens, song_clean_features, song_decode_key_mode,
@@ -566,5 +800,9 @@ def all_queries() -> dict:
         split_chunk_sizes, split_csv_files, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
+        play_stream_many_files, play_load_resumed, song_load_resumed, artist_load_resumed, play_load_prefixed,
+        archive_mixed_schemas, mixed_footers_song, mixed_columns_play, ingest_unequal_headers, csv_line_breaks,
+        csv_malformed, backfill_odd_names, lookup_errors, enforce_fractions, play_incremental_partly_stored,
+        dq_out_of_range, dq_unique_rows,
     ]
     return {f.__name__: f for f in chosen}
