@@ -41,7 +41,7 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column``; a longer text is a batch of its own."""
     for batch in batches:
         sizes = np.diff(_offsets(batch.column(column)))

@@ -152,13 +152,17 @@ def _frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sample(train: DataFrame, size: int) -> list:
-    """(label, part, buckets, counts) of about ``size`` documents of each language, chosen by a hash of the key."""
+    """(label, mark, buckets, counts) of about ``size`` documents of each language.
+
+    They are chosen by a hash of the key and of the row's number as it is read, so that rows of one key spread like others.
+    """
     counts = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     if not counts:
         return []
-    mark = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40))
+    mark = F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.lit(1 << 40))
     limits = F.create_map(*[F.lit(x) for k, c in counts.items() for x in (k, min(1 << 40, (size << 40) // c))])
-    chosen = train.where(mark < F.element_at(limits, F.col("label"))).select("label", mark.alias("mark"), "text")
+    marked = train.select("label", mark.alias("mark"), "text")
+    chosen = marked.where(F.col("mark") < F.element_at(limits, F.col("label")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 1 << 20):

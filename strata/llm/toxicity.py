@@ -203,7 +203,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, l2: float = 1.
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, size: int):
-    """Texts and labels of about ``size`` documents of each label, chosen by a hash of the id, and the labels' counts."""
+    """Texts and labels of about ``size`` toxic documents and ``OTHERS`` times as many others, chosen by a hash of the id, and
+    the labels' counts. Of rows with one id the least text is taken."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
     known = known.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y"))
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
@@ -213,7 +214,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     limits = F.create_map(*[F.lit(x) for y, c in counts.items() for x in (y, min(1 << 40, (wanted[y] << 40) // c))])
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(1 << 40)) < F.element_at(limits, F.col("y")))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna()
-    rows = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id", "text"])  # (1 + OTHERS) * size rows, about, of two numbers
+    rows = rows.join(F.broadcast(chosen), "id")  # (1 + OTHERS) * size rows, about, of two numbers
+    rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
     return sorted((r.text, r.y) for r in rows.select("text", "y").toLocalIterator()), counts
 
 
