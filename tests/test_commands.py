@@ -59,3 +59,28 @@ def test_files(spark, tmp_path):
 def test_arguments_are_checked():
     with pytest.raises(SystemExit):
         run("load-songs", "--source", "x")
+
+
+def fetch(keys):
+    return [{"id": k, "name": f"name of {k}", "popularity": 7, "artists": [{"id": "a", "name": None}]} for k in keys]
+
+
+def test_lookups(spark, tmp_path):
+    from strata.operators.clean import clean_plays, clean_songs
+
+    files.write_parquet(clean_plays(fx.raw_plays(spark, SF)), str(tmp_path / "plays"))
+    files.write_parquet(clean_songs(fx.raw_songs(spark, SF)), str(tmp_path / "songs"))
+    named = ["--fetch", "tests.test_commands:fetch"]
+    run("backfill", "--source", tmp_path / "plays", "--songs", tmp_path / "songs", "--target", tmp_path / "raw", *named)
+    rows = files.read_layer(spark, str(tmp_path / "raw"), "raw")
+    assert rows.count() > 0 and rows.filter("artists <> '[None]'").count() == 0
+    run("popularity", "--source", tmp_path / "songs", "--target", tmp_path / "popularity", *named)
+    assert files.read_csv(spark, str(tmp_path / "popularity")).filter("popularity = '7'").count() == 200
+
+
+def test_check_writes_rows_that_are_not_unique(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "id int, v string").write.parquet(str(tmp_path / "t"))
+    quality.Suite("u").expect(quality.UNIQUE, column="id").save(str(tmp_path / "suite.json"))
+    assert run("check", "--source", tmp_path / "t", "--target", tmp_path / "out", "--suite", tmp_path / "suite.json") == 1
+    found = spark.read.parquet(str(tmp_path / "out/duplicates")).collect()
+    assert sorted((r.id, r.v, r.rule_no) for r in found) == [(1, "a", 1), (1, "b", 1)]

@@ -15,7 +15,7 @@ from strata.functions import numeric, temporal, text
 from strata.operators import clean, enrich, gate, incremental, nested, quality, split, views
 from strata.plans import backfill, play, prepare, song
 from strata.sources import files, tables, zones
-from strata.staging import make_folder, path_exists, shared_dir
+from strata.staging import file_system, make_folder, path_exists, shared_dir
 from strata.streaming.plays import stream_plays
 from workload import fixtures as fx
 
@@ -23,8 +23,11 @@ MAX_YEAR = 2025
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder for what a query writes, in the shared scratch space."""
-    return f"{shared_dir(spark)}/queries/{name}-{uuid.uuid4().hex}"
+    """A new folder for what a query writes, in the shared scratch space, deleted when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/queries/{name}-{uuid.uuid4().hex}"
+    fs, p = file_system(spark, path)
+    fs.deleteOnExit(p)
+    return path
 
 
 def _lists_as_text(df: DataFrame) -> DataFrame:
