@@ -28,6 +28,8 @@ from strata.llm.common import pieces, staged, texts
 BROADCAST = 64 << 20
 #: Hosts whose wrappers a task holds before it writes them, and groups in which a host's wrappers are merged first.
 HELD, SALTS = 2000, 16
+#: Elements within one another; what is deeper counts as text of the last one. Pairs of items that are aligned in order.
+DEPTH, PAIRS = 80, 250_000
 #: Part of a slot's characters in links from which it is a menu.
 LINKED = 0.6
 
@@ -57,6 +59,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|([^<]+|<)",
     re.S | re.I,
 )
+_DIGITS = re.compile(r"\d+")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -73,7 +76,7 @@ class Node:
 def parse(page: str) -> Node:
     """The tree of a page's elements. Open elements end where their parent does; stray ends are ignored."""
     root = Node("")
-    open_, links, hidden = [root], 0, 0
+    open_, links, hidden, beyond = [root], 0, 0, 0
     for _, end, tag, rest, text in (m.groups(default="") for m in _TOKEN.finditer(page)):
         tag = tag.lower()
         if text:
@@ -87,6 +90,9 @@ def parse(page: str) -> Node:
             _add_text(open_[-1], " ", False)
         elif tag in INLINE or tag in VOID:
             continue
+        elif end and beyond:
+            beyond -= 1
+            _add_text(open_[-1], " ", False)
         elif end:
             at = next((i for i in range(len(open_) - 1, 0, -1) if open_[i].kind.split(".")[0] == tag), 0)
             if at:
@@ -95,7 +101,12 @@ def parse(page: str) -> Node:
             links = 0
         else:
             _close_implied(open_, tag)
+            if len(open_) > DEPTH:
+                beyond += 1
+                _add_text(open_[-1], " ", False)
+                continue
             names = " ".join(sorted({next(filter(None, g[1:]), "").lower() for g in _NAMED.findall(rest)} - {""}))
+            names = _DIGITS.sub("0", names)
             node = Node(f"{tag}.{names}" if names and tag not in HIDDEN else tag)
             open_[-1].children.append(node)
             open_.append(node)
@@ -180,7 +191,15 @@ def merge(a: list, b: list) -> list:
 
 
 def align(xs: list, ys: list) -> list:
-    """The two sequences as one: pairs of equal kinds merged, in the order that matches most, all else optional."""
+    """The two sequences as one: pairs of equal kinds merged, in the order that matches most, all else optional.
+
+    Very long sequences that do not fold become one optional, repeated item for each kind.
+    """
+    if len(xs) * len(ys) > PAIRS:
+        kinds: dict[str, list] = {}
+        for item in xs + ys:
+            kinds[item[0]] = merge(kinds[item[0]], item) if item[0] in kinds else item
+        return [_marked(item, optional=True, repeated=True) for item in kinds.values()]
     best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i in range(len(xs) - 1, -1, -1):
         for j in range(len(ys) - 1, -1, -1):

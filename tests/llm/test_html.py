@@ -74,3 +74,14 @@ def test_join_gives_what_broadcasting_gives(spark, monkeypatch):
     want = set(queries.op6_html(spark, SF_DIR).collect())
     monkeypatch.setattr(html, "BROADCAST", 0)
     assert set(queries.op6_html(spark, SF_DIR).collect()) == want
+
+
+def test_deep_and_wide_pages():
+    deep = "<article>" + "<div>" * 5000 + "words <p>and more" + "</div>" * 5000 + "<p>end</article><p>after"
+    tree = html.parse(deep)
+    found = html.extract(tree, html.merge(html.wrapper(tree), html.wrapper(tree)))
+    assert found.split() == ["words", "and", "more", "end"]
+    wide = "".join(f"<{'abcdefghij'[i % 7]}x{'q' * (i * i % 53)}>t{i}</{'abcdefghij'[i % 7]}x{'q' * (i * i % 53)}>" for i in range(3000))
+    tree = html.parse(wide)
+    both = html.merge(html.wrapper(tree), html.wrapper(tree))
+    assert html.extract(tree, both).split() == [f"t{i}" for i in range(3000)]
