@@ -254,8 +254,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keyed = _keyed(docs, id_col, text_col)
     found = staged(_find_anchors(keyed, length), "anchors")
     counts = found.groupBy("anchor").agg(F.count("*").alias("c"), F.max("again").alias("again"))
-    shared = counts.where("c > 1 OR again").select("anchor")
-    marks = found.join(shared, "anchor").groupBy("d", "h").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("marks"))
+    # Staged, so that both sides of the join are plain shuffles, of which adaptive execution can split a hot anchor.
+    shared = staged(counts.where("c > 1 OR again").select("anchor"), "shared")
+    found = staged(found.join(shared, "anchor").drop("again"), "candidates")
+    marks = found.groupBy("d", "h").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("marks"))
     named = keyed.select("d", "h", F.md5("text").alias("digest"))
     first = named.groupBy("digest").agg(F.min(F.struct("d", "h")).alias("first")).select("first.*")
     first = staged(first.join(marks, ["d", "h"], "left"), "marks")
