@@ -26,7 +26,7 @@ from strata.llm.common import texts
 #: Longest piece, in bytes, that is merged in a matrix.
 SHORT = 64
 #: Entries kept for words and for pieces in a Python worker.
-KEPT = 500_000
+KEPT = 120_000
 #: Marks that end a word as a piece of their own.
 MARKS = ".,;:!?"
 #: Rows of a matrix of trees.
@@ -36,13 +36,16 @@ NONE = np.int64(1) << 62
 _VOCABULARIES: dict[bytes, Vocabulary] = {}
 
 
+def _ranks(content: bytes) -> dict[bytes, int]:
+    rows = (line.split() for line in content.splitlines() if line)
+    return {base64.b64decode(token): int(rank) for token, rank in rows}
+
+
 class Vocabulary:
     """Ranks of a rank file (base64 token and rank per line) with the pattern that cuts a text into pieces."""
 
     def __init__(self, content: bytes, pattern: str):
-        rows = (line.split() for line in content.splitlines() if line)
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in rows}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.ranks = _ranks(content)
         # \s as the library's engine has it: white space of Unicode, without the four separators \x1c to \x1f
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         left, right, rank = [], [], []
@@ -254,11 +257,12 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shipped.value, pattern)
-        for batch in sized(batches, "text", 4 << 20):
+        for batch in sized(batches, "text", 2 << 20):
             coded = vocabulary.encode_texts([t.decode() for t in texts(batch.column("text"))])
             ends = np.cumsum([0, *map(len, coded)]) // 4
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in held], ids], [*held, "ids"])
+        pa.default_memory_pool().release_unused()
 
     coded = rows.mapInArrow(run, rows.select(*held).schema.add("ids", T.ArrayType(T.IntegerType())))
     return coded.select(*[F.col(n).alias(c) for c, n in zip(keep, held)], "ids")
@@ -271,7 +275,7 @@ def decode(coded: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("
     rows = coded.select(*[F.col(c).alias(n) for c, n in zip(keep, held)], F.col(ids_col).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _vocabulary(shipped.value, pattern).tokens
+        tokens = {rank: token for token, rank in _ranks(shipped.value).items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
