@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,10 @@ def _inside(deviations: float) -> float:
 
 def _distinct(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """Rows (id, node, label, v); ``node`` is a hash of label and vector, NULL where the row links with nothing."""
+    single = vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType())
+    kind = "array<float>" if single else "array<double>"
     rows = vectors.select(
-        F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v")
+        F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(kind).alias("v")
     )
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     fine = F.coalesce(fine & F.col("label").isNotNull(), F.lit(False))
@@ -68,7 +71,7 @@ def _projected(nodes: DataFrame, lines: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             norms, places = np.zeros(batch.num_rows), np.zeros((batch.num_rows, lines), np.float32)
-            flat, ends = batch.column("v").flatten().to_numpy(), np.array(batch.column("v").value_lengths())
+            flat, ends = batch.column("v").flatten().to_numpy().astype(np.float64), np.array(batch.column("v").value_lengths())
             begins = np.cumsum(ends) - ends
             for dim in np.unique(ends):
                 rows = np.flatnonzero(ends == dim)
@@ -110,10 +113,9 @@ def _close(a: DataFrame, b: DataFrame, threshold: float, lines: int, dealt: int,
     left, right = sides
     hit = lambda j: F.abs(F.col(f"a{j}") - F.col(f"b{j}")) <= half
     count = sum((hit(j).cast("int") for j in range(dealt, lines)), F.lit(0))
-    near = (F.col("qa.node") != F.col("qb.node")) & (count >= least)
-    for j in range(dealt):
-        near &= hit(j)
-    dot = F.aggregate(F.zip_with("qa.v", "qb.v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    near = reduce(Column.__and__, [hit(j) for j in range(dealt)]) & (count >= least) & (F.col("qa.node") != F.col("qb.node"))
+    product = F.zip_with("qa.v", "qb.v", lambda x, y: x.cast("double") * y.cast("double"))
+    dot = F.aggregate(product, F.lit(0.0), lambda s, x: s + x)
     cosine = dot / (F.col("qa.norm") * F.col("qb.norm"))
     return left.join(right, ["label", "dim", "cell"]).where(near).where(cosine >= threshold).select("qa", "qb")
 
