@@ -13,13 +13,14 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as pds
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strata.llm.common import pieces, scratch, texts
+from strata.staging import open_store
 
 MAGIC = b"STRATIDS"
 FOOTER = struct.Struct("<8sIIQQQQQ")  # magic, bytes an id, levels, rows, ids, and where rows, index, slots begin
@@ -34,8 +36,9 @@ FOOTER = struct.Struct("<8sIIQQQQQ")  # magic, bytes an id, levels, rows, ids, a
 SPARSE = 2
 #: Cells between stored counts.
 STRIDE = 512
-#: Distinct words kept in a Python worker.
+#: Distinct words kept in a Python worker, and marks that a tokenizer cuts from the letters before them.
 KEPT = 700_000
+MARKS = b".,;:!?"
 MANIFEST = "shard int, file string, n_rows long, n_ids long, least long, largest long"
 
 
@@ -190,7 +193,7 @@ class Shard:
 
 
 def open_file(path: str, mode: str = "rb"):
-    fs, at = pafs.FileSystem.from_uri(path)
+    fs, at = open_store(path)
     return fs.open_input_file(at) if mode == "rb" else fs.open_output_stream(at)
 
 
@@ -213,7 +216,12 @@ class WordEncoder:
 
     def _library(self, found: list[bytes]) -> list[bytes]:
         coded = self.tokenizer.encode_batch([t.decode() for t in found], add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in coded]
+        kind = "H" if self.width == 2 else "I"
+        out = [array(kind, e.ids) for e in coded]
+        if sys.byteorder == "big":
+            for a in out:
+                a.byteswap()
+        return [a.tobytes() for a in out]
 
     def __call__(self, found: list[bytes], end: bytes) -> list[bytes]:
         if not self.by_word:
@@ -221,9 +229,14 @@ class WordEncoder:
         words = [t.split() for t in found]
         seen = set().union(*words)
         new = [w for w in seen if w not in self.kept]
-        if len(self.kept) + len(new) > KEPT:
+        if len(self.kept) + 2 * len(new) > KEPT:
             self.kept = {w: self.kept[w] for w in seen if w in self.kept}
-        self.kept.update(zip(new, self._library(new)))
+        # Letters and the mark behind them are encoded apart, so that a word is known with every mark.
+        cut = {w: (w[:-1], w[-1:]) for w in new if w[-1] in MARKS and w[:-1].decode().isalpha()}
+        apart = {p for parts in cut.values() for p in parts if p not in self.kept}
+        whole = list(apart.union(w for w in new if w not in cut))
+        self.kept.update(zip(whole, self._library(whole)))
+        self.kept.update((w, self.kept[a] + self.kept[b]) for w, (a, b) in cut.items())
         known = self.kept.__getitem__
         return [b"".join(map(known, ws)) + end for ws in words]
 
@@ -252,8 +265,8 @@ def write(
 
     Keys are whole numbers; rows may repeat, rows with a NULL key come first and are not in the index; NULL texts count as
     empty, and every row ends with ``end_id``. No special tokens are added. ``by_word`` encodes the words between ASCII blanks
-    one by one: right for a tokenizer that drops white space and looks at nothing beyond it. Shards are ranges of keys, one
-    per task; equal keys may lie in two neighbours. A repeated task writes the same file again under the same name.
+    one by one: right for a tokenizer that drops white space, looks at nothing beyond it and cuts marks from letters. Shards
+    are ranges of keys, one per task; equal keys may lie in two neighbours. A repeated task writes the same file again under the same name.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
@@ -271,7 +284,7 @@ def write(
         writer, draft = None, f"{folder}/.{name}.{task.taskAttemptId()}"
         for batch in pieces(batches, "text", 4 << 20):
             if writer is None:
-                fs, at = pafs.FileSystem.from_uri(draft)
+                fs, at = open_store(draft)
                 fs.create_dir(os.path.dirname(at), recursive=True)
                 writer = ShardWriter(fs.open_output_stream(at), encoder.width)
             writer.add(batch.column("key"), encoder(texts(batch.column("text")), end))
@@ -345,7 +358,7 @@ def lookup(keys: DataFrame, folder: str, key_col: str = "doc_id") -> DataFrame:
     asked = keys.select(F.col(key_col).cast("long").alias("key")).dropna().distinct()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, at = pafs.FileSystem.from_uri(f"{folder}/manifest")
+        fs, at = open_store(f"{folder}/manifest")
         shards = pds.dataset(at, filesystem=fs, format="parquet").to_table(columns=["file", "least", "largest"])
         shards = shards.filter(pc.is_valid(shards["least"])).sort_by([("least", "ascending"), ("largest", "ascending")])
         files, least, largest = (shards[c].to_numpy() for c in ("file", "least", "largest"))
