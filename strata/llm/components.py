@@ -28,8 +28,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _digest(edges: DataFrame) -> tuple:
+    """Count, exclusive or and sum of the edges' hashes; the sum is a decimal, as a long's end is near for many edges."""
     mark = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.bitwiseAND((1 << 40) - 1))).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.cast("decimal(19,0)"))).first())
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ import re
 import numpy as np
 import pyarrow.parquet as pq
 import xxhash
+from pyspark.sql import functions as F
 
 from strata.llm import queries, simhash
-from strata.llm.components import connected_components
+from strata.llm.components import _digest, connected_components
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -96,3 +97,8 @@ def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (8, 9), (1, None), (20, 10), (30, 10), (30, 31)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {2: 2, 3: 2, 4: 2, 5: 2, 8: 8, 9: 8, 7: 7, 10: 10, 20: 10, 30: 10, 31: 10}
+
+
+def test_digest_of_many_edges(spark):
+    many = spark.range(20_000_000).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    assert _digest(many) == _digest(many.repartition(3)) != _digest(many.where("a > 0"))
