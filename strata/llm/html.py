@@ -55,7 +55,8 @@ ASIDE_WORDS = re.compile(
 MAIN_WORDS = re.compile(r"(?:^|[-_ ])(?:article|post|entry|story|main|content)(?:-?(?:body|content|text))?(?:$|[-_ ])")
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(script|style|textarea|noscript|template|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|$)"
+    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"
+    r"|<(script|style|textarea|noscript|template|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|([^<]+|<)",
     re.S | re.I,
 )

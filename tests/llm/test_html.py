@@ -85,3 +85,8 @@ def test_deep_and_wide_pages():
     tree = html.parse(wide)
     both = html.merge(html.wrapper(tree), html.wrapper(tree))
     assert html.extract(tree, both).split() == [f"t{i}" for i in range(3000)]
+
+
+def test_self_closed_icons_swallow_nothing():
+    tree = html.parse('<article><p>one <svg class="i" title="a > b"/> two</p><math/><p>three <svg><path/>no</svg>four</article><p>after')
+    assert html.extract(tree, html.wrapper(tree)) == "one two\n\nthree four"
