@@ -10,31 +10,40 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.llm.common import pieces, staged, texts
+from strata.llm.common import pieces, scratch, staged, texts
 from strata.llm.components import connected_components
+from strata.staging import file_system
 
 BITS = 64
 SEED = 42
 #: Hashes unpacked to bits at a time.
 CHUNK = 1 << 15
+#: Bands of min-hashes and min-hashes in each: of pairs with a similarity of 0.8 a share of 0.992 has a band in common.
+BANDS, ROWS = 16, 6
+#: Rounds in which the texts of a band are compared with one of them, before those of different components are all compared.
+STARS = 2
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    """The bits set in more than half of the hashes of ``width``-word shingles, as an unsigned number."""
+def shingles(text: bytes, width: int) -> list[int]:
+    """Hashes of ``width``-word shingles as unsigned numbers; a text of fewer words is one shingle, one of none has none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = list(accumulate(map(len, words)))
     ends = [e + i for i, e in enumerate(ends)]
     starts = [0, *(e + 1 for e in ends[:-1])]
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :])]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :])]
+
+
+def simhash(hashes) -> int:
+    """The bits set in more than half of the hashes, as an unsigned number."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), CHUNK):
         some = np.array(hashes[at : at + CHUNK], "<u8")
@@ -42,6 +51,11 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, width: int) -> int:
+    """The SimHash of a text's ``width``-word shingles."""
+    return simhash(shingles(text, width))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """(id, fp): the 64-bit SimHash of each text as a signed long.
 
@@ -124,16 +138,127 @@ def near_duplicates(
     return prints.join(classes, "fp").select("id", "fp", "component")
 
 
+# --- near copies by the similarity of their shingles ---
+
+
+def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, node, fp, size, keys, grams): a text's set of shingles as one hash, its SimHash, how many they are, a key for each
+    band of min-hashes, and the shingles by 32 bits. Texts without words have no keys."""
+    rng = np.random.default_rng(SEED)
+    times, plus = rng.integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+    times |= np.uint64(1)
+
+    def keys(hashes: np.ndarray) -> list[int]:
+        least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+        for at in range(0, len(hashes), 2048):
+            np.minimum(least, (hashes[at : at + 2048] * times + plus).min(axis=1), out=least)
+        return [xxhash.xxh64_intdigest(band.tobytes(), SEED) for band in least.reshape(BANDS, ROWS)] if len(hashes) else []
+
+    schema = pa.schema([("node", pa.int64()), ("fp", pa.int64()), ("size", pa.int32()), ("keys", pa.list_(pa.int64())),
+                        ("grams", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            sets = [np.unique(np.array(shingles(t, width), np.uint64)) for t in texts(batch.column("text"))]
+            marks = [np.unique(s.astype(np.uint32)).view(np.int32) for s in sets]
+            signed = lambda values: np.array(values, np.uint64).view(np.int64)
+            columns = [
+                signed([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]), signed([simhash(s) for s in sets]),
+                [len(m) for m in marks], [signed(keys(s)) for s in sets], marks,
+            ]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *schema.names])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kinds = T.StructType.fromDDL("node long, fp long, size int, keys array<long>, grams array<int>")
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds]))
+
+
+def similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, distance: int = 18
+) -> DataFrame:
+    """(id, component): the smallest id reachable over texts whose sets of shingles have a Jaccard similarity of ``similarity``.
+
+    Pairs that share a band of min-hashes, and have fingerprints within ``distance`` bits, are verified by their shingles. Equal
+    sets are one node. All pairs of a dense group are asked for only where its members are still of several components after
+    ``STARS`` rounds, in each of which they are compared with one of them.
+    """
+    path = scratch(docs.sparkSession, "signatures")
+    signed = signatures(docs, id_col, text_col, width)
+    signed.write.parquet(path)
+    signed = docs.sparkSession.read.schema(signed.schema).parquet(path)
+    same = [F.first(c).alias(c) for c in ("fp", "size", "keys")]
+    counted = staged(signed.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("least"), *same), "distinct")
+
+    def close(a: str, b: str):
+        """Whether a pair can be similar: by sizes exactly, by fingerprints with a rare miss."""
+        fits = F.least(a + "size", b + "size") >= F.lit(similarity) * F.greatest(a + "size", b + "size")
+        return fits & (F.bit_count(F.col(a + "fp").bitwiseXOR(F.col(b + "fp"))) <= distance)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs.distinct(), "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        grams = signed.select("node", "grams").join(wanted, "node", "left_semi")
+        grams = staged(grams.groupBy("node").agg(F.first("grams").alias("grams")), "grams")
+        x = pairs.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
+        x = x.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
+        both = F.size(F.array_intersect("x", "y"))
+        return x.where(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+    def joined(label: DataFrame, links: DataFrame) -> DataFrame:
+        edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)
+        return staged(connected_components(edges), "components")
+
+    def in_bands(label: DataFrame) -> DataFrame:
+        return counted.join(label, "node").select("node", "n", "component", "fp", "size", F.posexplode("keys").alias("t", "k"))
+
+    label = counted.select("node", F.col("node").alias("component"))
+    for turn in range(STARS):
+        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("n")
+        keyed = in_bands(label)
+        head = F.max(F.struct(order, "node", "component", "fp", "size")).alias("head")
+        heads = keyed.groupBy("t", "k").agg(head, F.min("component").alias("lo"), F.max("component").alias("hi"))
+        near = keyed.join(heads.where("lo < hi").select("t", "k", "head"), ["t", "k"])
+        near = near.where(F.col("component") != F.col("head.component")).select("node", "fp", "size", "head")
+        near = near.where(close("", "head.")).select(F.col("node").alias("a"), F.col("head.node").alias("b"))
+        label = joined(label, verified(near))
+
+    keyed = in_bands(label)
+    mixed = keyed.groupBy("t", "k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    keyed = staged(keyed.join(mixed.select("t", "k"), ["t", "k"], "left_semi"), "bands")
+    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size").alias(c)) for c in "ab")
+    pairs = a.join(b, ["t", "k"]).where(F.col("a.component") < F.col("b.component")).where(close("a.", "b."))
+    label = joined(label, verified(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
+
+    labelled = counted.select("node", "least").join(label, "node")
+    named = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
+    classes = labelled.join(named, "component").select("node", F.col("smallest").alias("component"))
+    found = staged(signed.select("id", "node").join(classes, "node").select("id", "component"), "similar")
+    fs, p = file_system(docs.sparkSession, path)  # the largest table, not needed any more
+    fs.delete(p, True)
+    return found
+
+
 def keep_first(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 6
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 4,
+    distance: int = 4,
+    blocks: int = 6,
+    similarity: float | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, with all their columns.
 
-    NULL ids come last. Rows with equal ids are ordered by a hash of their texts; of rows equal in both one stays.
+    Components are those of ``similar`` where a similarity is given, else of ``near_duplicates``. NULL ids come last. Rows with equal ids are ordered by a hash of their texts; of rows equal in both one stays.
     """
     key = {"_d": F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), "_h": F.xxhash64(text_col)}
     keyed = docs.select(F.struct(*[c.alias(n) for n, c in key.items()]).alias("key"), F.col(text_col).alias("text"))
-    heads = near_duplicates(keyed, "key", "text", width, distance, blocks).select("component.*").distinct()
+    if similarity is None:
+        found = near_duplicates(keyed, "key", "text", width, distance, blocks)
+    else:
+        found = similar(keyed, "key", "text", width, similarity, distance)
+    heads = found.select("component.*").distinct()
     rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in key.items()]).join(heads, ["_d", "_h"], "left_semi")
     place = F.row_number().over(Window.partitionBy("_d", "_h").orderBy(F.lit(0)))
     return rows.withColumn("place", place).where("place = 1").select("row.*")

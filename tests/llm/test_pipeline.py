@@ -7,6 +7,7 @@ import test_quality
 import test_simhash
 import test_substrings
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -64,3 +65,26 @@ def test_keep_first(spark):
 
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_a_copy_with_one_changed_word_goes(spark):
+    words = [f"word{i * i % 997}" for i in range(100)]
+    texts = [" ".join(words[:at] + [f"changed{at}"] + words[at + 1 :]) for at in (10, 30, 50, 70, 90)]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate([" ".join(words), *texts])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.distinct(spark, docs, SF_DIR).collect()] == [0]
+
+
+def test_near_copies_equal_brute_force_by_similarity(spark):
+    docs = pq.read_table(f"{SF_DIR}/documents.parquet").to_pylist()
+    docs = sorted((d for d in docs if test_quality.plain(d["text"])[-1]), key=lambda d: d["doc_id"])
+    sets = [test_simhash.grams(d["text"].lower()) for d in docs]
+    part = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((part[i], part[j]))
+                part = [low if p == high else p for p in part]
+    want = [d["doc_id"] for i, d in enumerate(docs) if part[i] == i]
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.col("doc_id").isin([d["doc_id"] for d in docs]))
+    assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, table, SF_DIR).select("doc_id").collect()) == want

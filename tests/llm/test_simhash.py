@@ -102,3 +102,44 @@ def test_components(spark):
 def test_digest_of_many_edges(spark):
     many = spark.range(20_000_000).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
     assert _digest(many) == _digest(many.repartition(3)) != _digest(many.where("a > 0"))
+
+
+def grams(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_similar_finds_planted_copies(spark):
+    rng = random.Random(3)
+    rows, want, pairs = [], {}, []
+    for i in range(0, 1200, 2):
+        words = [f"w{rng.randrange(5000)}" for _ in range(100)]
+        copy = list(words)
+        for at in rng.sample(range(100), rng.choice([1, 1, 2, 3])):  # similarities from about 0.73 to 0.98
+            copy[at] = "changed"
+        rows += [(i, " ".join(words), 1), (i + 1, " ".join(copy).title(), 1)]
+        a, b = grams(rows[-2][1]), grams(rows[-1][1].lower())
+        want[i], want[i + 1] = i, i if len(a & b) >= 0.8 * len(a | b) else i + 1
+        pairs.append(want[i + 1] == i)
+    heart = [f"h{i}" for i in range(100)]  # a group in which many pairs are less similar than 0.8
+    group = []
+    for i in range(2000, 2120):
+        words = list(heart)
+        for at in rng.sample(range(100), 2):
+            words[at] = f"x{i}"
+        group.append(grams(" ".join(words)))
+        rows.append((i, " ".join(words), 1))
+    rows += [(5000, None, 1), (5001, " ", 1), (5002, "few words", 1), (5003, "Few\nwords", 1)]
+    want |= {5000: 5000, 5001: 5000, 5002: 5002, 5003: 5002}
+    parent = list(range(len(group)))
+    for i in range(len(group)):
+        for j in range(i):
+            if len(group[i] & group[j]) >= 0.8 * len(group[i] | group[j]):
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    got = {r.id: r.component for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string, fp int")).collect()}
+    assert all(got[i] >= c for i, c in want.items())  # no pair less similar is linked
+    assert sum(got[i + 1] == i for i in range(0, 1200, 2)) >= 0.97 * sum(pairs) and 300 < sum(pairs) < 600
+    assert [got[i] for i in range(5000, 5004)] == [5000, 5000, 5002, 5002]
+    assert sum(got[2000 + i] == 2000 + p for i, p in enumerate(parent)) >= 0.95 * len(parent)
+    assert simhash.similar(spark.createDataFrame(rows[:1], "doc_id long, text string, fp int").limit(0)).count() == 0
