@@ -14,6 +14,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from strata.llm.common import pieces, staged, texts
 BROADCAST = 64 << 20
 #: Hosts whose wrappers a task holds before it writes them, and groups in which a host's wrappers are merged first.
 HELD, SALTS = 2000, 16
-#: Elements within one another; what is deeper counts as text of the last one. Pairs of items that are aligned in order.
+#: Elements within one another that a wrapper describes; pages are read at any depth. Pairs of items aligned at a time.
 DEPTH, PAIRS = 80, 250_000
 #: Part of a slot's characters in links from which it is a menu.
 LINKED = 0.6
@@ -44,15 +45,21 @@ OWN_KIND = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"tabl
             "td": {"tr"}, "th": {"tr"}, "option": {"select"}, "p": set()}
 #: Elements that are not an article's text, whatever their names.
 ASIDE = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "label", "address"}
-#: Words in class, id or role that say the same.
+#: Whole tokens of class, id or role that say the same: such a word, also with a place before it or a part after it. Other
+#: tokens that have the word in them, as ``has-sidebar`` or ``category-legal``, say nothing; there the wrapper decides.
 ASIDE_WORDS = re.compile(
-    r"(?:^|[-_ ])(?:nav\w*|menu\w*|side-?bar|footer|masthead|ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|"
+    r"(?:^| )(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global|post|entry|article|user|blog|footer|header)[-_])*"
+    r"(?:nav|navbar|navigation|menu\w*|side-?bar|footer|masthead|ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|"
     r"notices?|alert|pop-?up|modal|overlay|share|sharing|social|related|recommend\w*|comments?|repl(?:y|ies)|disqus|respond|"
     r"breadcrumbs?|pagination|pager|subscribe|newsletter|sign-?up|login|search|toolbar|widgets?|copyright|legal|tags|"
-    r"complementary|contentinfo|navigation)(?:$|[-_ ])"
+    r"complementary|contentinfo)"
+    r"(?:[-_](?:\d+|area|list|section|wrap|wrapper|container|box|bar|block|inner|body|content|links?|buttons?|form|title|items?|menu|"
+    r"nav|panel|posts|articles|stories|notice|banner|consent|footer|header|thread|media|share|sharing|widgets?))*(?=$| )"
 )
 #: Words that say that an element is the article.
 MAIN_WORDS = re.compile(r"(?:^|[-_ ])(?:article|post|entry|story|main|content)(?:-?(?:body|content|text))?(?:$|[-_ ])")
+#: Elements that hold a page's text whatever their classes.
+HOLDERS = {"html", "body", "main", "article"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"
@@ -66,22 +73,37 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^
 
 @dataclass
 class Node:
-    """An element with its kind, ``tag`` or ``tag.names``, or a text; ``linked`` counts characters in links."""
+    """An element with its kind, ``tag`` or ``tag.names``, or a text; ``linked`` counts characters in links.
+
+    ``mains`` are the elements in it, and itself, that are named as the article and do not lie in a menu, footer or the like.
+    """
 
     kind: str
     children: list[Node] = field(default_factory=list)
     text: str = ""
     linked: int = 0
+    mains: int = 0
 
 
 def parse(page: str) -> Node:
-    """The tree of a page's elements. Open elements end where their parent does; stray ends are ignored."""
+    """The tree of a page's elements, of any depth. Open elements end where their parent does; stray ends are ignored."""
     root = Node("")
-    open_, links, hidden, beyond = [root], 0, 0, 0
+    open_, links, mains = [root], 0, 0
+    within: Counter = Counter()  # open elements by tag, and by what they are
+
+    def close(at: int) -> None:
+        for node in open_[at:]:
+            tag = node.kind.partition(".")[0]
+            node.mains = mains - node.mains
+            within[tag] -= 1
+            within["#hidden"] -= tag in HIDDEN
+            within["#aside"] -= tag in ASIDE
+        del open_[at:]
+
     for _, end, tag, rest, text in (m.groups(default="") for m in _TOKEN.finditer(page)):
         tag = tag.lower()
         if text:
-            if not hidden:
+            if not within["#hidden"]:
                 _add_text(open_[-1], html.unescape(text), links > 0)
         elif not tag:
             continue
@@ -91,28 +113,23 @@ def parse(page: str) -> Node:
             _add_text(open_[-1], " ", False)
         elif tag in INLINE or tag in VOID:
             continue
-        elif end and beyond:
-            beyond -= 1
-            _add_text(open_[-1], " ", False)
         elif end:
-            at = next((i for i in range(len(open_) - 1, 0, -1) if open_[i].kind.split(".")[0] == tag), 0)
-            if at:
-                del open_[at:]
-                hidden = sum(n.kind in HIDDEN for n in open_)
+            if within[tag] > 0:
+                close(next(i for i in range(len(open_) - 1, 0, -1) if open_[i].kind.partition(".")[0] == tag))
             links = 0
         else:
-            _close_implied(open_, tag)
-            if len(open_) > DEPTH:
-                beyond += 1
-                _add_text(open_[-1], " ", False)
-                continue
+            close(_implied(open_, tag, within))
             names = " ".join(sorted({next(filter(None, g[1:]), "").lower() for g in _NAMED.findall(rest)} - {""}))
             names = _DIGITS.sub("0", names)
-            node = Node(f"{tag}.{names}" if names and tag not in HIDDEN else tag)
+            node = Node(f"{tag}.{names}" if names and tag not in HIDDEN else tag, mains=mains)
             open_[-1].children.append(node)
             open_.append(node)
-            hidden += tag in HIDDEN
+            within[tag] += 1
+            within["#hidden"] += tag in HIDDEN
+            within["#aside"] += tag in ASIDE
+            mains += not within["#aside"] and _named_main(node.kind)
             links = 0
+    close(0)
     return root
 
 
@@ -125,17 +142,19 @@ def _add_text(parent: Node, text: str, linked: bool) -> None:
     last.linked += len(text.strip()) if linked else 0
 
 
-def _close_implied(open_: list[Node], tag: str) -> None:
-    kinds = [n.kind.split(".")[0] for n in open_]
-    if kinds[-1] == "p":
-        open_.pop()
-    elif tag in OWN_KIND:
+def _implied(open_: list[Node], tag: str, within: Counter) -> int:
+    """The place of the first open element that a start of ``tag`` ends, or the number of open ones."""
+    if open_[-1].kind.partition(".")[0] == "p":
+        return len(open_) - 1
+    ended = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
+    if tag in OWN_KIND and any(within[t] > 0 for t in ended):
         for i in range(len(open_) - 1, 0, -1):
-            if kinds[i] in OWN_KIND[tag]:
-                break
-            if kinds[i] == tag or (tag in ("dt", "dd") and kinds[i] in ("dt", "dd")) or (tag in ("td", "th") and kinds[i] in ("td", "th")):
-                del open_[i:]
+            kind = open_[i].kind.partition(".")[0]
+            if kind in OWN_KIND[tag]:
                 break
+            if kind in ended:
+                return i
+    return len(open_)
 
 
 # --- wrappers: [kind, mark, children or counts]; mark "" for once, "?" optional, "+" repeated, "*" both ---
@@ -222,10 +241,13 @@ def align(xs: list, ys: list) -> list:
 # --- reading a page along a wrapper ---
 
 
-def _aside(kind: str, within: bool) -> bool:
-    """Whether an element is beside the article; a heading area inside of the article is not."""
-    tag, _, names = kind.partition(".")
-    return tag in ASIDE or tag == "header" and not within or bool(names and ASIDE_WORDS.search(names))
+def _aside(node: Node, within: bool, mains: int) -> bool:
+    """Whether an element is beside the article; a heading area inside of the article is not, nor is by its names one that holds
+    all of the page's elements that are named as the article."""
+    tag, _, names = node.kind.partition(".")
+    if tag in ASIDE or tag == "header" and not within:
+        return True
+    return tag not in HOLDERS and not (node.mains and node.mains == mains) and bool(names and ASIDE_WORDS.search(names))
 
 
 def _main(kind: str) -> bool:
@@ -233,6 +255,11 @@ def _main(kind: str) -> bool:
     return tag in ("article", "main") or tag in ("div", "section", "td") and bool(names and MAIN_WORDS.search(names))
 
 
+def _named_main(kind: str) -> bool:
+    """Whether an element is named as the article and as nothing beside it."""
+    return _main(kind) and not ASIDE_WORDS.search(kind.partition(".")[2])
+
+
 def _slot(items: list, kind: str, start: int = 0) -> tuple[list | None, int]:
     """The next item of this kind from ``start`` on, else from the front, also in groups, and its place."""
     for i in [*range(start, len(items)), *range(min(start, len(items)))]:
@@ -248,13 +275,13 @@ def extract(page: Node, whole: list) -> str:
     beside it, each if its slot of the wrapper is not made of links."""
     for within in (True, False):
         blocks: list[str] = []
-        _read(page, whole, not within, False, blocks)
+        _read(page, whole, not within, False, page.mains, blocks)
         if blocks:
             break
     return "\n\n".join(blocks)
 
 
-def _read(node: Node, item: list | None, inside: bool, article: bool, blocks: list[str]) -> None:
+def _read(node: Node, item: list | None, inside: bool, article: bool, mains: int, blocks: list[str]) -> None:
     at = 0
     for child in node.children:
         if child.kind in HIDDEN or child.kind == "#" and not child.text.strip():
@@ -265,9 +292,9 @@ def _read(node: Node, item: list | None, inside: bool, article: bool, blocks: li
             _, chars, linked = place[2] if place else (1, len(text), child.linked)
             if inside and text and linked <= LINKED * chars:
                 blocks.append(text)
-        elif not _aside(child.kind, article):
+        elif not _aside(child, article, mains):
             main = _main(child.kind)
-            _read(child, place, inside or main, article or main, blocks)
+            _read(child, place, inside or main, article or main, mains, blocks)
 
 
 # --- tables ---

@@ -25,6 +25,15 @@ def test_query_equals_cutting_by_hand(spark):
     assert len(got) == len(pages) and set(got) == want
 
 
+def _texts(node):
+    left, found = [node], []
+    while left:
+        n = left.pop()
+        found += [n] if n.kind == "#" else []
+        left += n.children[::-1]
+    return found
+
+
 PAGE = """<!doctype html><html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body>
 <header><a href=/>Home</a> The Site</header><div class="cookie-notice">We use cookies</div><div id=main-nav><a href=x>One</a></div>
 <div class="layout"><div class="sidebar"><p>Some words beside it.</p></div>
@@ -90,3 +99,20 @@ def test_deep_and_wide_pages():
 def test_self_closed_icons_swallow_nothing():
     tree = html.parse('<article><p>one <svg class="i" title="a > b"/> two</p><math/><p>three <svg><path/>no</svg>four</article><p>after')
     assert html.extract(tree, html.wrapper(tree)) == "one two\n\nthree four"
+
+
+def test_names_of_what_holds_the_article():
+    text = lambda page: html.extract(html.parse(page), html.wrapper(html.parse(page)))
+    for names in ("single-post has-sidebar", "no-sidebar", "comments-open", "tag-navy", "post hentry category-legal", "sidebar"):
+        assert text(f'<body class="{names}"><article><p>words</p></article><div class=sidebar><p>no</div></body>') == "words", names
+        assert text(f'<body><article class="{names}"><p>words</article><div class="post-comments"><p>no</div>') == "words", names
+        assert text(f'<div class="{names}"><main><p>words</main></div><div id=comments-area><p>no</div>') == "words", names
+    for names in ("has-sidebar", "no-sidebar", "comments-open", "tag-navy", "category-legal"):
+        assert text(f'<div class="{names}"><p>words</div><div class="site-footer"><p>no</div>') == "words", names
+    related = '<div class="related-posts"><article><p>no</article></div><div id=comments><article class="comment-body"><p>no</article></div>'
+    assert text(f"<div class=sidebar-layout><article><p>words</article></div>{related}") == "words"
+
+
+def test_page_trees_of_any_depth():
+    deep = "<article>" + "<div>" * 3000 + "one<p>two<nav>no</nav><aside>no<p>no</aside><select><option>no</select><p>three" + "</div>" * 3000
+    assert [n.text for n in _texts(html.parse(deep + "</article><footer>end</footer>"))][:2] == ["one", "two"]
