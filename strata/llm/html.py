@@ -14,6 +14,7 @@ import html
 import json
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -166,8 +167,13 @@ def _marked(item: list, optional: bool = False, repeated: bool = False) -> list:
     return [item[0], _MARKS[optional or item[1] in "?*" and item[1] != "", repeated or item[1] in "+*" and item[1] != ""], item[2]]
 
 
-def wrapper(node: Node) -> list:
-    """A page's tree as a wrapper, neighbours of one kind folded; texts of white space alone are no slots."""
+def wrapper(node: Node, depth: int = 0) -> list:
+    """A page's tree as a wrapper, neighbours of one kind folded; texts of white space alone are no slots.
+
+    What is in elements ``DEPTH`` deep is one slot of its own kind, that no text of a page is read along.
+    """
+    if depth == DEPTH:
+        return [node.kind, "", _deep(node)]
     items = []
     for child in node.children:
         if child.kind == "#":
@@ -175,10 +181,21 @@ def wrapper(node: Node) -> list:
             if size:
                 items.append(["#", "", [1, size, min(size, child.linked)]])
         elif child.kind not in HIDDEN:
-            items.append(wrapper(child))
+            items.append(wrapper(child, depth + 1))
     return [node.kind, "", fold(items)]
 
 
+def _deep(node: Node) -> list:
+    counts, left = [0, 0, 0], [node]
+    while left:
+        for child in left.pop().children:
+            if child.kind not in HIDDEN:
+                left.append(child)
+                size = len(child.text.strip())
+                counts = [x + y for x, y in zip(counts, [size > 0, size, min(size, child.linked)])]
+    return [["#deep", "", counts]] if counts[0] else []
+
+
 def fold(items: list) -> list:
     """Neighbouring runs of the same one to three kinds become one repeated element or group."""
     for period in (1, 2, 3):
@@ -205,21 +222,55 @@ def fold(items: list) -> list:
 def merge(a: list, b: list) -> list:
     """The wrapper of what either of two wrappers of one kind describes."""
     mark = _marked(a, "?" in (a[1], b[1]) or "*" in (a[1], b[1]), "+" in (a[1], b[1]) or "*" in (a[1], b[1]))[1]
-    if a[0] == "#":
-        return ["#", mark, [x + y for x, y in zip(a[2], b[2])]]
+    if a[0] in ("#", "#deep"):
+        return [a[0], mark, [x + y for x, y in zip(a[2], b[2])]]
     return [a[0], mark, fold(align(a[2], b[2]))]
 
 
 def align(xs: list, ys: list) -> list:
     """The two sequences as one: pairs of equal kinds merged, in the order that matches most, all else optional.
 
-    Very long sequences that do not fold become one optional, repeated item for each kind.
+    Very long sequences are cut first: at equal items from either end, at kinds that each has once, then into blocks.
     """
-    if len(xs) * len(ys) > PAIRS:
-        kinds: dict[str, list] = {}
-        for item in xs + ys:
-            kinds[item[0]] = merge(kinds[item[0]], item) if item[0] in kinds else item
-        return [_marked(item, optional=True, repeated=True) for item in kinds.values()]
+    if len(xs) * len(ys) <= PAIRS:
+        return _align(xs, ys)
+    out: list = []
+    most = min(len(xs), len(ys))
+    head = next((i for i in range(most) if xs[i][0] != ys[i][0]), most)
+    tail = next((i for i in range(most - head) if xs[-1 - i][0] != ys[-1 - i][0]), most - head)
+    ends = [merge(a, b) for a, b in zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
+    out += [merge(a, b) for a, b in zip(xs[:head], ys[:head])]
+    xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+    a = b = 0
+    for i, j in [*_anchors(xs, ys), (len(xs), len(ys))]:
+        n = 1  # blocks of the items before the anchor
+        while (-(-(i - a) // n)) * (-(-(j - b) // n)) > PAIRS:
+            n += 1
+        for k in range(n):
+            out += _align(xs[a + (i - a) * k // n : a + (i - a) * (k + 1) // n], ys[b + (j - b) * k // n : b + (j - b) * (k + 1) // n])
+        a, b = i, j
+    return out + ends
+
+
+def _anchors(xs: list, ys: list) -> list[tuple[int, int]]:
+    """Places of kinds that are once in both, as many as are in one order."""
+    once = [{x[0]: i for i, x in enumerate(s) if n[x[0]] == 1} for s in (xs, ys) for n in [Counter(x[0] for x in s)]]
+    ends: list[int] = []
+    last: list[tuple] = []  # of the best run of each length: its last anchor and the run before it
+    for kind, i in once[0].items():
+        if kind in once[1]:
+            j = once[1][kind]
+            at = bisect_left(ends, j)
+            ends[at : at + 1] = [j]
+            last[at : at + 1] = [((i, j), last[at - 1] if at else None)]
+    out, run = [], last[-1] if last else None
+    while run:
+        out.append(run[0])
+        run = run[1]
+    return out[::-1]
+
+
+def _align(xs: list, ys: list) -> list:
     best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i in range(len(xs) - 1, -1, -1):
         for j in range(len(ys) - 1, -1, -1):
@@ -238,6 +289,18 @@ def align(xs: list, ys: list) -> list:
     return out
 
 
+def _slots(item: list) -> list[list]:
+    """All slots of a wrapper."""
+    found, left = [], [item]
+    while left:
+        item = left.pop()
+        if item[0] in ("#", "#deep"):
+            found.append(item)
+        else:
+            left += item[2]
+    return found
+
+
 # --- reading a page along a wrapper ---
 
 
@@ -275,26 +338,31 @@ def extract(page: Node, whole: list) -> str:
     beside it, each if its slot of the wrapper is not made of links."""
     for within in (True, False):
         blocks: list[str] = []
-        _read(page, whole, not within, False, page.mains, blocks)
+        _read(page, whole, not within, blocks)
         if blocks:
             break
     return "\n\n".join(blocks)
 
 
-def _read(node: Node, item: list | None, inside: bool, article: bool, mains: int, blocks: list[str]) -> None:
-    at = 0
-    for child in node.children:
+def _read(page: Node, whole: list, everywhere: bool, blocks: list[str]) -> None:
+    stack: list[list] = [[iter(page.children), whole, 0, everywhere, False]]
+    while stack:
+        children, item, at, inside, article = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            continue
         if child.kind in HIDDEN or child.kind == "#" and not child.text.strip():
             continue
-        place, at = _slot(item[2], child.kind, at) if item else (None, 0)
+        place, stack[-1][2] = _slot(item[2], child.kind, at) if item else (None, 0)
         if child.kind == "#":
             text = " ".join(child.text.split())
             _, chars, linked = place[2] if place else (1, len(text), child.linked)
             if inside and text and linked <= LINKED * chars:
                 blocks.append(text)
-        elif not _aside(child, article, mains):
+        elif not _aside(child, article, page.mains):
             main = _main(child.kind)
-            _read(child, place, inside or main, article or main, mains, blocks)
+            stack.append([iter(child.children), place, 0, inside or main, article or main])
 
 
 # --- tables ---

@@ -25,15 +25,6 @@ def test_query_equals_cutting_by_hand(spark):
     assert len(got) == len(pages) and set(got) == want
 
 
-def _texts(node):
-    left, found = [node], []
-    while left:
-        n = left.pop()
-        found += [n] if n.kind == "#" else []
-        left += n.children[::-1]
-    return found
-
-
 PAGE = """<!doctype html><html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body>
 <header><a href=/>Home</a> The Site</header><div class="cookie-notice">We use cookies</div><div id=main-nav><a href=x>One</a></div>
 <div class="layout"><div class="sidebar"><p>Some words beside it.</p></div>
@@ -115,4 +106,20 @@ def test_names_of_what_holds_the_article():
 
 def test_page_trees_of_any_depth():
     deep = "<article>" + "<div>" * 3000 + "one<p>two<nav>no</nav><aside>no<p>no</aside><select><option>no</select><p>three" + "</div>" * 3000
-    assert [n.text for n in _texts(html.parse(deep + "</article><footer>end</footer>"))][:2] == ["one", "two"]
+    for page in (deep + "</article><footer>no</footer>", "<div>" * 90 + "<b>" + deep + "</article></div><footer>no</footer><p>"):
+        tree = html.parse(page)
+        assert html.extract(tree, html.merge(html.wrapper(tree), html.wrapper(tree))) == "one\n\ntwo\n\nthree"
+    many = html.parse("<section>" * 200_000 + "words" + "</article></p>" * 200_000)
+    assert html.extract(many, html.wrapper(many)) == "words"
+
+
+def test_long_sequences_keep_their_places():
+    def page(first, kinds):
+        return html.parse("<div>" + "".join(f"<x{i % 5}{i * i % 7}q{'z' * (i % 3)}>t{i}</x{i % 5}{i * i % 7}q{'z' * (i % 3)}>" for i in range(first, kinds)) + "</div>")
+
+    one, two = page(0, 900), page(40, 1000)
+    both = html.merge(html.wrapper(one), html.wrapper(two))
+    assert sum(n[2][0] for n in html._slots(both)) == 1860 and len(both[2][0][2]) >= 90
+    assert [html._anchors([["a"], ["b"], ["c"], ["b"]], [["c"], ["a"], ["b"]]), html._anchors([], [])] == [[(2, 0)], []]
+    for tree, span in ((one, range(900)), (two, range(40, 1000))):
+        assert html.extract(tree, both).split() == [f"t{i}" for i in span]
