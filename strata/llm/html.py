@@ -32,8 +32,10 @@ BROADCAST = 64 << 20
 HELD, SALTS = 2000, 16
 #: Elements within one another that a wrapper describes; pages are read at any depth. Pairs of items aligned at a time.
 DEPTH, PAIRS = 80, 250_000
-#: Part of a slot's characters in links from which it is a menu.
-LINKED = 0.6
+#: Part of a slot's characters in links from which it is a menu, outside of the article, and of each text in a list from which the
+#: list is one, within an element that is not ``article`` but named so.
+LINKED, LISTED = 0.6, 0.9
+LISTS = {"ul", "ol", "dl", "menu", "table"}
 
 # Fixed names of HTML: elements without content, elements that do not break a block, elements whose text is not shown,
 # elements that close an open paragraph, and those that only repeat beside their own kind.
@@ -335,7 +337,8 @@ def _slot(items: list, kind: str, start: int = 0) -> tuple[list | None, int]:
 
 def extract(page: Node, whole: list) -> str:
     """The article's blocks, by two line breaks: texts in the article element where the page has one, else all that are not
-    beside it, each if its slot of the wrapper is not made of links."""
+    beside it, each if its slot of the wrapper is not made of links. In an ``article`` links
+    drop nothing, in other elements named so lists of which all texts are links."""
     for within in (True, False):
         blocks: list[str] = []
         _read(page, whole, not within, blocks)
@@ -345,9 +348,9 @@ def extract(page: Node, whole: list) -> str:
 
 
 def _read(page: Node, whole: list, everywhere: bool, blocks: list[str]) -> None:
-    stack: list[list] = [[iter(page.children), whole, 0, everywhere, False]]
+    stack: list[list] = [[iter(page.children), whole, 0, everywhere, "", False]]
     while stack:
-        children, item, at, inside, article = stack[-1]
+        children, item, at, inside, article, listed = stack[-1]  # article: "", "named" by class, or "element"
         child = next(children, None)
         if child is None:
             stack.pop()
@@ -355,14 +358,32 @@ def _read(page: Node, whole: list, everywhere: bool, blocks: list[str]) -> None:
         if child.kind in HIDDEN or child.kind == "#" and not child.text.strip():
             continue
         place, stack[-1][2] = _slot(item[2], child.kind, at) if item else (None, 0)
+        tag = child.kind.partition(".")[0]
         if child.kind == "#":
             text = " ".join(child.text.split())
             _, chars, linked = place[2] if place else (1, len(text), child.linked)
-            if inside and text and linked <= LINKED * chars:
+            if inside and text and (article or linked <= LINKED * chars):
                 blocks.append(text)
-        elif not _aside(child, article, page.mains):
-            main = _main(child.kind)
-            stack.append([iter(child.children), place, 0, inside or main, article or main])
+        elif not _aside(child, bool(article), page.mains):
+            outer = tag in LISTS and not listed
+            if outer and article == "named" and _all_links(child):
+                continue
+            here = "element" if tag == "article" else article or ("named" if _main(child.kind) else "")
+            stack.append([iter(child.children), place, 0, inside or bool(here), here, listed or outer and bool(article)])
+
+
+def _all_links(node: Node) -> bool:
+    """Whether an element has texts and all of them are links."""
+    found, left = False, [node]
+    while left:
+        for child in left.pop().children:
+            if child.kind not in HIDDEN:
+                left.append(child)
+                text = " ".join(child.text.split())
+                found = found or bool(text)
+                if child.linked < LISTED * len(text):
+                    return False
+    return found
 
 
 # --- tables ---

@@ -123,3 +123,13 @@ def test_long_sequences_keep_their_places():
     assert [html._anchors([["a"], ["b"], ["c"], ["b"]], [["c"], ["a"], ["b"]]), html._anchors([], [])] == [[(2, 0)], []]
     for tree, span in ((one, range(900)), (two, range(40, 1000))):
         assert html.extract(tree, both).split() == [f"t{i}" for i in span]
+
+
+def test_links_in_an_article_stay():
+    body = "<p>words<p><a href=1>Read the report</a><p>more<ul><li><a href=2>A long linked source</a><li>B</ul>"
+    want = "words\n\nRead the report\n\nmore\n\nA long linked source\n\nB"
+    for page in (f"<article>{body}</article>", f"<main>{body}</main>", f'<div class="entry-content">{body}</div>'):
+        tree = html.parse("<div><a href=0>Home</a></div>" + page + "<ul><li><a href=3>Next</a></ul>")
+        assert html.extract(tree, html.merge(html.wrapper(tree), html.wrapper(tree))) == want, page
+    tree = html.parse("<article><h1>Links</h1><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></article>")
+    assert html.extract(tree, html.wrapper(tree)) == "Links\n\nOne\n\nTwo"
