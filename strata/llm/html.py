@@ -4,8 +4,8 @@ A page is a tree of elements with text slots. A wrapper is a union-free regular
 elements and slots, each of which may be optional or repeated, as may a group of several. A page's own tree is its first
 wrapper, in which neighbours of one kind fold into a repeated one; two wrappers are aligned element by element, and where
 they differ, what only one of them has becomes optional. Slots count their texts, characters and linked characters over all
-pages, so wrappers of parts of a host's pages can be merged in any grouping: in each task, then by host and salt, then by host.
-A page is read along its host's wrapper, whose slots say by their place and counts which texts are the article's.
+pages, and keep hashes of the texts that all pages with the slot have in it: those are template. So wrappers of parts of a host's pages can be merged in any grouping: in each task, then by host and salt, then by host.
+A page is read along its host's wrapper, whose slots say by their place, counts and template which texts are the article's.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import nlargest
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,11 @@ from strata.llm.common import pieces, staged, texts
 BROADCAST = 64 << 20
 #: Hosts whose wrappers a task holds before it writes them, and groups in which a host's wrappers are merged first.
 HELD, SALTS = 2000, 16
+#: Texts of the pages in them, from which a task writes the wrappers it holds, too.
+HELD_TEXTS = 200_000
+#: Different pages on which a text must be the same to be template, and the longest texts of a page by which pages are told apart.
+SEVERAL, LONGEST = 3, 5
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements within one another that a wrapper describes; pages are read at any depth. Pairs of items aligned at a time.
 DEPTH, PAIRS = 80, 250_000
 #: Part of a slot's characters in links from which it is a menu, outside of the article, and of each text in a list from which the
@@ -169,33 +176,73 @@ def _marked(item: list, optional: bool = False, repeated: bool = False) -> list:
     return [item[0], _MARKS[optional or item[1] in "?*" and item[1] != "", repeated or item[1] in "+*" and item[1] != ""], item[2]]
 
 
-def wrapper(node: Node, depth: int = 0) -> list:
+def _inner(place: int, kind: str) -> int:
+    """The place of an element of this kind in an element at ``place``, as a hash of the kinds on the way."""
+    return xxhash.xxh64_intdigest(kind, place)
+
+
+def _key(place: int, text: str) -> str:
+    return f"{xxhash.xxh64_intdigest(' '.join(text.split()), place) >> 16:x}"
+
+
+def _page_mark(root: Node) -> int:
+    """Equal for pages that differ in small texts only."""
+    found, left = [], [root]
+    while left:
+        for child in left.pop().children:
+            if child.kind not in HIDDEN:
+                left.append(child)
+                found += [(len(t), t)] if (t := " ".join(child.text.split())) else []
+    return xxhash.xxh64_intdigest("\n".join(t for _, t in nlargest(LONGEST, found))) >> 16
+
+
+def wrapper(node: Node, depth: int = 0, place: int = 0, mark: int | None = None) -> list:
     """A page's tree as a wrapper, neighbours of one kind folded; texts of white space alone are no slots.
 
     What is in elements ``DEPTH`` deep is one slot of its own kind, that no text of a page is read along.
     """
+    mark = _page_mark(node) if mark is None else mark
     if depth == DEPTH:
-        return [node.kind, "", _deep(node)]
+        return [node.kind, "", _deep(node, place, mark)]
     items = []
     for child in node.children:
         if child.kind == "#":
-            size = len(child.text.strip())
-            if size:
-                items.append(["#", "", [1, size, min(size, child.linked)]])
+            if child.text.strip():
+                items.append(["#", "", _counts(child, place, mark)])
         elif child.kind not in HIDDEN:
-            items.append(wrapper(child, depth + 1))
+            items.append(wrapper(child, depth + 1, _inner(place, child.kind), mark))
     return [node.kind, "", fold(items)]
 
 
-def _deep(node: Node) -> list:
-    counts, left = [0, 0, 0], [node]
+def _counts(text: Node, place: int, mark: int) -> list:
+    """Texts, their characters, linked ones, and by the hashes of the texts that all pages have the least few marks of pages."""
+    size = len(text.text.strip())
+    return [1, size, min(size, text.linked), {_key(place, text.text): [mark]}]
+
+
+def _deep(node: Node, place: int, mark: int) -> list:
+    counts, left = None, [(node, place)]
     while left:
-        for child in left.pop().children:
-            if child.kind not in HIDDEN:
-                left.append(child)
-                size = len(child.text.strip())
-                counts = [x + y for x, y in zip(counts, [size > 0, size, min(size, child.linked)])]
-    return [["#deep", "", counts]] if counts[0] else []
+        node, place = left.pop()
+        for child in node.children:
+            if child.kind == "#" and child.text.strip():
+                own = _counts(child, place, mark)
+                counts = _added(counts, own) if counts else own
+            elif child.kind != "#" and child.kind not in HIDDEN:
+                left.append((child, _inner(place, child.kind)))
+    return [["#deep", "", counts]] if counts else []
+
+
+def _added(a: list, b: list, pages: bool = False) -> list:
+    """Counts of two slots: of one place on different pages, or of two places that become one. ``a`` may change."""
+    sums = [x + y for x, y in zip(a[:3], b[:3])]
+    known, more = (c[3] if len(c) > 3 else {} for c in (a, b))
+    if pages:
+        known = {k: sorted({*known[k], *more[k]})[:SEVERAL] for k in known if k in more}
+    else:
+        for k, marks in more.items():
+            known[k] = sorted({*known[k], *marks})[:SEVERAL] if k in known else marks
+    return [*sums, known] if known else sums
 
 
 def fold(items: list) -> list:
@@ -211,7 +258,7 @@ def fold(items: list) -> list:
             if n > 1 and (period == 1 or len(set(run)) > 1):
                 parts = items[i : i + period]
                 for k in range(1, n):
-                    parts = [merge(a, b) for a, b in zip(parts, items[i + k * period : i + (k + 1) * period])]
+                    parts = [merge(a, b, False) for a, b in zip(parts, items[i + k * period : i + (k + 1) * period])]
                 out.append(_marked(parts[0], repeated=True) if period == 1 else ["()" + "|".join(run), "+", parts])
                 i += n * period
             else:
@@ -221,27 +268,27 @@ def fold(items: list) -> list:
     return items
 
 
-def merge(a: list, b: list) -> list:
-    """The wrapper of what either of two wrappers of one kind describes."""
+def merge(a: list, b: list, pages: bool = True) -> list:
+    """The wrapper of what either of two wrappers of one kind describes, of different pages or of neighbours that fold."""
     mark = _marked(a, "?" in (a[1], b[1]) or "*" in (a[1], b[1]), "+" in (a[1], b[1]) or "*" in (a[1], b[1]))[1]
     if a[0] in ("#", "#deep"):
-        return [a[0], mark, [x + y for x, y in zip(a[2], b[2])]]
-    return [a[0], mark, fold(align(a[2], b[2]))]
+        return [a[0], mark, _added(a[2], b[2], pages)]
+    return [a[0], mark, fold(align(a[2], b[2], pages))]
 
 
-def align(xs: list, ys: list) -> list:
+def align(xs: list, ys: list, pages: bool = True) -> list:
     """The two sequences as one: pairs of equal kinds merged, in the order that matches most, all else optional.
 
     Very long sequences are cut first: at equal items from either end, at kinds that each has once, then into blocks.
     """
     if len(xs) * len(ys) <= PAIRS:
-        return _align(xs, ys)
+        return _align(xs, ys, pages)
     out: list = []
     most = min(len(xs), len(ys))
     head = next((i for i in range(most) if xs[i][0] != ys[i][0]), most)
     tail = next((i for i in range(most - head) if xs[-1 - i][0] != ys[-1 - i][0]), most - head)
-    ends = [merge(a, b) for a, b in zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
-    out += [merge(a, b) for a, b in zip(xs[:head], ys[:head])]
+    ends = [merge(a, b, pages) for a, b in zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
+    out += [merge(a, b, pages) for a, b in zip(xs[:head], ys[:head])]
     xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
     a = b = 0
     for i, j in [*_anchors(xs, ys), (len(xs), len(ys))]:
@@ -249,7 +296,8 @@ def align(xs: list, ys: list) -> list:
         while (-(-(i - a) // n)) * (-(-(j - b) // n)) > PAIRS:
             n += 1
         for k in range(n):
-            out += _align(xs[a + (i - a) * k // n : a + (i - a) * (k + 1) // n], ys[b + (j - b) * k // n : b + (j - b) * (k + 1) // n])
+            some = xs[a + (i - a) * k // n : a + (i - a) * (k + 1) // n]
+            out += _align(some, ys[b + (j - b) * k // n : b + (j - b) * (k + 1) // n], pages)
         a, b = i, j
     return out + ends
 
@@ -272,7 +320,7 @@ def _anchors(xs: list, ys: list) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _align(xs: list, ys: list) -> list:
+def _align(xs: list, ys: list, pages: bool) -> list:
     best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i in range(len(xs) - 1, -1, -1):
         for j in range(len(ys) - 1, -1, -1):
@@ -280,7 +328,7 @@ def _align(xs: list, ys: list) -> list:
     out, i, j = [], 0, 0
     while i < len(xs) or j < len(ys):
         if i < len(xs) and j < len(ys) and xs[i][0] == ys[j][0] and best[i][j] == best[i + 1][j + 1] + 1:
-            out.append(merge(xs[i], ys[j]))
+            out.append(merge(xs[i], ys[j], pages))
             i, j = i + 1, j + 1
         elif j == len(ys) or i < len(xs) and best[i][j] == best[i + 1][j]:
             out.append(_marked(xs[i], optional=True))
@@ -335,22 +383,29 @@ def _slot(items: list, kind: str, start: int = 0) -> tuple[list | None, int]:
     return None, start
 
 
-def extract(page: Node, whole: list) -> str:
+def template(whole: list) -> frozenset:
+    """Keys of the texts that are the same on several pages, on all that have their slot."""
+    return frozenset(k for slot in _slots(whole) if len(slot[2]) > 3 for k, marks in slot[2][3].items() if len(marks) >= SEVERAL)
+
+
+def extract(page: Node, whole: list, same: frozenset | None = None) -> str:
     """The article's blocks, by two line breaks: texts in the article element where the page has one, else all that are not
-    beside it, each if its slot of the wrapper is not made of links. In an ``article`` links
-    drop nothing, in other elements named so lists of which all texts are links."""
-    for within in (True, False):
-        blocks: list[str] = []
-        _read(page, whole, not within, blocks)
-        if blocks:
-            break
-    return "\n\n".join(blocks)
-
-
-def _read(page: Node, whole: list, everywhere: bool, blocks: list[str]) -> None:
-    stack: list[list] = [[iter(page.children), whole, 0, everywhere, "", False]]
+    beside it, each if it is not template and its slot of the wrapper is not made of links. In an ``article`` links
+    drop nothing, in other elements named so lists of which all texts are links; headings in an article may be template."""
+    same = template(whole) if same is None else same
+    for everywhere in (False, True):
+        for known in (same, frozenset()) if same else (same,):
+            blocks: list[str] = []
+            _read(page, whole, everywhere, known, blocks)
+            if blocks:
+                return "\n\n".join(blocks)
+    return ""
+
+
+def _read(page: Node, whole: list, everywhere: bool, same: frozenset, blocks: list[str]) -> None:
+    stack: list[list] = [[iter(page.children), whole, 0, everywhere, "", False, 0, False]]
     while stack:
-        children, item, at, inside, article, listed = stack[-1]  # article: "", "named" by class, or "element"
+        children, item, at, inside, article, listed, way, kept = stack[-1]  # article: "", "named" by class, or "element"
         child = next(children, None)
         if child is None:
             stack.pop()
@@ -361,15 +416,17 @@ def _read(page: Node, whole: list, everywhere: bool, blocks: list[str]) -> None:
         tag = child.kind.partition(".")[0]
         if child.kind == "#":
             text = " ".join(child.text.split())
-            _, chars, linked = place[2] if place else (1, len(text), child.linked)
-            if inside and text and (article or linked <= LINKED * chars):
+            _, chars, linked = place[2][:3] if place else (1, len(text), child.linked)
+            if inside and text and (article or linked <= LINKED * chars) and (not same or kept or _key(way, text) not in same):
                 blocks.append(text)
         elif not _aside(child, bool(article), page.mains):
             outer = tag in LISTS and not listed
             if outer and article == "named" and _all_links(child):
                 continue
             here = "element" if tag == "article" else article or ("named" if _main(child.kind) else "")
-            stack.append([iter(child.children), place, 0, inside or bool(here), here, listed or outer and bool(article)])
+            kept = kept or bool(article) and tag in HEADINGS
+            way = _inner(way, child.kind)
+            stack.append([iter(child.children), place, 0, inside or bool(here), here, listed or outer and bool(article), way, kept])
 
 
 def _all_links(node: Node) -> bool:
@@ -406,13 +463,15 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
+        n_texts = 0
         for batch in pieces(batches, "html"):
             for url, page in zip(batch.column("url").to_pylist(), texts(batch.column("html"))):
                 host, own = _host(url), wrapper(parse(page.decode()))
+                n_texts += sum(len(slot[2][3]) for slot in _slots(own))
                 held[host] = merge(held[host], own) if host in held else own
-                if len(held) >= HELD:
+                if len(held) >= HELD or n_texts >= HELD_TEXTS:
                     yield out(held)
-                    held = {}
+                    held, n_texts = {}, 0
         yield out(held)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,6 +487,16 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         if last is not None:
             yield pa.RecordBatch.from_pylist([_row(last, whole)], schema=schema)
 
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Without the texts that are not template."""
+        for batch in batches:
+            found = [json.loads(w) for w in batch.column("wrapper").to_pylist()]
+            for slot in (x for w in found for x in _slots(w)):
+                known = {k: marks for k, marks in (slot[2].pop() if len(slot[2]) > 3 else {}).items() if len(marks) >= SEVERAL}
+                slot[2] += [known] if known else []
+            shapes = pa.array([json.dumps(w, separators=(",", ":")) for w in found], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("host"), shapes], ["host", "wrapper"])
+
     def _row(key: tuple, whole: list) -> dict:
         return {"host": key[0], "salt": key[1], "wrapper": json.dumps(whole, separators=(",", ":"))}
 
@@ -435,7 +504,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     parts = rows.mapInArrow(infer, kind)
     parts = parts.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper").mapInArrow(join, kind)
     parts = parts.withColumn("salt", F.lit(0)).repartition("host").sortWithinPartitions("host", "wrapper")
-    return parts.mapInArrow(join, kind).select("host", "wrapper")
+    return parts.mapInArrow(join, kind).mapInArrow(done, "host string, wrapper string")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -454,15 +523,16 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     schema = T.StructType([rows.schema["id"], rows.schema["url"], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parsed: dict[str, list] = {}
+        parsed: dict[str, tuple] = {}
         for batch in pieces(batches, "html"):
             out = []
             for page, shape in zip(texts(batch.column("html")), batch.column("wrapper").to_pylist()):
                 if shape not in parsed:
                     if len(parsed) >= HELD:
                         parsed.clear()
-                    parsed[shape] = json.loads(shape) if shape else ["", "", []]
-                out.append(extract(parse(page.decode()), parsed[shape]))
+                    whole = json.loads(shape) if shape else ["", "", []]
+                    parsed[shape] = whole, template(whole)
+                out.append(extract(parse(page.decode()), *parsed[shape]))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
     return rows.mapInArrow(run, schema)

@@ -133,3 +133,28 @@ def test_links_in_an_article_stay():
         assert html.extract(tree, html.merge(html.wrapper(tree), html.wrapper(tree))) == want, page
     tree = html.parse("<article><h1>Links</h1><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></article>")
     assert html.extract(tree, html.wrapper(tree)) == "Links\n\nOne\n\nTwo"
+
+
+def test_texts_that_all_pages_of_a_host_have_are_template(spark):
+    def page(i):
+        menu = "<div class=css-1x2y><div>Home</div><div>About</div></div><div class=css-9z><p>We may use your data.</div>"
+        body = "".join(f"<p>Words {i} {j} of this page.</p>" for j in range(i % 3 + 1))
+        return f"{menu}<div class=css-7q><h1>Title {i}</h1>{body}<p>Written by our staff.</p></div><div>All rights reserved</div>"
+
+    def want(i):
+        return "\n\n".join([f"Title {i}", *[f"Words {i} {j} of this page." for j in range(i % 3 + 1)]])
+
+    made = [html.wrapper(html.parse(page(i))) for i in range(6)]
+    left = right = made[0]
+    for w in made[1:]:
+        left = html.merge(left, w)
+    right = html.merge(html.merge(made[5], html.merge(made[1], made[3])), html.merge(made[2], html.merge(made[4], made[0])))
+    assert html.template(left) == html.template(right) != frozenset()
+    rows = [(i, "http://h/x", page(i)) for i in range(6)] + [(i, "http://copies/x", page(1)) for i in range(6, 12)]
+    rows += [(12, "http://a/", "<article><h2>Sources</h2><p>1</article>"), (13, "http://a/", "<article><h2>Sources</h2><p>2</article>"),
+             (14, "http://a/", "<article><h2>Sources</h2><p>3</article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.id: r.text for r in html.main_text(df).collect()}
+    assert [got[i] for i in range(6)] == [want(i) for i in range(6)]
+    assert all(got[i].startswith("Home\n\nAbout") for i in range(6, 12))  # one page tells nothing
+    assert [got[i] for i in (12, 13, 14)] == [f"Sources\n\n{i}" for i in (1, 2, 3)]
