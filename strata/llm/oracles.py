@@ -50,3 +50,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 10 * word_chars < 25 * n_words OR word_chars > 12 * n_words OR upper > lower) AS kept
 FROM base
 """
+
+CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+      + (length(text) - length(replace(text, '### System:', ''))) // 11 + (length(text) - length(replace(text, '### User:', ''))) // 9
+      + (length(text) - length(replace(text, '### Assistant:', ''))) // 14
+      + (length(text) - length(replace(text, '### Role:', ''))) // 9 + (length(text) - length(replace(text, '</role>', ''))) // 7
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7
+      + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 9 WHEN 'assistant' THEN 14 ELSE 16 + length(role) END + 9 AS chars,
+    CASE coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), 'start')
+      WHEN 'start' THEN role IN ('system', 'user') WHEN 'user' THEN role = 'assistant'
+      WHEN 'system' THEN role = 'user' WHEN 'assistant' THEN role = 'user' ELSE false END AS fits,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+  FROM c),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS learnt,
+    sum(chars)::BIGINT AS formatted_chars, bool_and(fits AND (back > 1 OR role = 'assistant')) AS valid
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
+  formatted_chars, valid
+FROM joined
+"""
+
+NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE same),
+ranked AS (
+  SELECT n.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY n.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank
+  FROM near p JOIN scored n ON n.anchor_id = p.anchor_id
+  WHERE p.place <= 5 AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, embeddings, html, langid, mixing, oracles, quality, simhash, substrings, token_store, toxicity
+from strata.llm import (
+    bpe, chat, embeddings, html, langid, mixing, negatives, oracles, periodic, quality, simhash, substrings, token_store, toxicity,
+)
+from strata.llm.common import staged, word_array
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,13 +90,79 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    said = F.lit("\\### Assistant: </turn> ok").alias("text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, said)
+    formatted = staged(chat.format_conversations(rows.unionByName(planted)), "chat")
+    texts = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    back = chat.read_back(formatted).select(
+        "conv", "n_chars", F.size("turns").alias("n"), F.struct("part", F.array_join(texts, "").alias("turns"), "learnt").alias("of")
+    )
+    parts = F.sort_array(F.collect_list("of")).alias("of")
+    whole = back.groupBy("conv").agg(parts, F.sum("n").alias("n_turns"), F.sum("n_chars").alias("formatted_chars"))
+    learnt = F.array_join("of.learnt", "")
+    valid = chat.verdicts(formatted).select(F.col("conv").alias("judged"), "valid")
+    return whole.join(valid, F.col("conv").eqNullSafe(F.col("judged"))).select(
+        F.col("conv").alias("conv_id"),
+        "n_turns",
+        F.sha2(F.array_join("of.turns", ""), 256).alias("turns_sha256"),
+        F.length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"),
+        "formatted_chars",
+        "valid",
+    )
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", label.alias("label"), "embedding")
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where the texts of every tenth hash go on periodically from some word on."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, word_array(F.col("text"))))
+    rows = rows.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    rows = rows.withColumn("a", F.expr("int(g % greatest(n, 1))")).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    block = "flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p))))"
+    planted = F.expr(f"array_join(concat(slice(words, 1, a), slice({block}, 1, n - a)), ' ')")
+    return rows.select("doc_id", F.when(F.expr("h % 10 = 0 AND n > 0"), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(with_planted_periods(_table(spark, sf_dir, "documents")), carry=["doc_id"])
+
+    def better(best, one):
+        return F.when(best.isNull() | (one["length"] * best["period"] > best["length"] * one["period"]), one).otherwise(best)
+
+    none = F.lit(None).cast(found.schema["runs"].dataType.elementType)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n"))))
+    found = found.withColumn("best", F.aggregate("runs", none, better))
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict:
     every = (
         op1_simhash, op2_language, op3_embeddings, op4_quality, op5_toxicity,
-        op6_html, op7_token_store, op8_bpe, op9_substrings, op10_mixing,
+        op6_html, op7_token_store, op8_bpe, op9_substrings, op10_mixing, op11_chat, op12_negatives, op13_periodic,
     )
     return {f.__name__: f for f in every}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op4_quality": oracles.QUALITY, "op10_mixing": oracles.MIXING}
+    return {
+        "op4_quality": oracles.QUALITY, "op10_mixing": oracles.MIXING, "op11_chat": oracles.CHAT, "op12_negatives": oracles.NEGATIVES,
+    }

@@ -1,0 +1,96 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import negatives
+
+SCHEMA = "vec_id long, label int, embedding array<double>, row string, key int"
+
+
+def plain(rows, positives=5, few=10, low=30, high=90, scale=256):
+    """The same by scoring every row for every anchor, with Python's whole numbers."""
+    fits = lambda x: x is not None and math.isfinite(x) and abs(x * scale) < 1 << 27
+    rows = [(i, label, [math.floor(scale * x) for x in v]) for i, label, v, *_ in rows
+            if i is not None and label is not None and v is not None and all(map(fits, v))]
+    out = []
+    for n, (anchor, label, a) in enumerate(rows):
+        if anchor % 100:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(a, c)), i, other)
+            for m, (i, other, c) in enumerate(rows) if m != n and len(c) == len(a)
+        )
+        for s, positive, _ in [x for x in scored if x[2] == label][:positives]:
+            inside = [x for x in scored if x[2] != label and low * -s <= 100 * -x[0] <= high * -s]
+            out += [(anchor, positive, k + 1, i, -s, -t) for k, (t, i, _) in enumerate(inside[:few])]
+    return sorted(out)
+
+
+def found(spark, rows, **options):
+    vectors = spark.createDataFrame([(*r, "clash", 0) for r in rows], SCHEMA)
+    got = negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, **options)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("components", [1 << 18, 100])
+def test_equals_brute_force(spark, monkeypatch, components):
+    """One label with a third of the rows, clusters, ties in plenty, and shards of few rows."""
+    monkeypatch.setattr(negatives, "COMPONENTS", components)
+    rng = np.random.default_rng(components)
+    centres = rng.normal(size=(6, 8))
+    rows = []
+    for i in range(700):
+        label = 1 if i % 3 == 0 else int(rng.integers(0, 6))
+        v = 0.4 * centres[int(rng.integers(0, 6))] + 0.1 * rng.normal(size=8)
+        rows.append((i * 5, label, [round(float(x), 1 if i % 2 else 4) for x in v]))
+    want = plain(rows)
+    assert found(spark, rows) == want and len(want) > 100
+
+
+def test_odd_rows(spark):
+    """Missing and infinite values, other lengths, copies, zero anchors, large components, repeated rows, lone labels."""
+    rng = random.Random(3)
+    vector = lambda: [rng.choice([-1.0, -0.25, 0.0, 0.3, 0.5, 2.0]) for _ in range(5)]
+    rows = [(i * 10, rng.choice([1, 2, 3]), vector()) for i in range(60)]
+    rows += [(100, 1, vector()), (200, 2, [0.0] * 5), (300, 9, vector()), (300, 1, vector()), (300, 1, [0.5] * 5)]
+    rows += [(700, None, vector()), (800, 1, None), (None, 1, [2.0] * 5), (900, 2, [None, 1.0, 1.0, 1.0, 1.0])]
+    rows += [(1000, 1, [math.nan] * 5), (1100, 1, [math.inf] * 5), (1200, 2, [1e300] * 5), (1300, 1, [1.0, 2.0]), (1301, 1, [1.0, 1.0])]
+    rows += [(1302, 2, [0.4, 0.4]), (1400, 1, []), (1401, 1, []), (1402, 2, []), (1500, 1, [3e5] * 5), (1501, 1, [3e5] * 5), (1502, 3, [2e5] * 5)]
+    rows += rows[3:12] * 2
+    want = plain(rows)
+    assert found(spark, rows) == want and any(r[0] == 1300 for r in want) and any(r[0] == 1500 for r in want)
+    assert found(spark, []) == []
+    assert found(spark, rows, positives=2, negatives=3, percent=(10, 100)) == plain(rows, 2, 3, 10, 100)
+
+
+def test_lists_stop_early():
+    """Rows far down all lists are never scored, and the results are those of a scan."""
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-20, 20, (5000, 3))
+    vectors[:40] = rng.integers(900, 1000, (40, 3))
+    ids = np.arange(5000)
+    scored = []
+
+    class Counted(negatives.Lists):
+        def scores(self, which, anchor):
+            scored.append(len(which))
+            return super().scores(which, anchor)
+
+    lists = Counted(vectors, ids, ids, np.array(["x"] * 5000, object))
+    anchor = np.array([3, 1, 2])
+    ((best),) = lists.best(anchor, [(None, None)], 5, 7)
+    values = vectors @ anchor
+    order = [i for i in np.lexsort((ids, -values)) if i != 7][:5]
+    assert best == [(int(i), int(values[i])) for i in order]
+    assert sum(scored) < 500
+
+
+def test_plan_has_no_cross_join(spark):
+    rows = [(i, i % 2, [0.1 * i, 0.2], "", 0) for i in range(0, 400, 5)]
+    plan = negatives.hard_negatives(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0)
+    text = plan._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
