@@ -51,6 +51,8 @@ class Template:
 
     def __post_init__(self):
         """Refuse control strings that could arise where a text meets one, or that one escape character would not break."""
+        if len(set(self.controls)) < len(self.controls):
+            raise ValueError("two control strings are equal")
         for c in self.controls:
             if len(c) < 2 or self.escape in c or "\n" in c or len(self.escape) != 1:
                 raise ValueError(f"control string {c!r}: two characters at least, without line break or escape character")
