@@ -140,7 +140,9 @@ def _searched(rows: DataFrame, anchors: DataFrame, by: list[str], function, sche
     kept = kept.withColumn("asked", F.col("asked").cast(asks.schema["asked"].dataType))
     key = F.concat_ws("/", *by, "part").alias("key")
     both = kept.select(key, *columns, "kind", "asked").union(asks.select(key, *columns, "kind", "asked"))
-    both = both.repartition("key").sortWithinPartitions("key", "kind")
+    # By number, as adaptive execution would merge partitions that are small but take long.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(tasks, "key").sortWithinPartitions("key", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, parts, lists = None, [], None

@@ -180,8 +180,12 @@ def similar(
     """(id, component): the smallest id reachable over texts whose sets of shingles have a Jaccard similarity of ``similarity``.
 
     Pairs that share a band of min-hashes, and have fingerprints within ``distance`` bits, are verified by their shingles. Equal
-    sets are one node. All pairs of a dense group are asked for only where its members are still of several components after
-    ``STARS`` rounds, in each of which they are compared with one of them.
+    sets are one node. The texts of a band are first compared with one of them in each of ``STARS`` rounds: with the one that
+    shares its bands with most texts, which is close to all copies of one text, then with random ones. Pairs of texts that are
+    still of different components are compared only where both have enough shingles that any other text of a mixed band has,
+    too: shingles of one text alone are in no intersection, which rules most texts of a dense group out, and no pair wrongly.
+
+    Ids may be structs; NULL and empty texts are one node without bands. An empty table gives an empty one.
     """
     path = scratch(docs.sparkSession, "signatures")
     signed = signatures(docs, id_col, text_col, width)
@@ -210,11 +214,18 @@ def similar(
         return staged(connected_components(edges), "components")
 
     def in_bands(label: DataFrame) -> DataFrame:
-        return counted.join(label, "node").select("node", "n", "component", "fp", "size", F.posexplode("keys").alias("t", "k"))
+        found = counted.join(label, "node")
+        return found.select("node", "n", "shared", "component", "fp", "size", F.posexplode("keys").alias("t", "k"))
 
     label = counted.select("node", F.col("node").alias("component"))
+    named_nodes = counted.select("node", "least")
+    banded = counted.select("node", F.posexplode("keys").alias("t", "k"))
+    many = banded.groupBy("t", "k").agg(F.count("*").alias("c")).where("c > 1")
+    shared = staged(banded.join(many, ["t", "k"]).groupBy("node").agg(F.sum("c").alias("shared")), "shared")
+    counted = counted.join(shared, "node")  # the others have no band in common with any text
+
     for turn in range(STARS):
-        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("n")
+        order = F.xxhash64("node", F.lit(turn)) if turn else F.struct("shared", "n")
         keyed = in_bands(label)
         head = F.max(F.struct(order, "node", "component", "fp", "size")).alias("head")
         heads = keyed.groupBy("t", "k").agg(head, F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -226,11 +237,19 @@ def similar(
     keyed = in_bands(label)
     mixed = keyed.groupBy("t", "k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     keyed = staged(keyed.join(mixed.select("t", "k"), ["t", "k"], "left_semi"), "bands")
-    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size").alias(c)) for c in "ab")
+    grams = signed.select("node", "grams").join(keyed.select("node").distinct(), "node", "left_semi")
+    grams = grams.groupBy("node").agg(F.first("grams").alias("grams")).select("node", F.explode("grams").alias("gram"))
+    owners = grams.groupBy("gram").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+    alone = staged(owners.groupBy("node").agg(F.count("*").alias("alone")), "alone")
+    keyed = keyed.join(alone, "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
+    keyed = keyed.where(F.col("common") >= F.lit(similarity) * F.col("size") - 1e-9)
+    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size", "common").alias(c)) for c in "ab")
     pairs = a.join(b, ["t", "k"]).where(F.col("a.component") < F.col("b.component")).where(close("a.", "b."))
+    enough = F.lit(similarity / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) - 1e-9
+    pairs = pairs.where(F.least("a.common", "b.common") >= enough)
     label = joined(label, verified(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
 
-    labelled = counted.select("node", "least").join(label, "node")
+    labelled = named_nodes.join(label, "node")
     named = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
     classes = labelled.join(named, "component").select("node", F.col("smallest").alias("component"))
     found = staged(signed.select("id", "node").join(classes, "node").select("id", "component"), "similar")

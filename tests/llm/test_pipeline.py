@@ -3,7 +3,7 @@ import base64
 import public_tokenizers
 import pyarrow.parquet as pq
 import test_mixing
-import test_quality
+import test_quality_cascade
 import test_simhash
 import test_substrings
 import tiktoken
@@ -16,11 +16,25 @@ from strata.llm import simhash
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def good_documents(docs):
+    return sorted((d for d in docs if test_quality_cascade.plain(d["text"])[-1]), key=lambda d: d["doc_id"])
+
+
+def first_of_near_copies(docs):
+    """Documents, in order, that are the first of those reachable over pairs with a similarity of five-word shingles of 0.8."""
+    sets = [test_simhash.grams(d["text"].lower()) for d in docs]
+    part = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((part[i], part[j]))
+                part = [low if p == high else p for p in part]
+    return [d for i, d in enumerate(docs) if part[i] == i]
+
+
 def brute_force(docs):
     """Rows (doc_id, source, text) that reach the last stage."""
-    docs = sorted((d for d in docs if test_quality.plain(d["text"])[-1]), key=lambda d: d["doc_id"])
-    parts = test_simhash.plain_components([test_simhash.plain_fingerprint(d["text"]) for d in docs])
-    docs = [d for i, (d, p) in enumerate(zip(docs, parts)) if i == p]
+    docs = first_of_near_copies(good_documents(docs))
     found, kept = test_substrings.plain([d["text"] for d in docs])
     rows = []
     for d, f, k in zip(docs, found, kept):
@@ -77,14 +91,7 @@ def test_a_copy_with_one_changed_word_goes(spark):
 
 def test_near_copies_equal_brute_force_by_similarity(spark):
     docs = pq.read_table(f"{SF_DIR}/documents.parquet").to_pylist()
-    docs = sorted((d for d in docs if test_quality.plain(d["text"])[-1]), key=lambda d: d["doc_id"])
-    sets = [test_simhash.grams(d["text"].lower()) for d in docs]
-    part = list(range(len(docs)))
-    for i in range(len(docs)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                low, high = sorted((part[i], part[j]))
-                part = [low if p == high else p for p in part]
-    want = [d["doc_id"] for i, d in enumerate(docs) if part[i] == i]
+    docs = good_documents(docs)
+    want = [d["doc_id"] for d in first_of_near_copies(docs)]
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.col("doc_id").isin([d["doc_id"] for d in docs]))
     assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, table, SF_DIR).select("doc_id").collect()) == want

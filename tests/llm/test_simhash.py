@@ -143,3 +143,33 @@ def test_similar_finds_planted_copies(spark):
     assert [got[i] for i in range(5000, 5004)] == [5000, 5000, 5002, 5002]
     assert sum(got[2000 + i] == 2000 + p for i, p in enumerate(parent)) >= 0.95 * len(parent)
     assert simhash.similar(spark.createDataFrame(rows[:1], "doc_id long, text string, fp int").limit(0)).count() == 0
+
+
+def test_dense_group_without_all_pairs(spark, monkeypatch):
+    """Copies near one text, half of them too far from it: the links are those of all pairs, and few pairs are looked at."""
+    looked_at, staged = [], simhash.staged
+
+    def counted(df, label):
+        df = staged(df, label)
+        if label == "pairs":
+            looked_at.append(df.count())
+        return df
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    rng = random.Random(4)
+    heart, rows, sets = [f"h{i}" for i in range(146)], [], []
+    for i in range(400):
+        words = list(heart)
+        for at in rng.sample(range(0, 145, 5), 2 if i % 2 else 6):
+            words[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(words)))
+        sets.append(grams(rows[-1][1]))
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((part[i], part[j]))
+                part = [low if p == high else p for p in part]
+    got = {r.id: r.component for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == part and 150 < len(set(part)) < 400
+    assert len(looked_at) == 3 and 200 <= sum(looked_at) < 4000  # of 79,800
