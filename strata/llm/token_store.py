@@ -1,11 +1,12 @@
 """Token ids of documents in binary shards, with a minimal perfect hash index from document keys to offsets.
 
 A shard holds, in this order: the raw ids of its documents in ascending key order, little-endian, 2 or 4 bytes each; the
-document table (key, whether it is NULL, where its ids start); the index; and a footer of fixed size that says where
-those begin. The index is a minimal perfect hash of the distinct keys, bit vectors in levels: a key is settled at the
-first level where it falls alone into a cell, and its slot is the number of settled cells before. A slot stores a
-fingerprint of its key and the first row with it, so a lookup reads a constant number of places, whatever the shard's
-size, and a foreign key is refused by the fingerprint or, where that agrees by chance, by the key in the table.
+document table (key, whether it is NULL, where its ids start); the index; the sizes of its levels; and a footer of fixed size
+that says where those begin. The index is a minimal perfect hash of the distinct keys, bit vectors in levels: a key is settled
+at the first level where it falls alone into a cell, and its slot is the number of settled cells before, which is stored with
+each block of cells. A slot stores a fingerprint of its key and the first row with it. So a lookup seeks one block a level, of
+which most keys need two, one fingerprint, one row and its key and ends, whatever the shard's size, and a foreign key is
+refused by the fingerprint or, where that agrees by chance, by the key in the table.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import struct
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +36,14 @@ MAGIC = b"STRATIDS"
 FOOTER = struct.Struct("<8sIIQQQQQ")  # magic, bytes an id, levels, rows, ids, and where rows, index, slots begin
 #: Cells a key at each level of the index.
 SPARSE = 2
-#: Cells between stored counts.
+#: Cells of a block, and its bytes: the number of settled cells before, and the cells as bits.
 STRIDE = 512
+BLOCK = 8 + STRIDE // 8
+#: Words whose ids are put together at a time.
+GATHERED = 1 << 20
 #: Distinct words kept in a Python worker, and marks that a tokenizer cuts from the letters before them.
-KEPT = 700_000
-MARKS = b".,;:!?"
+KEPT = 1_200_000
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 MANIFEST = "shard int, file string, n_rows long, n_ids long, least long, largest long"
 
 
@@ -65,6 +70,19 @@ class PerfectHash:
             total += int(counts.sum())
         self.size = total
 
+    def packed(self) -> list[bytes]:
+        """The blocks of each level."""
+        out = []
+        for bits, before in zip(self.levels, self.before):
+            rows = np.packbits(bits, bitorder="little").reshape(-1, STRIDE // 8)
+            out.append(np.hstack([before.astype("<u8").view(np.uint8).reshape(-1, 8), rows]).tobytes())
+        return out
+
+    @classmethod
+    def unpacked(cls, levels: list[bytes]) -> PerfectHash:
+        rows = (np.frombuffer(level, np.uint8).reshape(-1, BLOCK)[:, 8:].ravel() for level in levels)
+        return cls([np.unpackbits(r, bitorder="little").astype(bool) for r in rows])
+
     @classmethod
     def of(cls, keys: np.ndarray) -> PerfectHash:
         levels = []
@@ -127,67 +145,107 @@ class ShardWriter:
         hashed = distinct.astype(np.int64).view(np.uint64)
         index = PerfectHash.of(hashed)
         index_at = rows_at + 17 * len(keys) + 8
-        packed = [struct.pack("<Q", len(b)) + np.packbits(b, bitorder="little").tobytes() for b in index.levels]
+        packed = index.packed()
         self.out.write(b"".join(packed))
         slots_at = index_at + sum(map(len, packed))
         prints, rows = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u8")
         at = index.slots(hashed)
         prints[at], rows[at] = _fingerprint(hashed), first
         self.out.write(prints.tobytes() + rows.tobytes())
+        self.out.write(np.array([len(b) // BLOCK for b in packed], "<u8").tobytes())
         self.out.write(FOOTER.pack(MAGIC, self.width, len(packed), len(keys), int(starts[-1]), rows_at, index_at, slots_at))
         ends = (int(distinct[0]), int(distinct[-1])) if len(distinct) else (None, None)
         return len(keys), int(starts[-1]), *ends
 
 
 class Shard:
-    """One shard opened for reading: the tables are held, ids are read as asked for."""
+    """One shard opened for reading: its footer and the sizes of its levels are held, all else is read as asked for."""
 
     def __init__(self, source: pa.NativeFile):
         self.source = source
         size = source.size()
-        tail = self._at(size - FOOTER.size, FOOTER.size)
-        magic, self.width, levels, n, self.n_ids, rows_at, index_at, slots_at = FOOTER.unpack(tail)
+        footer = FOOTER.unpack(self._at(size - FOOTER.size, FOOTER.size))
+        magic, self.width, levels, self.n, self.n_ids, self.rows_at, index_at, self.slots_at = footer
         if magic != MAGIC:
             raise ValueError("not a shard of token ids")
-        rows = self._at(rows_at, 17 * n + 8)
-        self.keys = np.frombuffer(rows, "<i8", n)
-        self.nulls = np.frombuffer(rows, np.uint8, n, 8 * n).astype(bool)
-        self.starts = np.frombuffer(rows, "<u8", n + 1, 9 * n).astype(np.int64)
-        packed, at, found = self._at(index_at, slots_at - index_at), 0, []
-        for _ in range(levels):
-            (cells,) = struct.unpack_from("<Q", packed, at)
-            raw = np.frombuffer(packed, np.uint8, cells // 8, at + 8)
-            found.append(np.unpackbits(raw, bitorder="little").astype(bool))
-            at += 8 + cells // 8
-        self.index = PerfectHash(found)
-        slots = self._at(slots_at, 12 * self.index.size)
-        self.prints = np.frombuffer(slots, "<u4", self.index.size)
-        self.rows = np.frombuffer(slots, "<u8", self.index.size, 4 * self.index.size).astype(np.int64)
+        self.blocks = np.frombuffer(self._at(size - FOOTER.size - 8 * levels, 8 * levels), "<u8").astype(np.int64)
+        self.levels_at = index_at + BLOCK * np.concatenate([[0], np.cumsum(self.blocks)])
+        self.n_slots = (size - FOOTER.size - 8 * levels - self.slots_at) // 12
 
     def _at(self, start: int, length: int) -> bytes:
-        self.source.seek(start)
-        return self.source.read(length)
+        self.source.seek(int(start))
+        return self.source.read(int(length))
+
+    def _number(self, start: int, kind: str = "<q") -> int:
+        return struct.unpack(kind, self._at(start, struct.calcsize(kind)))[0]
+
+    # the whole tables, for a scan
+
+    @cached_property
+    def keys(self) -> np.ndarray:
+        return np.frombuffer(self._at(self.rows_at, 8 * self.n), "<i8")
+
+    @cached_property
+    def nulls(self) -> np.ndarray:
+        return np.frombuffer(self._at(self.rows_at + 8 * self.n, self.n), np.uint8).astype(bool)
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.frombuffer(self._at(self.rows_at + 9 * self.n, 8 * self.n + 8), "<u8").astype(np.int64)
+
+    @cached_property
+    def index(self) -> PerfectHash:
+        return PerfectHash.unpacked([self._at(at, BLOCK * n) for at, n in zip(self.levels_at, self.blocks)])
+
+    @cached_property
+    def slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprint and first row of each slot."""
+        held = self._at(self.slots_at, 12 * self.n_slots)
+        return np.frombuffer(held, "<u4", self.n_slots), np.frombuffer(held, "<u8", self.n_slots, 4 * self.n_slots).astype(np.int64)
 
     def first_rows(self, keys: np.ndarray) -> np.ndarray:
-        """The first row of each key, -1 where the shard has none."""
+        """The first row of each of many keys, -1 where the shard has none; holds the whole tables."""
         hashed = np.asarray(keys, np.int64).view(np.uint64)
+        prints, first = self.slots
         slots = self.index.slots(hashed)
         known = slots >= 0
-        known[known] = self.prints[slots[known]] == _fingerprint(hashed[known])
-        rows = np.where(known, self.rows[np.where(known, slots, 0)] if self.index.size else -1, -1)
+        known[known] = prints[slots[known]] == _fingerprint(hashed[known])
+        rows = np.where(known, first[np.where(known, slots, 0)] if len(first) else -1, -1)
         known[known] = self.keys[rows[known]] == np.asarray(keys)[known]
         return np.where(known, rows, -1)
 
     def ids(self, row: int, end: int | None = None) -> np.ndarray:
-        """Ids of the rows from ``row`` to before ``end``, of one row by default."""
-        a, b = self.starts[row], self.starts[row + 1 if end is None else end]
+        """Ids of the rows from ``row`` to before ``end``, of one row by default; the tables are held."""
+        return self._ids(self.starts[row], self.starts[row + 1 if end is None else end])
+
+    def _ids(self, a: int, b: int) -> np.ndarray:
         return np.frombuffer(self._at(int(a) * self.width, int(b - a) * self.width), f"<u{self.width}")
 
+    # one key, by seeking
+
+    def first_row(self, key: int) -> int:
+        """The first row of a key, -1 where the shard has none."""
+        hashed = np.array([key], np.int64).view(np.uint64)
+        for seed, (at, n) in enumerate(zip(self.levels_at.tolist(), self.blocks.tolist())):
+            cell = int(_mixed(hashed, seed)[0] % np.uint64(n * STRIDE))
+            block = self._at(at + BLOCK * (cell // STRIDE), BLOCK)
+            bits = int.from_bytes(block[8:], "little")
+            if not bits >> cell % STRIDE & 1:
+                continue
+            slot = int.from_bytes(block[:8], "little") + (bits & (1 << cell % STRIDE) - 1).bit_count()
+            if self._number(self.slots_at + 4 * slot, "<I") != int(_fingerprint(hashed)[0]):
+                return -1
+            row = self._number(self.slots_at + 4 * self.n_slots + 8 * slot)
+            return row if self._number(self.rows_at + 8 * row) == key else -1
+        return -1
+
     def find(self, key: int) -> list[np.ndarray]:
         """Ids of every row with this key."""
-        row, found = int(self.first_rows(np.array([key]))[0]), []
-        while 0 <= row < len(self.keys) and self.keys[row] == key and not self.nulls[row]:
-            found.append(self.ids(row))
+        row, found = self.first_row(key), []
+        while 0 <= row < self.n and self._number(self.rows_at + 8 * row) == key:
+            if self._number(self.rows_at + 8 * self.n + row, "<B"):
+                break
+            found.append(self._ids(*struct.unpack("<QQ", self._at(self.rows_at + 9 * self.n + 8 * row, 16))))
             row += 1
         return found
 
@@ -212,10 +270,12 @@ class WordEncoder:
         self.tokenizer, self.by_word = Tokenizer.from_str(content), by_word
         most = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.width = 2 if most < 1 << 16 else 4
+        some = self.tokenizer.encode_batch(["Az", "az"], add_special_tokens=False)
+        self.lower = some[0].ids == some[1].ids
         self.kept: dict[bytes, bytes] = {}
 
     def _library(self, found: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch([t.decode() for t in found], add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast([t.decode() for t in found], add_special_tokens=False)
         kind = "H" if self.width == 2 else "I"
         out = [array(kind, e.ids) for e in coded]
         if sys.byteorder == "big":
@@ -226,19 +286,52 @@ class WordEncoder:
     def __call__(self, found: list[bytes], end: bytes) -> list[bytes]:
         if not self.by_word:
             return [ids + end for ids in self._library(found)]
-        words = [t.split() for t in found]
-        seen = set().union(*words)
-        new = [w for w in seen if w not in self.kept]
+        listed = pc.ascii_split_whitespace(pa.array(found, pa.binary()).view(pa.string()))
+        coded = listed.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        parts = list(map(self.kept.get, words))
+        holes = [i for i, part in enumerate(parts) if part is None]
+        if holes:
+            self._learn([words[i] for i in holes], words, parts)
+            for i in holes:
+                parts[i] = self.kept[words[i]]
+        parts.append(end)
+        offsets = listed.offsets.to_numpy()
+        which = np.insert(coded.indices.to_numpy(), offsets[1:] - offsets[0], len(words))
+        ends = np.cumsum(np.diff(offsets) + 1)
+        return self._gathered(parts, which, ends)
+
+    def _gathered(self, parts: list[bytes], which: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The parts of the numbers in ``which`` one after another, cut at ``ends``."""
+        ids = np.frombuffer(b"".join(parts), f"<u{self.width}")
+        sizes = np.array(list(map(len, parts)), np.int64) // self.width
+        starts = np.cumsum(sizes) - sizes
+        done, upto = [], np.cumsum(sizes[which])
+        for at in range(0, len(which), GATHERED):
+            some = which[at : at + GATHERED]
+            many = sizes[some]
+            places = np.repeat(starts[some] - (np.cumsum(many) - many), many)
+            places += np.arange(len(places))
+            done.append(ids[places].tobytes())
+        whole = b"".join(done)
+        cuts = (upto[ends - 1] * self.width).tolist()
+        return [whole[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _learn(self, new: list[bytes], words: list[bytes], parts: list[bytes | None]) -> None:
+        """Encode words that are not kept. Where too many are, those of this batch stay."""
         if len(self.kept) + 2 * len(new) > KEPT:
-            self.kept = {w: self.kept[w] for w in seen if w in self.kept}
-        # Letters and the mark behind them are encoded apart, so that a word is known with every mark.
-        cut = {w: (w[:-1], w[-1:]) for w in new if w[-1] in MARKS and w[:-1].decode().isalpha()}
-        apart = {p for parts in cut.values() for p in parts if p not in self.kept}
-        whole = list(apart.union(w for w in new if w not in cut))
-        self.kept.update(zip(whole, self._library(whole)))
-        self.kept.update((w, self.kept[a] + self.kept[b]) for w, (a, b) in cut.items())
-        known = self.kept.__getitem__
-        return [b"".join(map(known, ws)) + end for ws in words]
+            self.kept = {w: part for w, part in zip(words, parts) if part is not None}
+        # Letters and the marks behind them are encoded apart, so that a word is known with all marks and, in ASCII, in any case.
+        cut, kept = {}, self.kept
+        for word in new:
+            head = word.rstrip(MARKS)
+            ascii_ = head.isascii()
+            if head.isalpha() if ascii_ else head.decode().isalpha():
+                cut[word] = head.lower() if ascii_ and self.lower else head, word[len(head) :]
+        apart = {part for halves in cut.values() for part in halves if part and part not in kept}
+        whole = list(apart.union(word for word in new if word not in cut))
+        kept.update(zip(whole, self._library(whole)))
+        kept.update((word, kept[head] + kept[tail] if tail else kept[head]) for word, (head, tail) in cut.items())
 
 
 def _encoder(content: str, by_word: bool) -> WordEncoder:
@@ -322,7 +415,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for file, base in ((r["file"], r["base"]) for b in batches for r in b.to_pylist()):
             with open_file(file) as source:
                 shard = Shard(source)
-                n = len(shard.keys)
+                n = shard.n
                 same = np.zeros(n, bool)  # as the row before
                 same[1:] = (shard.keys[1:] == shard.keys[:-1]) & (shard.nulls[1:] == shard.nulls[:-1])
                 found = np.arange(n)

@@ -1,8 +1,10 @@
+import io
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,36 @@ def test_empty_table(spark):
     folder = token_store.new_folder(spark)
     assert token_store.write(spark.createDataFrame([], "doc_id long, text string"), folder, PATH, 1).count() == 0
     assert token_store.read(spark, folder).count() == 0
+
+
+class Counting:
+    """A file that counts what is read."""
+
+    def __init__(self, content):
+        self.content, self.at, self.n_bytes, self.n_reads = content, 0, 0, 0
+
+    def size(self):
+        return len(self.content)
+
+    def seek(self, at):
+        self.at = at
+
+    def read(self, n):
+        self.n_bytes, self.n_reads = self.n_bytes + n, self.n_reads + 1
+        return self.content[self.at : self.at + n]
+
+
+@pytest.mark.parametrize("n", [1000, 1_000_000])
+def test_a_lookup_reads_as_much_of_any_shard(n):
+    out = io.BytesIO()
+    writer = token_store.ShardWriter(out, 2)
+    keys = np.sort(np.random.default_rng(n).choice(10 * n, n, replace=False))
+    for at in range(0, n, 5000):
+        some = keys[at : at + 5000]
+        writer.add(pa.array(some), [np.array([k % 40_000, 7], "<u2").tobytes() for k in some.tolist()])
+    writer.close()
+    for key in [*keys[:: n // 50].tolist(), -1, 10 * n + 5]:
+        source = Counting(out.getvalue())
+        found = token_store.Shard(source).find(key)
+        assert [f.tolist() for f in found] == ([[key % 40_000, 7]] if key >= 0 and key <= keys[-1] else [])
+        assert source.n_bytes < 2500 and source.n_reads < 36
