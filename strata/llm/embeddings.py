@@ -65,7 +65,12 @@ def _distinct(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
 
 
 def _projected(nodes: DataFrame, lines: int, seed: int) -> DataFrame:
-    """Adds ``norm`` and ``p``, the unit vector's place on each line."""
+    """Adds ``norm`` and ``p``, the unit vector's place on each line.
+
+    Doubles are first divided by a power of two, exactly, so that the largest component lies between a half and one and no
+    product of components or norms leaves the range of a double; products of single-precision numbers stay within it.
+    """
+    double = nodes.schema["v"].dataType == T.ArrayType(T.DoubleType())
     schema = T.StructType(nodes.schema.fields + [T.StructField("norm", T.DoubleType()), T.StructField("p", T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,6 +78,9 @@ def _projected(nodes: DataFrame, lines: int, seed: int) -> DataFrame:
             norms, places = np.zeros(batch.num_rows), np.zeros((batch.num_rows, lines), np.float32)
             flat, ends = batch.column("v").flatten().to_numpy().astype(np.float64), np.array(batch.column("v").value_lengths())
             begins = np.cumsum(ends) - ends
+            if double and len(flat):
+                powers = np.frexp(np.maximum.reduceat(np.abs(flat), begins))[1]
+                flat = np.ldexp(flat, -np.repeat(powers, ends))
             for dim in np.unique(ends):
                 rows = np.flatnonzero(ends == dim)
                 v = flat[begins[rows][:, None] + np.arange(dim)]
@@ -81,7 +89,12 @@ def _projected(nodes: DataFrame, lines: int, seed: int) -> DataFrame:
                 unit = v / top / np.linalg.norm(v / top, axis=1, keepdims=True)
                 places[rows] = unit @ np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), lines))
             p = pa.ListArray.from_arrays(pa.array(np.arange(0, places.size + 1, lines), pa.int32()), pa.array(places.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(norms), p], names=[*batch.schema.names, "norm", "p"])
+            columns = dict(zip(batch.schema.names, batch.columns))
+            if double:
+                offsets = pa.array(np.concatenate([[0], np.cumsum(ends)]), pa.int32())
+                columns["v"] = pa.ListArray.from_arrays(offsets, pa.array(flat))
+            columns |= {"norm": pa.array(norms), "p": p}
+            yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], names=schema.names)
 
     return nodes.mapInArrow(run, schema)
 

@@ -100,3 +100,19 @@ def test_calibration():
     lines = rng.standard_normal((20_000, 16, 64))
     hits = np.abs(lines @ (u - v)) <= half
     assert (hits[:, :3].all(axis=1) & (hits[:, 3:].sum(axis=1) >= least)).mean() >= 0.988
+
+
+def test_extreme_magnitudes(spark):
+    """Very large and very small components, of both signs, link as they do when scaled to one."""
+    plain = [(1.0, 1.0), (1.0, 1.8), (1.0, 2.2), (-1.0, -2.2), (-1.0, 2.2), (1.0, 1.01), (3.0, -1.0)]
+    rows = [(k * 10 + i, k, [x * size for x in v]) for k, size in enumerate((1.0, 1e200, 1e-200, 1e306, 1e-306)) for i, v in enumerate(plain)]
+    rows += [(100, 9, [5e-324, 0.0]), (101, 9, [1e308, 0.0]), (102, 9, [0.0, 5e-324]), (103, 9, [-1e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.id: (r.n_links, r.component) for r in embeddings.near_duplicates(df).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in enumerate(plain)}
+    for k in range(5):
+        for i in range(len(plain)):
+            links = sum(j != i and float(unit[i] @ unit[j]) >= 0.98 for j in unit)
+            assert got[10 * k + i][0] == links
+            assert got[10 * k + i][1] - 10 * k == got[i][1]
+    assert [got[i] for i in (100, 101, 102, 103)] == [(1, 100), (1, 100), (0, 102), (0, 103)]
