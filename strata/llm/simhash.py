@@ -23,6 +23,8 @@ SEED = 42
 CHUNK = 1 << 15
 #: Bands of min-hashes and min-hashes in each: of pairs with a similarity of 0.8 a share of 0.992 has a band in common.
 BANDS, ROWS = 16, 6
+#: Bits of a set's bitmap, the parities of how many of its shingles fall on each: sets differ at least as much as their bitmaps.
+PARITIES = 1024
 #: Rounds in which the texts of a band are compared with one of them, before those of different components are all compared.
 STARS = 2
 
@@ -142,8 +144,9 @@ def near_duplicates(
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, node, fp, size, keys, grams): a text's set of shingles as one hash, its SimHash, how many they are, a key for each
-    band of min-hashes, and the shingles by 32 bits. Texts without words have no keys."""
+    """(id, node, fp, size, keys, bits, grams): a text's set of shingles as one hash, its SimHash, how many they are, a key for
+    each band of min-hashes, a bitmap of ``PARITIES`` bits, and the shingles by 32 bits. NULL counts as empty; texts without words
+    have no keys. Rows may repeat."""
     rng = np.random.default_rng(SEED)
     times, plus = rng.integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
     times |= np.uint64(1)
@@ -154,8 +157,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
             np.minimum(least, (hashes[at : at + 2048] * times + plus).min(axis=1), out=least)
         return [xxhash.xxh64_intdigest(band.tobytes(), SEED) for band in least.reshape(BANDS, ROWS)] if len(hashes) else []
 
+    def parities(marks: np.ndarray) -> np.ndarray:
+        odd = np.bincount(marks.view(np.uint32) % PARITIES, minlength=PARITIES) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
     schema = pa.schema([("node", pa.int64()), ("fp", pa.int64()), ("size", pa.int32()), ("keys", pa.list_(pa.int64())),
-                        ("grams", pa.list_(pa.int32()))])
+                        ("bits", pa.list_(pa.int64())), ("grams", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -164,13 +171,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
             signed = lambda values: np.array(values, np.uint64).view(np.int64)
             columns = [
                 signed([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]), signed([simhash(s) for s in sets]),
-                [len(m) for m in marks], [signed(keys(s)) for s in sets], marks,
+                [len(m) for m in marks], [signed(keys(s)) for s in sets], [parities(m) for m in marks], marks,
             ]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *schema.names])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kinds = T.StructType.fromDDL("node long, fp long, size int, keys array<long>, grams array<int>")
+    kinds = T.StructType.fromDDL("node long, fp long, size int, keys array<long>, bits array<long>, grams array<int>")
     return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds]))
 
 
@@ -183,7 +190,8 @@ def similar(
     sets are one node. The texts of a band are first compared with one of them in each of ``STARS`` rounds: with the one that
     shares its bands with most texts, which is close to all copies of one text, then with random ones. Pairs of texts that are
     still of different components are compared only where both have enough shingles that any other text of a mixed band has,
-    too: shingles of one text alone are in no intersection, which rules most texts of a dense group out, and no pair wrongly.
+    too, and where the sets' bitmaps differ little enough: shingles of one text alone are in no intersection, and sets differ
+    at least as much as their bitmaps. That rules most pairs of a dense group out, and none wrongly.
 
     Ids may be structs; NULL and empty texts are one node without bands. An empty table gives an empty one.
     """
@@ -191,7 +199,7 @@ def similar(
     signed = signatures(docs, id_col, text_col, width)
     signed.write.parquet(path)
     signed = docs.sparkSession.read.schema(signed.schema).parquet(path)
-    same = [F.first(c).alias(c) for c in ("fp", "size", "keys")]
+    same = [F.first(c).alias(c) for c in ("fp", "size", "keys", "bits")]
     counted = staged(signed.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("least"), *same), "distinct")
 
     def close(a: str, b: str):
@@ -243,10 +251,14 @@ def similar(
     alone = staged(owners.groupBy("node").agg(F.count("*").alias("alone")), "alone")
     keyed = keyed.join(alone, "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
     keyed = keyed.where(F.col("common") >= F.lit(similarity) * F.col("size") - 1e-9)
-    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size", "common").alias(c)) for c in "ab")
+    keyed = keyed.join(counted.select("node", "bits"), "node")
+    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size", "common", "bits").alias(c)) for c in "ab")
     pairs = a.join(b, ["t", "k"]).where(F.col("a.component") < F.col("b.component")).where(close("a.", "b."))
     enough = F.lit(similarity / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) - 1e-9
     pairs = pairs.where(F.least("a.common", "b.common") >= enough)
+    apart = sum(F.bit_count(F.col("a.bits")[i].bitwiseXOR(F.col("b.bits")[i])) for i in range(PARITIES // 64))
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) + 1e-9
+    pairs = pairs.where(apart <= most)
     label = joined(label, verified(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
 
     labelled = named_nodes.join(label, "node")
