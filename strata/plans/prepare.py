@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators import split
+from strata.operators import permute, split
 from strata.operators.nested import flatten_struct
 from strata.sources import files
 from strata.staging import Staging, refuse_overlap
@@ -29,32 +30,32 @@ def json_to_csv(
 
 
 def split_csv(
-    spark: SparkSession,
-    df: DataFrame,
-    target: str,
-    min_rows: int = 10_000,
-    max_rows: int = 200_000,
-    seed: int = 0,
-    bucket_rows: int = split.BUCKET_ROWS,
+    spark: SparkSession, df: DataFrame, target: str, min_rows: int = 10_000, max_rows: int = 200_000, seed: int = 0
 ) -> int:
     """Shuffle the rows and write them as CSV chunks of random size; returns the number of rows.
 
-    Every chunk is one file in a folder ``chunk=1``, ``chunk=2`` and so on; an empty input writes nothing. The rows are staged with their random order, because chunks need a count before the second pass.
+    Every chunk is one file in a folder ``chunk=1``, ``chunk=2`` and so on; an empty input writes nothing. A row's position comes
+    from its number by a keyed permutation, its chunk and task from its position, so rows of Parquet files move once, to the
+    task of their chunk, and are neither staged nor sampled. The same seed over the same files gives the same chunks.
     """
-    # Buckets no larger than chunks, so that few chunks start in each.
-    bucket_rows = min(bucket_rows, max(min_rows, 1))
+    if not 0 < min_rows <= max_rows:
+        raise ValueError("expected 0 < min_rows <= max_rows")
     with Staging(spark) as staging:
-        ordered = staging.put(split.shuffle_key(df, seed), "ordered")
-        n_rows = ordered.count()
+        rows, n_rows = permute.numbered(df, staging)
         if n_rows:
-            starts = staging.put(split.chunk_starts(ordered, n_rows, min_rows, max_rows, seed, bucket_rows), "starts")
-            n_chunks = split.expected_chunks(n_rows, min_rows, max_rows)
-            chunks = split.split_chunks(ordered, starts, n_rows, bucket_rows)
+            place = permute.position(spark, F.col(permute.ROW), n_rows, seed).alias(permute.POSITION)
+            rows = rows.select(*df.columns, place)
+            chunk = split.chunk_of(F.col(permute.POSITION), min_rows, max_rows, seed)
+            pairs = -(-n_rows // (min_rows + max_rows))
+            tasks = split.n_tasks(df, n_rows, pairs)
+            # Both chunks of a pair go to one task, neighbouring pairs to the same one.
+            pair = F.call_function("div", F.col(permute.POSITION), F.lit(min_rows + max_rows).cast("long"))
+            task = F.call_function("div", pair * tasks, F.lit(pairs).cast("long")).cast("int")
             (
-                files.csv_ready(chunks)
-                .repartitionByRange(split.n_tasks(df, n_rows, n_chunks), split.CHUNK)
-                .sortWithinPartitions(split.CHUNK, split.ORDER)
-                .drop(split.ORDER)
+                files.csv_ready(rows.withColumn(split.CHUNK, chunk))
+                .repartitionById(tasks, task)
+                .sortWithinPartitions(split.CHUNK, permute.POSITION)
+                .drop(permute.POSITION)
                 .write.mode("overwrite")
                 .options(**files.CSV_OUT)
                 .partitionBy(split.CHUNK)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -69,27 +70,37 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def parquet_groups(spark: SparkSession, source: str | list[str]) -> list[DataFrame]:
-    """The Parquet files of a folder, or of a list of files, one frame for each schema that they were written with.
+    """The Parquet files below a folder, or of a list of files, one frame for each schema that they were written with.
 
     Footers are read in tasks. Files of one schema are read by their folder; file names reach the driver only where
-    schemas differ. No files give no frame.
+    schemas differ. Sub-folders named like ``column=value`` give a column, unless other sub-folders hold files as well. No
+    files give no frame.
     """
     if isinstance(source, str):
         files = listed(spark, source, "*.parquet").select("path")
     else:
         files = reduce(DataFrame.union, [listed(spark, p, "*.parquet") for p in source]).select("path")
     tasks = spark.sparkContext.defaultParallelism
-    kinds = files.repartition(tasks).mapInArrow(_footers, "path string, kind string").persist()
+    kinds = files.repartition(tasks).mapInArrow(_footers, "path string, kind string")
+    if isinstance(source, str):
+        below = F.substring(F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:/*|^/*", "/"), len(_plain_path(source)) + 1, 1 << 20)
+        kinds = kinds.withColumn("plain", below.rlike(r"^/(.*/)?[^/=]+/[^/]*$"))
+    else:
+        kinds = kinds.withColumn("plain", F.lit(False))
+    kinds = kinds.persist()
     try:
-        counts = kinds.groupBy("kind").count().collect()
+        counts = kinds.groupBy("kind").agg(F.bool_or("plain").alias("plain")).collect()
+        plain = any(r.plain for r in counts)
+        reader = spark.read.option("recursiveFileLookup", True) if plain else spark.read
         if len(counts) == 1:
-            return [spark.read.parquet(source) if isinstance(source, str) else spark.read.parquet(*source)]
+            return [reader.parquet(source) if isinstance(source, str) else reader.parquet(*source)]
         paths: dict[str, list[str]] = {r.kind: [] for r in counts}
         for r in kinds.toLocalIterator() if counts else ():
             paths[r.kind].append(r.path)
     finally:
         kinds.unpersist()
-    reader = spark.read.option("basePath", source) if isinstance(source, str) else spark.read
+    if isinstance(source, str) and not plain:
+        reader = reader.option("basePath", source)
     return [reader.parquet(*sorted(found)) for _, found in sorted(paths.items())]
 
 
@@ -148,16 +159,41 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
     )
 
 
+def named(name: str) -> Column:
+    """A column by its name as it is, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _plain_path(path: str) -> str:
+    """A path without its scheme, and with one slash at its start, to compare two ways of writing it."""
+    return re.sub(r"^[A-Za-z][\w+.-]*:/*|^/*", "/", path).rstrip("/")
+
+
+def _source_name(folder: str | None) -> Column:
+    """The path of a row's file below a folder, its name alone without one, both without ``.csv``.
+
+    Spark tells paths percent-encoded, and a plus sign in them is just that.
+    """
+    told = F.col("_metadata.file_path" if folder else "_metadata.file_name")
+    told = F.url_decode(F.replace(told, F.lit("+"), F.lit("%2B")))
+    if folder:
+        bare = F.regexp_replace(told, r"^[A-Za-z][\w+.-]*:/*|^/*", "/")
+        told = F.substring(bare, len(_plain_path(folder)) + 2, 1 << 20)
+    return F.regexp_replace(told, r"\.csv$", "")
+
+
 def _too_long(n: int) -> Column:
     """Whether the raw text of a row that does not fit has more than ``n`` fields; fewer are filled with NULL."""
     return _too_long_of(_RAW, n)
 
 
 def _too_long_of(line: str, n: int) -> Column:
-    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    # As the parser has it, a quote opens a field only where the field begins with it; others are characters.
+    bare = F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
     return F.coalesce(F.regexp_count(bare, F.lit(",")) >= n, F.lit(False))
 
 
@@ -170,19 +206,27 @@ def read_csv(
     na_tokens: list[str] | None = NA_TOKENS,
     source_column: str | None = None,
     malformed: str = "error",
+    source_folder: str | None = None,
 ) -> DataFrame:
-    """All ``*.csv`` files of a folder, or a list of files, with a header each and quotes doubled inside quoted fields.
+    """All ``*.csv`` files below a folder, or a list of files, with a header each and quotes doubled inside quoted fields.
+
+    Files in sub-folders count like others, but for folders whose name begins with ``_`` or ``.``. A quote in the middle of a
+    field is a character like any other.
 
     Fields are read as text and then fitted to ``schema``, by name. Types are inferred, in a second scan, only with
     ``infer``. Files whose header differs from the first one's are an error instead of shifted columns; see
     :func:`csv_groups`. Line breaks inside quotes belong to the field; ``multi_line=False`` is for files known to have none,
-    which can then be split among tasks. ``source_column`` adds the file name without its suffix.
+    which can then be split among tasks. ``source_column`` adds the file name without its suffix, or with ``source_folder`` its
+    path below that folder.
 
     A row with fewer fields than the header ends in NULLs. One with more fails the job, or with ``malformed="aside"`` is left
     out, to be had from :func:`malformed_csv`.
     """
     df, names = _with_raw_lines(spark, path, multi_line)
     n = len(names)
+    if not n:  # nothing but empty files
+        columns = [*(schema or []), *([T.StructField(source_column, T.StringType())] if source_column else [])]
+        return spark.createDataFrame([], T.StructType(columns))
     if malformed == "error":
         told = F.concat(F.lit(f"more than {n} fields: "), F.col(_RAW))
         df = df.filter(F.when(_too_long(n), F.raise_error(told).cast("boolean")).otherwise(True))
@@ -193,14 +237,12 @@ def read_csv(
     kinds = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema if infer else None
     cols = []
     for name in names:
-        c = F.col(f"`{name}`")
+        c = named(name)
         if na_tokens and not (kinds and not isinstance(kinds[name].dataType, T.StringType)):
             c = text.blank_if_token(c, na_tokens)
         cols.append((c.try_cast(kinds[name].dataType) if kinds else c).alias(name))
     if source_column:
-        # The name comes percent-encoded, and a plus sign in it is just that.
-        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-        cols.append(F.regexp_replace(name, r"\.csv$", "").alias(source_column))
+        cols.append(_source_name(source_folder).alias(source_column))
         schema = T.StructType([*schema, T.StructField(source_column, T.StringType())]) if schema else None
     df = df.select(cols)
     return schemas.enforce(df, schema, missing="null") if schema else df
@@ -218,9 +260,11 @@ def _with_raw_lines(spark: SparkSession, path: str | list[str], multi_line: bool
 def malformed_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """(file, line): the rows with more fields than the header, as they are in the file."""
     df, names = _with_raw_lines(spark, path, multi_line)
+    if not names:
+        return spark.createDataFrame([], "file string, line string")
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     # Spark does not read raw lines alone, so the filter names a field as well.
-    held = F.length(F.concat_ws("", F.col(f"`{names[0]}`"))) >= 0
+    held = F.length(F.concat_ws("", named(names[0]))) >= 0
     return df.filter(_too_long(len(names)) & held).select(name.alias("file"), F.col(_RAW).alias("line"))
 
 
@@ -238,15 +282,17 @@ def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def csv_groups(spark: SparkSession, folder: str) -> list[str | list[str]]:
-    """The CSV files of a folder by their header: the folder where all agree, else a list of files for each header.
+    """The CSV files below a folder by their header: the folder where all agree, else a list of files for each header.
 
-    Headers are read in tasks.
+    Headers are read in tasks. Files without a byte have neither header nor rows and are left out.
     """
-    found = listed(spark, folder, "*.csv").select("path").repartition(spark.sparkContext.defaultParallelism)
+    found = listed(spark, folder, "*.csv").where("length > 0").select("path")
+    found = found.repartition(spark.sparkContext.defaultParallelism)
     heads = found.mapInArrow(_headers, "path string, header string").persist()
     try:
-        if heads.select("header").distinct().count() <= 1:
-            return [folder]
+        kinds = heads.select("header").distinct().count()
+        if kinds <= 1:
+            return [folder] * kinds
         groups: dict[str, list[str]] = {}
         for r in heads.toLocalIterator():
             groups.setdefault(r.header, []).append(r.path)
@@ -280,7 +326,7 @@ def csv_ready(df: DataFrame) -> DataFrame:
     """CSV holds no lists: arrays of strings become list text, other arrays and maps become JSON."""
 
     def field(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+        c = named(f.name)
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
             c = text.list_text(c)
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):

@@ -26,12 +26,6 @@ log = logging.getLogger(__name__)
 SOURCE_FILE = "source_file"
 
 
-def csv_file_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the CSV files in a folder, from its listing."""
-    fs, p = file_system(spark, folder)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
-
-
 def ingest_csv(
     spark: SparkSession,
     folder: str,
@@ -40,20 +34,21 @@ def ingest_csv(
     drop: Sequence[str] = (),
     multi_line: bool = True,
 ) -> int:
-    """Convert every CSV file of ``folder`` to Parquet in ``zone`` and return the number of files.
+    """Convert every CSV file below ``folder`` to Parquet in ``zone`` and return the number of files.
 
-    Each file lands in a partition of its own name: ingesting it again replaces it and leaves the others alone.
+    Each file lands in a partition of its own name, its path below ``folder``: ingesting it again replaces it and leaves the
+    others alone. Files in sub-folders count like others, as they do for reads and the archive.
     Files may have different headers, each is read by its own. Without a ``schema`` the types are found by a scan of the
     files with the same header. Columns in ``drop``, such as personal data, never reach the zone; absent ones are ignored.
     """
     files.require_folder(spark, folder)
-    found = len(csv_file_names(spark, folder))
+    found = files.listed(spark, folder, "*.csv").count()
     if not found:
         log.warning("no CSV files in %s", folder)
         return 0
     for group in files.csv_groups(spark, folder):
         fitted = schema or files.inferred_schema(spark, group, multi_line)
-        df = files.read_csv(spark, group, fitted, multi_line=multi_line, source_column=SOURCE_FILE)
+        df = files.read_csv(spark, group, fitted, multi_line=multi_line, source_column=SOURCE_FILE, source_folder=qualified(spark, folder))
         (
             df.drop(*drop)
             .write.mode("overwrite")
@@ -123,9 +118,9 @@ def archive_zone(spark: SparkSession, latest: str, archive: str, run_id: str, re
             if wrong:
                 raise ArchiveIncomplete(f"{wrong} files of {latest} have no whole copy in {target}")
             found.write.mode("overwrite").parquet(moved)
-    stored = spark.read.parquet(moved)
+    stored, rows = spark.read.parquet(moved), _rows(spark, target)
     _in_tasks(stored, _delete).agg({"length": "sum"}).collect()
-    return _rows(spark, target)
+    return rows
 
 
 def _rows(spark: SparkSession, folder: str) -> int:

@@ -93,7 +93,7 @@ def test_bounds_are_checked(spark):
 def test_csv_files(spark, tmp_path):
     rows = [(i // 3, f"a, \"{i // 3}\" ", None if i % 2 else "x") for i in range(600)]
     df = spark.createDataFrame(rows, "n int, s string, t string")
-    assert split_csv(spark, df, str(tmp_path / "out"), 50, 100, seed=1, bucket_rows=200) == 600
+    assert split_csv(spark, df, str(tmp_path / "out"), 50, 100, seed=1) == 600
     files = sorted((tmp_path / "out").glob("chunk=*/*.csv"))
     names = sorted(p.name for p in (tmp_path / "out").glob("chunk=*"))
     # One file per chunk, numbered without gaps.

@@ -395,6 +395,18 @@ def all_oracles() -> dict[str, str]:
         "cast(0 AS bigint) AS overlaps, cast(1 AS bigint) AS last_chunks, cast(1 AS bigint) AS first_chunk "
         "FROM lineitem",
         "split_csv_files": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+        "csv_stray_quotes": "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 1 THEN '5\" disc' WHEN 2 THEN 'say \"hi, you\"' "
+        "WHEN 3 THEN 'x\"y\"\"z' WHEN 4 THEN '\"a\"b' END AS said, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END "
+        "AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN concat(o_orderkey, ',a \"b, c\" d,', o_orderstatus) END AS line "
+        "FROM orders",
+        "ingest_nested": "SELECT o_orderkey, o_custkey, o_orderstatus, CASE o_orderkey % 3 WHEN 0 THEN 'orders' "
+        "WHEN 1 THEN 'sub/orders' ELSE 'sub/year=1/deep/orders' END AS source_file FROM orders",
+        "ingest_nested_headers": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS o_custkey, "
+        "o_orderstatus FROM orders",
+        "archive_nested": "SELECT event_id, platform, (SELECT count(*) FROM raw_play) AS moved, "
+        "(SELECT count(*) FROM raw_play) AS again, cast(0 AS bigint) AS left_over FROM raw_play",
+        "split_csv_permuted": "SELECT count(*) AS n_rows, cast(sum(l_partkey) AS bigint) AS sum_partkey, true AS chunks_fit "
+        "FROM lineitem",
         "csv_parquet_roundtrip": f"SELECT {raw}, nullif(explicit, 'nan') AS explicit FROM raw_song",
         "ingest_without_personal_data": "SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, platform, ms_played, "
         "track_uri FROM raw_play",

@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata import schemas
 from strata.functions import numeric, temporal, text
@@ -402,10 +403,31 @@ def split_csv_files(spark, d):
     """A table cut into random chunk files holds the rows it held before."""
     out = _folder(spark, "split")
     orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    prepare.split_csv(spark, orders, out, min_rows=500, max_rows=2_000, seed=3, bucket_rows=5_000)
+    prepare.split_csv(spark, orders, out, min_rows=500, max_rows=2_000, seed=3)
     return files.read_csv(spark, out, orders.schema)
 
 
+def split_csv_permuted(spark, d):
+    """Chunk files of a table: all rows, each once, sizes in range, chunks numbered without gaps, one file each."""
+    out, low, high = _folder(spark, "split"), 1_000, 5_000
+    prepare.split_csv(spark, fx.table(spark, d, "lineitem"), out, low, high, seed=7)
+    number = F.regexp_extract(F.col("_metadata.file_path"), "chunk=([0-9]+)/", 1).cast("bigint")
+    columns = ("l_orderkey", "l_linenumber", "l_partkey")
+    back = spark.read.option("header", True).csv(out)
+    back = back.select(*[F.col(c).cast("bigint") for c in columns], number.alias("chunk"), F.col("_metadata.file_path").alias("file"))
+    sizes = back.groupBy("chunk").agg(F.count("*").alias("n"), F.min("file").alias("f"), F.max("file").alias("g"))
+    last = F.max("chunk").over(Window.partitionBy())
+    sizes = sizes.withColumn("last", last).agg(
+        F.count_if(F.col("n").between(low, high) | (F.col("chunk") == F.col("last")) & (F.col("n") <= high)).alias("fit"),
+        F.count_if(F.col("f") == F.col("g")).alias("one_file"),
+        F.max("chunk").alias("n_chunks"),
+    )
+    rows = back.groupBy(*columns).count()
+    rows = rows.agg(F.sum("count").alias("n_rows"), F.sum(F.col("l_partkey") * F.col("count")).alias("sum_partkey"))
+    whole = (F.col("fit") == F.col("n_chunks")) & (F.col("one_file") == F.col("n_chunks"))
+    return rows.join(sizes).select("n_rows", "sum_partkey", whole.alias("chunks_fit"))
+
+
 def csv_parquet_roundtrip(spark, d):
     landing, zone = _folder(spark, "landing"), _folder(spark, "zone")
     files.write_csv(fx.raw_songs(spark, d), landing)
@@ -706,6 +728,70 @@ def csv_malformed(spark, d):
     return good.union(aside.select(number, F.lit(None).cast("string").alias("o_orderstatus"), "line"))
 
 
+def csv_stray_quotes(spark, d):
+    """Quotes in the middle of a field are characters: no row is cut, and one with a comma too many is set aside whole."""
+    source = _folder(spark, "csv")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    line = F.when(key % 5 == 0, F.concat_ws(",", key, F.lit('a "b, c" d'), status))
+    line = line.when(key % 5 == 1, F.concat_ws(",", key, F.lit('5" disc'), status))
+    line = line.when(key % 5 == 2, F.concat_ws(",", key, F.lit('"say ""hi, you"""'), status))
+    line = line.when(key % 5 == 3, F.concat_ws(",", key, F.lit('x"y""z'), status)).otherwise(F.concat_ws(",", key, F.lit('"a"b'), status))
+    rows = fx.table(spark, d, "orders").select(line.alias("o_orderkey,said,o_orderstatus"))
+    rows.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(source)
+    number = F.col("o_orderkey").cast("bigint").alias("o_orderkey")
+    good = files.read_csv(spark, source, malformed="aside").select(number, "said", "o_orderstatus", F.lit(None).cast("string").alias("line"))
+    none = F.lit(None).cast("string")
+    aside = files.malformed_csv(spark, source).withColumn("o_orderkey", F.split("line", ",")[0])
+    return good.union(aside.select(number, none, none, "line"))
+
+
+def _nested_landing(spark, d, same_headers):
+    """Files of one name at two depths, with one header or two, an empty one, and one that is still being written."""
+    landing = _folder(spark, "landing")
+    orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for place, kept in (("", 0), ("sub", 1), ("sub/year=1/deep", 2), ("_draft", 3)):
+        part = orders.filter(f"o_orderkey % 3 = {kept % 3}")
+        part = part if same_headers or kept != 1 else part.select("o_orderstatus", "o_orderkey")
+        files.write_csv(part.coalesce(1), f"{landing}_{kept}")
+        fs, p = file_system(spark, f"{landing}/{place}/orders.csv")
+        make_folder(spark, f"{landing}/{place}")
+        (written,) = fs.globStatus(file_system(spark, f"{landing}_{kept}/part-*.csv")[1])
+        fs.rename(written.getPath(), p)
+    fs, p = file_system(spark, f"{landing}/sub/nothing.csv")
+    fs.create(p).close()
+    return landing
+
+
+def ingest_nested(spark, d):
+    """Files in sub-folders are ingested like others, each under its path, and files of one name stay apart."""
+    landing, zone = _nested_landing(spark, d, True), _folder(spark, "zone")
+    zones.ingest_csv(spark, landing, zone)
+    rows = spark.read.parquet(zone).select("o_orderkey", "o_custkey", "o_orderstatus", "source_file")
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+
+
+def ingest_nested_headers(spark, d):
+    """The same with a file of another header among them: nothing appears or vanishes."""
+    landing, zone = _nested_landing(spark, d, False), _folder(spark, "zone")
+    zones.ingest_csv(spark, landing, zone)
+    df = zones.read_zone(spark, zone)
+    return df.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_orderstatus")
+
+
+def archive_nested(spark, d):
+    """A zone with plain sub-folders moves whole: rows and count as before, nothing is left but what is being written."""
+    root = _folder(spark, "latest")
+    rows = fx.raw_plays(spark, d).select("event_id", "platform")
+    for place, kept in (("", 0), ("/sub", 1), ("/sub/deep", 2), ("/_temporary/0", 3)):
+        files.write_parquet(rows.filter(f"event_id % 3 = {kept % 3}"), f"{root}/latest{place}", "append")
+    moved = zones.archive_zone(spark, f"{root}/latest", f"{root}/archive", run_id="1")
+    again = zones.archive_zone(spark, f"{root}/latest", f"{root}/archive", run_id="1")
+    files.write_parquet(zones.read_zone(spark, f"{root}/archive"), f"{root}/read")
+    left = zones.list_files(spark, f"{root}/latest").count()
+    told = {"moved": F.lit(moved).cast("bigint"), "again": F.lit(again).cast("bigint"), "left_over": F.lit(left).cast("bigint")}
+    return spark.read.parquet(f"{root}/read").withColumns(told)
+
+
 def backfill_odd_names(spark, d):
     """Artists whose names are missing or hold commas, quotes and backslashes keep their ids."""
     out = _folder(spark, "backfill")
@@ -800,7 +886,8 @@ def all_queries() -> dict:
         user_view, track_view, artist_view, dq_song_suite, dq_play_suite, dq_flagged_rows, dq_unique_violations,
         dq_within_record, dq_max_between, dq_lengths, dq_primary_key, json_flatten, union_missing_columns,
         track_flatten, track_popularity, distinct_keys, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
-        split_chunk_sizes, split_csv_files, csv_parquet_roundtrip, ingest_without_personal_data,
+        csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
+        split_chunk_sizes, split_csv_files, split_csv_permuted, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
         play_stream_many_files, play_load_resumed, song_load_resumed, artist_load_resumed, play_load_prefixed,
