@@ -8,6 +8,8 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +34,8 @@ CSV_OUT = {
 }
 
 
-def listed(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """(path, length) of the finished files below a folder, listed by tasks where there are many.
+def listed(spark: SparkSession, folder: str | list[str], pattern: str | None = None) -> DataFrame:
+    """(path, length) of the finished files below a folder, or of a list of files, listed by tasks where there are many.
 
     Files and folders whose name begins with ``_`` or ``.`` are work in progress and not listed.
     """
@@ -69,39 +71,42 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(kinds, pa.string())], ["path", "kind"])
 
 
-def parquet_groups(spark: SparkSession, source: str | list[str]) -> list[DataFrame]:
-    """The Parquet files below a folder, or of a list of files, one frame for each schema that they were written with.
+def parquet_groups(spark: SparkSession, source: str | list[str], merge: bool = True) -> list[DataFrame]:
+    """The Parquet files below a folder, or of a list of files, as frames that together hold all their rows.
 
-    Footers are read in tasks. Files of one schema are read by their folder; file names reach the driver only where
-    schemas differ. Sub-folders named like ``column=value`` give a column, unless other sub-folders hold files as well. No
-    files give no frame.
+    Where the files' types agree, Spark merges their footers, in tasks, to one frame with the columns of all, NULL where a file
+    lacks one. Where types differ, or with ``merge=False``, there is a frame for each schema that files were written with;
+    footers are then grouped by schema in tasks, and only then file names reach the driver. Sub-folders named like
+    ``column=value`` give a column, unless other sub-folders hold files as well. No files give no frame.
     """
-    if isinstance(source, str):
-        files = listed(spark, source, "*.parquet").select("path")
-    else:
-        files = reduce(DataFrame.union, [listed(spark, p, "*.parquet") for p in source]).select("path")
-    tasks = spark.sparkContext.defaultParallelism
-    kinds = files.repartition(tasks).mapInArrow(_footers, "path string, kind string")
+    files = listed(spark, source, "*.parquet").select("path")
+    plain = F.lit(False)
     if isinstance(source, str):
         below = F.substring(F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:/*|^/*", "/"), len(_plain_path(source)) + 1, 1 << 20)
-        kinds = kinds.withColumn("plain", below.rlike(r"^/(.*/)?[^/=]+/[^/]*$"))
-    else:
-        kinds = kinds.withColumn("plain", F.lit(False))
-    kinds = kinds.persist()
+        plain = below.rlike(r"^/(.*/)?[^/=]+/[^/]*$")
+    n, plain = files.agg(F.count("*"), F.bool_or(plain)).first()
+    if not n:
+        return []
+    reader = spark.read.option("recursiveFileLookup", True) if plain else spark.read
+    paths = [source] if isinstance(source, str) else source
+    if merge:
+        try:
+            return [reader.option("mergeSchema", True).parquet(*paths)]
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE" not in str(e):
+                raise
+    kinds = files.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_footers, "path string, kind string").persist()
     try:
-        counts = kinds.groupBy("kind").agg(F.bool_or("plain").alias("plain")).collect()
-        plain = any(r.plain for r in counts)
-        reader = spark.read.option("recursiveFileLookup", True) if plain else spark.read
-        if len(counts) == 1:
-            return [reader.parquet(source) if isinstance(source, str) else reader.parquet(*source)]
-        paths: dict[str, list[str]] = {r.kind: [] for r in counts}
-        for r in kinds.toLocalIterator() if counts else ():
-            paths[r.kind].append(r.path)
+        if kinds.select("kind").distinct().count() == 1:
+            return [reader.parquet(*paths)]
+        groups: dict[str, list[str]] = {}
+        for r in kinds.toLocalIterator():
+            groups.setdefault(r.kind, []).append(r.path)
     finally:
         kinds.unpersist()
     if isinstance(source, str) and not plain:
         reader = reader.option("basePath", source)
-    return [reader.parquet(*sorted(found)) for _, found in sorted(paths.items())]
+    return [reader.parquet(*sorted(found)) for _, found in sorted(groups.items())]
 
 
 def declared(frames: list[DataFrame], schema: T.StructType, spark: SparkSession) -> DataFrame:
@@ -138,7 +143,10 @@ def declared_plays(df: DataFrame, uri_prefix: str = "") -> DataFrame:
 
 def read_plays(spark: SparkSession, path: str | list[str], uri_prefix: str = "") -> DataFrame:
     """Raw plays of files of any schemas that hold them."""
-    frames = [declared_plays(df, uri_prefix) for df in parquet_groups(spark, path)]
+    frames = parquet_groups(spark, path)
+    if frames and sum(c.endswith("track_uri") for c in frames[0].columns) > 1:
+        frames = parquet_groups(spark, path, merge=False)  # files of several exports, each with its own prefix
+    frames = [declared_plays(df, uri_prefix) for df in frames]
     if not frames:
         return spark.createDataFrame([], schemas.raw_play_schema(uri_prefix))
     return reduce(DataFrame.unionByName, frames)
