@@ -355,6 +355,8 @@ def all_oracles() -> dict[str, str]:
         "(SELECT 1 FROM gold_song_ids g WHERE g.id = a.id)",
         "play_incremental": "SELECT * FROM plays p WHERE NOT EXISTS "
         "(SELECT 1 FROM gold_play_ids g WHERE g.id = p.id)",
+        "play_incremental_filtered": "SELECT * FROM plays p WHERE NOT EXISTS "
+        "(SELECT 1 FROM gold_play_ids g WHERE g.id = p.id)",
         "play_incremental_by_time": "SELECT * FROM plays p WHERE NOT EXISTS (SELECT 1 FROM plays q WHERE "
         "q.id = p.id AND q.ts = p.ts AND q.id IN (SELECT id FROM gold_play_ids ))",
         "missing_ids": "SELECT id FROM missing",
