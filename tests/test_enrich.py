@@ -123,3 +123,67 @@ def test_records_parse(spark):
     df = enrich.parsed(spark.createDataFrame(found, enrich.LOOKUP_SCHEMA), schemas.track_schema())
     assert df.first()["record"]["popularity"] == 5
     assert [tuple(r) for r in enrich.lookup_report(df).collect()] == [("found", 1)]
+
+
+# --- one budget and one pause for all tasks ---
+
+
+def limited(spark, n, fetch, **options):
+    options = {"base_delay": 0.0, "period": 0.0, "concurrency": 3, "batch_size": 10} | options
+    return enrich.lookup_limited(keys(spark, n), "id", fetch, **options)
+
+
+def logging_fetch(folder, refuse_nth=None, retry_after="2"):
+    """Each request leaves a file with when it began; in each worker, one gets status 429."""
+    calls = []
+
+    def fetch(batch):
+        import os
+        import time
+        import uuid
+
+        calls.append(1)
+        began = time.time()
+        time.sleep(0.05)
+        refused = len(calls) == refuse_nth and not os.path.exists(f"{folder}/refused")
+        if refused:
+            with open(f"{folder}/refused", "w") as f:
+                f.write(str(time.time()))
+        with open(f"{folder}/{uuid.uuid4().hex}.request", "w") as f:
+            f.write(str(began))
+        if refused:
+            error = RuntimeError("too many requests")
+            error.http_status, error.headers = 429, {"Retry-After": retry_after}
+            raise error
+        return [{"id": k} for k in batch]
+
+    return fetch
+
+
+def test_a_pause_stops_all_tasks(spark, tmp_path):
+    got = limited(spark, 120, logging_fetch(str(tmp_path), refuse_nth=2, retry_after="4"), per_period=3).collect()
+    assert sorted(r["key"] for r in got) == sorted(f"k{i}" for i in range(120)) and {r["status"] for r in got} == {"found"}
+    refused = float((tmp_path / "refused").read_text())
+    began = [float(p.read_text()) for p in tmp_path.glob("*.request")]
+    assert not [t for t in began if refused + 0.2 < t < refused + 3.95]
+    assert sum(t > refused + 3.95 for t in began) >= 5  # the rest came after the pause
+    assert max(r["attempts"] for r in got) == 2
+
+
+@pytest.mark.parametrize("per_period", [2, 7])
+def test_one_budget_for_all_tasks(spark, tmp_path, per_period):
+    """Fewer requests than tasks in a period, and more."""
+    got = limited(spark, 100, logging_fetch(str(tmp_path)), per_period=per_period, period=2.0).collect()
+    assert len({r["key"] for r in got}) == 100
+    began = sorted(float(p.read_text()) for p in tmp_path.glob("*.request"))
+    for t in began:
+        assert sum(t <= other < t + 1.5 for other in began) <= per_period
+
+
+def test_limited_lookup_keeps_every_key(spark):
+    statuses = lambda rows: {(r["status"], r["attempts"]) for r in rows}
+    assert statuses(limited(spark, 60, failing(404)).collect()) == {("refused", 1)}
+    assert statuses(limited(spark, 60, failing(), attempts=2).collect()) == {("failed", 2)}
+    rows = limited(spark, 60, lambda batch: [{"id": k} for k in batch if not k.endswith("7")]).collect()
+    assert len(rows) == 60 and {r["key"] for r in rows if r["status"] == "absent"} == {f"k{i}" for i in range(7, 60, 10)}
+    assert limited(spark, 0, simple()).collect() == []

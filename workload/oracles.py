@@ -389,6 +389,8 @@ def all_oracles() -> dict[str, str]:
         "distinct_keys": "SELECT DISTINCT id FROM plays WHERE id IS NOT NULL",
         "lookup_status": "SELECT id AS key, CASE WHEN n % 11 = 0 THEN 'absent' ELSE 'found' END AS status, "
         "cast(1 AS int) AS attempts FROM wanted",
+        "lookup_rate_limited": "SELECT id AS key, CASE WHEN n % 11 = 0 THEN 'absent' ELSE 'found' END AS status, true AS asked "
+        "FROM wanted",
         "backfill_rows": "SELECT * FROM backfilled",
         "backfilled_silver": f"SELECT {_flat()} FROM ({SILVER.replace('raw_song', 'backfilled ')})",
         "popularity_rows": "SELECT id, cast(n % 101 AS int) AS popularity FROM (SELECT DISTINCT id, "

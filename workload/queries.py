@@ -363,6 +363,23 @@ def lookup_status(spark, d):
     return found.select("key", "status", "attempts")
 
 
+def lookup_rate_limited(spark, d):
+    """Tasks that share one budget and one pause; the service refuses the first request of each worker for a moment."""
+    plain, calls = catalogue_fetch(), []
+
+    def fetch(batch):
+        calls.append(1)
+        if len(calls) == 1:
+            error = RuntimeError("too many requests")
+            error.http_status, error.headers = 429, {"Retry-After": "0"}
+            raise error
+        return plain(batch)
+
+    keys = incremental.missing_keys(plays(spark, d), silver(spark, d), drop_blank=True)
+    found = enrich.lookup_limited(keys, "id", fetch, per_period=64, period=0.05, concurrency=4)
+    return found.select("key", "status", F.lit(True).alias("asked"))
+
+
 def backfill_rows(spark, d):
     out = _folder(spark, "backfill")
     songs = silver(spark, d)
@@ -895,7 +912,7 @@ def all_queries() -> dict:
         user_view, track_view, artist_view, dq_song_suite, dq_play_suite, dq_flagged_rows, dq_unique_violations,
         dq_within_record, dq_max_between, dq_lengths, dq_primary_key, json_flatten, union_missing_columns,
         track_flatten, track_popularity, distinct_keys, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
-        play_incremental_filtered, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
+        play_incremental_filtered, lookup_rate_limited, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
         split_chunk_sizes, split_csv_files, split_csv_permuted, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
