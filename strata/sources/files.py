@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from strata import schemas
 from strata.functions import text
+from strata.sql import quoted
 from strata.staging import open_store, path_exists
 
 # Whole fields that mean "no value" in a CSV file.
@@ -173,7 +174,7 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
 
 def named(name: str) -> Column:
     """A column by its name as it is, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def _plain_path(path: str) -> str:

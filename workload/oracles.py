@@ -389,6 +389,11 @@ def all_oracles() -> dict[str, str]:
         "distinct_keys": "SELECT DISTINCT id FROM plays WHERE id IS NOT NULL",
         "lookup_status": "SELECT id AS key, CASE WHEN n % 11 = 0 THEN 'absent' ELSE 'found' END AS status, "
         "cast(1 AS int) AS attempts FROM wanted",
+        "profile_sketches": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, true AS distinct_fits, "
+            f"cast({q} AS boolean) AS quantiles_fit, cast({t} AS boolean) AS top_fits FROM plays"
+            for c, q, t in (("id", "NULL", "NULL"), ("platform", "NULL", "true"), ("seconds_played", "true", "NULL"))
+        ),
         "lookup_rate_limited": "SELECT id AS key, CASE WHEN n % 11 = 0 THEN 'absent' ELSE 'found' END AS status, true AS asked "
         "FROM wanted",
         "backfill_rows": "SELECT * FROM backfilled",

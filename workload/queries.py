@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from strata import schemas
 from strata.functions import numeric, temporal, text
-from strata.operators import clean, enrich, gate, incremental, keyfilter, nested, quality, split, views
+from strata.operators import clean, enrich, gate, incremental, keyfilter, nested, quality, sketches, split, views
 from strata.plans import backfill, play, prepare, song
 from strata.sources import files, tables, zones
 from strata.staging import file_system, make_folder, path_exists, shared_dir
@@ -363,6 +363,32 @@ def lookup_status(spark, d):
     return found.select("key", "status", "attempts")
 
 
+def profile_sketches(spark, d):
+    """Sketches of two loads, merged: exact counts, and whether distinct counts, quantiles and frequent values are within bounds."""
+    rows = plays(spark, d).select("id", "platform", "seconds_played")
+    store = sketches.ProfileStore(spark, _folder(spark, "profile"))
+    for run in range(2):
+        store.add(rows.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == run) if run else rows.filter("id IS NULL OR pmod(xxhash64(id), 2L) = 0"), str(run))
+    report = store.report((0.25, 0.5, 0.9), 1)
+    exact = rows.agg(*[F.count_distinct(F.col(c)).alias(c) for c in rows.columns])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n_distinct")) for c in rows.columns])))
+    place = report.filter("column_name = 'seconds_played'").select(F.posexplode("quantiles").alias("i", "q"))
+    places = rows.join(F.broadcast(place)).groupBy("i").agg(
+        (F.count_if(F.col("seconds_played") <= F.col("q")) / F.count("seconds_played")).alias("upto"),
+        (F.count_if(F.col("seconds_played") < F.col("q")) / F.count("seconds_played")).alias("below"),
+    )
+    asked = F.element_at(F.array(*map(F.lit, (0.25, 0.5, 0.9))), F.col("i") + 1)
+    fits = places.agg(F.bool_and((F.col("below") <= asked + sketches.RANK_ERROR) & (F.col("upto") >= asked - sketches.RANK_ERROR)).alias("fit"))
+    often = rows.groupBy("platform").count().filter("platform IS NOT NULL").agg(F.max("count").alias("most"))
+    joined = report.join(exact, F.col("column_name") == F.col("name")).join(fits).join(often)
+    near = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= sketches.DISTINCT_ERROR * F.col("n_distinct") + 0.5
+    return joined.select(
+        "column_name", "rows", "nulls", near.alias("distinct_fits"),
+        F.when(F.col("column_name") == "seconds_played", F.col("fit")).alias("quantiles_fit"),
+        F.when(F.col("column_name") == "platform", F.col("top")[0]["count"] == F.col("most")).alias("top_fits"),
+    )
+
+
 def lookup_rate_limited(spark, d):
     """Tasks that share one budget and one pause; the service refuses the first request of each worker for a moment."""
     plain, calls = catalogue_fetch(), []
@@ -912,7 +938,7 @@ def all_queries() -> dict:
         user_view, track_view, artist_view, dq_song_suite, dq_play_suite, dq_flagged_rows, dq_unique_violations,
         dq_within_record, dq_max_between, dq_lengths, dq_primary_key, json_flatten, union_missing_columns,
         track_flatten, track_popularity, distinct_keys, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
-        play_incremental_filtered, lookup_rate_limited, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
+        play_incremental_filtered, lookup_rate_limited, profile_sketches, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
         split_chunk_sizes, split_csv_files, split_csv_permuted, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
