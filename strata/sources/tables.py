@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import schemas
+from strata.sql import quoted
 from strata.staging import make_folder, path_exists
 
 
@@ -15,16 +16,23 @@ from strata.staging import make_folder, path_exists
 class ManagedTable:
     """A catalog table, created from its definition when it is not there yet, at ``location`` if one is given.
 
-    Text longer than its VARCHAR(n) fails the append.
+    Text longer than its VARCHAR(n) fails the append. With ``buckets`` the rows of each load are dealt to that many files by
+    their ``keys`` and sorted by them, so that anti-joins against the table (``salts=None``), duplicate counts and uniqueness
+    rules on these keys read it bucket by bucket, without a shuffle of what is stored. A key that holds a large part of the rows
+    then fills one bucket; such a table is better left unbucketed.
     """
 
     name: str
     ddl: str
     location: str | None = None
+    buckets: int = 0
+    keys: Sequence[str] = ("id",)
 
     def create(self, spark: SparkSession) -> None:
         place = f" LOCATION '{self.location}'" if self.location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.ddl}) USING parquet{place}")
+        by = ", ".join(map(quoted, self.keys))
+        dealt = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.buckets} BUCKETS" if self.buckets else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.ddl}) USING parquet{dealt}{place}")
 
     def read(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
         df = spark.read.table(self.name)
@@ -72,7 +80,7 @@ class JdbcTable:
     reads: int = 1
     creates: bool = False
     #: PostgreSQL's; others have one as well.
-    hashed: str = "abs(hashtext(CAST({column} AS text)))"
+    hashed: str = "(hashtext(CAST({column} AS text)) & 2147483647)"
 
     def options(self, columns: Sequence[str] | None = None) -> dict[str, str]:
         what = ", ".join(columns) if columns else "*"

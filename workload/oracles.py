@@ -370,6 +370,12 @@ def all_oracles() -> dict[str, str]:
         "artist_ids[1] AS primary_artist_id FROM gated_song",
         "artist_view": "SELECT artist, artist_id FROM gated_artist",
         "dq_song_suite": _song_suite(),
+        "dq_suite_from_file": _song_suite(),
+        "song_missing_rule": "SELECT id, name, cast(NULL AS double) AS tempo FROM silver",
+        "empty_layers": "SELECT count(*) AS n, cast(sum(seconds_played) AS bigint) AS seconds, cast(8 AS int) AS play_columns, "
+        "cast(24 AS int) AS song_columns FROM plays",
+        "fk_violations_bucketed": "SELECT id, ts FROM plays p WHERE id IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM silver s WHERE s.id = p.id)",
         "dq_play_suite": _play_suite(),
         "dq_flagged_rows": "SELECT id, key, '8' AS violations FROM silver WHERE key IS NULL",
         "dq_unique_violations": "SELECT id, ts, album_artist_name FROM plays WHERE id IN "

@@ -212,6 +212,19 @@ def fk_violations(spark, d):
     return incremental.fk_violations(plays(spark, d).select("id", "ts"), silver(spark, d))
 
 
+def fk_violations_bucketed(spark, d):
+    """The same against a table bucketed by its key, stored in two loads; the stored side is not shuffled."""
+    songs = silver(spark, d).select("id", "name")
+    stored = tables.ManagedTable(f"songs_{uuid.uuid4().hex}", "id STRING, name STRING", _folder(spark, "bucketed"), buckets=8)
+    stored.create(spark)
+    for part in range(2):
+        stored.append(songs.filter(F.pmod(F.hash("id"), F.lit(2)) == part))
+    found = incremental.fk_violations(plays(spark, d).select("id", "ts"), stored.read(spark), salts=None)
+    files.write_parquet(found, f"{stored.location}_found")
+    spark.sql(f"DROP TABLE {stored.name}")
+    return spark.read.parquet(f"{stored.location}_found")
+
+
 # --- reports ---
 
 
@@ -236,6 +249,29 @@ def dq_song_suite(spark, d):
     return quality.validate(silver(spark, d), suite, {"this_year": MAX_YEAR})
 
 
+def dq_suite_from_file(spark, d):
+    """A suite stored as a file, replaced there by a second one, and read back."""
+    path = f"{_folder(spark, 'suite')}.json"
+    quality.play_suite().save(path)
+    quality.song_suite({"$PARAMETER": "this_year"}).save(path)
+    return quality.validate(silver(spark, d), quality.Suite.load(path), {"this_year": MAX_YEAR})
+
+
+def song_missing_rule(spark, d):
+    """A column without a rule is NULL in its declared type, the others are as ever."""
+    df = clean.clean_songs(fx.raw_songs(spark, d), overrides={"tempo": ("tempo", None)})
+    return df.select("id", "name", "tempo")
+
+
+def empty_layers(spark, d):
+    """Empty frames of two layers beside the rows of a third: they add columns of their types and no rows."""
+    plays_, songs = schemas.empty_frame(spark, "gold_play"), schemas.empty_frame(spark, "raw")
+    rows = plays(spark, d).select("id", "seconds_played")
+    rows = rows.unionByName(plays_.select("id", "seconds_played"))
+    told = {"play_columns": F.lit(len(plays_.columns)), "song_columns": F.lit(len(songs.columns))}
+    return rows.agg(F.count("*").alias("n"), F.sum("seconds_played").cast("bigint").alias("seconds")).withColumns(told)
+
+
 def dq_play_suite(spark, d):
     return quality.validate(plays(spark, d), quality.play_suite())
 
@@ -938,7 +974,8 @@ def all_queries() -> dict:
         user_view, track_view, artist_view, dq_song_suite, dq_play_suite, dq_flagged_rows, dq_unique_violations,
         dq_within_record, dq_max_between, dq_lengths, dq_primary_key, json_flatten, union_missing_columns,
         track_flatten, track_popularity, distinct_keys, lookup_status, backfill_rows, backfilled_silver, popularity_rows,
-        play_incremental_filtered, lookup_rate_limited, profile_sketches, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
+        play_incremental_filtered, lookup_rate_limited, profile_sketches, fk_violations_bucketed, dq_suite_from_file,
+        song_missing_rule, empty_layers, csv_stray_quotes, ingest_nested, ingest_nested_headers, archive_nested,
         split_chunk_sizes, split_csv_files, split_csv_permuted, csv_parquet_roundtrip, ingest_without_personal_data,
         archive_roundtrip, json_to_csv, filter_csv, song_load, artist_load, play_load, play_gold_layer, play_stream_load,
         catalog_user_view, catalog_track_view, catalog_artist_view,
