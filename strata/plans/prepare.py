@@ -44,7 +44,7 @@ def split_csv(
         rows, n_rows = permute.numbered(df, staging)
         if n_rows:
             place = permute.position(spark, F.col(permute.ROW), n_rows, seed).alias(permute.POSITION)
-            rows = rows.select(*df.columns, place)
+            rows = rows.select(*map(files.named, df.columns), place)
             chunk = split.chunk_of(F.col(permute.POSITION), min_rows, max_rows, seed)
             pairs = -(-n_rows // (min_rows + max_rows))
             tasks = split.n_tasks(df, n_rows, pairs)
