@@ -34,7 +34,7 @@ def policy(a) -> GatePolicy:
 
 def ingest(spark, a):
     schema = schemas.schema_for(a.schema) if a.schema else None
-    print(zones.ingest_csv(spark, a.source, a.target, schema, a.drop, a.multi_line))
+    print(zones.ingest_csv(spark, a.source, a.target, schema, a.drop, a.multi_line, a.block))
 
 
 def raw_to_silver(spark, a):
@@ -142,6 +142,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--schema", choices=sorted(schemas.SCHEMAS))
     p.add_argument("--drop", nargs="*", default=[])
     p.add_argument("--single-line", dest="multi_line", action="store_false", help="no line breaks inside quotes")
+    p.add_argument("--block", type=int, help="cut files among tasks in blocks of so many bytes, at the ends of records")
     job(raw_to_silver).add_argument("--list-mode", default="split", choices=["split", "literal"])
     job(silver_to_gold, gate=True)
     p = job(load_songs, "songs", "artists", gate=True, target=False)

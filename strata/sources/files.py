@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from strata import schemas
 from strata.functions import text
+from strata.sources.csv_blocks import csv_records
 from strata.sql import quoted
 from strata.staging import open_store, path_exists
 
@@ -157,7 +158,7 @@ class MalformedCsv(ValueError):
     """Rows with more fields than their file's header."""
 
 
-_RAW = "__raw_line"
+_RAW, _FIELDS, _PATH = "__raw_line", "__fields", "__path"
 
 
 def _csv_reader(spark: SparkSession, multi_line: bool):
@@ -182,14 +183,16 @@ def _plain_path(path: str) -> str:
     return re.sub(r"^[A-Za-z][\w+.-]*:/*|^/*", "/", path).rstrip("/")
 
 
-def _source_name(folder: str | None) -> Column:
-    """The path of a row's file below a folder, its name alone without one, both without ``.csv``.
+def _told_path() -> Column:
+    """The path of a row's file. Spark tells it percent-encoded, and a plus sign in it is just that."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
-    Spark tells paths percent-encoded, and a plus sign in them is just that.
-    """
-    told = F.col("_metadata.file_path" if folder else "_metadata.file_name")
-    told = F.url_decode(F.replace(told, F.lit("+"), F.lit("%2B")))
-    if folder:
+
+def _source_name(told: Column, folder: str | None) -> Column:
+    """A path below a folder, the file's name alone without one, both without ``.csv``."""
+    if not folder:
+        told = F.substring_index(told, "/", -1)
+    else:
         bare = F.regexp_replace(told, r"^[A-Za-z][\w+.-]*:/*|^/*", "/")
         told = F.substring(bare, len(_plain_path(folder)) + 2, 1 << 20)
     return F.regexp_replace(told, r"\.csv$", "")
@@ -197,12 +200,8 @@ def _source_name(folder: str | None) -> Column:
 
 def _too_long(n: int) -> Column:
     """Whether the raw text of a row that does not fit has more than ``n`` fields; fewer are filled with NULL."""
-    return _too_long_of(_RAW, n)
-
-
-def _too_long_of(line: str, n: int) -> Column:
     # As the parser has it, a quote opens a field only where the field begins with it; others are characters.
-    bare = F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
+    bare = F.regexp_replace(_RAW, r'(^|,)"(?:[^"]|"")*"', "$1")
     return F.coalesce(F.regexp_count(bare, F.lit(",")) >= n, F.lit(False))
 
 
@@ -216,6 +215,7 @@ def read_csv(
     source_column: str | None = None,
     malformed: str = "error",
     source_folder: str | None = None,
+    block: int | None = None,
 ) -> DataFrame:
     """All ``*.csv`` files below a folder, or a list of files, with a header each and quotes doubled inside quoted fields.
 
@@ -225,25 +225,33 @@ def read_csv(
     Fields are read as text and then fitted to ``schema``, by name. Types are inferred, in a second scan, only with
     ``infer``. Files whose header differs from the first one's are an error instead of shifted columns; see
     :func:`csv_groups`. Line breaks inside quotes belong to the field; ``multi_line=False`` is for files known to have none,
-    which can then be split among tasks. ``source_column`` adds the file name without its suffix, or with ``source_folder`` its
+    which can then be split among tasks. With ``block`` files are cut among tasks in blocks of so many bytes, at the true ends of their
+    records (:mod:`strata.sources.csv_blocks`), whatever their fields hold; the rows are the same. ``source_column`` adds the file name without its suffix, or with ``source_folder`` its
     path below that folder.
 
     A row with fewer fields than the header ends in NULLs. One with more fails the job, or with ``malformed="aside"`` is left
     out, to be had from :func:`malformed_csv`.
     """
-    df, names = _with_raw_lines(spark, path, multi_line)
+    names = _header(spark, path, multi_line)
     n = len(names)
     if not n:  # nothing but empty files
         columns = [*(schema or []), *([T.StructField(source_column, T.StringType())] if source_column else [])]
         return spark.createDataFrame([], T.StructType(columns))
+    if malformed not in ("error", "aside"):
+        raise ValueError(f"unknown treatment of malformed rows {malformed!r}")
+    if block:
+        df, long, told = _records(spark, path, names, block), F.col(_FIELDS) > n, F.col(_PATH)
+    else:
+        df, long, told = _with_raw_lines(spark, path, names, multi_line), _too_long(n), _told_path()
     if malformed == "error":
-        told = F.concat(F.lit(f"more than {n} fields: "), F.col(_RAW))
-        df = df.filter(F.when(_too_long(n), F.raise_error(told).cast("boolean")).otherwise(True))
-    elif malformed == "aside":
-        df = df.filter(~_too_long(n))
+        seen = F.concat(F.lit(f"more than {n} fields: "), F.col(_RAW))
+        df = df.filter(F.when(long, F.raise_error(seen).cast("boolean")).otherwise(True))
     else:
-        raise ValueError(f"unknown treatment of malformed rows {malformed!r}")
-    kinds = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema if infer else None
+        df = df.filter(~long)
+    if infer and block:
+        kinds = _inferred(df, names)
+    else:
+        kinds = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema if infer else None
     cols = []
     for name in names:
         c = named(name)
@@ -251,30 +259,70 @@ def read_csv(
             c = text.blank_if_token(c, na_tokens)
         cols.append((c.try_cast(kinds[name].dataType) if kinds else c).alias(name))
     if source_column:
-        cols.append(_source_name(source_folder).alias(source_column))
+        cols.append(_source_name(told, source_folder).alias(source_column))
         schema = T.StructType([*schema, T.StructField(source_column, T.StringType())]) if schema else None
     df = df.select(cols)
     return schemas.enforce(df, schema, missing="null") if schema else df
 
 
-def _with_raw_lines(spark: SparkSession, path: str | list[str], multi_line: bool) -> tuple[DataFrame, list[str]]:
-    """All columns as text, and the raw text of rows whose number of fields is not the header's."""
-    reader = _csv_reader(spark, multi_line)
-    names = reader.option("inferSchema", False).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
-    reader = reader.option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
-    return reader.schema(schema).csv(path), names
+def _header(spark: SparkSession, path: str | list[str], multi_line: bool) -> list[str]:
+    return _csv_reader(spark, multi_line).option("inferSchema", False).csv(path).columns
 
 
-def malformed_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """(file, line): the rows with more fields than the header, as they are in the file."""
-    df, names = _with_raw_lines(spark, path, multi_line)
+def _with_raw_lines(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:
+    """All columns as text, and the raw text of rows whose number of fields is not the header's."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    reader = _csv_reader(spark, multi_line).option("inferSchema", False)
+    return reader.option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False).schema(schema).csv(path)
+
+
+def _records(spark: SparkSession, path: str | list[str], names: list[str], block: int) -> DataFrame:
+    """All columns as text, each record's raw text, its number of fields and its file, from files cut among tasks."""
+    found = csv_records(spark, listed(spark, path, "*.csv"), block)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    row = F.from_csv("line", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    # A header field without a text has a name that the reader made up.
+    want = F.array(*[F.lit("" if name == f"_c{i}" else name.lower()) for i, name in enumerate(names)])
+    has = F.array(*[F.lower(F.coalesce(F.col("row")[f"c{i}"], F.lit(""))) for i in range(len(names))])
+    told = F.concat(F.lit("another header in "), "path", F.lit(": "), "line")
+    differs = F.col("header") & ((F.col("fields") != len(names)) | (has != want))
+    rows = found.withColumn("row", row).filter(F.when(differs, F.raise_error(told).cast("boolean")).otherwise(~F.col("header")))
+    cols = [F.col("row")[f"c{i}"].alias(name) for i, name in enumerate(names)]
+    return rows.select(*cols, F.col("line").alias(_RAW), F.col("fields").alias(_FIELDS), F.col("path").alias(_PATH))
+
+
+def _inferred(df: DataFrame, names: list[str]) -> T.StructType:
+    """The narrowest of int, long, double, boolean and string that holds all of a column's texts, from one aggregate.
+
+    Whole numbers beyond a long are doubles here. Columns without any text are strings.
+    """
+    kinds = [T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()]
+    whole, number = r"^[+-]?\d+$", r"^([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|-?Inf|-?Infinity)$"
+    aggs = []
+    for i, name in enumerate(names):
+        c = F.nullif(named(name), F.lit(""))
+        fits = [c.rlike(whole) & c.try_cast(kinds[0]).isNotNull(), c.rlike(whole) & c.try_cast(kinds[1]).isNotNull(), c.rlike(number)]
+        fits.append(F.lower(c).isin("true", "false"))
+        aggs += [F.bool_and(c.isNull() | f).alias(f"f{i}_{k}") for k, f in enumerate(fits)]
+        aggs.append(F.count(c).alias(f"n{i}"))
+    seen = df.agg(*aggs).first()
+    narrowest = lambda i: next((k for j, k in enumerate(kinds) if seen[f"n{i}"] and seen[f"f{i}_{j}"]), T.StringType())
+    return T.StructType([T.StructField(name, narrowest(i)) for i, name in enumerate(names)])
+
+
+def malformed_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True, block: int | None = None) -> DataFrame:
+    """(file, line): the rows with more fields than the header, as they are in the file; ``block`` as for :func:`read_csv`."""
+    names = _header(spark, path, multi_line)
     if not names:
         return spark.createDataFrame([], "file string, line string")
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    name, line = lambda told: F.substring_index(told, "/", -1).alias("file"), F.col(_RAW).alias("line")
+    if block:
+        return _records(spark, path, names, block).filter(F.col(_FIELDS) > len(names)).select(name(F.col(_PATH)), line)
+    df = _with_raw_lines(spark, path, names, multi_line)
     # Spark does not read raw lines alone, so the filter names a field as well.
     held = F.length(F.concat_ws("", named(names[0]))) >= 0
-    return df.filter(_too_long(len(names)) & held).select(name.alias("file"), F.col(_RAW).alias("line"))
+    return df.filter(_too_long(len(names)) & held).select(name(_told_path()), line)
 
 
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,8 +358,16 @@ def csv_groups(spark: SparkSession, folder: str) -> list[str | list[str]]:
     return [sorted(paths) for _, paths in sorted(groups.items())]
 
 
-def inferred_schema(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> T.StructType:
-    """Column types found by a scan of the CSV files. Dates and times stay text, for the cleaning rules to judge."""
+def inferred_schema(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, block: int | None = None
+) -> T.StructType:
+    """Column types found by a scan of the CSV files. Dates and times stay text, for the cleaning rules to judge.
+
+    With ``block`` files are cut among tasks, see :func:`read_csv`; rows with too many fields then do not count.
+    """
+    if block:
+        names = _header(spark, path, multi_line)
+        return _inferred(_records(spark, path, names, block).filter(F.col(_FIELDS) <= len(names)), names) if names else T.StructType([])
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
     found = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path).schema
     return T.StructType(

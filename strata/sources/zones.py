@@ -33,6 +33,7 @@ def ingest_csv(
     schema: T.StructType | None = None,
     drop: Sequence[str] = (),
     multi_line: bool = True,
+    block: int | None = None,
 ) -> int:
     """Convert every CSV file below ``folder`` to Parquet in ``zone`` and return the number of files.
 
@@ -40,6 +41,7 @@ def ingest_csv(
     others alone. Files in sub-folders count like others, as they do for reads and the archive.
     Files may have different headers, each is read by its own. Without a ``schema`` the types are found by a scan of the
     files with the same header. Columns in ``drop``, such as personal data, never reach the zone; absent ones are ignored.
+    ``block`` cuts large files among tasks, see :func:`strata.sources.files.read_csv`.
     """
     files.require_folder(spark, folder)
     found = files.listed(spark, folder, "*.csv").count()
@@ -47,8 +49,11 @@ def ingest_csv(
         log.warning("no CSV files in %s", folder)
         return 0
     for group in files.csv_groups(spark, folder):
-        fitted = schema or files.inferred_schema(spark, group, multi_line)
-        df = files.read_csv(spark, group, fitted, multi_line=multi_line, source_column=SOURCE_FILE, source_folder=qualified(spark, folder))
+        fitted = schema or files.inferred_schema(spark, group, multi_line, block)
+        below = qualified(spark, folder)
+        df = files.read_csv(
+            spark, group, fitted, multi_line=multi_line, source_column=SOURCE_FILE, source_folder=below, block=block
+        )
         (
             df.drop(*drop)
             .write.mode("overwrite")

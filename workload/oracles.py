@@ -414,6 +414,10 @@ def all_oracles() -> dict[str, str]:
         "WHEN 3 THEN 'x\"y\"\"z' WHEN 4 THEN '\"a\"b' END AS said, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END "
         "AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN concat(o_orderkey, ',a \"b, c\" d,', o_orderstatus) END AS line "
         "FROM orders",
+        "csv_split_quotes": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (1, 2) THEN 'two \"lines\",' || chr(10) || chr(10) || ', here' "
+        "WHEN o_orderkey % 7 = 3 THEN '5\" disc' WHEN o_orderkey % 7 > 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS said, "
+        "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN "
+        "concat(o_orderkey, ',\"a, b\",\"c', chr(10), 'd\",more') END AS line FROM orders",
         "ingest_nested": "SELECT o_orderkey, o_custkey, o_orderstatus, CASE o_orderkey % 3 WHEN 0 THEN 'orders' "
         "WHEN 1 THEN 'sub/orders' ELSE 'sub/year=1/deep/orders' END AS source_file FROM orders",
         "ingest_nested_headers": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS o_custkey, "

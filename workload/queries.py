@@ -16,7 +16,7 @@ from strata.functions import numeric, temporal, text
 from strata.operators import clean, enrich, gate, incremental, keyfilter, nested, quality, sketches, split, views
 from strata.plans import backfill, play, prepare, song
 from strata.sources import files, tables, zones
-from strata.staging import file_system, make_folder, path_exists, shared_dir
+from strata.staging import file_system, make_folder, open_store, path_exists, shared_dir
 from strata.streaming.plays import stream_plays
 from workload import fixtures as fx
 
@@ -833,6 +833,32 @@ def csv_stray_quotes(spark, d):
     return good.union(aside.select(number, none, none, "line"))
 
 
+def csv_split_quotes(spark, d):
+    """One file with line breaks, commas and quotes in its fields, cut among tasks; rows with a field too many are set aside."""
+    source = _folder(spark, "csv")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    line = F.when(key % 7 == 0, F.concat_ws(",", key, F.lit('"a, b","c\nd"'), F.lit("more")))
+    line = line.when(key % 7 < 3, F.concat_ws(",", key, F.lit('"two ""lines"",\n\n, here"'), status))
+    line = line.when(key % 7 == 3, F.concat_ws(",", key, F.lit('5" disc'), status)).otherwise(F.concat_ws(",", key, F.date_format("o_orderdate", "yyyy-MM-dd"), status))
+
+    def write(batches):  # Spark's writer would quote fields with line breaks anew
+        fs, root = open_store(source)
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/orders.csv") as f:
+            f.write(b"o_orderkey,said,o_orderstatus\n")
+            for batch in batches:
+                f.write("".join(f"{line}\n" for line in batch.column("line").to_pylist()).encode())
+                yield batch
+
+    fx.table(spark, d, "orders").select(line.alias("line")).coalesce(1).mapInArrow(write, "line string").count()
+    number, block = F.col("o_orderkey").cast("bigint").alias("o_orderkey"), 16 << 10
+    good = files.read_csv(spark, source, malformed="aside", block=block)
+    good = good.select(number, "said", "o_orderstatus", F.lit(None).cast("string").alias("line"))
+    none = F.lit(None).cast("string")
+    aside = files.malformed_csv(spark, source, block=block).withColumn("o_orderkey", F.split("line", ",")[0])
+    return good.union(aside.select(number, none, none, "line"))
+
+
 def _nested_landing(spark, d, same_headers):
     """Files of one name at two depths, with one header or two, an empty one, and one that is still being written."""
     landing = _folder(spark, "landing")
@@ -981,7 +1007,7 @@ def all_queries() -> dict:
         catalog_user_view, catalog_track_view, catalog_artist_view,
         play_stream_many_files, play_load_resumed, song_load_resumed, artist_load_resumed, play_load_prefixed,
         archive_mixed_schemas, mixed_footers_song, mixed_columns_play, ingest_unequal_headers, csv_line_breaks,
-        csv_malformed, backfill_odd_names, lookup_errors, enforce_fractions, play_incremental_partly_stored,
+        csv_malformed, csv_split_quotes, backfill_odd_names, lookup_errors, enforce_fractions, play_incremental_partly_stored,
         dq_out_of_range, dq_unique_rows,
     ]
     return {f.__name__: f for f in chosen}
