@@ -71,10 +71,13 @@ MAIN_WORDS = re.compile(r"(?:^|[-_ ])(?:article|post|entry|story|main|content)(?
 #: Elements that hold a page's text whatever their classes.
 HOLDERS = {"html", "body", "main", "article"}
 
+# A tag's attributes; a quote without its partner is a character. What is scanned as attributes is always taken, up to the page's end
+# where a tag is never closed, so that no stretch of a page is scanned again for each tag in it.
+_WITHIN = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"
-    r"|<(script|style|textarea|noscript|template|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|([^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<svg\b" + _WITHIN + r"(?:(?<=/)>|>.*?(?:</svg\s*+>|\Z)|\Z)"
+    r"|<(script|style|textarea|noscript|template|iframe|title)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)(" + _WITHIN + r")(?:>|\Z)|((?:[^<]++|<(?![!?]|/?[a-zA-Z]))++)",
     re.S | re.I,
 )
 _DIGITS = re.compile(r"\d+")
@@ -99,6 +102,7 @@ def parse(page: str) -> Node:
     """The tree of a page's elements, of any depth. Open elements end where their parent does; stray ends are ignored."""
     root = Node("")
     open_, links, mains = [root], 0, 0
+    written: list[tuple[Node, list[str]]] = []  # texts, joined once at the end
     within: Counter = Counter()  # open elements by tag, and by what they are
 
     def close(at: int) -> None:
@@ -114,13 +118,13 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         if text:
             if not within["#hidden"]:
-                _add_text(open_[-1], html.unescape(text), links > 0)
-        elif not tag:
+                _add_text(open_[-1], html.unescape(text), links > 0, written)
+        elif not tag or tag == "math" and rest.endswith("/"):
             continue
         elif tag == "a":
             links = 0 if end else 1
         elif tag == "br":
-            _add_text(open_[-1], " ", False)
+            _add_text(open_[-1], " ", False, written)
         elif tag in INLINE or tag in VOID:
             continue
         elif end:
@@ -140,15 +144,18 @@ def parse(page: str) -> Node:
             mains += not within["#aside"] and _named_main(node.kind)
             links = 0
     close(0)
+    for node, parts in written:
+        node.text = "".join(parts)
     return root
 
 
-def _add_text(parent: Node, text: str, linked: bool) -> None:
+def _add_text(parent: Node, text: str, linked: bool, written: list[tuple[Node, list[str]]]) -> None:
     last = parent.children[-1] if parent.children else None
     if last is None or last.kind != "#":
         last = Node("#")
         parent.children.append(last)
-    last.text += text
+        written.append((last, []))
+    written[-1][1].append(text)  # the last child of the open element, so the last text of the page
     last.linked += len(text.strip()) if linked else 0
 
 

@@ -1,7 +1,9 @@
 import html as library
 import re
+import time
 
 import pyarrow.parquet as pq
+import pytest
 
 from strata.llm import html, queries
 
@@ -158,3 +160,23 @@ def test_texts_that_all_pages_of_a_host_have_are_template(spark):
     assert [got[i] for i in range(6)] == [want(i) for i in range(6)]
     assert all(got[i].startswith("Home\n\nAbout") for i in range(6, 12))  # one page tells nothing
     assert [got[i] for i in (12, 13, 14)] == [f"Sources\n\n{i}" for i in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", '<a "', "<a \"<a' ", "<!", "<?x ", "</", "<", '<svg "></svg>"', "<svg ", "x<b>", "<!--", "<script ", "<p class='", "</p>",
+])
+def test_tags_that_are_never_closed_take_linear_time(piece):
+    """A page of a megabyte is read in a time that a quadratic scan would exceed by far, and what comes before is kept."""
+    page = "<body><article><p>kept words</p>" + piece * ((1 << 20) // len(piece))
+    began = time.perf_counter()
+    tree = html.parse(page)
+    found = html.extract(tree, html.wrapper(tree))
+    assert time.perf_counter() - began < 20
+    assert found.startswith("kept words")
+
+
+def test_quotes_without_a_partner_and_cut_pages():
+    of = lambda page: html.extract(html.parse(page), html.wrapper(html.parse(page)))
+    assert of('<article><p title="x>one</p><p>two') == "one\n\ntwo"
+    assert of("<article><p>1 < 2 and 3 <4 </ 5<p>it</p><a hre") == "1 < 2 and 3 <4 </ 5\n\nit"
+    assert of('<article><p>a<svg x=">"/>b<math/>c<svg><p>no</svg >d') == "abcd"
