@@ -24,6 +24,8 @@ BUCKETS = 1 << 15
 SAMPLE, SET_ASIDE = 500, 5
 #: Vectors of document frequencies that reach the driver.
 SUMS = 16
+#: Bytes of texts, and characters of one text, that are turned to n-grams at a time.
+STRETCH = 1 << 20
 UNKNOWN = "und"
 
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
@@ -59,6 +61,22 @@ def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out[:, : starts[-1] + len(lowered[-1]) + 1] if found else out[:, :0], starts
 
 
+def stretches(found: list[bytes], size: int = STRETCH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, buckets, starts) as by :func:`grams`; texts of many characters come in stretches of ``size``.
+
+    The stretches of a text follow each other and together hold its n-grams, so that memory does not grow with the longest text.
+    """
+    if sum(map(len, found)) <= size:
+        if found:
+            yield 0, *grams(found)
+        return
+    for i, text in enumerate(found):
+        lowered = text.decode().lower()
+        for at in range(0, max(len(lowered), 1), size):
+            buckets, starts = grams([lowered[at : at + size + 2].encode()])  # two more characters, for the last n-grams
+            yield i, buckets[:, at > 0 : 1 + min(size, len(lowered) - at)], starts
+
+
 def held_out(key: Column) -> Column:
     """Whether the CRC-32 of the key as text leaves remainder 1 by 3."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 3 == 1
@@ -112,14 +130,29 @@ class Model:
 
     def scores(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Class scores over the temperature, and the number of n-grams, of each text."""
-        if not found:
-            return np.zeros((0, len(self.classes))), np.zeros(0, np.int64)
-        at, starts = grams(found)
-        total = np.add.reduceat((at[1] < BUCKETS).astype(np.int64) + (at[0] < BUCKETS) + (at[2] < BUCKETS), starts)
-        summed = sum(np.add.reduceat(self.table[row], starts, axis=0, dtype=np.float64) for row in at)
+        summed, total = np.zeros((len(found), len(self.classes))), np.zeros(len(found), np.int64)
+        for first, at, starts in stretches(found):
+            rows = slice(first, first + len(starts))
+            total[rows] += np.add.reduceat((at[1] < BUCKETS).astype(np.int64) + (at[0] < BUCKETS) + (at[2] < BUCKETS), starts)
+            summed[rows] += sum(np.add.reduceat(self.table[row], starts, axis=0, dtype=np.float64) for row in at)
         return (summed / np.maximum(total, 1)[:, None] + self.bias) / self.temperature, total
 
 
+def counted(found: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each text's n-grams, and how often each is met."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for first, at, starts in stretches(found):
+        for i, (a, b) in enumerate(zip(starts, [*starts[1:], at.shape[1]]), first):
+            seen, n = np.unique(at[:, a:b], return_counts=True)
+            if i < len(out):  # a further stretch of the last text
+                seen, place = np.unique(np.concatenate([out[i][0], seen]), return_inverse=True)
+                n = np.bincount(place, np.concatenate([out[i][1], n])).astype(np.int64)
+                out[i] = seen, n
+            else:
+                out.append((seen, n))
+    return [(u[u < BUCKETS], c[u < BUCKETS]) for u, c in out]
+
+
 #: Relative frequencies are small; times this they are of the size of counts.
 SCALE = 30.0
 
@@ -131,11 +164,8 @@ def _frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
         df = np.zeros(BUCKETS + 2, np.int64)
         for batch in pieces(batches, "text", 1 << 20):
             found = texts(batch.column("text"))
-            at, starts = grams(found)
-            for a, b in zip(starts, [*starts[1:], at.shape[1]]):
-                seen = np.zeros(BUCKETS + 2, bool)
-                seen[at[:, a:b].ravel()] = True
-                df += seen
+            for seen, _ in counted(found):
+                df[seen] += 1
             df[-1] += len(found)
         yield pa.RecordBatch.from_pydict({"v": pa.array([df.tobytes()], pa.binary())})
 
@@ -166,9 +196,7 @@ def _sample(train: DataFrame, size: int) -> list:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 1 << 20):
-            at, starts = grams(texts(batch.column("text")))
-            rows = [np.unique(at[:, a:b], return_counts=True) for a, b in zip(starts, [*starts[1:], at.shape[1]])]
-            rows = [(u[u < BUCKETS], c[u < BUCKETS]) for u, c in rows]
+            rows = counted(texts(batch.column("text")))
             binary = [pa.array([x.astype("<i4").tobytes() for x in side], pa.binary()) for side in zip(*rows)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("mark"), *binary], ["label", "mark", "at", "n"])
 

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -41,6 +42,36 @@ def test_grams_do_not_reach_into_other_texts():
         assert [(row < langid.BUCKETS).sum() for row in alone] == [plain_grams(t)[n] for n in (1, 2, 3)]
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    found = [t.encode() for t in ("İstanbul ΟΔΟΣ, c  é1 ǅ" * 9, "", "a", "x ΑΣ")]
+    whole, starts = langid.grams(found)
+    for size in (1, 2, 3, 7, 50, 100):
+        parts = [[] for _ in found]
+        for i, at, _ in langid.stretches(found, size):
+            parts[i].append(at)
+        assert (np.concatenate([np.concatenate(p, axis=1) for p in parts], axis=1) == whole).all()
+    model = langid.Model(["a", "b"], np.random.default_rng(3).standard_normal((langid.BUCKETS + 1, 2)), 1.0, np.zeros(2))
+    scores, total = model.scores(found)
+    counts = langid.counted(found)
+    monkeypatch.setattr(langid.stretches, "__defaults__", (5,))
+    again = model.scores(found)
+    assert np.allclose(scores, again[0]) and (total == again[1]).all()
+    assert all((a == b).all() and (n == m).all() for (a, n), (b, m) in zip(counts, langid.counted(found), strict=True))
+
+
+def test_memory_does_not_grow_with_the_text():
+    classes = [str(i) for i in range(8)]
+    model = langid.Model(classes, np.ones((langid.BUCKETS + 1, 8), np.float32), 1.0, np.zeros(8))
+    text, peaks = b"some words, and 12 more. " * 40_000, []
+    for times in (1, 16):
+        tracemalloc.start()
+        scores, total = model.scores([text * times])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert total[0] > 10**6 * times and np.ptp(scores) == 0
+    assert peaks[1] - peaks[0] < 15 * len(text) * 4  # the text, as bytes, characters and in lower case
+
+
 def test_odd_rows(spark):
     rows = [(i, "the cat and the dog " * 5, "en", "x") for i in range(20)]
     rows += [(i, "der hund und die katze " * 5, "de", "x") for i in range(20, 40)]
