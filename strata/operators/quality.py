@@ -177,7 +177,11 @@ def _absent(rule: Rule, df: DataFrame) -> list[str]:
 
 def _uniqueness(df: DataFrame, no: int, rule: Rule) -> DataFrame:
     """Every member of a duplicate group is unexpected; rows without any of the values are missing."""
-    sizes = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return _uniqueness_of(df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("__n")), no, rule)
+
+
+def _uniqueness_of(sizes: DataFrame, no: int, rule: Rule) -> DataFrame:
+    """The result row from ``__n``, the rows of each combination of values."""
     none = _missing(rule)
     total = sizes.agg(
         F.expr("coalesce(sum(__n), 0) AS n"),

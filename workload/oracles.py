@@ -371,6 +371,7 @@ def all_oracles() -> dict[str, str]:
         "artist_view": "SELECT artist, artist_id FROM gated_artist",
         "dq_song_suite": _song_suite(),
         "dq_suite_from_file": _song_suite(),
+        "dq_incremental": _song_suite(),
         "song_missing_rule": "SELECT id, name, cast(NULL AS double) AS tempo FROM silver",
         "empty_layers": "SELECT count(*) AS n, cast(sum(seconds_played) AS bigint) AS seconds, cast(8 AS int) AS play_columns, "
         "cast(24 AS int) AS song_columns FROM plays",
