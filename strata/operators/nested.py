@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -42,6 +43,47 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(list(leaves(df.schema, ())))
 
 
+def flatten_variants(df: DataFrame, column: str = "v", sep: str = ".") -> DataFrame:
+    """The records of a VARIANT column as flat columns named by their paths, found by one aggregate over all of them.
+
+    Fields whose type is the same in all records, or a number in all of them, become columns of it, fractions as doubles; objects are
+    flattened at any depth, and lists of one plain type stay lists. Where types clash, a number here and an object there, or in lists
+    of clashing or nested items, values become text: a string as it is, anything else as JSON. Fields that are null everywhere are
+    text, too. A record that lacks a field has NULL there. Records that are no objects make one column ``value``.
+    """
+    told = df.agg(F.schema_of_variant_agg(column)).first()[0]
+    # The notation is that of types in SQL but for one word; names in backquotes are left as they are.
+    told = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], told)
+    kind = T.DataType.fromDDL(told)
+    if not isinstance(kind, T.StructType):
+        return df.select(_variant_leaf(column, "$", kind).alias("value"))
+
+    def leaves(schema: T.StructType, at: str, parents: tuple[str, ...]):
+        for f in schema:
+            if "'" in f.name and '"' in f.name:
+                raise ValueError(f"a field's name holds both kinds of quotes: {f.name}")
+            quote = "'" if '"' in f.name else '"'
+            inner, path = f"{at}[{quote}{f.name}{quote}]", (*parents, f.name)
+            if isinstance(f.dataType, T.StructType) and len(f.dataType):
+                yield from leaves(f.dataType, inner, path)
+            else:
+                yield _variant_leaf(column, inner, f.dataType).alias(sep.join(path))
+
+    return df.select(list(leaves(kind, "$", ())))
+
+
+def _variant_leaf(column: str, path: str, kind: T.DataType) -> Column:
+    item = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if isinstance(item, (T.DecimalType, T.FloatType)):
+        item = T.DoubleType()
+    if isinstance(item, (T.VariantType, T.StructType, T.ArrayType, T.NullType)):
+        found = F.try_variant_get(column, path, "variant")
+        is_text = F.schema_of_variant(found) == "STRING"
+        return F.when(is_text, F.try_variant_get(column, path, "string")).when(~F.is_variant_null(found), F.to_json(found))
+    plain = item.simpleString()
+    return F.try_variant_get(column, path, f"array<{plain}>" if isinstance(kind, T.ArrayType) else plain)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames; columns that a frame lacks are NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

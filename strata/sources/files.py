@@ -387,6 +387,15 @@ def read_json(
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_variants(spark: SparkSession, path: str, lines: bool = False, pattern: str = "*.json") -> DataFrame:
+    """All records of a folder as one VARIANT column ``v``, whatever types their fields have; files as for :func:`read_json`.
+
+    :func:`strata.operators.nested.flatten_variants` makes columns of them.
+    """
+    reader = spark.read.option("multiLine", not lines).option("pathGlobFilter", pattern).option("singleVariantColumn", "v")
+    return reader.json(path).selectExpr("explode(coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))) AS v")
+
+
 def csv_ready(df: DataFrame) -> DataFrame:
     """CSV holds no lists: arrays of strings become list text, other arrays and maps become JSON."""
 

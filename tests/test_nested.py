@@ -1,5 +1,6 @@
 from strata import schemas
 from strata.operators import clean, nested
+from strata.sources import files
 
 
 def test_unequal_lists_are_padded(spark):
@@ -40,3 +41,22 @@ def test_track_becomes_a_raw_song_that_cleans(spark):
     assert (row["artists"], row["artist_ids"], row["duration_ms"], row["year"]) == (["A", "B"], ["a1", "a2"], 62.0, 2001)
     assert row["explicit"] is True and row["tempo"] is None and str(row["release_date"]) == "2001-02-03"
     assert [tuple(r) for r in nested.track_popularity(df).collect()] == [("t1", 7)]
+
+
+def test_variants_of_clashing_records(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id":1,"x":5,"o":{"a b":1,"l":["p"],"it\'s":true}},{"id":2,"x":{"k":"v"},"z":null,"e":{}}]')
+    (tmp_path / "b.json").write_text('{"id":3,"x":"t","o":{"a b":2.5,"l":[1,null]},"d":[1,2]}')
+    df = nested.flatten_variants(files.read_variants(spark, str(tmp_path)))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    assert kinds == {
+        "d": "array<bigint>", "e": "string", "id": "bigint", "o.a b": "double", "o.it's": "boolean", "o.l": "string", "x": "string", "z": "string"
+    }
+    got = [tuple(r) for r in df.select("id", "x", "`o.a b`", "`o.l`", "`o.it's`", "z", "e", "d").orderBy("id").collect()]
+    assert got == [
+        (1, "5", 1.0, '["p"]', True, None, None, None), (2, '{"k":"v"}', None, None, None, None, "{}", None),
+        (3, "t", 2.5, "[1,null]", None, None, None, [1, 2]),
+    ]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.json").write_text("[1, [2]]")
+    plain = nested.flatten_variants(files.read_variants(spark, str(tmp_path / "c")))
+    assert sorted(r.value for r in plain.collect()) == ["1", "[2]"]

@@ -415,6 +415,9 @@ def all_oracles() -> dict[str, str]:
         "WHEN 3 THEN 'x\"y\"\"z' WHEN 4 THEN '\"a\"b' END AS said, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END "
         "AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN concat(o_orderkey, ',a \"b, c\" d,', o_orderstatus) END AS line "
         "FROM orders",
+        "json_variant_flatten": "SELECT event_id AS id, CASE event_id % 3 WHEN 0 THEN cast(user_id AS varchar) WHEN 1 THEN "
+        "concat('{\"n\":', user_id, ',\"type\":\"', event_type, '\"}') ELSE event_type END AS what, "
+        "CASE WHEN event_id % 3 > 0 THEN user_id END AS who_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS kinds FROM events",
         "csv_split_quotes": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (1, 2) THEN 'two \"lines\",' || chr(10) || chr(10) || ', here' "
         "WHEN o_orderkey % 7 = 3 THEN '5\" disc' WHEN o_orderkey % 7 > 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS said, "
         "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN "

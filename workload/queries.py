@@ -328,6 +328,19 @@ def json_flatten(spark, d):
     return nested.flatten_struct(fx.table(spark, d, "events").select("event_id", who), sep="_")
 
 
+def json_variant_flatten(spark, d):
+    """Files of clashing records: a field is a number in one, an object or a text in the others."""
+    source = _folder(spark, "json")
+    who = F.struct(F.col("user_id").alias("id"), F.array("event_type").alias("kinds")).alias("who")
+    number, name = F.col("event_id").alias("id"), F.col("event_type")
+    whats = [F.col("user_id"), F.struct(name.alias("type"), F.col("user_id").alias("n")), name]
+    for i, what in enumerate(whats):
+        rows = fx.table(spark, d, "events").where(F.col("event_id") % 3 == i)
+        rows.select(F.to_json(F.struct(number, what.alias("what"), *([who] if i else []))).alias("value")).write.mode("append").text(source)
+    df = nested.flatten_variants(files.read_variants(spark, source, lines=True, pattern="*.txt"))
+    return df.select("id", "what", F.col("`who.id`").alias("who_id"), F.array_join("`who.kinds`", "|").alias("kinds"))
+
+
 def union_missing_columns(spark, d):
     events = fx.table(spark, d, "events")
     halves = [events.select("event_id", "user_id", "value"), events.select("event_id", "event_type")]
@@ -1017,7 +1030,7 @@ def all_queries() -> dict:
         catalog_user_view, catalog_track_view, catalog_artist_view,
         play_stream_many_files, play_load_resumed, song_load_resumed, artist_load_resumed, play_load_prefixed,
         archive_mixed_schemas, mixed_footers_song, mixed_columns_play, ingest_unequal_headers, csv_line_breaks,
-        csv_malformed, csv_split_quotes, backfill_odd_names, lookup_errors, enforce_fractions, play_incremental_partly_stored,
+        csv_malformed, csv_split_quotes, json_variant_flatten, backfill_odd_names, lookup_errors, enforce_fractions, play_incremental_partly_stored,
         dq_out_of_range, dq_unique_rows,
     ]
     return {f.__name__: f for f in chosen}
