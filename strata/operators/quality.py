@@ -114,8 +114,10 @@ class Suite:
         return Suite(doc["name"], rules, doc.get("meta") or {})
 
     def save(self, path: str) -> None:
-        """Add the suite file, or replace the one there; on any file system that :func:`open_store` reaches."""
+        """Add the suite file, or replace the one there; on any file system that :func:`open_store` reaches. Folders that lack are made."""
         fs, at = open_store(path)
+        if folder := at.rpartition("/")[0]:
+            fs.create_dir(folder, recursive=True)
         with fs.open_output_stream(at) as f:
             f.write(self.to_json().encode())
 

@@ -133,6 +133,13 @@ def test_suite_file_round_trip(tmp_path):
     assert len(q.Suite.load(str(tmp_path / "suite.json")).rules) == 42
 
 
+def test_suite_file_in_a_folder_that_is_not_there_yet(tmp_path):
+    path = f"{tmp_path}/queries/of a run/suite.json"
+    for _ in range(2):
+        q.play_suite().save(f"file:{path}")
+    assert q.Suite.load(path).rules == q.play_suite().rules
+
+
 def test_suite_file_of_the_stored_layout():
     text = (
         '{"name": "s", "id": "1", "notes": null, "meta": {"v": "1"}, "expectations": [{"id": "2", "meta": {}, '
