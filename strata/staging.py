@@ -73,6 +73,15 @@ def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
         raise ValueError(f"input {source} and output {target} overlap")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` dealt evenly to as many tasks as there are cores.
+
+    For narrow rows of which much is made: a scan has no more tasks than its files have row groups and pieces of some MB, so that
+    millions of short rows, and every wide layer written from them, would else be the work of one or two tasks.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Staging:
     """Staged tables of one run, removed at the end of the ``with`` block."""
 

@@ -200,3 +200,10 @@ def test_cleaning_is_stable_under_repartitioning(spark, lake, parts):
     raw = spark.read.parquet(str(lake / "song/raw"))
     moved = clean_songs(raw.repartition(parts, "album_id"))
     assert sorted(map(str, moved.collect())) == sorted(map(str, clean_songs(raw).collect()))
+
+
+def test_songs_of_one_small_file_are_written_by_all_cores(spark, tmp_path):
+    files.write_parquet(fx.raw_songs(spark, SF), str(tmp_path / "raw"))
+    written = spark.read.parquet(str(tmp_path / "raw"))
+    assert len(written.inputFiles()) >= spark.sparkContext.defaultParallelism
+    assert written.count() == fx.table(spark, SF, "part").count()

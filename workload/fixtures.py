@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.staging import spread
+
 RAW_SONG = """
 SELECT
   concat('trk', cast(p_partkey AS varchar(20))) AS id,
@@ -67,23 +69,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _derived(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
-    return spark.sql(sql.replace(f"FROM {name}", f"FROM {{{name}}}"), **{name: table(spark, sf_dir, name)})
+def _derived(spark: SparkSession, source: DataFrame, sql: str, name: str) -> DataFrame:
+    return spark.sql(sql.replace(f"FROM {name}", f"FROM {{{name}}}"), **{name: source})
 
 
 def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, RAW_SONG, "part")
+    """Raw songs, many times as wide as the rows they are made of, which are dealt to all cores before."""
+    return _derived(spark, spread(table(spark, sf_dir, "part")), RAW_SONG, "part")
 
 
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw plays, with their time as the text that a history export holds."""
     as_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return _derived(spark, sf_dir, RAW_PLAY, "events").withColumn("ts", as_text)
+    return _derived(spark, table(spark, sf_dir, "events"), RAW_PLAY, "events").withColumn("ts", as_text)
 
 
 def gold_song_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, GOLD_SONG_IDS, "part")
+    return _derived(spark, table(spark, sf_dir, "part"), GOLD_SONG_IDS, "part")
 
 
 def gold_play_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, GOLD_PLAY_IDS, "part")
+    return _derived(spark, table(spark, sf_dir, "part"), GOLD_PLAY_IDS, "part")
