@@ -8,9 +8,10 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources import files
+from strata.sources import csv_blocks, files
 from strata.staging import (
     Staging,
     delete_path,
@@ -24,6 +25,8 @@ from strata.staging import (
 
 log = logging.getLogger(__name__)
 SOURCE_FILE = "source_file"
+#: Bytes of a CSV file that one task still reads whole.
+LARGE = 4 * csv_blocks.BLOCK
 
 
 def ingest_csv(
@@ -41,13 +44,16 @@ def ingest_csv(
     others alone. Files in sub-folders count like others, as they do for reads and the archive.
     Files may have different headers, each is read by its own. Without a ``schema`` the types are found by a scan of the
     files with the same header. Columns in ``drop``, such as personal data, never reach the zone; absent ones are ignored.
-    ``block`` cuts large files among tasks, see :func:`strata.sources.files.read_csv`.
+    ``block`` cuts files among tasks, see :func:`strata.sources.files.read_csv`; without it, files are cut where one of them is so
+    large that its task would read more than ``LARGE`` bytes.
     """
     files.require_folder(spark, folder)
-    found = files.listed(spark, folder, "*.csv").count()
+    found, largest = files.listed(spark, folder, "*.csv").agg(F.count("*"), F.max("length")).first()
     if not found:
         log.warning("no CSV files in %s", folder)
         return 0
+    if block is None and multi_line and largest > LARGE:
+        block = csv_blocks.BLOCK
     for group in files.csv_groups(spark, folder):
         fitted = schema or files.inferred_schema(spark, group, multi_line, block)
         below = qualified(spark, folder)

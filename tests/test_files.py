@@ -239,3 +239,16 @@ def test_jdbc_options():
     assert "ts TIMESTAMP," in plays and "seconds_played INTEGER" in plays
     songs = tables.JdbcTable("jdbc:x://h/db", "s", schemas.GOLD_SONG_DDL).create_sql()
     assert "artists TEXT" in songs and "tempo DOUBLE PRECISION" in songs
+
+
+def test_ingest_cuts_large_files_without_being_told(spark, tmp_path, monkeypatch):
+    from strata.sources import csv_blocks
+
+    rows = [(str(i), f'line {i}\nand, "more"') for i in range(400)]
+    files.write_csv(spark.createDataFrame(rows, "id string, note string").coalesce(1), str(tmp_path / "in"))
+    monkeypatch.setattr(csv_blocks, "BLOCK", 1 << 10)
+    monkeypatch.setattr(zones, "LARGE", 4 << 10)
+    zones.ingest_csv(spark, str(tmp_path / "in"), str(tmp_path / "zone"))
+    stored = spark.read.parquet(str(tmp_path / "zone"))
+    assert len(stored.inputFiles()) > 1  # more than one task wrote the file's partition
+    assert sorted((str(r.id), r.note) for r in zones.read_zone(spark, str(tmp_path / "zone")).collect()) == sorted(rows)
