@@ -3,7 +3,8 @@
 Each stage works on all that the one before kept and returns the columns of ``documents``, the last one ids instead:
 
 1. quality rules: documents that break one go;
-2. SimHash near copies, by five-word shingles of a similarity of 0.8: of each group the document with the smallest id stays;
+2. SimHash near copies: candidates by fingerprint blocks, and bands for those further apart, verified by fingerprint and by a
+   similarity of 0.8 of their five-word shingles; of each group the document with the smallest id stays;
 3. repeated passages: words that an earlier window covers go, and documents of which nothing is left;
 4. mixture: documents are taken as often as their source's target says, the last one of a source in part;
 5. byte-level BPE: the ids of each text, and the bytes that they decode to.

@@ -23,6 +23,8 @@ SEED = 42
 CHUNK = 1 << 15
 #: Bands of min-hashes and min-hashes in each: of pairs with a similarity of 0.8 a share of 0.992 has a band in common.
 BANDS, ROWS = 16, 6
+#: Bits within which any two fingerprints have one of the block keys in common, and the blocks that these are chosen from.
+NEAR, BLOCKS = 4, 6
 #: Bits of a set's bitmap, the parities of how many of its shingles fall on each: sets differ at least as much as their bitmaps.
 PARITIES = 1024
 #: Rounds in which the texts of a band are compared with one of them, before those of different components are all compared.
@@ -145,13 +147,17 @@ def near_duplicates(
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(id, node, fp, size, keys, bits, grams): a text's set of shingles as one hash, its SimHash, how many they are, a key for
-    each band of min-hashes, a bitmap of ``PARITIES`` bits, and the shingles by 32 bits. NULL counts as empty; texts without words
+    each choice of fingerprint blocks and each band of min-hashes, a bitmap of ``PARITIES`` bits, and the shingles by 32 bits. NULL counts as empty; texts without words
     have no keys. Rows may repeat."""
     rng = np.random.default_rng(SEED)
     times, plus = rng.integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
     times |= np.uint64(1)
+    masks = [m & ((1 << BITS) - 1) for m in block_masks(NEAR, BLOCKS)]
 
-    def keys(hashes: np.ndarray) -> list[int]:
+    def blocks(fp: int, hashes: np.ndarray) -> list[int]:
+        return [fp & m for m in masks] if len(hashes) else []
+
+    def bands(hashes: np.ndarray) -> list[int]:
         least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
         for at in range(0, len(hashes), 2048):
             np.minimum(least, (hashes[at : at + 2048] * times + plus).min(axis=1), out=least)
@@ -169,9 +175,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
             sets = [np.unique(np.array(shingles(t, width), np.uint64)) for t in texts(batch.column("text"))]
             marks = [np.unique(s.astype(np.uint32)).view(np.int32) for s in sets]
             signed = lambda values: np.array(values, np.uint64).view(np.int64)
+            prints = [simhash(s) for s in sets]
             columns = [
-                signed([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]), signed([simhash(s) for s in sets]),
-                [len(m) for m in marks], [signed(keys(s)) for s in sets], [parities(m) for m in marks], marks,
+                signed([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]), signed(prints),
+                [len(m) for m in marks], [signed(blocks(p, s) + bands(s)) for p, s in zip(prints, sets)], [parities(m) for m in marks], marks,
             ]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *schema.names])
@@ -186,14 +193,15 @@ def similar(
 ) -> DataFrame:
     """(id, component): the smallest id reachable over texts whose sets of shingles have a Jaccard similarity of ``similarity``.
 
-    Pairs that share a band of min-hashes, and have fingerprints within ``distance`` bits, are verified by their shingles. Equal
-    sets are one node. The texts of a band are first compared with one of them in each of ``STARS`` rounds: with the one that
+    Candidates share a choice of fingerprint blocks, as all do whose fingerprints are within ``NEAR`` bits, or else a band of
+    min-hashes; those with fingerprints within ``distance`` bits are then verified by their shingles. Equal
+    sets are one node. Blocks are dealt with like bands. The texts of a band are first compared with one of them in each of ``STARS`` rounds: with the one that
     shares its bands with most texts, which is close to all copies of one text, then with random ones. Pairs of texts that are
     still of different components are compared only where both have enough shingles that any other text of a mixed band has,
     too, and where the sets' bitmaps differ little enough: shingles of one text alone are in no intersection, and sets differ
     at least as much as their bitmaps. That rules most pairs of a dense group out, and none wrongly.
 
-    Ids may be structs; NULL and empty texts are one node without bands. An empty table gives an empty one.
+    Ids may be structs; NULL and empty texts are one node without keys. An empty table gives an empty one.
     """
     path = scratch(docs.sparkSession, "signatures")
     signed = signatures(docs, id_col, text_col, width)

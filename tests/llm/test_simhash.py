@@ -173,3 +173,17 @@ def test_dense_group_without_all_pairs(spark, monkeypatch):
     got = {r.id: r.component for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[i] for i in range(len(rows))] == part and 150 < len(set(part)) < 400
     assert len(looked_at) == 3 and 200 <= sum(looked_at) < 4000  # of 79,800
+
+
+def test_similar_takes_candidates_from_fingerprint_blocks(spark, monkeypatch):
+    """Without any min-hash in common, pairs within four bits are found, and no others."""
+    monkeypatch.setattr(simhash, "BANDS", 0)
+    monkeypatch.setattr(simhash, "ROWS", 1)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*words[: 40 * i], "changed", *words[40 * i + 1 :]])) for i in range(8)]
+    rows.append((8, " ".join(f"x{i}" for i in range(400))))
+    got = {r.id: r.component for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    prints = [simhash.simhash(sorted(set(simhash.shingles(t.encode(), 5)))) for _, t in rows]
+    near = {(i, j) for i in range(8) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4}
+    assert near and all(got[i] == got[j] for i, j in near)
+    assert got[8] == 8
