@@ -106,3 +106,13 @@ def test_empty_input_writes_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "n int")
     assert split_csv(spark, df, str(tmp_path / "out")) == 0
     assert not (tmp_path / "out").exists()
+
+
+def test_permuted_split_is_read_back_once(spark, tmp_path):
+    from workload import queries
+
+    n = 7_000
+    spark.range(n).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id % 9 AS l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = queries.split_csv_permuted(spark, str(tmp_path))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert [tuple(r) for r in df.collect()] == [(n, sum(i % 9 for i in range(n)), True)]

@@ -526,17 +526,18 @@ def split_csv_permuted(spark, d):
     columns = ("l_orderkey", "l_linenumber", "l_partkey")
     back = spark.read.option("header", True).csv(out)
     back = back.select(*[F.col(c).cast("bigint") for c in columns], number.alias("chunk"), F.col("_metadata.file_path").alias("file"))
-    sizes = back.groupBy("chunk").agg(F.count("*").alias("n"), F.min("file").alias("f"), F.max("file").alias("g"))
+    of_chunk = [F.sum("l_partkey").alias("s"), F.min("file").alias("f"), F.max("file").alias("g")]
+    sizes = back.groupBy("chunk").agg(F.count("*").alias("n"), *of_chunk)
     last = F.max("chunk").over(Window.partitionBy())
     sizes = sizes.withColumn("last", last).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("s").alias("sum_partkey"),
         F.count_if(F.col("n").between(low, high) | (F.col("chunk") == F.col("last")) & (F.col("n") <= high)).alias("fit"),
         F.count_if(F.col("f") == F.col("g")).alias("one_file"),
         F.max("chunk").alias("n_chunks"),
     )
-    rows = back.groupBy(*columns).count()
-    rows = rows.agg(F.sum("count").alias("n_rows"), F.sum(F.col("l_partkey") * F.col("count")).alias("sum_partkey"))
     whole = (F.col("fit") == F.col("n_chunks")) & (F.col("one_file") == F.col("n_chunks"))
-    return rows.join(sizes).select("n_rows", "sum_partkey", whole.alias("chunks_fit"))
+    return sizes.select("n_rows", "sum_partkey", whole.alias("chunks_fit"))
 
 
 def csv_parquet_roundtrip(spark, d):
