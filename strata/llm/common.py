@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.staging import file_system, shared_dir
+from strata.staging import delete_path, file_system, shared_dir
 
 #: Characters between words, as a Java pattern; ``bytes.split()`` cuts at the same six.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -25,11 +26,45 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: With it, a query's shuffle files go when the query ends, not when the driver next collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: ``paths``: the folders staged within the ``settled`` that is under way in this thread.
+_steps = threading.local()
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    if getattr(_steps, "paths", None) is not None:
+        _steps.paths.append(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)  # a frame takes the setting when it is made
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` returns, staged; the tables that it staged on the way are deleted then.
+
+    Else they would all stay until the session ends, and disk would grow with the number of steps.
+    """
+    outer, _steps.paths = getattr(_steps, "paths", None), []
+    try:
+        made = make()
+    finally:
+        passed, _steps.paths = _steps.paths, outer
+    df = staged(made, label)
+    for path in passed:
+        delete_path(df.sparkSession, path)
+    return df
 
 
 def word_array(text: Column) -> Column:
