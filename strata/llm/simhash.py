@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.llm.common import pieces, scratch, staged, texts
+from strata.llm.common import pieces, settled, staged, texts
 from strata.llm.components import connected_components
-from strata.staging import file_system
 
 BITS = 64
 SEED = 42
@@ -27,6 +27,10 @@ BANDS, ROWS = 16, 6
 NEAR, BLOCKS = 4, 6
 #: Bits of a set's bitmap, the parities of how many of its shingles fall on each: sets differ at least as much as their bitmaps.
 PARITIES = 1024
+#: Words of 64 bits that a bitmap is folded to where each key of a text carries one; folded ones never differ in more bits.
+FOLDS = 4
+#: Texts of a block that are each compared with all others before the rounds.
+FEW = 64
 #: Rounds in which the texts of a band are compared with one of them, before those of different components are all compared.
 STARS = 2
 
@@ -201,12 +205,17 @@ def similar(
     too, and where the sets' bitmaps differ little enough: shingles of one text alone are in no intersection, and sets differ
     at least as much as their bitmaps. That rules most pairs of a dense group out, and none wrongly.
 
+    Keys of blocks are short, so that in a large table most texts share them with texts that have nothing to do with theirs. A
+    text's key goes on only if its block has more than ``FEW`` texts, or one that the text can be similar to by sizes, fingerprints
+    and bitmaps; keys of bands go on if two texts have them. No pair that would pass its checks is lost.
+
     Ids may be structs; NULL and empty texts are one node without keys. An empty table gives an empty one.
     """
-    path = scratch(docs.sparkSession, "signatures")
-    signed = signatures(docs, id_col, text_col, width)
-    signed.write.parquet(path)
-    signed = docs.sparkSession.read.schema(signed.schema).parquet(path)
+    return settled(lambda: _similar(docs, id_col, text_col, width, similarity, distance), "similar")
+
+
+def _similar(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, distance: int) -> DataFrame:
+    signed = staged(signatures(docs, id_col, text_col, width), "signatures")
     same = [F.first(c).alias(c) for c in ("fp", "size", "keys", "bits")]
     counted = staged(signed.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("least"), *same), "distinct")
 
@@ -215,67 +224,91 @@ def similar(
         fits = F.least(a + "size", b + "size") >= F.lit(similarity) * F.greatest(a + "size", b + "size")
         return fits & (F.bit_count(F.col(a + "fp").bitwiseXOR(F.col(b + "fp"))) <= distance)
 
+    def apart(a: str, b: str, words: int):
+        return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(words))
+
+    def most(a: str, b: str):
+        """Shingles that are in one set only, at most, if a pair is similar."""
+        return F.lit((1 - similarity) / (1 + similarity)) * (F.col(a + "size") + F.col(b + "size")) + 1e-9
+
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs.distinct(), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        grams = signed.select("node", "grams").join(wanted, "node", "left_semi")
-        grams = staged(grams.groupBy("node").agg(F.first("grams").alias("grams")), "grams")
+        grams = staged(grams_of.join(wanted, "node", "left_semi"), "grams")
         x = pairs.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
         x = x.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
         both = F.size(F.array_intersect("x", "y"))
         return x.where(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
 
-    def joined(label: DataFrame, links: DataFrame) -> DataFrame:
-        edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)
-        return staged(connected_components(edges), "components")
+    def joined(label: DataFrame, pairs: DataFrame) -> DataFrame:
+        def components() -> DataFrame:
+            edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(verified(pairs))
+            return connected_components(edges)
+
+        return settled(components, "components")
 
     def in_bands(label: DataFrame) -> DataFrame:
         found = counted.join(label, "node")
-        return found.select("node", "n", "shared", "component", "fp", "size", F.posexplode("keys").alias("t", "k"))
+        return found.select("node", "n", "shared", "component", "fp", "size", F.explode("keys").alias("key"))
+
+    def shared_keys() -> DataFrame:
+        """(node, key, c): the keys of a text that another one has, too, and how many have it; of blocks those worth a comparison."""
+        blocks = F.lit(len(block_masks(NEAR, BLOCKS)))
+        words = [reduce(Column.bitwiseXOR, [F.col("bits")[i] for i in range(j, PARITIES // 64, FOLDS)]) for j in range(FOLDS)]
+        fold = F.array(*words).alias("fold")
+
+        def often(keyed: DataFrame) -> DataFrame:
+            many = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+            return keyed.join(many, "key")
+
+        banded = counted.select("node", F.posexplode("keys").alias("t", "k")).where(F.col("t") >= blocks)
+        banded = often(banded.select("node", F.xxhash64("t", "k").alias("key")))
+        keyed = counted.select("node", "fp", "size", fold, F.posexplode(F.slice("keys", 1, blocks)).alias("t", "k"))
+        keyed = often(keyed.select("node", "fp", "size", "fold", F.xxhash64("t", "k").alias("key")))
+        large, small = keyed.where(F.col("c") > FEW), keyed.where(F.col("c") <= FEW)
+        x, y = small.alias("x"), small.select("node", "fp", "size", "fold", "key").alias("y")
+        other = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node"))
+        small = x.join(y, other & close("x.", "y.") & (apart("x.fold", "y.fold", FOLDS) <= most("x.", "y.")), "left_semi")
+        return reduce(DataFrame.union, [found.select("node", "key", "c") for found in (banded, large, small)])
 
     label = counted.select("node", F.col("node").alias("component"))
     named_nodes = counted.select("node", "least")
-    banded = counted.select("node", F.posexplode("keys").alias("t", "k"))
-    many = banded.groupBy("t", "k").agg(F.count("*").alias("c")).where("c > 1")
-    shared = staged(banded.join(many, ["t", "k"]).groupBy("node").agg(F.sum("c").alias("shared")), "shared")
-    counted = counted.join(shared, "node")  # the others have no band in common with any text
+    shared = shared_keys().groupBy("node").agg(F.collect_list("key").alias("keys"), F.sum("c").alias("shared"))
+    shared = staged(shared, "shared")
+    counted = counted.drop("keys").join(shared, "node")  # the others have no key in common with any text
+    grams_of = signed.select("node", "grams").join(shared.select("node"), "node", "left_semi")
+    grams_of = staged(grams_of.groupBy("node").agg(F.first("grams").alias("grams")), "candidates")
 
     for turn in range(STARS):
         order = F.xxhash64("node", F.lit(turn)) if turn else F.struct("shared", "n")
         keyed = in_bands(label)
         head = F.max(F.struct(order, "node", "component", "fp", "size")).alias("head")
-        heads = keyed.groupBy("t", "k").agg(head, F.min("component").alias("lo"), F.max("component").alias("hi"))
-        near = keyed.join(heads.where("lo < hi").select("t", "k", "head"), ["t", "k"])
+        heads = keyed.groupBy("key").agg(head, F.min("component").alias("lo"), F.max("component").alias("hi"))
+        near = keyed.join(heads.where("lo < hi").select("key", "head"), "key")
         near = near.where(F.col("component") != F.col("head.component")).select("node", "fp", "size", "head")
         near = near.where(close("", "head.")).select(F.col("node").alias("a"), F.col("head.node").alias("b"))
-        label = joined(label, verified(near))
+        label = joined(label, near)
 
     keyed = in_bands(label)
-    mixed = keyed.groupBy("t", "k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    keyed = staged(keyed.join(mixed.select("t", "k"), ["t", "k"], "left_semi"), "bands")
-    grams = signed.select("node", "grams").join(keyed.select("node").distinct(), "node", "left_semi")
-    grams = grams.groupBy("node").agg(F.first("grams").alias("grams")).select("node", F.explode("grams").alias("gram"))
+    mixed = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    keyed = staged(keyed.join(mixed.select("key"), "key", "left_semi"), "bands")
+    grams = grams_of.join(keyed.select("node").distinct(), "node", "left_semi").select("node", F.explode("grams").alias("gram"))
     owners = grams.groupBy("gram").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
     alone = staged(owners.groupBy("node").agg(F.count("*").alias("alone")), "alone")
     keyed = keyed.join(alone, "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
     keyed = keyed.where(F.col("common") >= F.lit(similarity) * F.col("size") - 1e-9)
     keyed = keyed.join(counted.select("node", "bits"), "node")
-    a, b = (keyed.select("t", "k", F.struct("component", "node", "fp", "size", "common", "bits").alias(c)) for c in "ab")
-    pairs = a.join(b, ["t", "k"]).where(F.col("a.component") < F.col("b.component")).where(close("a.", "b."))
+    a, b = (keyed.select("key", F.struct("component", "node", "fp", "size", "common", "bits").alias(c)) for c in "ab")
+    pairs = a.join(b, "key").where(F.col("a.component") < F.col("b.component")).where(close("a.", "b."))
     enough = F.lit(similarity / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) - 1e-9
     pairs = pairs.where(F.least("a.common", "b.common") >= enough)
-    apart = sum(F.bit_count(F.col("a.bits")[i].bitwiseXOR(F.col("b.bits")[i])) for i in range(PARITIES // 64))
-    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) + 1e-9
-    pairs = pairs.where(apart <= most)
-    label = joined(label, verified(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
+    pairs = pairs.where(apart("a.bits", "b.bits", PARITIES // 64) <= most("a.", "b."))
+    label = joined(label, pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")))
 
     labelled = named_nodes.join(label, "node")
     named = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
     classes = labelled.join(named, "component").select("node", F.col("smallest").alias("component"))
-    found = staged(signed.select("id", "node").join(classes, "node").select("id", "component"), "similar")
-    fs, p = file_system(docs.sparkSession, path)  # the largest table, not needed any more
-    fs.delete(p, True)
-    return found
+    return signed.select("id", "node").join(classes, "node").select("id", "component")
 
 
 def keep_first(

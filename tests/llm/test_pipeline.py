@@ -2,6 +2,7 @@ import base64
 
 import public_tokenizers
 import pyarrow.parquet as pq
+import test_common
 import test_mixing
 import test_quality_cascade
 import test_simhash
@@ -95,3 +96,11 @@ def test_near_copies_equal_brute_force_by_similarity(spark):
     want = [d["doc_id"] for d in first_of_near_copies(docs)]
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.col("doc_id").isin([d["doc_id"] for d in docs]))
     assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, table, SF_DIR).select("doc_id").collect()) == want
+
+
+def test_stages_leave_little_on_disk(spark):
+    docs = test_common.documents(spark).selectExpr("doc_id", "text", "'en' lang", "'a' source", "cast(length(text) as long) n_chars")
+    before = test_common.tables(spark)
+    for stage in (corpus_pipeline.distinct, corpus_pipeline.without_repeats):
+        assert stage(spark, docs, SF_DIR).count() > 0
+    assert {t.split("-")[0] for t in test_common.tables(spark) - before} == {"similar", "repeats"}

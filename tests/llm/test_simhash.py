@@ -187,3 +187,27 @@ def test_similar_takes_candidates_from_fingerprint_blocks(spark, monkeypatch):
     near = {(i, j) for i in range(8) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4}
     assert near and all(got[i] == got[j] for i, j in near)
     assert got[8] == 8
+
+
+def test_keys_shared_by_chance_alone_do_not_go_on(spark, monkeypatch):
+    """With blocks so short that unrelated texts share many, only near copies keep keys, and all of these are found."""
+    with_keys, staged = [], simhash.staged
+
+    def noted(df, label):
+        df = staged(df, label)
+        if label == "shared":
+            with_keys.append(df.count())
+        return df
+
+    monkeypatch.setattr(simhash, "staged", noted)
+    monkeypatch.setattr(simhash, "NEAR", 4)
+    monkeypatch.setattr(simhash, "BLOCKS", 5)  # 13 bits
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(9000)}" for _ in range(100))) for i in range(900)]
+    rows += [(900 + i, f"{rows[i][1]} end") for i in range(20)]
+    prints = [simhash.fingerprint(t.encode(), 5) for _, t in rows[:900]]
+    by_chance = {(i, j) for i in range(900) for j in range(i) if any((prints[i] ^ prints[j]) & m == 0 for m in simhash.block_masks(4, 5))}
+    assert len({i for pair in by_chance for i in pair}) > 400
+    got = {r.id: r.component for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - 900 if i >= 900 else i for i in range(920)}
+    assert len(with_keys) == 1 and 40 <= with_keys[0] < 60
